@@ -7,12 +7,39 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.llm import secrets
-from adlens.llm.common import table
+from adlens.llm import exact_dedup, langid, mixing, quality, secrets
+from adlens.llm.common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The probability that labels.quality marks a document 1, learned from four fifths of the labels."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(crc_mod(F.col("doc_id"), 5) == 0, F.lit(False))
+    model = quality.fit(docs, labels.where(~held_out))
+    scored = quality.score(docs, model, [F.col("doc_id"), held_out.alias("held_out")])
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from two thirds of them."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc_mod(F.col("doc_id"), 3) == 1, F.lit(False))
+    model = langid.fit(docs.where(~held_out))
+    return langid.predict(docs, model, [F.col("doc_id"), held_out.alias("held_out")])
+
+
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents with equal texts, by block naming."""
+    return exact_dedup.groups(table(spark, sf_dir, "documents"))
+
+
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix of sources takes."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: counts and a digest of the strong spans, and all spans."""
     got = secrets.scan(table(spark, sf_dir, "documents"))
@@ -27,8 +54,14 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {"op10_secret_scan": op10_secret_scan}
-SQL: dict[str, str] = {}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_score, op3_language_id, op4_exact_dedup, op5_source_mix, op10_secret_scan)}
+SQL: dict[str, str] = {
+    "op4_exact_dedup": """
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+        SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+               doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
+        FROM d""",
+}
 
 
 def queries() -> dict[str, Query]:
