@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.llm import exact_dedup, langid, mixing, quality, secrets
+from adlens.llm import exact_dedup, html_text, langid, mixing, quality, secrets
 from adlens.llm.common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,11 @@ def op1_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op2_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page and its length in code points."""
+    return html_text.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from two thirds of them."""
     docs = table(spark, sf_dir, "documents")
@@ -54,7 +59,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_score, op3_language_id, op4_exact_dedup, op5_source_mix, op10_secret_scan)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_score, op2_page_text, op3_language_id, op4_exact_dedup, op5_source_mix, op10_secret_scan)}
 SQL: dict[str, str] = {
     "op4_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
