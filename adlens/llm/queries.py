@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.llm import exact_dedup, html_text, langid, mixing, quality, secrets
+from adlens.llm import decontam, exact_dedup, html_text, langid, mixing, quality, secrets
 from adlens.llm.common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,11 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of every document that windows of 13 words of benchmark items cover."""
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: counts and a digest of the strong spans, and all spans."""
     got = secrets.scan(table(spark, sf_dir, "documents"))
@@ -59,7 +64,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_score, op2_page_text, op3_language_id, op4_exact_dedup, op5_source_mix, op10_secret_scan)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_score, op2_page_text, op3_language_id, op4_exact_dedup, op5_source_mix, op7_decontamination, op10_secret_scan)}
 SQL: dict[str, str] = {
     "op4_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
