@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.llm import decontam, exact_dedup, html_text, langid, mixing, quality, secrets
+from adlens.llm import decontam, exact_dedup, html_text, langid, lm_score, mixing, quality, secrets
 from adlens.llm.common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,13 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of every document under a model of six sevenths of them, and those of single words."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc_mod(F.col("doc_id"), 7) == 2, F.lit(False))
+    return lm_score.score(docs, lm_score.fit(docs.where(~held_out)), [F.col("doc_id"), held_out.alias("held_out")])
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: counts and a digest of the strong spans, and all spans."""
     got = secrets.scan(table(spark, sf_dir, "documents"))
@@ -64,7 +71,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_score, op2_page_text, op3_language_id, op4_exact_dedup, op5_source_mix, op7_decontamination, op10_secret_scan)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_score, op2_page_text, op3_language_id, op4_exact_dedup, op5_source_mix, op7_decontamination, op8_language_model, op10_secret_scan)}
 SQL: dict[str, str] = {
     "op4_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
