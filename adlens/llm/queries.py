@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.llm import decontam, exact_dedup, html_text, langid, lm_score, mixing, quality, secrets
+from adlens.llm import decontam, exact_dedup, html_text, jaccard_join, langid, lm_score, mixing, quality, secrets, token_count
 from adlens.llm.common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,11 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op6_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens and pre-tokens of every document."""
+    return token_count.count(table(spark, sf_dir, "documents"), [F.col("doc_id")])
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The words of every document that windows of 13 words of benchmark items cover."""
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -57,6 +62,11 @@ def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(docs, lm_score.fit(docs.where(~held_out)), [F.col("doc_id"), held_out.alias("held_out")])
 
 
+def op9_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents linked by a Jaccard similarity of 0.8 or more of their shingles."""
+    return jaccard_join.near_copies(table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: counts and a digest of the strong spans, and all spans."""
     got = secrets.scan(table(spark, sf_dir, "documents"))
@@ -71,7 +81,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_score, op2_page_text, op3_language_id, op4_exact_dedup, op5_source_mix, op7_decontamination, op8_language_model, op10_secret_scan)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_score, op2_page_text, op3_language_id, op4_exact_dedup, op5_source_mix, op6_token_count, op7_decontamination, op8_language_model, op9_near_copies, op10_secret_scan)}
 SQL: dict[str, str] = {
     "op4_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
