@@ -57,6 +57,25 @@ def width(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Rows of a few numbers that go to every task at most; beyond, Spark joins by key.
+FEW = 1_000_000
+
+
+def few(df: DataFrame, most: int = FEW) -> DataFrame:
+    """df, to be sent to every task where its rows, counted here, are few enough. Give it what is cut."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
+def without(docs: DataFrame, gone: DataFrame, *keys: Column) -> DataFrame:
+    """docs without the rows whose keys are a row of gone, null being a value."""
+    names = [f"gone_{i}" for i in range(len(keys))]
+    gone = few(cut(gone.toDF(*names).distinct()))
+    same = F.lit(True)
+    for k, n in zip(keys, names, strict=True):
+        same = same & k.eqNullSafe(F.col(n))
+    return docs.join(gone, same, "left_anti")
+
+
 def crc_mod(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n; null where the id is null."""
     return F.crc32(doc_id.cast("string").cast("binary")) % n

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlens.llm.chars import sums_by_row
-from adlens.llm.common import arrow, row_of, slices, word_hashes
+from adlens.llm.common import arrow, row_of, slices, without, word_hashes
 
 WINDOW = 13
 #: Words are runs of 0-9, a-z and all characters beyond ASCII, after A-Z are lower-cased.
@@ -196,3 +196,10 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", **opti
         "contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
     )
 
+
+
+def clean(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """docs without the contaminated rows."""
+    own = F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("print"))
+    found = contamination(docs.select(own.alias("own"), text), items, key="own", text=text)
+    return without(docs, found.where("contaminated").select("own.key", "own.print"), F.col(key), F.xxhash64(text))

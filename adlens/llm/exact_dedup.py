@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlens.llm.common import cut, width
+from adlens.llm.common import cut, width, without
 
 BLOCK = 8192
 
@@ -74,3 +74,13 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", block: int
         (F.col("key").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)).alias("kept"),
         F.col("sha").alias("text_sha256"),
     )
+
+
+def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """docs with one row of each group of equal texts, the one that ``groups`` keeps."""
+    found = cut(groups(docs, text, key).select(F.col(key).alias("key"), "text_sha256", "kept"))
+    rows = found.groupBy("key", "text_sha256").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+    sha = F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
+    if rows.where("kept and n > 1").isEmpty():
+        return without(docs, rows.where("not kept").select("key", "text_sha256"), F.col(key), sha)
+    return without(docs.withColumn("sha_", sha).dropDuplicates([key, "sha_"]), rows.where("not kept").select("key", "text_sha256"), F.col(key), F.col("sha_")).drop("sha_")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlens.llm.common import cut, join2, mix, slices, width, word_hashes
+from adlens.llm.common import cut, join2, mix, slices, width, without, word_hashes
 from adlens.llm.components import components
 
 SHINGLE = 5
@@ -211,3 +211,10 @@ def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     least = cut(some.groupBy("root").agg(F.min("key").alias("component_id")), parts)
     none = placed.where("n = 0").select("key", "n", F.col("key").alias("component_id"))
     return some.join(least, "root").select("key", "n", "component_id").unionByName(none).select(F.col("key").alias(key), F.col("n").cast("long").alias("n_shingles"), "component_id")
+
+
+def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """docs with one row of each component: the one with the smallest key, and of equal keys one text."""
+    own = F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("print"))
+    found = near_copies(docs.select(own.alias("own"), text), text, "own")
+    return without(docs, found.where("component_id <> own").select("own.key", "own.print"), F.col(key), F.xxhash64(text))

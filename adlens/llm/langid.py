@@ -98,3 +98,10 @@ def predict(docs: DataFrame, model: Model, keep: list[Column], text: str = "text
             yield pa.RecordBatch.from_arrays([*(b.column(x) for x in names), pa.array(lang.tolist(), pa.string()), pa.array(best)], [*names, "lang_pred", "score"])
 
     return rows.mapInArrow(score, schema)
+
+
+def known(docs: DataFrame, text: str = "text", lang: str = "lang", least: float = 0.5) -> DataFrame:
+    """docs without the rows that have no language: `und`, or a posterior below `least`."""
+    names = docs.columns
+    found = predict(docs, fit(docs, text, lang), [F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names)], text)
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])

@@ -12,11 +12,11 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlens.llm.common import cut, width
+from adlens.llm.common import cut, few, width
 
 WORDS = r"[^\x20\x09-\x0D]+"
 #: Documents rounded together, about; a chunk's words end within a small document's size of its share.
@@ -80,15 +80,19 @@ def tilts(sizes: DataFrame, sources: DataFrame, most: int = 3, tolerance: float
 
 
 def _copies(most: int):
-    def chunk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["size", "key"], ascending=[False, True], kind="stable", na_position="last")
-        left, out = 0.0, np.empty(len(pdf), np.int64)
-        for i, (size, rate) in enumerate(zip(pdf["size"].tolist(), pdf["rate"].tolist(), strict=True)):
-            down = math.floor(rate)
+    def chunk(table: pa.Table) -> pa.Table:
+        size, rate = (table.column(x).to_numpy() for x in ("size", "rate"))
+        left, out = 0.0, np.empty(len(size), np.int64)
+        for i in np.lexsort((table.column("tie").to_numpy(), -size)).tolist():
+            down = math.floor(rate[i])
             up = min(most, down + 1)
-            out[i] = up if abs(left + (rate - up) * size) < abs(left + (rate - down) * size) else down
-            left += (rate - out[i]) * size
-        return pdf.assign(copies=out)
+            out[i] = up if abs(left + (rate[i] - up) * size[i]) < abs(left + (rate[i] - down) * size[i]) else down
+            left += (rate[i] - out[i]) * size[i]
+        key = table.column("key")
+        if pa.types.is_struct(key.type):  # fields that Spark knows to be never null are declared nullable in the result
+            key = key.cast(pa.struct([pa.field(f.name, f.type) for f in key.type]))
+        rest = ["size", "source_size", "target", "rate"]
+        return pa.Table.from_arrays([key, *(table.column(x) for x in rest), pa.array(out)], ["key", *rest, "copies"])
 
     return chunk
 
@@ -109,7 +113,15 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str =
     tilt = tilts(sizes, sources, most)
     rate = F.when(F.col("full"), F.lit(float(most))).otherwise(F.least(F.lit(float(most)), F.exp(F.least(F.coalesce("tilt", F.lit(0.0)) * F.col("size") / F.coalesce("mean", F.lit(1.0)), F.lit(math.log(most) + 1)))))
     rated = rows.join(hint(tilt), "sid", "left").withColumn("rate", F.when(F.col("size") == 0, 1.0).otherwise(rate))
-    dealt = rated.select("key", "sid", "size", "source_size", "target", "rate", F.pmod(F.xxhash64("key", "size"), F.ceil(F.col("rows") / CHUNK)).alias("chunk"))
+    dealt = rated.select("key", "sid", "size", "source_size", "target", "rate", F.xxhash64("key", "size").alias("tie"), F.pmod(F.xxhash64("key", "size"), F.ceil(F.col("rows") / CHUNK)).alias("chunk"))
     kind = dict(docs.dtypes)[key]
-    out = dealt.groupBy("sid", "chunk").applyInPandas(_copies(most), f"key {kind}, sid long, size long, source_size long, target double, rate double, chunk long, copies long")
+    out = dealt.groupBy("sid", "chunk").applyInArrow(_copies(most), f"key {kind}, size long, source_size long, target double, rate double, copies long")
     return out.select(F.col("key").alias(key), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "rate")
+
+
+def mixed(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source") -> DataFrame:
+    """The rows of docs that the mix takes, with copies, and taken, the words they come to."""
+    own = F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("print"))
+    rates = mix(docs.select(own.alias("own"), text, source), text, "own", source).where("copies > 0")
+    rates = few(cut(rates.groupBy("own").agg(F.first("copies").alias("copies"), F.first("taken").alias("taken")).select(F.col("own.key").alias("key_"), F.col("own.print").alias("print_"), "copies", "taken")))
+    return docs.join(rates, F.col(key).eqNullSafe(F.col("key_")) & (F.xxhash64(text) == F.col("print_"))).drop("key_", "print_")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from adlens.llm import decontam, exact_dedup, html_text, jaccard_join, langid, lm_score, mixing, quality, secrets, token_count
 from adlens.llm.common import crc_mod, table
 
@@ -91,8 +92,13 @@ SQL: dict[str, str] = {
 }
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return {**QUERIES, "pipeline": pipeline}
 
 
 def oracle_sql() -> dict[str, str]:
