@@ -32,9 +32,9 @@ END, BEGIN = (mix(np.array([x], np.uint64))[0] for x in (1, 2))
 #: Shards among which the pairs of one first word are spread.
 SALTS = 8
 #: Bytes of text for each shard.
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 16 << 20
 #: Tokens counted together in a task.
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 U64, U32, U8 = np.uint64, np.uint32, np.uint8
 WORD_COLUMNS = (("hash", "<u8"), ("count", "<u8"), ("follows", "<u8"), ("leads", "<u8"), ("ones", "<u8"), ("twos", "<u8"), ("more", "<u8"))
 
