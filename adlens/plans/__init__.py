@@ -1,0 +1 @@
+"""Whole queries over the driver's tables."""
