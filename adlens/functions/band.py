@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from adlens.functions.text import compact
+from adlens.functions.text import compact, once
 
 #: The words for bands, and the ways in which a band is written, tried in this order.
 WORDS = {"one": 1, "two": 2, "three": 3, "four": 4, "five": 5, "six": 6, "seven": 7, "eight": 8}
@@ -25,15 +25,15 @@ def parse(c: Column) -> Column:
     return F.when(n.between(1, 8), n)
 
 
+def _found(text: Column) -> Column:
+    words = F.create_map(*[F.lit(x) for pair in WORDS.items() for x in pair])
+    token = F.coalesce(*[F.nullif(F.lower(F.regexp_extract(text, "(?i)" + p, 1)), F.lit("")) for p in PATTERNS])
+    return once(token, lambda t: F.coalesce(t.try_cast("int"), F.try_element_at(words, t)))
+
+
 def extract(*texts: Column) -> Column:
     """The band that the first text with one gives, or null."""
-    tries = []
-    for text in texts:
-        for pattern in PATTERNS:
-            tries.append(F.nullif(F.lower(F.regexp_extract(compact(text), "(?i)" + pattern, 1)), F.lit("")))
-    token = F.coalesce(*tries)
-    words = F.create_map(*[F.lit(x) for pair in WORDS.items() for x in pair])
-    return F.coalesce(token.try_cast("int"), F.try_element_at(words, token))
+    return F.coalesce(*[once(compact(t), _found) for t in texts])
 
 
 def status(band: Column) -> Column:

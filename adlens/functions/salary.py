@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from adlens.functions.text import compact
+from adlens.functions.text import compact, once
 
 #: How an amount, a range and periods are written, and what tells pay from other numbers.
 NUMBER = r"(?:\d{1,3}(?:,\d{3})+|\d{2,6})(?:\.\d+)?"
@@ -65,21 +65,19 @@ def _shown(before: Column, evidence: Column, after: Column) -> Column:
 
 def candidates(text: Column) -> Column:
     """All candidates of a text, best first: score, minimum, maximum, period, evidence_text, text."""
-    clean = compact(text)
-    pattern = rf"(?i)(?<=(^.{{0,{AROUND - 1}}}|.{{{AROUND}}}))({CORE})(?=(.{{0,{AROUND}}}))"
+    return once(compact(text), _candidates)
+
+
+def _candidates(clean: Column) -> Column:
+    pattern = rf"(?i)(?=(?:AUD|AU\$)?\s*\$?\s*\d)(?<=(^.{{0,{AROUND - 1}}}|.{{{AROUND}}}))({CORE})(?=(.{{0,{AROUND}}}))"
     names = ("before", "hit", "first", "first_k", "second", "second_k", "single", "single_k", "after")
     groups = F.arrays_zip(*[F.regexp_extract_all(clean, F.lit(pattern), F.lit(i + 1)).alias(n) for i, n in enumerate(names)])
 
-    def one(x: Column, i: Column) -> Column:
-        single = x["single"] != ""
-        first = F.when(single, _amount(x["single"], x["single_k"])).otherwise(_amount(x["first"], x["first_k"]))
-        second = F.when(single, first).otherwise(_amount(x["second"], x["second_k"]))
-        low, high = F.least(first, second), F.greatest(first, second)
-        evidence, window = compact(x["hit"]), compact(F.concat(x["before"], x["hit"], x["after"]))
+    def scored(x: Column, i: Column, b: Column, period: Column) -> Column:
+        high, window = F.greatest(b["first"], b["second"]), b["window"]
         money, context = window.contains("$") | F.lower(window).contains("aud"), window.rlike(CONTEXT)
-        period = F.when(high >= 30000, "year").otherwise(F.coalesce(_nearest_period(x["before"], x["hit"], x["after"]), inferred_period(low, high, window)))
         score = (
-            F.when(single, 0).otherwise(10)
+            F.when(x["single"] != "", 0).otherwise(10)
             + F.when(period.isNotNull(), 8).otherwise(0)
             + F.when(period == "year", 4).otherwise(0)
             + F.when(high >= 30000, 4).otherwise(0)
@@ -87,10 +85,23 @@ def candidates(text: Column) -> Column:
             + F.when(context, 3).otherwise(0)
             - F.when(high < 20, 8).otherwise(0)
         )
-        ok = ~_is_reference(evidence, low, high) & ((high <= 350000) | window.rlike(LARGE_CONTEXT)) & (evidence.contains("$") | F.lower(window).contains("aud") | context)
-        return F.struct(
-            (-score).alias("order"), i.alias("at"), first.alias("minimum"), second.alias("maximum"), period.alias("period"), evidence.alias("evidence_text"), _shown(F.ltrim(x["before"]), evidence, F.rtrim(x["after"])).alias("text"), ok.alias("ok")
-        )
+        reference = _is_reference(b["evidence"], F.least(b["first"], b["second"]), high)
+        ok = ~reference & ((high <= 350000) | window.rlike(LARGE_CONTEXT)) & (b["evidence"].contains("$") | F.lower(window).contains("aud") | context)
+        shown = _shown(F.ltrim(x["before"]), b["evidence"], F.rtrim(x["after"]))
+        return F.struct((-score).alias("order"), i.alias("at"), b["first"].alias("minimum"), b["second"].alias("maximum"), period.alias("period"), b["evidence"].alias("evidence_text"), shown.alias("text"), ok.alias("ok"))
+
+    def one(x: Column, i: Column) -> Column:
+        single = x["single"] != ""
+        first = F.when(single, _amount(x["single"], x["single_k"])).otherwise(_amount(x["first"], x["first_k"]))
+        second = F.when(single, _amount(x["single"], x["single_k"])).otherwise(_amount(x["second"], x["second_k"]))
+        base = F.struct(first.alias("first"), second.alias("second"), compact(x["hit"]).alias("evidence"), compact(F.concat(x["before"], x["hit"], x["after"])).alias("window"))
+
+        def with_period(b: Column) -> Column:
+            low, high = F.least(b["first"], b["second"]), F.greatest(b["first"], b["second"])
+            period = F.when(high >= 30000, "year").otherwise(F.coalesce(_nearest_period(x["before"], x["hit"], x["after"]), inferred_period(low, high, b["window"])))
+            return once(period, lambda p: scored(x, i, b, p))
+
+        return once(base, with_period)
 
     return F.array_sort(F.filter(F.transform(groups, one), lambda c: c["ok"]))
 
@@ -103,14 +114,17 @@ def extract(*texts: Column) -> Column:
 def normalised(text: Column, minimum: Column, maximum: Column, period: Column) -> Column:
     """Stored fields checked against their text: text, minimum, maximum, period."""
     clean = compact(text)
-    first, second = minimum.cast("double"), F.coalesce(maximum.cast("double"), minimum.cast("double"))
+    base = F.struct(clean.alias("clean"), minimum.cast("double").alias("first"), F.coalesce(maximum.cast("double"), minimum.cast("double")).alias("second"), F.nullif(F.lower(compact(period)), F.lit("")).alias("stored"), F.when(clean != "", extract(clean)).alias("best"))
+    return once(base, _checked)
+
+
+def _checked(b: Column) -> Column:
+    clean, first, second, stored, best = (b[x] for x in ("clean", "first", "second", "stored", "best"))
     low, high = F.least(first, second), F.greatest(first, second)
-    best = F.when(clean != "", extract(clean))
-    result = lambda t, a, b, p: F.struct(t.alias("text"), a.alias("minimum"), b.alias("maximum"), p.alias("period"))
+    result = lambda t, a, z, p: F.struct(t.alias("text"), a.alias("minimum"), z.alias("maximum"), p.alias("period"))
     parsed = result(best["text"], best["minimum"], best["maximum"], best["period"])
     best_low, best_high = F.least(best["minimum"], best["maximum"]), F.greatest(best["minimum"], best["maximum"])
-    stored = F.nullif(F.lower(compact(period)), F.lit(""))
-    said_year = F.coalesce(F.when(high >= 30000, "year").otherwise(F.coalesce(F.nullif(compact(period), F.lit("")), inferred_period(low, high, clean))) == "year", F.lit(False))
+    said_year = F.coalesce(F.when(high >= 30000, "year").otherwise(F.coalesce(stored, inferred_period(low, high, clean))) == "year", F.lit(False))
     better = clean.rlike(r"\d{1,3},\d{4,}") | high.isNull() | (high < 1000) & (best_high >= 1000) | (low < 1000) & (high >= 1000) & said_year
     tidier = (F.abs(low - best_low) < 0.01) & (F.abs(high - best_high) < 0.01) & (F.length(best["text"]) < F.length(clean))
     fixed = F.when((high >= 30000) & stored.isin("hour", "week", "fortnight"), "year").when(stored.isNull() & (high <= 300) & clean.contains("$"), "hour").otherwise(stored)
@@ -123,6 +137,5 @@ def normalised(text: Column, minimum: Column, maximum: Column, period: Column) -
 
 def annual_interval(text: Column, minimum: Column, maximum: Column, period: Column) -> Column:
     """low and high of a year's pay of 30,000 or more, or null."""
-    n = normalised(text, minimum, maximum, period)
-    low, high = F.least(n["minimum"], n["maximum"]), F.greatest(n["minimum"], n["maximum"])
-    return F.when((n["period"] == "year") & (high >= 30000) & (low > 0), F.struct(low.alias("low"), high.alias("high")))
+    low, high = (lambda n: F.least(n["minimum"], n["maximum"])), (lambda n: F.greatest(n["minimum"], n["maximum"]))
+    return once(normalised(text, minimum, maximum, period), lambda n: F.when((n["period"] == "year") & (high(n) >= 30000) & (low(n) > 0), F.struct(low(n).alias("low"), high(n).alias("high"))))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column
@@ -14,6 +16,11 @@ TITLE_STOP_WORDS = (
 ).split()
 
 
+def once(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a column that is worked out once, however often f uses it."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
 @F.arrow_udf(T.StringType())
 def _nfkc(x: pa.Array) -> pa.Array:
     return pc.utf8_normalize(x, "NFKC")
@@ -30,9 +37,8 @@ def compact(c: Column, nfkc: bool = False) -> Column:
 
 def excerpt(c: Column, limit: int) -> Column:
     """At most `limit` characters, cut before a word that would be broken."""
-    text = compact(c)
-    cut = F.regexp_replace(F.substring(text, 1, limit), " [^ ]*$", "")
-    return F.when(F.length(text) <= limit, text).otherwise(F.concat(F.regexp_replace(cut, "[ ,.;:]+$", ""), F.lit("...")))
+    cut = lambda t: F.regexp_replace(F.regexp_replace(F.substring(t, 1, limit), " [^ ]*$", ""), "[ ,.;:]+$", "")
+    return once(compact(c), lambda t: F.when(F.length(t) <= limit, t).otherwise(F.concat(cut(t), F.lit("..."))))
 
 
 def key(c: Column) -> Column:

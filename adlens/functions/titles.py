@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from adlens.functions.text import compact, excerpt, title_key
+from adlens.functions.text import compact, excerpt, once, title_key
 
 #: Words of roles, titles and addresses that are none, words that stay small or go from an address's end.
 ROLES = (
@@ -76,28 +76,27 @@ def clean(c: Column, council: Column | None = None) -> Column:
     t = F.regexp_replace(t, r"\s+[\(\[\{]+$", "")
     t = F.regexp_replace(t, r"\s+[-,/:;]+$", "")
     if council is not None:
-        words, tail = F.split(t, " "), F.filter(F.split(F.lower(compact(council)), " "), lambda w: w != "")
-        kept = F.size(_without_tail(F.split(F.lower(t), " "), tail))
-        t = F.when(kept < 1, t).otherwise(F.array_join(F.slice(words, F.lit(1), F.greatest(kept, F.lit(1))), " "))
+        tail = F.filter(F.split(F.lower(compact(council)), " "), lambda w: w != "")
+        kept = lambda b: F.size(_without_tail(F.split(F.lower(b["t"]), " "), b["tail"]))
+        t = once(F.struct(t.alias("t"), tail.alias("tail")), lambda b: F.when(kept(b) < 1, b["t"]).otherwise(F.array_join(F.slice(F.split(b["t"], " "), F.lit(1), F.greatest(kept(b), F.lit(1))), " ")))
     return compact(t)
 
 
 def is_role(c: Column) -> Column:
     """A title of 4 to 140 characters with a word for a role, that isn't a page's own heading."""
-    t = compact(c)
-    return F.length(t).between(4, 140) & ~t.rlike(GENERIC) & t.rlike(ROLE)
+    return once(compact(c), lambda t: F.length(t).between(4, 140) & ~t.rlike(GENERIC) & t.rlike(ROLE))
 
 
 def is_shell(c: Column) -> Column:
     """Whether a title is empty or that of a page, not of a job."""
-    t = title_key(c)
-    return (t == "") | t.isin(*NO_TITLES) | t.rlike("(?i)" + "|".join(f"(?:{p})" for p in NO_TITLE_PATTERNS))
+    patterns = "(?i)" + "|".join(f"(?:{p})" for p in NO_TITLE_PATTERNS)
+    return once(title_key(c), lambda t: (t == "") | t.isin(*NO_TITLES) | t.rlike(patterns))
 
 
 def cased(words: Column) -> Column:
     """Words as a title: each run of letters capitalised, small words but the first left small."""
     capital = lambda w: F.aggregate(
-        F.regexp_extract_all(w, F.lit("([a-z]+|[^a-z]+)"), F.lit(1)), F.lit(""), lambda a, r: F.concat(a, F.upper(F.substring(r, 1, 1)), F.expr("''").cast("string"), F.substring(r, 2, 1000))
+        F.regexp_extract_all(w, F.lit("([a-z]+|[^a-z]+)"), F.lit(1)), F.lit(""), lambda a, r: F.concat(a, F.upper(F.substring(r, 1, 1)), F.substring(r, 2, 1000))
     )
     return F.array_join(F.transform(words, lambda w, i: F.when((i > 0) & w.isin(*SMALL), w).otherwise(capital(F.lower(w)))), " ")
 
@@ -107,17 +106,17 @@ def from_url(c: Column, council: Column | None = None) -> Column:
     slug = F.lower(F.substring_index(F.regexp_replace(F.regexp_replace(compact(c), r"\?.*$", ""), "/+$", ""), "/", -1))
     words = F.filter(F.split(slug, "[^a-z0-9]+"), lambda w: w != "")
     noise = lambda w: w.isin(*SLUG_TAILS) | w.rlike("^[0-9a-f]{4,}$")
-    last = F.array_max(F.transform(words, lambda w, i: F.when(~noise(w), i + 1).otherwise(0)))
-    words = F.slice(words, F.lit(1), F.coalesce(last, F.lit(0)))
+    last = lambda ws: F.array_max(F.transform(ws, lambda w, i: F.when(~noise(w), i + 1).otherwise(0)))
+    words = once(words, lambda ws: F.slice(ws, F.lit(1), F.coalesce(last(ws), F.lit(0))))
     if council is not None:
-        words = _without_tail(words, F.filter(F.split(F.lower(compact(council)), "[^a-z0-9]+"), lambda w: w != ""))
-    title = cased(F.filter(words, lambda w: ~w.rlike("^[0-9a-f]{8,}$")))
-    return F.when(is_role(title), title).otherwise("")
+        tail = F.filter(F.split(F.lower(compact(council)), "[^a-z0-9]+"), lambda w: w != "")
+        words = once(F.struct(words.alias("ws"), tail.alias("tail")), lambda b: _without_tail(b["ws"], b["tail"]))
+    return once(cased(F.filter(words, lambda w: ~w.rlike("^[0-9a-f]{8,}$"))), lambda t: F.when(is_role(t), t).otherwise(""))
 
 
 def best(primary: Column, url: Column, fallback: Column | None = None, council: Column | None = None) -> Column:
     """The title of a listing: its own if that names a role, else what the address or the fallback says."""
-    own = clean(primary, council)
     other = clean(fallback, council) if fallback is not None else F.lit("")
-    tried = F.coalesce(*[F.when(is_role(t), t) for t in (own, from_url(url, council), other)], F.nullif(own, F.lit("")), other)
+    parts = F.struct(clean(primary, council).alias("own"), from_url(url, council).alias("spelt"), other.alias("other"))
+    tried = once(parts, lambda b: F.coalesce(*[F.when(is_role(b[x]), b[x]) for x in ("own", "spelt", "other")], F.nullif(b["own"], F.lit("")), b["other"]))
     return excerpt(tried, 140)

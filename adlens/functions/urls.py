@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from adlens.functions.text import compact
+from adlens.functions.text import compact, once
 
 PARTS = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
 #: Sites that repeat others' listings, and sites that hold none.
@@ -63,7 +63,10 @@ def is_official(c: Column) -> Column:
 
 
 def holds_no_listing(c: Column) -> Column:
-    rest = F.regexp_replace(compact(c), r"^.*?://", "")
+    return once(F.regexp_replace(compact(c), r"^.*?://", ""), _no_listing)
+
+
+def _no_listing(rest: Column) -> Column:
     h = F.regexp_replace(F.lower(F.substring_index(rest, "/", 1)), r"^www\.", "")
     path = F.regexp_replace(F.regexp_replace(rest, r"^[^/]*/?", ""), "^/+|/+$", "")
     return h.isin("au.jora.com", "jora.com") & (path == "") | h.rlike("(?i)" + NO_LISTINGS)
@@ -75,7 +78,10 @@ def same_origin(a: Column, b: Column) -> Column:
 
 def resolved(base: Column, href: Column) -> Column:
     """An address found on a page, made absolute; empty for mail, phone, script and data addresses."""
-    raw = F.regexp_replace(compact(href), "#.*$", "")
+    return once(F.regexp_replace(compact(href), "#.*$", ""), lambda raw: _resolved(base, raw))
+
+
+def _resolved(base: Column, raw: Column) -> Column:
     root = F.concat(part(base, 1), F.lit("://"), part(base, 2))
     folder = F.concat(root, F.regexp_replace(part(base, 3), "[^/]*$", ""))
     absolute = (

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from adlens.functions import band, dates, money, salary, text, titles
 from adlens.operators import dedupe, gates
+from adlens.operators.staging import written
 
 CONFLICT = "salary_band_conflict"
 
@@ -52,13 +53,16 @@ def board_rows(jobs: DataFrame) -> DataFrame:
     s = salary.normalised(F.when(F.length(text.compact(F.col("advertised_salary_text"))) > 360, money.range_label(F.col("advertised_salary_min"), F.col("advertised_salary_max"), F.col("advertised_salary_period"))).otherwise(text.excerpt(F.col("advertised_salary_text"), 300)), F.col("advertised_salary_min"), F.col("advertised_salary_max"), F.col("advertised_salary_period"))
     clash = F.col("conflict") | (F.col("classification_status") == CONFLICT)
     number = F.when(~clash, F.coalesce(band.parse(F.col("band")), band.extract(F.col("title"), F.col("classification_status"), F.col("advertised_salary_text"), F.col("description_excerpt"))))
-    rows = jobs.withColumns({"salary_": s, "number_": number})
-    status = F.when(clash, CONFLICT).otherwise(band.upgraded(F.col("classification_status"), F.col("number_")))
     title = titles.clean(F.col("title"), F.col("council_key"))
-    title = F.when(F.lower(title).isin(*titles.JUNK) | titles.is_shell(title), F.coalesce(F.nullif(titles.from_url(F.col("url"), F.col("council_key")), F.lit("")), title)).otherwise(title)
+    spelt = titles.from_url(F.col("url"), F.col("council_key"))
+    title = text.once(title, lambda t: F.when(F.lower(t).isin(*titles.JUNK) | titles.is_shell(t), F.coalesce(F.nullif(spelt, F.lit("")), t)).otherwise(t))
+    # one exploded struct a row: what is costly is worked out there once, and no filter above it repeats it
+    worked = F.struct(s.alias("salary_"), number.alias("number_"), title.alias("title_"), clash.alias("clash_"))
+    rows = jobs.select("*", F.explode(F.array(worked)).alias("w_")).select("*", "w_.*")
+    status = F.when(F.col("clash_"), CONFLICT).otherwise(band.upgraded(F.col("classification_status"), F.col("number_")))
     yearly = F.col("salary_.period") == "year"
     out = rows.select(
-        F.col("job_id").alias("job_uid"), text.excerpt(title, 140).alias("job_title"), F.col("url").alias("job_url"), "council_key", F.col("source_platform").alias("source_family"), F.coalesce("source_id", "source_platform").alias("source_name"),
+        F.col("job_id").alias("job_uid"), text.excerpt(F.col("title_"), 140).alias("job_title"), F.col("url").alias("job_url"), "council_key", F.col("source_platform").alias("source_family"), F.coalesce("source_id", "source_platform").alias("source_name"),
         strategy_label(F.col("source_strategy"), F.col("source_platform")).alias("source_strategy"), F.when(F.col("observed_status") == "seen_latest_run", "current").otherwise("historical").alias("board_status"),
         status.alias("classification_status"), F.when(F.col("number_").isNotNull(), F.concat(F.lit("Band "), F.col("number_").cast("string"))).otherwise(status).alias("classification_band"), F.col("number_").alias("standard_band_number"),
         F.col("salary_.text").alias("advertised_salary_text"), F.col("salary_.minimum").alias("advertised_salary_min"), F.col("salary_.maximum").alias("advertised_salary_max"), F.col("salary_.period").alias("advertised_salary_period"),
@@ -71,7 +75,7 @@ def board_rows(jobs: DataFrame) -> DataFrame:
 
 def build(jobs: DataFrame) -> DataFrame:
     """The board of judged jobs: rows, gate, duplicates."""
-    return dedupe.dedupe(board_rows(jobs).where(gates.is_listing()), "seq")
+    return dedupe.dedupe(written(board_rows(jobs).where(gates.is_listing())), "seq")
 
 
 def month_counts(board: DataFrame) -> DataFrame:

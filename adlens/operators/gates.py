@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlens.functions import band, money, titles, urls
-from adlens.functions.text import compact
+from adlens.functions.text import compact, once
 
 #: Fixed value: listings of one council in one run that a board may hold.
 MOST_PER_RUN = 50
@@ -42,19 +42,32 @@ def has_context() -> Column:
     return F.concat_ws(" ", *[compact(F.col(c)) for c in ("description_text", "closing_at_text", "work_type")]).rlike(titles.CONTEXT)
 
 
+def _signals(explore: bool) -> Column:
+    """What the gates ask of a row, each worked out once."""
+    status = F.lower(compact(F.col("classification_status")))
+    named = filled(F.col("job_title")) & filled(F.col("job_url")) & filled(F.col("council_key"))
+    detail = filled(F.col("closing_at"), F.col("closing_at_text"), F.col("location_text"), F.col("work_type"))
+    label = money.range_label(F.col("advertised_salary_min"), F.col("advertised_salary_max"), F.col("advertised_salary_period"))
+    parts = {
+        "band": has_band(), "salary": has_salary() | (label != ""), "role": names_role(explore), "detail": detail, "context": has_context(), "named": named,
+        "page": titles.is_shell(F.col("job_title")) | urls.holds_no_listing(F.col("job_url")), "weak": status.isin("parse_warning", "parser warning", "unclassified", "description_only"),
+    }
+    return F.struct(*[F.coalesce(c, F.lit(False)).alias(n) for n, c in parts.items()])
+
+
+def _strong(s: Column) -> Column:
+    return s["band"] | s["role"] & (s["salary"] | s["detail"] | s["context"])
+
+
 def is_strong(explore: bool = False) -> Column:
     """A band; or a role with pay, a closing date, a place or kind of work, or words of a vacancy."""
-    detail = filled(F.col("closing_at"), F.col("closing_at_text"), F.col("location_text"), F.col("work_type"))
-    return has_band() | names_role(explore) & (has_salary() | detail | has_context())
+    return once(_signals(explore), _strong)
 
 
 def is_listing(explore: bool = False) -> Column:
     """The gate of the board; explorers need no compensation but know more roles."""
-    status = F.lower(compact(F.col("classification_status")))
-    weak = F.when(status == "parser warning", "parse_warning").otherwise(status).isin("parse_warning", "unclassified", "description_only")
-    named = filled(F.col("job_title")) & filled(F.col("job_url")) & filled(F.col("council_key"))
-    paid = F.lit(True) if explore else has_compensation()
-    return named & ~titles.is_shell(F.col("job_title")) & ~urls.holds_no_listing(F.col("job_url")) & paid & (~weak | is_strong(explore)) & (is_strong(explore) | names_role(explore))
+    paid = lambda s: F.lit(True) if explore else s["band"] | s["salary"]
+    return once(_signals(explore), lambda s: s["named"] & ~s["page"] & paid(s) & (~s["weak"] | _strong(s)) & (_strong(s) | s["role"]))
 
 
 def missing_evidence() -> Column:
@@ -79,12 +92,13 @@ def crowded(board: DataFrame, most: int = MOST_PER_RUN) -> DataFrame:
 
 def violations(board: DataFrame) -> DataFrame:
     """One row: how many rows fail each check, with up to ten of them, and the crowded councils."""
-    named = filled(F.col("job_title")) & filled(F.col("job_url")) & filled(F.col("council_key"))
-    unpaid = named & ~has_compensation()
-    bad = ~named | ~unpaid & (titles.is_shell(F.col("job_title")) | urls.holds_no_listing(F.col("job_url")) | ~is_strong())
-    blind = named & ~unpaid & (missing_evidence() != "")
+    def failed(s: Column) -> Column:
+        unpaid = s["named"] & ~s["band"] & ~s["salary"]
+        return F.struct(unpaid.alias("compensation"), (~s["named"] | ~unpaid & (s["page"] | ~_strong(s))).alias("quality"), (s["named"] & ~unpaid & (s["missing"] != "")).alias("evidence"))
+
+    board = board.withColumn("failed_", once(_signals(False).withField("missing", missing_evidence()), failed))
     who = F.concat_ws(": ", "council_key", "job_title")
-    checks = {"compensation": unpaid, "quality": bad, "evidence": blind}
+    checks = {n: F.col(f"failed_.{n}") for n in ("compensation", "quality", "evidence")}
     out = board.agg(
         *[F.count_if(c).alias(f"{n}_rows") for n, c in checks.items()],
         *[F.array_join(F.slice(F.array_sort(F.collect_set(F.when(c, who))), 1, 10), "; ").alias(f"{n}_sample") for n, c in checks.items()],

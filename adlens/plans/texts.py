@@ -62,9 +62,6 @@ def title_from_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ads(spark, sf_dir).select("p_partkey", titles.from_url(url).alias("title"))
 
 
-_URL = r"regexp_replace(regexp_replace(url, '#.*$', ''), '\?.*$', '')"
-
-
 @query(
     r"SELECT page_id, concat(regexp_replace(regexp_replace(regexp_replace(url, '[?#].*$', ''), '/+$', ''), '^(https?://[^/]+)$', '\1/'), CASE WHEN regexp_extract(url, '\?([^#]*)', 1) IN ('') OR regexp_extract(url, '\?([^#]*)', 1) LIKE 'utm_%' THEN '' ELSE concat('?', regexp_extract(url, '\?([^#]*)', 1)) END) AS canonical FROM pages"
 )
@@ -120,10 +117,10 @@ def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lens.table(spark, sf_dir, "events").select("event_type", (k % 10).alias("k")).groupBy("event_type", "k").agg(F.count("*").alias("n"))
 
 
-@query("SELECT user_id, arg_max(event_type, ts) AS event_type, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS n FROM events GROUP BY 1")
+@query("SELECT user_id, arg_max(event_type, ts) AS event_type, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_ts, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_ts, count(*) AS n FROM events GROUP BY 1")
 def latest_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest event of each user, with first, last and count."""
-    return lens.table(spark, sf_dir, "events").groupBy("user_id").agg(F.max_by("event_type", "ts").alias("event_type"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.count("*").alias("n"))
+    return lens.table(spark, sf_dir, "events").groupBy("user_id").agg(F.max_by("event_type", "ts").alias("event_type"), F.date_format(F.min("ts"), "yyyy-MM-dd HH:mm:ss").alias("first_ts"), F.date_format(F.max("ts"), "yyyy-MM-dd HH:mm:ss").alias("last_ts"), F.count("*").alias("n"))
 
 
 @query("SELECT p_partkey, list_aggregate(list_filter([CASE WHEN p_size % 2 = 0 THEN 'json_ld' END, CASE WHEN p_size % 3 = 0 THEN 'own' WHEN TRUE THEN 'json_ld' END], lambda x: x IS NOT NULL), 'string_agg', ',') AS e FROM part")
@@ -153,10 +150,10 @@ def _jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(listings.LATEST + "SELECT job_id AS job_uid, CASE WHEN band BETWEEN 1 AND 8 THEN 'explicit_band' WHEN classification_status = '' THEN 'unclassified' ELSE classification_status END AS classification_status, CASE WHEN band BETWEEN 1 AND 8 AND classification_status <> '' THEN 1 ELSE 1 END AS one FROM snap WHERE band <> 9")
+@query(listings.LATEST + "SELECT job_id AS job_uid, CASE WHEN band BETWEEN 1 AND 8 THEN 'explicit_band' WHEN classification_status = '' THEN 'unclassified' ELSE classification_status END AS classification_status FROM snap WHERE band <> 9")
 def board_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listings that may be published, with their status."""
-    return board.board_rows(_jobs(spark, sf_dir)).where(gates.is_listing()).select("job_uid", "classification_status", F.lit(1).alias("one"))
+    return board.board_rows(_jobs(spark, sf_dir)).where(gates.is_listing()).select("job_uid", "classification_status")
 
 
 @query(None)
@@ -185,9 +182,9 @@ def salary_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listings.snapshot(spark, sf_dir).select("job_id", r.alias("r")).where("r is not null").select("job_id", money.clamp(F.lit(100) * (F.col("r.low") - 40000) / 60000.0, 1.5, 98.5).alias("x"))
 
 
-@query("SELECT event_type, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, count(*) AS n FROM events GROUP BY 1, 2")
+@query("SELECT event_type, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM events GROUP BY 1, 2")
 def stream_day_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events by day and type, counted by a stream over the table until it is read."""
     from adlens.streaming import log
 
-    return log.counted_to_end(spark, f"{sf_dir}/events.parquet")
+    return log.counted_to_end(spark, f"{sf_dir}/events.parquet").withColumn("day", F.date_format("day", "yyyy-MM-dd"))

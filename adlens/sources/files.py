@@ -69,7 +69,7 @@ def links(pages: DataFrame) -> DataFrame:
     a = pages.select("page_id", "url", F.posexplode(anchors).alias("pos", "a"))
     href = F.regexp_extract("a", r"""(?is)\bhref\s*=\s*["']([^"']*)["']""", 1)
     title = text.compact(F.regexp_replace(F.regexp_extract("a", r"(?is)^<a\b[^>]*>(.*?)</a>$", 1), "<[^>]*>", " "))
-    return a.select("page_id", "pos", title.alias("title"), urls.resolved(F.col("url"), href).alias("link"))
+    return a.select("page_id", "pos", title.alias("title"), text.once(F.struct(F.col("url").alias("base"), href.alias("href")), lambda b: urls.resolved(b["base"], b["href"])).alias("link"))
 
 
 def job_links(found: DataFrame) -> DataFrame:
