@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import tempfile
 from collections.abc import Iterator
@@ -14,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text is worked on in slices of about this many bytes, whatever Spark's batch holds.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Bytes between words: space and \t \n \v \f \r.
 BLANKS = np.zeros(256, bool)
 BLANKS[[0x20, *range(0x09, 0x0E)]] = True
@@ -57,13 +59,18 @@ def width(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def packed(df: DataFrame, n: int, rows: int = 100_000) -> DataFrame:
+    """What is cut, in as many tasks as n rows need; it no longer counts as grouped by any key."""
+    return df.coalesce(max(1, min(width(df), n // rows + 1)))
+
+
 #: Rows of a few numbers that go to every task at most; beyond, Spark joins by key.
 FEW = 1_000_000
 
 
-def few(df: DataFrame, most: int = FEW) -> DataFrame:
-    """df, to be sent to every task where its rows, counted here, are few enough. Give it what is cut."""
-    return F.broadcast(df) if df.count() <= most else df
+def few(df: DataFrame, n: int | None = None, most: int = FEW) -> DataFrame:
+    """df, to be sent to every task where its rows are few enough: n at most, or counted here. Give it what is cut."""
+    return F.broadcast(df) if (df.count() if n is None else n) <= most else df
 
 
 def without(docs: DataFrame, gone: DataFrame, *keys: Column) -> DataFrame:
@@ -87,6 +94,15 @@ def lower_ascii(text: Column) -> Column:
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches in pieces that hold about `most` bytes of text each, or one longer row."""
+    try:
+        yield from _slices(batches, column, most)
+    finally:  # workers live on from task to task; what this one took goes back
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+
+
+def _slices(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
         if not b.num_rows:
             continue

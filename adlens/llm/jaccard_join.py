@@ -6,8 +6,8 @@
 * Two similar sets share a shingle within their prefixes, their first ``n - ceil(0.8 n) + 1``. Documents with equal
   prefixes and sizes are one group in the index. Groups that share no shingle with another are done.
 * Where groups share a shingle, members are compared with leaders: in each bucket those that stand first (least
-  missing before the shingle), one in the first round and four times as many in each round after. Pairs must pass
-  the length and position filters and lie in different components; sets are then intersected whole. Links join
+  missing before the shingle), one in the first round and GROWTH times as many in each round after. Pairs must pass
+  the length and position filters and lie in different components; their sets are then read and intersected whole. Links join
   components, and buckets left with one component are done. So all pairs of a bucket count as compared, but a large
   group of near copies takes one comparison a member, not one a pair; no round or bucket is capped.
 """
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlens.llm.common import cut, join2, mix, slices, width, without, word_hashes
+from adlens.llm.common import cut, few, join2, mix, packed, slices, width, without, word_hashes
 from adlens.llm.components import components
 
 SHINGLE = 5
@@ -31,8 +31,8 @@ NUM, DEN = 4, 5
 #: The table that orders shingles has so many counters at most, of a byte each when sent out.
 MOST_BITS = 24
 BLOCK = 1 << 16
-#: Sets looked for at most by a list that goes to every task; beyond, by a join.
-LISTED = 4_000_000
+#: So many times more leaders a round than in the round before.
+GROWTH = 16
 
 
 def sets(column: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
@@ -83,11 +83,11 @@ def _levels(rows: DataFrame) -> np.ndarray:
     size = rows.agg(F.sum(F.length(F.col("text").cast("binary")))).first()[0] or 0
     bits = int(np.clip(np.ceil(np.log2(size / 1000 + 1)), 16, MOST_BITS))
     schema = "block int, salt int, counts binary"
-    few = rows.select("text").coalesce(2 * rows.sparkSession.sparkContext.defaultParallelism).mapInArrow(_survey(bits), schema)
+    part = rows.select("text").coalesce(2 * rows.sparkSession.sparkContext.defaultParallelism).mapInArrow(_survey(bits), schema)
     out = np.zeros(1 << bits, np.uint8)
-    for r in few.groupBy("block", "salt").applyInPandas(_total, schema).groupBy("block").applyInPandas(_total, schema).collect():  # 2**MOST_BITS counters at most
+    for r in part.groupBy("block", "salt").applyInPandas(_total, schema).groupBy("block").applyInPandas(_total, schema).collect():  # 2**MOST_BITS counters at most
         n = np.frombuffer(r["counts"], np.int32)
-        out[r["block"] * BLOCK : r["block"] * BLOCK + len(n)] = np.minimum(4 * np.log2(np.maximum(n, 1)), 255)
+        out[r["block"] * BLOCK : r["block"] * BLOCK + len(n)] = np.minimum(4 * np.log2(np.maximum(n, 1)), 127)
     return out
 
 
@@ -111,21 +111,11 @@ def _prefixes(shared):
     return run
 
 
-def _wanted(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        want = shared.value if shared is not None else None
-        for b in slices(batches):
-            found = sets(b.column("text"))
-            c, _ = _signed(found)
-            keep = np.array([len(x) > 0 for x in found])
-            if want is not None:
-                keep &= (want[np.minimum(np.searchsorted(want, c), len(want) - 1)] == c) if len(want) else False
-            at = np.flatnonzero(keep)
-            off = np.concatenate([[0], np.cumsum([len(found[i]) for i in at])]).astype(np.int32)
-            values = np.concatenate([found[i] for i in at]).view(np.int64) if len(at) else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(c[at]), pa.ListArray.from_arrays(pa.array(off), pa.array(values))], ["c", "items"])
-
-    return run
+def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in slices(batches):
+        found = sets(b.column("text"))
+        off = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(_signed(found)[0]), pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(found).view(np.int64)))], ["c", "items"])
 
 
 def _needed(n: Column, m: Column) -> Column:
@@ -133,16 +123,11 @@ def _needed(n: Column, m: Column) -> Column:
     return F.ceil((n + m) * NUM / (NUM + DEN))
 
 
-def _whole_sets(rows: DataFrame, nodes: DataFrame, signed: DataFrame) -> DataFrame:
-    """The shingles of each node's set: c, items."""
-    n = nodes.count()
-    if n <= LISTED:
-        want = np.sort(nodes.toPandas()["c"].to_numpy(np.int64)) if n else np.empty(0, np.int64)
-        found = rows.mapInArrow(_wanted(rows.sparkSession.sparkContext.broadcast(want)), "c long, items array<long>")
-    else:
-        keys = signed.join(nodes, "c", "left_semi").groupBy("c").agg(F.min("key").alias("k"))
-        found = rows.join(keys.select("k"), F.col("key") == F.col("k"), "left_semi").mapInArrow(_wanted(None), "c long, items array<long>")
-    return cut(found.groupBy("c").agg(F.first("items").alias("items")))
+def _whole_sets(rows: DataFrame, nodes: DataFrame, n: int, signed: DataFrame) -> DataFrame:
+    """The shingles of each node's set, n at most, read anew from one document that has it: c, items."""
+    keys = signed.select("key", "c").join(few(nodes, n), "c", "left_semi").groupBy("c").agg(F.min("key").alias("k"))
+    some = rows.join(few(cut(keys.select("k").distinct()), n), F.col("key").eqNullSafe(F.col("k")), "left_semi")
+    return cut(some.mapInArrow(_items, "c long, items array<long>"))
 
 
 def _linked(posts: DataFrame, of: DataFrame, leaders: int) -> tuple[DataFrame, DataFrame]:
@@ -181,30 +166,40 @@ def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
 
     groups = full.groupBy("n", "g").agg(F.min("c").alias("c"), (F.min("c") < F.max("c")).cast("int").alias("many"), F.first("prefix").alias("prefix"))
     entries = groups.select("n", "c", "many", F.posexplode("prefix").alias("pos", "token"))
-    packed = entries.select("token", "c", F.expr("shiftleft(cast(n as long), 32) | (pos * 2 + many)").alias("at"))
-    shared = packed.withColumn("df", F.count("*").over(Window.partitionBy("token"))).where("df > 1 or (at & 1) = 1")
+    narrow = entries.select("token", "c", F.expr("shiftleft(cast(n as long), 32) | (pos * 2 + many)").alias("at"))
+    shared = narrow.withColumn("df", F.count("*").over(Window.partitionBy("token"))).where("df > 1 or (at & 1) = 1")
     posts = cut(shared.select("token", "c", F.expr("cast(shiftright(at, 32) as int)").alias("n"), F.expr("cast(shiftright(at & 4294967295, 1) as int)").alias("pos"), F.expr("(at & 1) = 1").alias("many")))
     members = full.select("n", "g", "c").distinct()
     members = members.join(members.groupBy("n", "g").agg(F.min("c").alias("first"), F.max("c").alias("last")).where("first < last"), ["n", "g"]).select(F.col("n").alias("m"), "first", F.col("c").alias("member"))
-    posts = posts.where("not many").drop("many").unionByName(posts.where("many").join(members, (F.col("c") == F.col("first")) & (F.col("n") == F.col("m"))).select("token", F.col("member").alias("c"), "n", "pos"))
-    whole = _whole_sets(rows, posts.select("c").distinct(), signed)
+    posts = packed(posts, posts.count())
+    posts = posts.where("not many").drop("many").unionByName(posts.where("many").join(few(cut(members)), (F.col("c") == F.col("first")) & (F.col("n") == F.col("m"))).select("token", F.col("member").alias("c"), "n", "pos"))
 
-    of = rows.sparkSession.createDataFrame([], "c long, root long")
-    leaders = 1
+    of, placed_n, leaders = rows.sparkSession.createDataFrame([], "c long, root long"), 0, 1
+    whole = rows.sparkSession.createDataFrame([], "c long, items array<long>")
     while True:
-        rest, pairs = _linked(posts, of, leaders)
+        rest, pairs = _linked(posts, few(of, placed_n), leaders)
         pairs = cut(pairs)
-        x, y = whole.select(F.col("c").alias("x"), F.col("items").alias("xs")), whole.select(F.col("c").alias("y"), F.col("items").alias("ys"))
-        both = F.size(F.array_intersect("xs", "ys"))
-        links = cut(pairs.join(y, "y").join(x, "x").where(both * DEN >= (F.size("xs") + F.size("ys") - both) * NUM).select("u", "v"))
-        if not links.isEmpty():
-            new = components(links, parts).withColumnRenamed("root", "to")
-            moved = of.join(new, F.col("root") == F.col("node"), "left").select("c", F.coalesce("to", "root").alias("root"))
-            of = cut(moved.unionByName(new.select(F.col("node").alias("c"), F.col("to").alias("root")).join(of, "c", "left_anti")))
+        n = pairs.count()
+        pairs = packed(pairs, n)
+        if n:
+            nodes = cut(pairs.select(F.col("x").alias("c")).union(pairs.select("y")).distinct().join(whole, "c", "left_anti"))
+            whole = whole.unionByName(_whole_sets(rows, nodes, 2 * n, signed))
+            x, y = whole.select(F.col("c").alias("x"), F.col("items").alias("xs")), whole.select(F.col("c").alias("y"), F.col("items").alias("ys"))
+            x = x.join(few(cut(pairs.select("x").distinct()), n), "x", "left_semi")
+            both = F.size(F.array_intersect("xs", "ys"))
+            links = packed(cut(y.join(few(pairs, n), "y").join(x, "x").where(both * DEN >= (F.size("xs") + F.size("ys") - both) * NUM).select("u", "v")), n)
+            if not links.isEmpty():
+                new = components(links).withColumnRenamed("root", "to")
+                moved = of.join(new, F.col("root") == F.col("node"), "left").select("c", F.coalesce("to", "root").alias("root"))
+                of = cut(moved.unionByName(new.select(F.col("node").alias("c"), F.col("to").alias("root")).join(of, "c", "left_anti")))
+                placed_n = of.count()
+                of = packed(of, placed_n)
         posts = cut(rest)
-        if posts.isEmpty():
+        n = posts.count()
+        if not n:
             break
-        leaders *= 4
+        posts = packed(posts, n)
+        leaders *= GROWTH
 
     placed = signed.select("key", "n", "c").join(of, "c", "left").select("key", "n", F.coalesce("root", "c").alias("root"))
     some = placed.where("n > 0")
