@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from adlens.llm import chars
 from adlens.llm.common import arrow, slices, width
@@ -74,16 +75,17 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     return Model([x[0] for x in got], logs.astype(np.float32), np.log(rows_of / max(1, rows_of.sum())))
 
 
-def predict(docs: DataFrame, model: Model, keep: list[Column], text: str = "text") -> DataFrame:
-    """The columns in `keep` with lang_pred and score, the posterior of that language.
+def predict(docs: DataFrame, model: Model, keep: list[Column], text: str = "text", with_text: bool = False) -> DataFrame:
+    """The columns in `keep`, and text_ if that is asked for, with lang_pred and score, the posterior of that language.
 
     A null text, one without letters, or a model without languages gives `und` and 0. Equal posteriors
     go to the language that sorts first. Whole texts are read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(*keep, F.col(text).alias("text_"))
-    schema = rows.drop("text_").schema.add("lang_pred", "string").add("score", "double")
-    names = rows.columns[:-1]
+    kept = rows if with_text else rows.drop("text_")
+    names = list(kept.columns)
+    schema = StructType([*kept.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -103,5 +105,6 @@ def predict(docs: DataFrame, model: Model, keep: list[Column], text: str = "text
 def known(docs: DataFrame, text: str = "text", lang: str = "lang", least: float = 0.5) -> DataFrame:
     """docs without the rows that have no language: `und`, or a posterior below `least`."""
     names = docs.columns
-    found = predict(docs, fit(docs, text, lang), [F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names)], text)
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])
+    rest = [F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names) if n != text]
+    found = predict(docs, fit(docs, text, lang), rest, text, with_text=True)
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*[F.col("text_" if n == text else f"c{i}").alias(n) for i, n in enumerate(names)])
