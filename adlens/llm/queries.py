@@ -83,12 +83,34 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_score, op2_page_text, op3_language_id, op4_exact_dedup, op5_source_mix, op6_token_count, op7_decontamination, op8_language_model, op9_near_copies, op10_secret_scan)}
+LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 SQL: dict[str, str] = {
     "op4_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
                doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
         FROM d""",
+    "op7_decontamination": rf"""
+        WITH d AS (SELECT doc_id, regexp_extract_all({LOWER_SQL}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        b AS (SELECT CAST(item_id AS VARCHAR) AS id, regexp_extract_all({LOWER_SQL}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+        win AS (SELECT DISTINCT id, size, array_to_string(list_slice(w, i, i + size - 1), ' ') AS key
+                FROM (SELECT id, w, least(13, len(w)) AS size, unnest(range(1, greatest(1, len(w) - 12) + 1)) AS i FROM b WHERE len(w) > 0)),
+        occ AS (SELECT doc_id, p, win.size AS size, id
+                FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d) x CROSS JOIN (SELECT DISTINCT size FROM win) l
+                JOIN win ON win.size = l.size AND win.key = array_to_string(list_slice(w, p, p + l.size - 1), ' ') WHERE p + l.size - 1 <= len(w)),
+        hits AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + size)) AS q FROM occ) GROUP BY 1),
+        found AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT doc_id, id FROM occ) GROUP BY 1)
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN found USING (doc_id)""",
+    "op9_near_copies": rf"""
+        WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({LOWER_SQL}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + least(5, len(w)) - 1), ' ') AS sh FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM d WHERE len(w) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+        pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+        links AS (SELECT x, y FROM pairs JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * shared >= 80 * (nx.n + ny.n - shared)),
+        reach AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y)
+        SELECT x AS doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(y) AS component_id FROM reach LEFT JOIN n ON n.doc_id = x GROUP BY x""",
 }
 
 
