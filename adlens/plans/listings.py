@@ -234,7 +234,7 @@ def council_dim_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "WITH l AS (SELECT n_name AS k, max(s_suppkey) AS source_id FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey % 5 <> 0 GROUP BY 1)"
-    " SELECT c_custkey, coalesce(CAST(l.source_id AS VARCHAR), concat('seed-', substr(sha256(lower(n_name)), 1, 16))) AS source_id FROM customer JOIN nation ON c_nationkey = n_nationkey LEFT JOIN l ON l.k = n_name"
+    " SELECT c_custkey, coalesce(CAST(l.source_id AS VARCHAR), concat('seed-', substr(sha256(lower(trim(regexp_replace(upper(n_name), '[^A-Z0-9]+', ' ', 'g')))), 1, 16))) AS source_id FROM customer JOIN nation ON c_nationkey = n_nationkey LEFT JOIN l ON l.k = n_name"
 )
 def seed_source_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seed rows with the last source of their name, or one of their own."""
