@@ -9,7 +9,7 @@ from adlens.functions import band, dates, money, salary, text, titles, urls
 from adlens.operators import board, gates
 from adlens.plans import lens, listings
 from adlens.plans.registry import query
-from adlens.sources import files
+from adlens.sources import adapters, files
 
 #: An advertisement's text with known band, pay and date, in either dialect.
 AD = "concat('Band ', CAST(p_size % 10 AS VARCHAR(9)), ' salary $', CAST(40000 + (p_partkey * 37) % 60000 AS VARCHAR(9)), ' - $', CAST(40000 + (p_partkey * 37) % 60000 + p_size * 100 AS VARCHAR(9)), ' per annum. Applications close ', CAST(1 + p_partkey % 35 AS VARCHAR(9)), ' June 2026')"
@@ -110,6 +110,20 @@ def job_link_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.job_links(files.links(lens.table(spark, sf_dir, "pages")))
 
 
+@query(None)
+def endpoint_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses of data that pages name."""
+    return adapters.endpoint_hints(lens.table(spark, sf_dir, "pages"))
+
+
+@query(None)
+def page_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages read as detail pages of their hosts, as rows of the log."""
+    pages = lens.table(spark, sf_dir, "pages").select(urls.host(F.col("url")).alias("source_id"), "url", "html")
+    sources = pages.select("source_id", F.lit("generic").alias("platform"), F.col("source_id").alias("council_name"), F.col("source_id").alias("short_name"), F.lit("").alias("source_url")).distinct()
+    return adapters.observations(adapters.details(pages), sources, "r1", "2026-01-01T00:00:00Z")
+
+
 @query("SELECT event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) % 10 AS k, count(*) AS n FROM events GROUP BY 1, 2")
 def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values out of nested JSON."""
