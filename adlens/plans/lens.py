@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from adlens.session import findable
+
 SEQ = ("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
 #: Columns of a sighting that both dialects compute from the joined tables.
 SIGHTING = {
@@ -61,6 +63,7 @@ JUDGED_SQL = f"""SELECT c.*, CASE WHEN title <> '' AND lower(title) IN (SELECT {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    findable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
