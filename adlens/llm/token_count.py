@@ -39,6 +39,19 @@ def scores(path: str = VOCABULARY) -> dict[bytes, float]:
     return {p: -log(r) - norm for p, r in order.items()}
 
 
+class Counts(dict):
+    """Counts of pre-tokens by their text; one that is missing is worked out and, unless it is very long, kept."""
+
+    def __init__(self, trie: Trie) -> None:
+        self.trie = trie
+
+    def __missing__(self, word: str) -> int:
+        n = self.trie.work_out(word)
+        if len(word) <= LONGEST_KEPT:
+            self.trie.known[word] = n
+        return n
+
+
 class Trie:
     """Best segmentations of byte strings, shared by prefix. Of equal scores the one with the shorter last piece counts."""
 
@@ -49,19 +62,20 @@ class Trie:
     def clear(self) -> None:
         self.next: dict[int, int] = {}
         self.best, self.tokens = [0.0], [0]
-        self.known: dict[str, int] = {}
+        self.known = Counts(self)
 
     def count(self, word: str) -> int:
         """The number of tokens of a pre-token."""
-        n = self.known.get(word)
-        if n is None:
-            if len(self.best) > self.most:
-                self.clear()
-            b = word.encode("utf-8", "surrogatepass")
-            n = self._insert(b) if len(b) <= LONGEST_KEPT else self._alone(b)
-            if len(b) <= LONGEST_KEPT:
-                self.known[word] = n
-        return n
+        return self.known[word]
+
+    def total(self, words: list[str]) -> int:
+        return sum(map(self.known.__getitem__, words))
+
+    def work_out(self, word: str) -> int:
+        if len(self.best) > self.most:
+            self.clear()
+        b = word.encode("utf-8", "surrogatepass")
+        return self._insert(b) if len(b) <= LONGEST_KEPT else self._alone(b)
 
     def _step(self, b: bytes, i: int, best: list[float], tokens: list[int]) -> tuple[float, int]:
         """Score and tokens of b[:i], given those of all shorter prefixes."""
@@ -114,7 +128,7 @@ def count(docs: DataFrame, keep: list[Column], text: str = "text", vocabulary: s
             for r, text in enumerate(b.column("text_").to_pylist()):
                 if text:
                     found = find(text)
-                    words[r], total[r] = len(found), sum(map(trie.count, found))
+                    words[r], total[r] = len(found), trie.total(found)
             yield pa.RecordBatch.from_arrays([*(b.column(x) for x in names), pa.array(words), pa.array(total)], [*names, "n_pretokens", "n_tokens"])
 
     return rows.mapInArrow(run, rows.drop("text_").schema.add("n_pretokens", "long").add("n_tokens", "long"))
