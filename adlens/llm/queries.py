@@ -114,6 +114,38 @@ SQL: dict[str, str] = {
 }
 
 
+#: For SQL, whose expressions can't look around: maximal runs of 40 or more, of which those of 40 without = are kept.
+BARE_SQL = r"[A-Za-z0-9/+=]{40,}"
+
+
+def _places_sql(kind: int) -> str:
+    """The spans of one kind with their role."""
+    name, pattern, group, least, role = secrets.KINDS[kind]
+    quoted = (BARE_SQL if name == "bare40" else pattern).replace("'", "''")
+    keep = "len(hit) = 40 AND NOT contains(hit, '=')" if name == "bare40" else f"len(part) >= {least}"
+    return rf"""
+        SELECT r, {kind} AS kind, '{name}' AS name, '{role}' AS role, stop - len(hit) AS start, stop
+        FROM (SELECT *, CAST(sum(len(before) + len(hit)) OVER (PARTITION BY r ORDER BY j) AS BIGINT) AS stop
+              FROM (SELECT r, unnest(range(1, len(hits) + 1)) AS j, unnest(hits) AS hit, unnest(parts) AS part, unnest(list_slice(rest, 1, len(hits))) AS before
+                    FROM (SELECT r, regexp_extract_all(t, '{quoted}') AS hits, regexp_extract_all(t, '{quoted}', {group}) AS parts, string_split_regex(t, '{quoted}') AS rest FROM d)))
+        WHERE {keep}"""
+
+
+SQL["op10_secret_scan"] = f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+    p AS ({" UNION ALL ".join(_places_sql(k) for k in range(len(secrets.KINDS)))}),
+    near AS (SELECT x.r, x.kind, x.name, x.start, x.stop, bool_or(y.role = 'id') AS id, bool_or(y.role = 'secret') AS secret
+             FROM p x JOIN p y ON x.r = y.r AND y.start <= x.stop + 300 AND y.stop >= x.start - 300 WHERE x.kind >= {secrets.BASE} GROUP BY ALL),
+    kept AS (SELECT r, kind, name, start, stop FROM p WHERE kind < {secrets.BASE}
+             UNION ALL SELECT r, kind, name, start, stop FROM near WHERE CASE name WHEN 'account' THEN secret WHEN 'bare40' THEN id ELSE id AND secret END),
+    s AS (SELECT r, count_if(kind = 0) AS n_assign, count_if(kind = 1) AS n_access, count_if(kind = 2) AS n_hex,
+                 string_agg(concat_ws(':', name, start, stop), ',' ORDER BY start, kind, stop) FILTER (kind < {secrets.BASE}) AS base,
+                 string_agg(concat_ws(':', name, start, stop), ',' ORDER BY start, kind, stop) AS spans FROM kept GROUP BY r)
+    SELECT doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(n_access, 0) AS BIGINT) AS n_access, CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex,
+           sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM d LEFT JOIN s USING (r)"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     return corpus_pipeline.run(spark, sf_dir)
