@@ -53,6 +53,16 @@ SLUG_TAILS = (
     "job jobs career careers vic victoria australia jan january feb february mar march apr april may jun june jul july aug august sep sept september oct october nov november dec december"
 ).split()
 SMALL = ("and", "at", "for", "in", "of", "on", "the", "to", "with")
+#: How documents head a title, and what ends one at the start of a text.
+TITLE_WORDS = r"([A-Z][A-Z0-9 &/'(),.-]{3,90}"
+HEADINGS = (
+    r"^(?:created\s+\d{1,2}/\d{1,2}/\d{4}\s+)?(?:page\s+\d+\s+)?position description\s+" + TITLE_WORDS + r"?)(?:\s+(?:Created|Classification|Employment Status|Position Details|Reports To|[A-Z][a-z]+(?:\s+[A-Z][a-z]+){0,4}\s+Council)\b)",
+    r"^(?:page\s+\d+\s+)?(?:position description\s+)?" + TITLE_WORDS + r")\s+CLASSIFICATION\s*:",
+    r"^(?:page\s+\d+\s+)?position description\s+" + TITLE_WORDS + r")\s+Created\s+\d{1,2}/\d{1,2}/\d{4}",
+    r"^(?:page\s+\d+\s+)?" + TITLE_WORDS + r")\s+Created\s+\d{1,2}/\d{1,2}/\d{4}",
+)
+LEAD_END = r"(?: Visit | Kiosk mode | Add to favourites | Closing on:| Closing date:).*$"
+LEAD = r"^([A-Z][A-Za-z0-9 &/'(),.-]{3,90}?)(?:\s+(?:New role|Full[- ]time|Part[- ]time|Permanent|Temporary|Fixed[- ]term|Casual|\$|Band|Classification|Salary)\b)"
 MONTH_TAIL = r"(?i)\s+(?:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|jun(?:e)?|jul(?:y)?|aug(?:ust)?|sep(?:t(?:ember)?)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)(?:\s+20\d{2})?$"
 
 
@@ -114,9 +124,19 @@ def from_url(c: Column, council: Column | None = None) -> Column:
     return once(cased(F.filter(words, lambda w: ~w.rlike("^[0-9a-f]{8,}$"))), lambda t: F.when(is_role(t), t).otherwise(""))
 
 
-def best(primary: Column, url: Column, fallback: Column | None = None, council: Column | None = None) -> Column:
-    """The title of a listing: its own if that names a role, else what the address or the fallback says."""
+def from_text(c: Column) -> Column:
+    """The title that a page or document starts with, or empty: after its heading, or before the first mark of pay or terms."""
+    heading = lambda t, p: clean(cased(F.filter(F.split(F.lower(F.regexp_extract(t, "(?i)" + p, 1)), " "), lambda w: w != "")))
+    short = lambda t: F.regexp_replace(F.regexp_replace(F.regexp_replace(t, LEAD_END, ""), r" (?:\||-) .*$", ""), r"(?i)^New to you\s+", "")
+    lead = lambda t: clean(F.regexp_extract(t, LEAD, 1))
+    role = lambda x: once(x, lambda y: F.when(is_role(y), y))
+    return once(compact(c), lambda t: F.coalesce(*[role(heading(t, p)) for p in HEADINGS], once(F.trim(short(t)), lambda s: F.coalesce(role(lead(s)), role(s))), F.lit("")))
+
+
+def best(primary: Column, url: Column, fallback: Column | None = None, council: Column | None = None, body: Column | None = None) -> Column:
+    """The title of a listing: its own if that names a role, else what the address, the body or the fallback says."""
     other = clean(fallback, council) if fallback is not None else F.lit("")
-    parts = F.struct(clean(primary, council).alias("own"), from_url(url, council).alias("spelt"), other.alias("other"))
-    tried = once(parts, lambda b: F.coalesce(*[F.when(is_role(b[x]), b[x]) for x in ("own", "spelt", "other")], F.nullif(b["own"], F.lit("")), b["other"]))
+    told = from_text(body) if body is not None else F.lit("")
+    parts = F.struct(clean(primary, council).alias("own"), from_url(url, council).alias("spelt"), told.alias("told"), other.alias("other"))
+    tried = once(parts, lambda b: F.coalesce(*[F.when(is_role(b[x]), b[x]) for x in ("own", "spelt", "told", "other")], F.nullif(b["own"], F.lit("")), b["other"]))
     return excerpt(tried, 140)

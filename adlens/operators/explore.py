@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlens.functions import dates, money, text
+from adlens.operators import dedupe
 
 
 @dataclass(frozen=True)
@@ -87,6 +88,13 @@ def axis(low: Column, high: Column) -> Column:
     return F.struct(a.alias("low"), F.greatest(b, a + 20000).alias("high"))
 
 
+def distinct_listings(jobs: DataFrame, seq: str) -> DataFrame:
+    """The first row, by seq, of those that are the same vacancy: one partial aggregation, no sort of a group."""
+    names = [f"k{i}_" for i in range(7)]
+    keyed = jobs.select(F.struct(*jobs.columns).alias("row_"), F.col(seq).alias("seq_"), *[k.alias(n) for n, k in zip(names, dedupe.exact_key(), strict=True)])
+    return keyed.groupBy(*names).agg(F.min_by("row_", "seq_").alias("row_")).select("row_.*")
+
+
 def listed(jobs: DataFrame, collation: str | None = "UNICODE") -> DataFrame:
     """Junk titles last, then by council and title."""
     junk = F.lower(text.compact(F.col("title"))).isin("breadcrumb", "skip to content").cast("int")

@@ -70,6 +70,16 @@ def is_listing(explore: bool = False) -> Column:
     return once(_signals(explore), lambda s: s["named"] & ~s["page"] & paid(s) & (~s["weak"] | _strong(s)) & (_strong(s) | s["role"]))
 
 
+def is_probable() -> Column:
+    """Whether a candidate (title, url, band, pay, closing date, words) may be a listing: a role's title, and one thing more that listings have."""
+    title, url = F.col("title"), F.col("url")
+    other = (urls.host(url) == "employmenthero.com") & ~F.lower(urls.path_key(url)).contains("/jobs/position/")
+    words = F.concat_ws(" ", *[compact(F.col(c)) for c in ("description_excerpt", "work_type", "location_text")])
+    told = F.col("band").isNotNull() | has_salary() | filled(F.col("closing_date"), F.col("closing_text")) | words.rlike(titles.CONTEXT)
+    named = once(compact(title), lambda t: ~t.rlike(titles.BAD_LINK_TITLES) & ~t.rlike(titles.BAD_LINK_FRAGMENTS) & titles.is_role(t))
+    return named & ~F.coalesce(other, F.lit(False)) & told
+
+
 def missing_evidence() -> Column:
     """The fields that a row must give evidence for and doesn't, sorted, comma-joined."""
     need = lambda when, name: F.when(when & ~filled(F.try_element_at("field_evidence", F.lit(name))), F.lit(name))

@@ -178,3 +178,14 @@ def platform_health(health: DataFrame) -> DataFrame:
             "drift_codes": F.coalesce("drift_codes", F.lit("")),
         }
     )
+
+
+def health_summary(health: DataFrame) -> DataFrame:
+    """One row over all sources: how many are well, degraded or failed, and how many fell back."""
+    is_ = lambda x: F.count_if(F.col("status") == x)
+    return health.agg(F.count("*").alias("sources"), is_("ok").alias("ok"), is_("degraded").alias("degraded"), is_("failed").alias("failed"), F.count_if("fallback_used").alias("fallback_used"))
+
+
+def health_report(health: DataFrame) -> DataFrame:
+    """Sources in the order of a report: degraded ones first, then by id."""
+    return health.orderBy(F.col("status") != "degraded", "source_id")

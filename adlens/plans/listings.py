@@ -178,6 +178,14 @@ def exact_vacancy_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.best_of_exact(_vacancies(spark, sf_dir), "seq").select("job_id", F.col("seq.l_orderkey").alias("l_orderkey"))
 
 
+@query(
+    f"{OBS}, k AS (SELECT job_id, l_orderkey, row_number() OVER (PARTITION BY council_key, trim(regexp_replace(lower(title), '[^a-z0-9]+', ' ', 'g')), job_id % 50, period, salary_lo ORDER BY {SEQ}, job_id) AS nth FROM obs) SELECT job_id, l_orderkey FROM k WHERE nth = 1"
+)
+def explore_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first of the rows that are the same vacancy, as the explorer shows them."""
+    return explore.distinct_listings(_vacancies(spark, sf_dir), "seq").select("job_id", F.col("seq.l_orderkey").alias("l_orderkey"))
+
+
 @query(None)
 def mirror_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vacancies without exact, same-page and mirrored duplicates."""

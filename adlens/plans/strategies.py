@@ -145,3 +145,9 @@ def endpoint_hint_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each source's first hints, those of the selected strategy before others'."""
     hints = lens.table(spark, sf_dir, "lineitem").selectExpr("l_suppkey AS source_id", "concat('HTTPS://h.example/', cast(l_partkey % 40 AS string)) AS url", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
     return strategy.merged_hints(hints.where("l_linenumber = 1"), hints.where("l_linenumber <> 1"), "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice").select("source_id", "url", "l_orderkey")
+
+
+@query(DRIFT + "SELECT count(*) AS sources, count(*) FILTER (status = 'ok') AS ok, count(*) FILTER (status = 'degraded') AS degraded, count(*) FILTER (status = 'failed') AS failed, count(*) FILTER (fallback_used) AS fallback_used FROM g")
+def health_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Health of all sources in one row."""
+    return strategy.health_summary(health(spark, sf_dir))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.functions import band, dates, money, salary, text, titles, urls
-from adlens.operators import board, gates
+from adlens.functions import band, dates, details, money, salary, text, titles, urls
+from adlens.operators import board, explore, gates
 from adlens.plans import lens, listings
 from adlens.plans.registry import query
 from adlens.sources import adapters, files
@@ -202,3 +202,65 @@ def stream_day_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from adlens.streaming import log
 
     return log.counted_to_end(spark, f"{sf_dir}/events.parquet").withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+
+
+@query(
+    "SELECT p_partkey, CAST(pos AS INT) AS pos, CASE pos WHEN 0 THEN 'About The Role' ELSE 'How To Apply' END AS heading, CASE pos WHEN 0 THEN p_name ELSE concat(': ', p_brand) END AS body FROM part, (SELECT unnest([0, 1]) AS pos)"
+)
+def section_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sections of descriptions; one without text is none."""
+    said = F.concat(F.lit("First ABOUT THE ROLE "), F.col("p_name"), F.lit("  how to apply: "), F.col("p_brand"), F.lit(" Selection Criteria"))
+    return lens.table(spark, sf_dir, "part").select("p_partkey", F.posexplode(details.sections(said)).alias("pos", "s")).select("p_partkey", "pos", "s.heading", F.col("s.text").alias("body"))
+
+
+@query(
+    "WITH b AS (SELECT p_partkey, p_name AS t, concat(repeat('x', 1 + CAST(p_partkey % 900 AS INT)), ' ', upper(p_name), ' ', repeat('y', CAST(p_partkey % 3000 AS INT) + 1)) AS body FROM part), w AS (SELECT *, instr(lower(body), lower(t)) AS i FROM b)"
+    " SELECT p_partkey, substr(body, greatest(i - 466, 1), i - greatest(i - 466, 1) + length(t) + 1400) AS around FROM w"
+)
+def body_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stands around titles."""
+    body = F.expr("concat(repeat('x', 1 + CAST(p_partkey % 900 AS INT)), ' ', upper(p_name), ' ', repeat('y', CAST(p_partkey % 3000 AS INT) + 1))")
+    return lens.table(spark, sf_dir, "part").select("p_partkey", details.window(F.col("p_name"), body).alias("around"))
+
+
+@query("SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'Parks and Trees Officer' WHEN 1 THEN 'Civil Engineer' WHEN 2 THEN 'Nurse Manager' ELSE '' END AS title FROM part")
+def title_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles with which texts begin."""
+    k = F.col("p_partkey") % 4
+    said = F.when(k == 0, "Page 1 POSITION DESCRIPTION PARKS AND TREES OFFICER Created 1/2/2026 by").when(k == 1, "New to you Civil Engineer Full-time Band 5").when(k == 2, "Nurse Manager | Town Closing on: 3 May").otherwise(F.concat(F.lit("About "), "p_name"))
+    return lens.table(spark, sf_dir, "part").select("p_partkey", titles.from_text(said).alias("title"))
+
+
+@query("SELECT p_partkey, p_partkey % 3 <> 1 AND (p_size % 10 BETWEEN 1 AND 8 OR p_partkey % 2 = 0) AND NOT p_partkey % 7 = 0 AS probable FROM part")
+def probable_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether candidates may be listings."""
+    none, k = F.lit(None).cast("string"), F.col("p_partkey")
+    rows = lens.table(spark, sf_dir, "part").select(
+        "p_partkey", F.when(k % 3 == 1, "Privacy Policy").otherwise("Parks Officer").alias("title"), F.when(k % 7 == 0, "https://www.employmenthero.com/about").otherwise("https://jobs.example/1").alias("url"), F.when((F.col("p_size") % 10).between(1, 8), F.col("p_size") % 10).alias("band"),
+        none.alias("advertised_salary_text"), F.lit(None).cast("double").alias("advertised_salary_min"), F.lit(None).cast("double").alias("advertised_salary_max"), F.lit("").alias("closing_date"), none.alias("closing_text"),
+        F.when(k % 2 == 0, "A permanent position.").alias("description_excerpt"), none.alias("work_type"), none.alias("location_text"),
+    )
+    return rows.select("p_partkey", gates.is_probable().alias("probable"))
+
+
+@query(
+    listings.LATEST + ", r AS (SELECT council_key, min(salary_lo) AS a, max(salary_hi) AS b FROM snap GROUP BY 1) SELECT council_key, CAST(floor(a / 10000.0) * 10000 AS BIGINT) AS low, CAST(greatest(ceil(b / 10000.0) * 10000, floor(a / 10000.0) * 10000 + 20000) AS BIGINT) AS high,"
+    " concat('$', CAST(CAST(round(a / 1000.0) AS BIGINT) AS VARCHAR), 'k') AS label FROM r"
+)
+def salary_axis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ends of the axis of pay for each council."""
+    ends = listings.snapshot(spark, sf_dir).groupBy("council_key").agg(F.min("salary_lo").alias("a"), F.max("salary_hi").alias("b"))
+    return ends.select("council_key", explore.axis(F.col("a"), F.col("b")).alias("x"), money.compact_label(F.col("a")).alias("label")).select("council_key", F.col("x.low").cast("long").alias("low"), F.col("x.high").cast("long").alias("high"), "label")
+
+
+@query("SELECT p_partkey, round(list_reduce(list_concat([2166136261::BIGINT], list_transform(string_split(p_name, ''), lambda c: CAST(ascii(c) AS BIGINT))), lambda h, x: xor(h, x) * 16777619 % 4294967296) / 4294967295.0::double, 9) AS jitter FROM part")
+def point_jitter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where names stand within their lane of a chart."""
+    return lens.table(spark, sf_dir, "part").select("p_partkey", F.round(text.unit_hash(F.col("p_name")), 9).alias("jitter"))
+
+
+@query(None)
+def page_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Descriptions of pages: how they were found, their hash and how many sections they have."""
+    d = details.description(details.parts(F.col("html"))["description"])
+    return lens.table(spark, sf_dir, "pages").select("page_id", F.explode(F.array(d)).alias("d")).select("page_id", "d.status", "d.hash", F.length("d.text").cast("long").alias("n_chars"), F.size("d.sections").cast("long").alias("n_sections"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlens.functions import band, dates, salary, text, titles, urls
+from adlens.functions.details import description, parts, plain, search_text, window
 from adlens.functions.text import compact, once
 
 #: Words by which addresses of data are told, and what is never one.
@@ -19,9 +20,9 @@ NOISE = r"(?i)\.(css|gif|ico|jpe?g|png|svg|webp|woff2?)$"
 MOST_HINTS, MOST_FEEDS = 12, 5
 
 
-def with_fields(items: DataFrame, texts: list[Column]) -> DataFrame:
-    """items with band, pay and closing date out of the texts, in order, and the status that they allow."""
-    found = F.struct(band.extract(*texts).alias("band"), salary.extract(*texts).alias("s"), dates.closing_date(*texts).alias("closing"))
+def with_fields(items: DataFrame, texts: list[Column], pay: list[Column] | None = None, closing: list[Column] | None = None) -> DataFrame:
+    """items with band, pay and closing date out of the texts, each in its own order where one is given, and the status that they allow."""
+    found = F.struct(band.extract(*texts).alias("band"), salary.extract(*(pay or texts)).alias("s"), dates.closing_date(*(closing or texts)).alias("closing"))
     rows = items.select("*", F.explode(F.array(found)).alias("f_"))
     status = F.when(F.col("f_.band").isNotNull(), "explicit_band").when(F.col("f_.s").isNotNull(), "salary_only").otherwise("unclassified")
     return rows.select(
@@ -40,16 +41,12 @@ def _first(*names: str) -> Column:
     return compact(F.coalesce(*[F.nullif(F.try_variant_get("v", f"$.{n}", "string"), F.lit("")) for n in names]))
 
 
-def _plain(html: Column) -> Column:
-    return compact(F.regexp_replace(F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<(script|style)\b.*?</\1>", " "), "<[^>]*>", " "))
-
-
 def pulse(payloads: DataFrame) -> DataFrame:
     """Candidates of a board that lists {"Jobs": [{"LinkId", "JobInfo": {…}}]}. payloads: source_id, url, body."""
     items = _objects(payloads, "$.Jobs", "$.jobs")
     slug = F.regexp_replace(F.regexp_replace("title", "[^A-Za-z0-9]+", "-"), "^-+|-+$", "")
     origin = F.concat(urls.part(F.col("url"), 1), F.lit("://"), urls.part(F.col("url"), 2))
-    rows = items.select("source_id", "pos", "url", _first("LinkId").alias("link"), _first("JobInfo.Title", "Title").alias("title"), _first("JobInfo.Compensation").alias("pay"), _plain(_first("JobInfo.Description")).alias("description_excerpt"), _first("JobInfo.Location", "Location").alias("location_text"), _first("JobInfo.EmploymentType", "JobInfo.WorkArrangement", "WorkType").alias("work_type"), _first("JobInfo.ClosingDate").alias("closing_text"))
+    rows = items.select("source_id", "pos", "url", _first("LinkId").alias("link"), _first("JobInfo.Title", "Title").alias("title"), _first("JobInfo.Compensation").alias("pay"), plain(_first("JobInfo.Description")).alias("description_excerpt"), _first("JobInfo.Location", "Location").alias("location_text"), _first("JobInfo.EmploymentType", "JobInfo.WorkArrangement", "WorkType").alias("work_type"), _first("JobInfo.ClosingDate").alias("closing_text"))
     rows = rows.where("title <> ''").withColumn("url", F.when(F.col("link") == "", F.col("url")).otherwise(F.concat(origin, F.lit("/Pulse/job/"), F.col("link"), F.lit("/"), slug, F.lit("?source=public"))))
     return with_fields(rows, [F.col("title"), F.col("pay"), F.col("description_excerpt"), F.col("closing_text")]).drop("link", "pay")
 
@@ -79,11 +76,19 @@ def merged_with_detail(listing: DataFrame, detail: DataFrame, key: str = "url")
 
 
 def details(pages: DataFrame) -> DataFrame:
-    """Candidates out of detail pages (source_id, url, html)."""
-    heading = _plain(F.regexp_extract("html", r"(?is)<h1\b[^>]*>(.*?)</h1>", 1))
-    body = _plain(F.regexp_replace("html", r"(?is)<(nav|header|footer|aside|head)\b.*?</\1>", " "))
-    rows = pages.select("source_id", "url", titles.best(heading, F.col("url")).alias("title"), body.alias("body_"), F.lit("").alias("location_text"), F.lit("").alias("work_type"), F.lit("").alias("closing_text"))
-    return with_fields(rows.withColumn("description_excerpt", text.excerpt(F.col("body_"), 300)), [F.col("title"), F.col("body_")]).drop("body_")
+    """Candidates out of detail pages (source_id, url, html): the band from title, description, what is set apart, and around the title; pay from what is set apart first."""
+    heading = plain(F.regexp_extract("html", r"(?is)<h[12]\b[^>]*>(.*?)</h[12]>", 1))
+    read = F.struct(heading.alias("heading"), search_text(F.col("html")).alias("body"), parts(F.col("html")).alias("p"))
+    rows = pages.select("source_id", "url", F.explode(F.array(read)).alias("r")).select("source_id", "url", "r.heading", "r.body", "r.p.structured", F.explode(F.array(description(F.col("r.p.description")))).alias("d"))
+    some = lambda c: F.nullif(c, F.lit(""))
+    told = F.coalesce(F.col("d.text"), some(F.col("structured")), F.col("body"))
+    none = F.lit("")
+    rows = rows.select(
+        "source_id", "url", "heading", "body", "structured", F.col("d.text").alias("own"), F.col("d.status").alias("description_status"), F.col("d.hash").alias("description_hash"), titles.best(F.col("heading"), F.col("url"), body=told).alias("title"),
+        none.alias("location_text"), none.alias("work_type"), none.alias("closing_text"), text.excerpt(told, 300).alias("description_excerpt"),
+    )
+    body, set_apart, own = F.col("body"), F.col("structured"), F.col("own")
+    return with_fields(rows, [F.col("heading"), own, set_apart, window(F.col("heading"), body)], [set_apart, own, body], [set_apart, body, own]).drop("heading", "body", "structured", "own")
 
 
 def endpoint_hints(pages: DataFrame) -> DataFrame:

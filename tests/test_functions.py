@@ -5,7 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from adlens.functions import band, dates, money, salary, text, titles, urls
+from adlens.functions import band, dates, details, money, salary, text, titles, urls
 
 
 @pytest.fixture
@@ -88,3 +88,33 @@ def test_salary_repair(spark):
     got = [r["n"] for r in df.select(salary.normalised(F.col("t"), F.col("a"), F.col("b"), F.col("p")).alias("n")).collect()]
     assert got[0]["minimum"] == 70937 and got[1]["period"] == "year"
     assert got[2]["minimum"] is None and got[3]["minimum"] is None
+
+
+def test_title_from_text(value):
+    assert value(titles.from_text, "Page 2 position description TEAM LEADER PARKS Classification: Band 7") == "Team Leader Parks"
+    assert value(titles.from_text, "Civil Engineer $91,000") == "Civil Engineer"
+    assert value(titles.from_text, "Nothing of the kind") == "" and value(titles.from_text, None) == ""
+
+
+def test_sections(value):
+    got = value(details.sections, "Intro about the role do this ABOUT YOU  be that selection criteria")
+    assert [tuple(x) for x in got] == [("About The Role", "do this"), ("About You", "be that")]
+    assert value(details.sections, "none") == [] and value(details.sections, None) == []
+
+
+def test_window(value):
+    assert value(lambda c: details.window(F.lit("Officer"), c, after=6), "0123456789 OFFICER abcdefgh") == "9 OFFICER abcde"
+    assert value(lambda c: details.window(F.lit("Off"), c), "off") == "" and value(lambda c: details.window(F.lit("Officer"), c), None) == ""
+
+
+def test_page_parts(value):
+    html = """<head><meta name='description' content='Band 4'></head><nav class='x'>Menu</nav><main>Main<div class='job-details'>Look after &amp; keep parks<script>var x</script><form>Apply</form>
+    <p class='salery'>$80,000 pa</p> for all the people of this town</div></main><script type='application/ld+json'>{"validThrough": "2026-05-03"}</script>"""
+    got = value(lambda c: details.parts(c), html)
+    assert got["description"] == "Look after & keep parks $80,000 pa for all the people of this town" and got["structured"] == "$80,000 pa Band 4 2026-05-03"
+    d = value(lambda c: details.description(details.parts(c)["description"]), html)
+    assert d["status"] == "fetched" and len(d["hash"]) == 32 and d["sections"] == []
+    assert value(lambda c: details.description(details.parts(c)["description"]), "<p>no</p>")["status"] == "missing"
+    assert value(lambda c: details.description(details.parts(c)["description"]), "<main>few</main>")["status"] == "sparse"
+    assert value(lambda c: details.parts(c), None)["description"] is None
+    assert "Shown" in value(details.search_text, "<a aria-label='Shown'>x</a>")

@@ -46,6 +46,14 @@ def test_detail_wins_place_and_listing_wins_pay(spark):
     assert (r["location_text"], r["advertised_salary_text"], r["band"], r["description_excerpt"], r["classification_status"]) == ("y", "$1", 4, "much longer", "explicit_band")
 
 
+def test_detail_page_prefers_what_is_set_apart(spark):
+    html = "<h1>Parks Officer</h1><div class='salary'>$80,000 - $90,000 per annum</div><article>Band 5 role. Pay was $50,000 per annum once, said someone who keeps on talking.</article><p>Applications close 3 May 2026</p>"
+    page = spark.createDataFrame([("s", "https://a.example/1", html), ("s", "https://a.example/2", None)], "source_id string, url string, html string")
+    got = {r["url"][-1]: r for r in adapters.details(page).collect()}
+    assert (got["1"]["band"], got["1"]["advertised_salary_min"], got["1"]["closing_date"], got["1"]["description_status"]) == (5, 80000.0, "2026-05-03", "fetched")
+    assert got["2"]["title"] == "" and got["2"]["description_status"] == "missing" and got["2"]["band"] is None
+
+
 def test_log_skips_what_it_cannot_read(spark, tmp_path):
     (tmp_path / "2026-01-01.jsonl").write_text('{"job_id": "a", "title": "x"}\n\nbroken\n{"title": "no id"}\n')
     (tmp_path / "2026-01-02.jsonl.bz2").write_bytes(bz2.compress(b'{"job_id": "b"}\n'))
