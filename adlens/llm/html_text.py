@@ -4,8 +4,9 @@ A page is read into lines, one a block. Elements that are never main text (scrip
 comments, by tag, class, id or role) are left out, and where the page marks an article, lines outside it.
 Pages are ordered by host and path; each is aligned with its nearest neighbours of the same host by longest
 common subsequence of lines, and lines that most of them share are deleted. A neighbour that shares most of a
-page's lines is a copy of it, not a sister, and deletes nothing. Where the page itself marks its article, the
-lines in it stay: articles of one host may quote the same passage, and differencing would take it from them.
+page's lines is a copy of it, not a sister, and deletes nothing. Where the page itself marks its article, articles
+of one host may quote the same passage, and differencing by neighbours would take it from them: there a line goes
+only where nine tenths of a host's distinct pages, MANY at least, have it at the same place from the start or the end.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from adlens.llm.common import cut, slices
+from adlens.llm.common import cut, few, slices
 from adlens.llm.mixing import ranked
 
 #: Raw text up to the end tag; the tokens of markup. A comment or raw element that is never closed takes the rest.
@@ -49,6 +50,8 @@ COMMENTS = frozenset("comment comments commentlist reply replies respond discuss
 WORD = re.compile(r"[a-z]+")
 #: How far neighbours are looked for in the order of URLs.
 REACH = 2
+#: Distinct pages that a host needs for its lines at fixed places to be told.
+MANY = 10
 
 
 def _role(tag: str, attrs: str, in_article: bool) -> str:
@@ -185,12 +188,14 @@ def deleted(own: list[int], marks: list[bool], others: list[list[int]]) -> list[
 
 def _outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in slices(batches, "html"):
-        every, marks = [], []
+        every, marks, prints = [], [], []
         for page in b.column("html").to_pylist():
             text, mark = lines(page or "")
-            every.append(np.array([xxh64_intdigest(x.encode("utf-8", "surrogatepass")) for x in text], np.uint64).view(np.int64).tolist())
+            own = np.array([xxh64_intdigest(x.encode("utf-8", "surrogatepass")) for x in text], np.uint64).view(np.int64)
+            prints.append(xxh64_intdigest(own.tobytes(), any(mark)))
+            every.append(own.tolist())
             marks.append(mark)
-        yield pa.RecordBatch.from_arrays([b.column("key"), b.column("print"), b.column("host"), b.column("path"), pa.array(every, pa.list_(pa.int64())), pa.array(marks, pa.list_(pa.bool_()))], ["key", "print", "host", "path", "own", "marks"])
+        yield pa.RecordBatch.from_arrays([b.column("key"), b.column("print"), b.column("host"), b.column("path"), pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(every, pa.list_(pa.int64())), pa.array(marks, pa.list_(pa.bool_()))], ["key", "print", "host", "path", "page", "own", "marks"])
 
 
 def _differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,18 +213,32 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("key"), b.column("url"), pa.array(text, pa.string())], ["key", "url", "text"])
 
 
+def fixed(order: DataFrame, many: int = MANY) -> DataFrame:
+    """host, page and gone: the places of lines that nine tenths of a host's distinct pages, marked or not, have at the same place from the start or the end."""
+    pages = order.where("host <> '' AND size(own) > 0").groupBy("host", "page").agg(F.first("own").alias("own"), F.first(F.element_at("marks", 1)).alias("marked"))
+    pages = cut(pages)
+    n = pages.groupBy("host", "marked").agg(F.count("*").alias("n")).where(F.col("n") >= many)
+    each = pages.select("host", "marked", F.size("own").alias("size"), F.posexplode("own").alias("at", "line"))
+    place = each.select("host", "marked", "line", F.explode(F.array("at", F.col("at") - F.col("size"))).alias("place"))
+    stable = place.groupBy("host", "marked", "place", "line").agg(F.count("*").alias("c")).join(n, ["host", "marked"]).where("10 * c >= 9 * n")
+    stable = few(cut(stable.groupBy("host", "marked").agg(F.collect_list(F.struct("place", "line")).alias("stable"))), most=100_000)
+    here = lambda i, from_: F.array_contains("stable", F.struct(from_.alias("place"), F.get("own", i).alias("line")))
+    gone = F.filter(F.sequence(F.lit(0), F.size("own") - 1), lambda i: here(i, i) | here(i, i - F.size("own")))
+    return pages.join(stable, ["host", "marked"]).select("host", "page", gone.alias("gone")).where("size(gone) > 0")
+
+
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", most_broadcast: int = 100_000) -> DataFrame:
     """One row per row of pages: key, url and text, the main text with one line a block.
 
     A null or empty page has the empty text. Pages with a null url, or alone on their host, have no sisters and
-    lose no lines. Rows that repeat give the same text each. Other columns are ignored; nothing is cut short.
+    lose no lines; those of a host with fewer than MANY distinct pages lose none inside a marked article. Rows that repeat give the same text each. Other columns are ignored; nothing is cut short.
     """
     kind = dict(pages.dtypes)[key]
     rest = F.regexp_replace(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
     host = F.lower(F.regexp_extract(rest, r"^([^/?#]*)", 1))
     path = F.regexp_replace(F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1), r"(/|\.html?)+$", "")
     rows = pages.select(F.col(key).alias("key"), F.xxhash64(url, page).alias("print"), F.col(url).cast("string").alias("url"), F.coalesce(page, F.lit("")).alias("html"))
-    schema = f"key {kind}, print long, host string, path string, own array<long>, marks array<boolean>"
+    schema = f"key {kind}, print long, host string, path string, page long, own array<long>, marks array<boolean>"
     outline = rows.withColumns({"host": F.coalesce(host, F.lit("")), "path": F.coalesce(path, F.lit(""))}).select("key", "print", "host", "path", "html").mapInArrow(_outlines, schema)
     order = cut(ranked(cut(outline), F.struct("host", "path", "key", "print")))
     near = None
@@ -228,7 +247,10 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str
         near = one if near is None else near.unionByName(one)
     open_ = order.where(F.exists("marks", lambda m: ~m))
     sisters = open_.join(near, (F.col("rank") == F.col("r")) & (F.col("host") == F.col("h"))).groupBy("rank").agg(F.first("key").alias("key"), F.first("print").alias("print"), F.first("own").alias("own"), F.first("marks").alias("marks"), F.collect_list("other").alias("others"))
-    gone = sisters.mapInArrow(_differ, f"key {kind}, print long, gone array<int>").where("size(gone) > 0").groupBy("key", "print").agg(F.first("gone").alias("gone"))
+    gone = sisters.mapInArrow(_differ, f"key {kind}, print long, gone array<int>").where("size(gone) > 0")
+    same = fixed(order)
+    gone = gone.unionByName(order.select("key", "print", "host", "page").join(few(cut(same), most=most_broadcast), ["host", "page"]).select("key", "print", "gone"))
+    gone = gone.groupBy("key", "print").agg(F.array_distinct(F.flatten(F.collect_set("gone"))).alias("gone"))
     gone = cut(gone.select(F.col("key").alias("k"), F.col("print").alias("p"), "gone"))
     lost = gone.agg(F.count("*").alias("n"), F.sum(F.size("gone")).alias("m")).first()
     hint = F.broadcast if lost["n"] + (lost["m"] or 0) / 10 <= most_broadcast else (lambda x: x)

@@ -300,6 +300,20 @@ def test_pages(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+def test_pages_lines_at_fixed_places_of_articles(spark):
+    """Notices in plain elements of marked articles go, passages that articles quote stay."""
+    quote = "<p>Same passage that many quote.</p>"
+    page = "<body><main><div>Site motto</div><h1>Title {0}</h1><div>Read our guide</div>" + "{1}" + "<div>All rights</div></main></body>"
+    body = lambda i: "".join(f"<p>Own {i} {k}</p>" for k in range(i % 4 + 1)) + quote + f"<p>End {i}</p>" * (i % 3 + 1)
+    rows = [(i, f"http://d.org/n/{i}", page.format(i, body(i))) for i in range(30)]
+    rows += [(100 + i, f"http://e.org/n/{i}", page.format(i, body(i))) for i in range(html_text.MANY - 1)]
+    rows += [(200 + i, f"http://f.org/n/{i}", page.format(0, body(0))) for i in range(30)]  # one page, 30 times
+    got = {r["page_id"]: r["text"].split("\n") for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k, _, html in rows:
+        want = html_text.lines(html)[0]
+        assert got[k] == (want if k >= 100 else [x for x in want if x not in ("Site motto", "Read our guide", "All rights")]), k
+
+
 def test_longest_common_subsequence():
     rng = random.Random(1)
     for _ in range(200):
