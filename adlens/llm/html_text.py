@@ -3,8 +3,8 @@
 A page is read into lines, one a block. Elements that are never main text (scripts, menus, forms, adverts,
 comments, by tag, class, id or role) are left out, and where the page marks an article, lines outside it.
 Pages are ordered by host and path; each is aligned with its nearest neighbours of the same host by longest
-common subsequence of lines, and lines that most of them share are deleted. A neighbour that shares most of a
-page's lines is a copy of it, not a sister, and deletes nothing. Where the page itself marks its article, articles
+common subsequence of lines, and lines that most of them share are deleted. Equal pages count as one. A neighbour whose other lines are the page's
+own with a few words changed is a copy of it, not a sister, and deletes nothing. Where the page itself marks its article, articles
 of one host may quote the same passage, and differencing by neighbours would take it from them: there a line goes
 only where nine tenths of a host's distinct pages, MANY at least, have it at the same place from the start or the end.
 """
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from adlens.llm.common import cut, few, slices
+from adlens.llm.common import cut, few, mix, slices
 from adlens.llm.mixing import ranked
 
 #: Raw text up to the end tag; the tokens of markup. A comment or raw element that is never closed takes the rest.
@@ -48,8 +48,11 @@ OUT_WORDS = frozenset(
 HEADS = frozenset({"header"})
 COMMENTS = frozenset("comment comments commentlist reply replies respond discussion disqus feedback".split())
 WORD = re.compile(r"[a-z]+")
+SEEDS = mix(np.arange(1, 9, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 #: How far neighbours are looked for in the order of URLs.
-REACH = 2
+REACH = 4
+#: The nearest sisters that vote.
+VOTERS = 4
 #: Distinct pages that a host needs for its lines at fixed places to be told.
 MANY = 10
 
@@ -174,13 +177,37 @@ def shared(a: list[int], b: list[int]) -> list[int]:
     return [*range(start), *reversed(middle), *range(len(a) - end, len(a))]
 
 
-def deleted(own: list[int], marks: list[bool], others: list[list[int]]) -> list[int]:
-    """The places of the lines outside a marked article that three quarters of the sisters share."""
+def sketch(line: str) -> int:
+    """Eight bytes, each from the least of one hash of the line's pairs of words: edited lines agree in most bytes."""
+    words = line.split()
+    pairs = np.array([xxh64_intdigest(f"{a} {b}".encode("utf-8", "surrogatepass")) for a, b in zip(words, words[1:] or [""], strict=False)], np.uint64)
+    return int.from_bytes(bytes(int(mix(pairs ^ s).min()) & 255 for s in SEEDS), "little", signed=True)
+
+
+def edited(a: list[int], b: list[int]) -> int:
+    """How many of the sketches a agree with one of b in six of eight bytes."""
+    at = defaultdict(list)
+    for j, x in enumerate(b):
+        for k, byte in enumerate(x.to_bytes(8, "little", signed=True)):
+            at[k, byte].append(j)
+    agree = (Counter(j for k, byte in enumerate(x.to_bytes(8, "little", signed=True)) for j in at.get((k, byte), ())) for x in a)
+    return sum(max(n.values(), default=0) >= 6 for n in agree)
+
+
+def copies(a: list[int], b: list[int]) -> bool:
+    """Whether two pages' lines besides those they share, as sketches, are the same text: none on one side, or half of them edited."""
+    a, b = sorted((a, b), key=len)
+    return not a or 2 * edited(a, b) >= len(a)
+
+
+def deleted(own: list[int], marks: list[bool], sketches: list[int], others: list[dict]) -> list[int]:
+    """The places of the lines outside a marked article that three quarters of the nearest sisters share."""
     votes: Counter[int] = Counter()
     sisters = 0
     for other in others:
-        common = shared(own, other)
-        if 2 * len(common) <= min(len(own), len(other)):
+        common = shared(own, other["own"])
+        mine, theirs = set(common), set(shared(other["own"], own))
+        if sisters < VOTERS and not copies([x for i, x in enumerate(sketches) if i not in mine], [x for i, x in enumerate(other["sketches"]) if i not in theirs]):
             votes.update(common)
             sisters += 1
     return [i for i, n in sorted(votes.items()) if 4 * n >= 3 * sisters and not marks[i]]
@@ -188,20 +215,21 @@ def deleted(own: list[int], marks: list[bool], others: list[list[int]]) -> list[
 
 def _outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in slices(batches, "html"):
-        every, marks, prints = [], [], []
+        every, marks, prints, sketches = [], [], [], []
         for page in b.column("html").to_pylist():
             text, mark = lines(page or "")
             own = np.array([xxh64_intdigest(x.encode("utf-8", "surrogatepass")) for x in text], np.uint64).view(np.int64)
             prints.append(xxh64_intdigest(own.tobytes(), any(mark)))
             every.append(own.tolist())
             marks.append(mark)
-        yield pa.RecordBatch.from_arrays([b.column("key"), b.column("print"), b.column("host"), b.column("path"), pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(every, pa.list_(pa.int64())), pa.array(marks, pa.list_(pa.bool_()))], ["key", "print", "host", "path", "page", "own", "marks"])
+            sketches.append([] if any(mark) else [sketch(x) for x in text])
+        yield pa.RecordBatch.from_arrays([b.column("key"), b.column("print"), b.column("host"), b.column("path"), pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(every, pa.list_(pa.int64())), pa.array(marks, pa.list_(pa.bool_())), pa.array(sketches, pa.list_(pa.int64()))], ["key", "print", "host", "path", "page", "own", "marks", "sketches"])
 
 
 def _differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        gone = [deleted(*x) for x in zip(b.column("own").to_pylist(), b.column("marks").to_pylist(), b.column("others").to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([b.column("key"), b.column("print"), pa.array(gone, pa.list_(pa.int32()))], ["key", "print", "gone"])
+        gone = [deleted(*x) for x in zip(b.column("own").to_pylist(), b.column("marks").to_pylist(), b.column("sketches").to_pylist(), b.column("others").to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([b.column("host"), b.column("page"), pa.array(gone, pa.list_(pa.int32()))], ["host", "page", "gone"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,7 +245,7 @@ def fixed(order: DataFrame, many: int = MANY) -> DataFrame:
     """host, page and gone: the places of lines that nine tenths of a host's distinct pages, marked or not, have at the same place from the start or the end."""
     pages = order.where("host <> '' AND size(own) > 0").groupBy("host", "page").agg(F.first("own").alias("own"), F.first(F.element_at("marks", 1)).alias("marked"))
     pages = cut(pages)
-    n = pages.groupBy("host", "marked").agg(F.count("*").alias("n")).where(F.col("n") >= many)
+    n = few(cut(pages.groupBy("host", "marked").agg(F.count("*").alias("n")).where(F.col("n") >= many)))
     each = pages.select("host", "marked", F.size("own").alias("size"), F.posexplode("own").alias("at", "line"))
     place = each.select("host", "marked", "line", F.explode(F.array("at", F.col("at") - F.col("size"))).alias("place"))
     stable = place.groupBy("host", "marked", "place", "line").agg(F.count("*").alias("c")).join(n, ["host", "marked"]).where("10 * c >= 9 * n")
@@ -238,18 +266,20 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str
     host = F.lower(F.regexp_extract(rest, r"^([^/?#]*)", 1))
     path = F.regexp_replace(F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1), r"(/|\.html?)+$", "")
     rows = pages.select(F.col(key).alias("key"), F.xxhash64(url, page).alias("print"), F.col(url).cast("string").alias("url"), F.coalesce(page, F.lit("")).alias("html"))
-    schema = f"key {kind}, print long, host string, path string, page long, own array<long>, marks array<boolean>"
+    schema = f"key {kind}, print long, host string, path string, page long, own array<long>, marks array<boolean>, sketches array<long>"
     outline = rows.withColumns({"host": F.coalesce(host, F.lit("")), "path": F.coalesce(path, F.lit(""))}).select("key", "print", "host", "path", "html").mapInArrow(_outlines, schema)
-    order = cut(ranked(cut(outline), F.struct("host", "path", "key", "print")))
+    every = cut(outline)
+    # pages with a mark have only lines of their article, which say nothing of what stands around others
+    pages_ = every.where("host <> '' AND NOT exists(marks, m -> m)").groupBy("host", "page").agg(F.min(F.struct("path", "key", "print")).alias("at"), *[F.first(x).alias(x) for x in ("own", "marks", "sketches")])
+    order = cut(ranked(cut(pages_), F.struct("host", "at")))
     near = None
     for k in (*range(-REACH, 0), *range(1, REACH + 1)):
-        one = order.where("host <> ''").select((F.col("rank") + k).alias("r"), F.col("host").alias("h"), F.col("own").alias("other"))
+        one = order.select((F.col("rank") + k).alias("r"), F.col("host").alias("h"), F.struct(F.lit(abs(k)).alias("far"), F.lit(k).alias("k"), "own", "sketches").alias("other"))
         near = one if near is None else near.unionByName(one)
-    open_ = order.where(F.exists("marks", lambda m: ~m))
-    sisters = open_.join(near, (F.col("rank") == F.col("r")) & (F.col("host") == F.col("h"))).groupBy("rank").agg(F.first("key").alias("key"), F.first("print").alias("print"), F.first("own").alias("own"), F.first("marks").alias("marks"), F.collect_list("other").alias("others"))
-    gone = sisters.mapInArrow(_differ, f"key {kind}, print long, gone array<int>").where("size(gone) > 0")
-    same = fixed(order)
-    gone = gone.unionByName(order.select("key", "print", "host", "page").join(few(cut(same), most=most_broadcast), ["host", "page"]).select("key", "print", "gone"))
+    sisters = order.join(near, (F.col("rank") == F.col("r")) & (F.col("host") == F.col("h"))).groupBy("rank").agg(*[F.first(x).alias(x) for x in ("host", "page", "own", "marks", "sketches")], F.array_sort(F.collect_list("other")).alias("others"))
+    gone = sisters.mapInArrow(_differ, "host string, page long, gone array<int>").where("size(gone) > 0").unionByName(fixed(every))
+    gone = few(cut(gone), most=most_broadcast)
+    gone = every.select("key", "print", "host", "page").join(gone, ["host", "page"])
     gone = gone.groupBy("key", "print").agg(F.array_distinct(F.flatten(F.collect_set("gone"))).alias("gone"))
     gone = cut(gone.select(F.col("key").alias("k"), F.col("print").alias("p"), "gone"))
     lost = gone.agg(F.count("*").alias("n"), F.sum(F.size("gone")).alias("m")).first()

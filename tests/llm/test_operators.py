@@ -314,6 +314,24 @@ def test_pages_lines_at_fixed_places_of_articles(spark):
         assert got[k] == (want if k >= 100 else [x for x in want if x not in ("Site motto", "Read our guide", "All rights")]), k
 
 
+def test_pages_with_fewer_own_lines_than_shared_ones(spark):
+    """Short stories under much boilerplate lose it, also beside copies; edited copies take no lines from each other."""
+    rng = random.Random(7)
+    say = lambda n=30: " ".join(rng.choice("abcdefghij") + str(rng.randrange(400)) for _ in range(n))
+    page = "<body><div>Motto</div><div>Home</div><div>Guide</div>{}<div>Contact</div><div>Copyright</div></body>"
+    texts = [[say(), say()] for _ in range(6)]
+    rows = [(i, f"http://g.org/n/{i}", page.format("".join(f"<p>{x}</p>" for x in t))) for i, t in enumerate(texts)]
+    rows += [(100 + i, f"http://g.org/n/2-{i}", rows[2][2]) for i in range(9)]  # copies at neighbouring URLs
+    want = {k: "\n".join(texts[2 if k >= 100 else k]) for k, _, _ in rows}
+    long = [say() for _ in range(8)]
+    for i in range(5):  # one text with a word changed in one line each
+        own = [f"{x} edit{i}" if j == i else x for j, x in enumerate(long)]
+        rows.append((200 + i, f"http://h.org/n/{i}", "".join(f"<p>{x}</p>" for x in own)))
+        want[200 + i] = "\n".join(own)
+    got = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert got == want
+
+
 def test_longest_common_subsequence():
     rng = random.Random(1)
     for _ in range(200):
