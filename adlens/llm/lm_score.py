@@ -1,4 +1,4 @@
-"""Interpolated modified Kneser-Ney model of word pairs, counted in Spark, and log probabilities under it.
+"""Interpolated modified Kneser-Ney model of word pairs or triples, counted in Spark, and log probabilities under it.
 
 Tasks count the pairs of the texts they read and send them, as arrays, to shards by a hash of the first word
 (spread over SALTS shards each, so that a frequent word fills none). A shard adds up its pairs, writes them as
@@ -6,8 +6,9 @@ a sorted array of hashes with their counts into the shared folder, and sends on
 often it follows and leads, with how many partners. Shards by word add those up and write the word table. For
 scoring, workers map these files into memory and look pairs and words up by binary search.
 
-The model has the order 2. Pairs of a large corpus are mostly distinct; an order more would double what is
-shuffled and stored.
+With the order 3, triples are counted first, in shards by a hash of the two words before: these hold all triples of
+a context, so that its sums lie beside them and are sent nowhere. A shard sends on in how many contexts each pair
+stands, as its count (pairs at the beginning of a text keep their own), and how often, for the words' counts.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ SHARD_BYTES = 16 << 20
 #: Tokens counted together in a task.
 CHUNK = 1_000_000
 U64, U32, U8 = np.uint64, np.uint32, np.uint8
+#: What is kept of a triple's context: how often it stands, with how many words once, twice and more.
+SUMS = ("count", "ones", "twos", "more")
 WORD_COLUMNS = (("hash", "<u8"), ("count", "<u8"), ("follows", "<u8"), ("leads", "<u8"), ("ones", "<u8"), ("twos", "<u8"), ("more", "<u8"))
 
 
@@ -52,6 +55,13 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out, before, off
 
 
+def further(lead: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """What stands two before each token and before it, as one hash."""
+    back = np.concatenate([[BEGIN], lead[:-1]]).astype(U64)[: len(lead)]
+    back[off[:-1]] = BEGIN
+    return join2(back, lead)
+
+
 def shard_of(lead: np.ndarray, word: np.ndarray, shards: int) -> np.ndarray:
     return ((mix(lead) % U64(shards) + (mix(word ^ U64(0x5851F42D4C957F2D)) % U64(SALTS)) * U64(max(1, shards // SALTS))) % U64(shards)).astype(np.int32)
 
@@ -92,26 +102,40 @@ def _mapped(path: str, kind: str) -> np.ndarray:
     return np.memmap(path, kind, "r") if os.path.getsize(path) else np.empty(0, kind)
 
 
-def _count(shards: int):
+def _store(path: str, n: np.ndarray) -> None:
+    """Counts as bytes, those of 255 or more in a table beside."""
+    _bytes(f"{path}.n", np.minimum(n, 255).astype(U8).tobytes())
+    _bytes(f"{path}.large", np.stack([np.flatnonzero(n >= 255), n[n >= 255]]).astype("<u8").T.tobytes())
+
+
+def _sent(shard: np.ndarray, word: np.ndarray, lead: np.ndarray, n: np.ndarray, first: np.ndarray | None = None, raw: np.ndarray | None = None) -> Iterator[dict]:
+    """A row of PAIRS for each shard, leads one a run."""
+    order = np.lexsort((lead, shard))
+    word, lead, n, shard = word[order], lead[order], n[order], shard[order]
+    for k, i, j in zip(*np.unique(shard, return_index=True), [*np.flatnonzero(np.diff(shard)) + 1, len(shard)], strict=True):
+        heads = np.flatnonzero(np.concatenate([[True], np.diff(lead[i:j]) != 0]))
+        runs = np.diff(np.append(heads, j - i)).astype(U32)
+        more = {"first": None if first is None else first[order[i:j][heads]].tobytes(), "raw": None if raw is None else raw[order[i:j]].astype(U32).tobytes()}
+        yield {"shard": int(k), "lead": lead[i:j][heads].tobytes(), "runs": runs.tobytes(), "word": word[i:j].tobytes(), "n": n[i:j].astype(U32).tobytes()} | more
+
+
+def _count(shards: int, order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            word, lead = (np.concatenate([x[i] for x in held]) for i in (0, 1))
+            word, lead, *far = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
-            _, at, n = _added(join2(lead, word), np.ones(len(word), np.int64))
-            word, lead = word[at], lead[at]
-            shard = shard_of(lead, word, shards)
-            order = np.lexsort((lead, shard))
-            word, lead, n, shard = word[order], lead[order], n[order], shard[order]
-            for k, i, j in zip(*np.unique(shard, return_index=True), [*np.flatnonzero(np.diff(shard)) + 1, len(shard)], strict=True):
-                heads = np.flatnonzero(np.concatenate([[True], np.diff(lead[i:j]) != 0]))
-                runs = np.diff(np.append(heads, j - i)).astype(U32)
-                yield pa.RecordBatch.from_pydict({"shard": pa.array([int(k)], pa.int32()), "lead": [lead[i:j][heads].tobytes()], "runs": [runs.tobytes()], "word": [word[i:j].tobytes()], "n": [n[i:j].astype(U32).tobytes()]})
+            of = far[0] if far else lead
+            _, at, n = _added(join2(of, word), np.ones(len(word), np.int64))
+            word, of = word[at], of[at]
+            shard = (mix(of) % U64(shards)).astype(np.int32) if far else shard_of(of, word, shards)
+            for row in _sent(shard, word, of, n, lead[at] if far else None):
+                yield pa.RecordBatch.from_pylist([row], SENT)
 
         for b in slices(batches):
-            word, lead, _ = tokens(b.column("text"))
-            held.append((word, lead))
+            word, lead, off = tokens(b.column("text"))
+            held.append((word, lead, further(lead, off)) if order == 3 else (word, lead))
             if sum(len(x[0]) for x in held) >= CHUNK:
                 yield from flush()
         if held:
@@ -120,7 +144,9 @@ def _count(shards: int):
     return run
 
 
-PAIRS = "shard int, lead binary, runs binary, word binary, n binary"
+#: first is the word between in triples, raw how often pairs of triples occur.
+PAIRS = "shard int, lead binary, first binary, runs binary, word binary, n binary, raw binary"
+SENT = pa.schema([("shard", pa.int32()), *[(x, pa.binary()) for x in ("lead", "first", "runs", "word", "n", "raw")]])
 WORDS = "shard int, kind int, hash binary, a binary, b binary, c binary, d binary"
 
 
@@ -128,18 +154,47 @@ def _all(table: pa.Table, column: str, kind: type) -> np.ndarray:
     return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in table.column(column)])
 
 
+def _of_counts(k: int, n: np.ndarray) -> bytes:
+    """A shard and how many of its counts are 1, 2, 3 and 4."""
+    return np.array([k, *(int((n == x).sum()) for x in (1, 2, 3, 4))], U64).tobytes()
+
+
+def _triples(folder: str, shards: int):
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        k = key[0].as_py()
+        runs = _all(table, "runs", U32)
+        lead, first, word = np.repeat(_all(table, "lead", U64), runs), np.repeat(_all(table, "first", U64), runs), _all(table, "word", U64)
+        h, at, n = _added(join2(lead, word), _all(table, "n", U32).astype(np.int64))
+        lead, first, word = lead[at], first[at], word[at]
+        _bytes(f"{folder}/triples-{k}.hash", h.tobytes())
+        _store(f"{folder}/triples-{k}", n)
+        keys, _, total, ones, twos, kinds = _added(lead, n, (n == 1).astype(np.int64), (n == 2).astype(np.int64), np.ones_like(n))
+        _bytes(f"{folder}/contexts-{k}.hash", keys.tobytes())
+        for name, v in zip(SUMS, (total, ones, twos, kinds - ones - twos), strict=True):
+            _store(f"{folder}/contexts-{k}-{name}", v)
+        _, at, ahead, raw = _added(join2(first, word), np.ones_like(n), n)
+        first, word = first[at], word[at]
+        out = list(_sent(shard_of(first, word, shards), word, first, np.where(first == BEGIN, raw, ahead), None, raw))
+        return pa.Table.from_pylist([*out, {"shard": -1, "n": _of_counts(k, n)}], SENT)
+
+    return run
+
+
 def _pairs(folder: str, word_shards: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         k = key[0].as_py()
+        schema = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), *[(x, pa.binary()) for x in ("hash", "a", "b", "c", "d")]])
+        if k < 0:  # the counts of triples' counts, a row a shard
+            return pa.Table.from_pylist([{"shard": -2, "kind": 3, "hash": x.as_py()} for x in table.column("n")], schema)
         lead = np.repeat(_all(table, "lead", U64), _all(table, "runs", U32))
         word = _all(table, "word", U64)
-        h, at, n = _added(join2(lead, word), _all(table, "n", U32).astype(np.int64))
+        n = _all(table, "n", U32).astype(np.int64)
+        h, at, n, raw = _added(join2(lead, word), n, n if table.column("raw").null_count else _all(table, "raw", U32).astype(np.int64))
         lead, word = lead[at], word[at]
         _bytes(f"{folder}/pairs-{k}.hash", h.tobytes())
-        _bytes(f"{folder}/pairs-{k}.n", np.minimum(n, 255).astype(U8).tobytes())
-        _bytes(f"{folder}/pairs-{k}.large", np.stack([np.flatnonzero(n >= 255), n[n >= 255]]).astype("<u8").T.tobytes())
+        _store(f"{folder}/pairs-{k}", n)
         out = []
-        for kind, (keys, *cols) in enumerate([_added(word, n, np.ones_like(n)), _added(lead, n, (n == 1).astype(np.int64), (n == 2).astype(np.int64), np.ones_like(n))]):
+        for kind, (keys, *cols) in enumerate([_added(word, raw, np.ones_like(n)), _added(lead, n, (n == 1).astype(np.int64), (n == 2).astype(np.int64), np.ones_like(n))]):
             cols = cols[1:]
             shard = (mix(keys) % U64(word_shards)).astype(np.int32)
             order = np.argsort(shard, kind="stable")
@@ -148,8 +203,7 @@ def _pairs(folder: str, word_shards: int):
                 i = order[edges[s] : edges[s + 1]]
                 if len(i):
                     out.append((s, kind, keys[i].tobytes(), *[c[i].astype(U32 if c.max() < 1 << 32 else U64).tobytes() for c in cols], *[None] * (4 - len(cols))))
-        out.append((-1, 2, np.array([k, *(int((n == x).sum()) for x in (1, 2, 3, 4))], U64).tobytes(), None, None, None, None))
-        schema = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), *[(x, pa.binary()) for x in ("hash", "a", "b", "c", "d")]])
+        out.append((-1, 2, _of_counts(k, n), None, None, None, None))
         return pa.Table.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
     return run
@@ -198,6 +252,9 @@ class Model:
     vocabulary: int = 0
     pairs: int = 0
     spare: float = 1.0  # what the discounts leave to words never seen, as a share
+    order: int = 2
+    triple_shards: list[int] = field(default_factory=list)
+    triple_discount: np.ndarray | None = None
     files: dict = field(default_factory=dict)
 
     def open(self, path: str, kind: str) -> np.ndarray:
@@ -219,25 +276,32 @@ class Model:
                     out[name][i[ok]] = self.open(f"words-{k}.{name}", kind)[at[ok]]
         return out
 
-    def pair_counts(self, lead: np.ndarray, word: np.ndarray, h: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(h), np.int64)
-        shard = shard_of(lead, word, self.shards)
-        for k in self.pair_shards:
-            i = np.flatnonzero(shard == k)
+    def counts(self, path: str, at: np.ndarray) -> np.ndarray:
+        n = self.open(f"{path}.n", "u1")[at].astype(np.int64)
+        large = self.open(f"{path}.large", "<u8").reshape(-1, 2)
+        if len(large):
+            j = np.minimum(np.searchsorted(large[:, 0], at), len(large) - 1)
+            n = np.where(n == 255, large[j, 1].astype(np.int64), n)
+        return n
+
+    def looked_up(self, kind: str, shards: list[int], shard: np.ndarray, h: np.ndarray, names: tuple[str, ...] = ("",)) -> list[np.ndarray]:
+        """The counts of each name that files of a kind have for each hash, zeros for hashes never seen."""
+        out = [np.zeros(len(h), np.int64) for _ in names]
+        order = np.argsort(shard, kind="stable")
+        edges = np.searchsorted(shard[order], np.arange(self.shards + 1))
+        for k in shards:
+            i = order[edges[k] : edges[k + 1]]
             if len(i):
-                keys = self.open(f"pairs-{k}.hash", "<u8")
+                keys = self.open(f"{kind}-{k}.hash", "<u8")
                 at = np.minimum(np.searchsorted(keys, h[i]), len(keys) - 1)
-                n = self.open(f"pairs-{k}.n", "u1")[at].astype(np.int64)
-                large = self.open(f"pairs-{k}.large", "<u8").reshape(-1, 2)
-                if len(large):
-                    j = np.minimum(np.searchsorted(large[:, 0], at), len(large) - 1)
-                    n = np.where(n == 255, large[j, 1].astype(np.int64), n)
-                out[i] = np.where(keys[at] == h[i], n, 0)
+                ok = keys[at] == h[i]
+                for v, name in zip(out, names, strict=True):
+                    v[i[ok]] = self.counts(f"{kind}-{k}{name}", at[ok])
         return out
 
-    def score(self, word: np.ndarray, lead: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each token after its lead: log10 probability, log10 base probability, and whether it was seen."""
-        h, at, back = np.unique(join2(lead, word), return_index=True, return_inverse=True)
+    def score(self, word: np.ndarray, lead: np.ndarray, far: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each token after its lead, in the order 3 after the hash of both before it: log10 probability, log10 base probability, and whether it was seen."""
+        g, at, back = np.unique(join2(lead if far is None else far, word), return_index=True, return_inverse=True)
         w, v = word[at], lead[at]
         every, where = np.unique(np.concatenate([w, v]), return_inverse=True)
         table = self.words(every)
@@ -245,16 +309,25 @@ class Model:
         follows, count = table["follows"][of_w], table["count"][of_w]
         p = np.maximum(follows - self.word_discount[np.minimum(follows, 3)], 0) / max(1, self.pairs) + self.spare / (self.vocabulary + 1)
         leads = table["leads"][of_v]
-        n = self.pair_counts(v, w, h)
+        n = self.looked_up("pairs", self.pair_shards, shard_of(v, w, self.shards), join2(v, w))[0]
         d = self.pair_discount
         left = d[1] * table["ones"][of_v] + d[2] * table["twos"][of_v] + d[3] * table["more"][of_v]
         p = np.where(leads > 0, (np.maximum(n - d[np.minimum(n, 3)], 0) + left * p) / np.maximum(leads, 1), p)
+        if far is not None:
+            c = far[at]
+            shard = (mix(c) % U64(self.shards)).astype(np.int32)
+            n = self.looked_up("triples", self.triple_shards, shard, g)[0]
+            leads, ones, twos, more = self.looked_up("contexts", self.triple_shards, shard, c, tuple(f"-{x}" for x in SUMS))
+            d = self.triple_discount
+            p = np.where(leads > 0, (np.maximum(n - d[np.minimum(n, 3)], 0) + (d[1] * ones + d[2] * twos + d[3] * more) * p) / np.maximum(leads, 1), p)
         base = np.log10((count + 1) / (self.tokens + self.vocabulary + 1))
         return np.log10(p)[back], base[back], (count > 0)[back]
 
 
-def fit(docs: DataFrame, text: str = "text") -> Model:
-    """Count all rows of docs, null texts as empty. The files stay in the shared folder until the program ends."""
+def fit(docs: DataFrame, text: str = "text", order: int = 2) -> Model:
+    """Count all rows of docs, null texts as empty; the order is 2 or 3. The files stay in the shared folder until the program ends."""
+    if order not in (2, 3):
+        raise ValueError(f"order {order}: 2 or 3")
     spark = docs.sparkSession
     folder = f"{shared_dir(spark).removesuffix('/')}/kn-{uuid.uuid4().hex}"
     if folder.startswith("file:"):
@@ -265,17 +338,20 @@ def fit(docs: DataFrame, text: str = "text") -> Model:
     rows = docs.select(F.col(text).alias("text"))
     size = rows.agg(F.sum(F.length(F.col("text").cast("binary")))).first()[0] or 0
     shards, word_shards = max(4, -(-size // SHARD_BYTES)), max(4, -(-size // (4 * SHARD_BYTES)))
-    counted = rows.mapInArrow(_count(shards), PAIRS).groupBy("shard").applyInArrow(_pairs(folder, word_shards), WORDS)
+    counted = rows.mapInArrow(_count(shards, order), PAIRS)
+    if order == 3:
+        counted = counted.groupBy("shard").applyInArrow(_triples(folder, shards), PAIRS)
+    counted = counted.groupBy("shard").applyInArrow(_pairs(folder, word_shards), WORDS)
     # a number of rows bounded by the shards
     got = {r["shard"]: r["sums"] for r in counted.groupBy("shard").applyInArrow(_words(folder), "shard int, sums array<long>").collect()}
-    n = got.pop(-1, [0] * 4)
+    n, triples = got.pop(-1, [0] * 4), got.pop(-2, [0] * 4)
     total = np.sum(list(got.values()), axis=0).tolist() if got else [0] * 8
-    pair_shards = [k for k in range(shards) if "://" in folder or os.path.exists(f"{folder}/pairs-{k}.hash")]
+    pair_shards, triple_shards = ([k for k in range(shards) if "://" in folder or os.path.exists(f"{folder}/{x}-{k}.hash")] for x in ("pairs", "triples"))
     tokens_, vocabulary, pairs, *ones, kinds = total
     d = discounts(ones)
     more = kinds - ones[0] - ones[1]
     spare = (d[1] * ones[0] + d[2] * ones[1] + d[3] * more) / pairs if pairs else 1.0
-    return Model(folder, pair_shards, shards, sorted(got), word_shards, discounts(n), d, tokens_, vocabulary, pairs, spare)
+    return Model(folder, pair_shards, shards, sorted(got), word_shards, discounts(n), d, tokens_, vocabulary, pairs, spare, order, triple_shards, discounts(triples))
 
 
 def score(docs: DataFrame, model: Model, keep: list[Column], text: str = "text") -> DataFrame:
@@ -291,7 +367,7 @@ def score(docs: DataFrame, model: Model, keep: list[Column], text: str = "text")
         m = shared.value
         for b in slices(batches, "text_"):
             word, lead, off = tokens(b.column("text_"))
-            p, base, known = m.score(word, lead)
+            p, base, known = m.score(word, lead, further(lead, off) if m.order == 3 else None)
             p, n = sums_by_row(p, off), np.diff(off)
             out = [n, sums_by_row(known.astype(np.int64), off).astype(np.int64), np.full(len(n), m.tokens), sums_by_row(base, off), p, 10.0 ** np.minimum(-p / n, 300)]
             yield pa.RecordBatch.from_arrays([*(b.column(x) for x in names), *(pa.array(x) for x in out)], [*names, "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"])

@@ -60,7 +60,7 @@ def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probabilities of every document under a model of six sevenths of them, and those of single words."""
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(crc_mod(F.col("doc_id"), 7) == 2, F.lit(False))
-    return lm_score.score(docs, lm_score.fit(docs.where(~held_out)), [F.col("doc_id"), held_out.alias("held_out")])
+    return lm_score.score(docs, lm_score.fit(docs.where(~held_out), order=3), [F.col("doc_id"), held_out.alias("held_out")])
 
 
 def op9_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -236,6 +236,44 @@ def test_language_model(docs, none):
     assert {(r["score"], r["n_known"]) for r in lm_score.score(docs.where("doc_id = 200"), lm_score.fit(none), [F.col("doc_id")]).collect()} == {(0.0, 0)}
 
 
+def test_language_model_of_triples(docs, none):
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    texts_ = [(k, [*WORD.findall(LOW(t)), None]) for k, t in rows]
+    is_held = F.coalesce(F.col("doc_id") % 4 == 0, F.lit(False))
+    grams = lambda t: list(zip([0, 0, *t[:-2]][: len(t)], [0, *t[:-1]], t, strict=True))
+    three = collections.Counter(g for k, t in texts_ if k is None or k % 4 for g in grams(t))
+    raw, two, one = collections.Counter(), collections.Counter(), collections.Counter()
+    for (_, b, w), c in three.items():
+        raw[b, w] += c
+        two[b, w] += c if b == 0 else 1
+    for _, w in two:
+        one[w] += 1
+    d3, d2, d1 = (lm_score.discounts([sum(c == i for c in x.values()) for i in (1, 2, 3, 4)]) for x in (three, two, one))
+    sums = collections.defaultdict(list)
+    for x in (three, two):
+        for g, c in x.items():
+            sums[g[:-1]].append(c)
+    words, spare = len(one), sum(d1[min(c, 3)] for c in one.values()) / len(two)
+
+    def p(a, b, w):
+        q = max(one[w] - d1[min(one[w], 3)], 0) / len(two) + spare / (words + 1)
+        for context, n, d in (((b,), two[b, w], d2), ((a, b), three[a, b, w], d3)):
+            if s := sums.get(context):
+                q = (max(n - d[min(n, 3)], 0) + sum(d[min(c, 3)] for c in s) * q) / sum(s)
+        return q
+
+    for a, b in [(0, 0), *list({g[:2] for g in three})[:5]]:
+        assert sum(p(a, b, w) for w in one) + p(a, b, "never") == pytest.approx(1)
+    n = sum(raw.values())
+    got = lm_score.score(docs, lm_score.fit(docs.where(~is_held), order=3), [F.col("doc_id")]).collect()
+    count = collections.Counter()
+    for (_, w), c in raw.items():
+        count[w] += c
+    want = sorted((str(k), len(t), sum(count[w] > 0 for w in t), n, round(sum(math.log10((count[w] + 1) / (n + words + 1)) for w in t), 4), round(sum(math.log10(p(*g)) for g in grams(t)), 4)) for k, t in texts_)
+    assert sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 4), round(r["score"], 4)) for r in got) == want
+    assert {r["score"] for r in lm_score.score(docs.where("doc_id = 200"), lm_score.fit(none, order=3), [F.col("doc_id")]).collect()} == {0.0}
+
+
 def test_secrets(spark, docs, none):
     key = "AKIA" + "B" * 16
     bare = "abcdEFGH/+" * 4
