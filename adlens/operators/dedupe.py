@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from adlens.functions import band, money, text, urls
 from adlens.operators import gates
+from adlens.operators.staging import written
 
-KEYS = ("council_", "title_words_", "path_", "host_", "mirror_", "score_", "work_", "place_", "closing_", "closing_text_", "pay_", "band_", "seq_")
+KEYS = ("council_", "title_words_", "path_", "host_", "mirror_", "score_", "work_", "place_", "closing_", "closing_text_", "pay_", "band_", "seq_", "page_")
 
 
 def quality_score() -> Column:
@@ -80,15 +81,51 @@ def _council(pdf: pd.DataFrame) -> pd.DataFrame:
     by_path: dict[str, list[dict]] = {}
     for r in rows:
         by_path.setdefault(r["path_"], []).append(r)
-    first = [r for group in by_path.values() for r in _greedy(group, lambda a, b: _alike(a["title_words_"], b["title_words_"]))]
+    # pages in the order of their first rows in the council, which may be in another group
+    first = [r for group in sorted(by_path.values(), key=lambda g: g[0]["page_"]) for r in _greedy(group, lambda a, b: _alike(a["title_words_"], b["title_words_"]))]
     return pd.DataFrame({"seq_": [r["seq_"] for r in _greedy(first, _same)]}, dtype="int64")
 
 
+#: All words, pairs and triples of words of a title.
+SUBSETS = """concat(transform(w, x -> array(x)), flatten(transform(w, (x, i) -> transform(slice(w, i + 2, size(w)), y -> array(x, y)))),
+    flatten(flatten(transform(w, (x, i) -> transform(slice(w, i + 2, size(w)), (y, j) -> transform(slice(w, i + j + 3, size(w)), z -> array(x, y, z)))))))"""
+DETAILS = ("work_", "place_", "closing_", "closing_text_", "pay_")
+
+
+def _links(keys: DataFrame) -> DataFrame:
+    """seq_ and key_: rows that can be the same have a key in common.
+
+    Such titles share three words, or all words of a shorter one; and such rows share their page, or host and a
+    detail, or one of them is a mirror.
+    """
+    each = keys.withColumn("w", F.array_sort("title_words_")).withColumn("subset_", F.explode(F.expr(SUBSETS)))
+    whole = F.col("council_").eqNullSafe(F.col("c_")) & (F.col("subset_") == F.col("s_"))
+    blocks = each.groupBy(F.col("council_").alias("c_"), F.col("subset_").alias("s_")).agg(F.count("*").alias("n_"), F.bool_or(F.size("w") == F.size("subset_")).alias("short_"), F.bool_or("mirror_").alias("any_mirror_"))
+    both = each.join(blocks.where("n_ > 1 AND (short_ OR size(s_) = 3)"), whole)
+    of = lambda name, *c: F.xxhash64("council_", "subset_", F.lit(name), *c)
+    aspects = [of("path", "path_"), *[F.when((F.col("host_") != "") & (F.col(d) != ""), of(d, "host_", d)) for d in DETAILS], F.when(F.col("any_mirror_"), of("mirror"))]
+    return both.select("seq_", F.explode(F.array_compact(F.array(*aspects))).alias("key_"))
+
+
+def _groups(keys: DataFrame) -> DataFrame:
+    """seq_ and group_, the least seq_ that chains of common keys lead to, for rows with such a key."""
+    links = written(_links(keys).distinct())
+    links = written(links.join(links.groupBy("key_").agg(F.count("*").alias("n_")).where("n_ > 1").select("key_"), "key_"))
+    now, state = links.select("seq_").distinct().withColumn("group_", F.col("seq_")), None
+    while True:
+        least = links.join(now, "seq_").groupBy("key_").agg(F.min("group_").alias("group_"))
+        now = written(links.join(least, "key_").groupBy("seq_").agg(F.min("group_").alias("group_")))
+        total = now.agg(F.sum(F.col("group_").cast("decimal(38,0)"))).first()[0]  # labels only become less
+        if total == state:
+            return now
+        state = total
+
+
 def dedupe(rows: DataFrame, seq: str) -> DataFrame:
     """Rows without exact, same-page and mirrored duplicates. `seq` is a whole number that orders rows.
 
-    Greedy steps depend on the order of rows but never match across councils: each council is worked on by itself,
-    with keys only, and a board holds few rows of one (gates.MOST_PER_RUN a run).
+    Greedy steps depend on the order of rows but never match across councils, nor rows that no chain of possible
+    duplicates links: each group of linked rows is worked on by itself, with keys only.
     """
     low = lambda c: F.lower(text.compact(F.col(c)))
     exact = best_of_exact(rows, seq)
@@ -97,5 +134,9 @@ def dedupe(rows: DataFrame, seq: str) -> DataFrame:
         urls.is_mirror(F.col("job_url")).alias("mirror_"), "score_", low("work_type").alias("work_"), low("location_text").alias("place_"), low("closing_at").alias("closing_"), low("closing_at_text").alias("closing_text_"),
         pay_signature().alias("pay_"), band.parse(F.col("standard_band_number")).isNotNull().alias("band_"), F.col("seq_").cast("long").alias("seq_"),
     )
-    kept = keys.groupBy("council_").applyInPandas(_council, "seq_ long")
+    keys = written(keys)
+    pages = keys.groupBy(F.col("council_").alias("c_"), F.col("path_").alias("p_")).agg(F.min("seq_").alias("page_"))
+    keys = keys.join(pages, F.col("council_").eqNullSafe(F.col("c_")) & F.col("path_").eqNullSafe(F.col("p_"))).drop("c_", "p_")
+    grouped = keys.join(_groups(keys), "seq_", "left").withColumn("group_", F.coalesce("group_", "seq_"))
+    kept = grouped.groupBy("council_", "group_").applyInPandas(_council, "seq_ long")
     return exact.join(kept, "seq_", "left_semi").drop("score_", "seq_")

@@ -1,5 +1,7 @@
 """Every registered query against its SQL, and invariants of order-sensitive operators."""
 
+import random
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -71,3 +73,29 @@ def test_mirror_is_dropped(spark):
     schema = "council_key string, job_title string, job_url string, standard_band_number int, seq long, " + ", ".join(f"{c} string" for c in base)
     df = spark.createDataFrame([tuple(r[c.split()[0]] for c in schema.split(", ")) for r in rows], schema).withColumns({"advertised_salary_text": F.lit(None).cast("string"), "advertised_salary_min": F.lit(None).cast("double"), "advertised_salary_max": F.lit(None).cast("double")})
     assert [r["seq"] for r in dedupe.dedupe(df, "seq").select("seq").collect()] == [1]
+
+
+def test_fuzzy_duplicates_in_linked_groups(spark):
+    """Groups of rows that may be the same give what the greedy steps over whole councils give, and no group is a whole council."""
+    rng, texts = random.Random(11), "location_text work_type closing_at closing_at_text description_text classification_status classification_band observed_status advertised_salary_period advertised_salary_text".split()
+    rows = []
+    for i in range(500):
+        host = rng.choice(["c.vic.gov.au", "au.jora.com", "d.vic.gov.au", "e.vic.gov.au"])
+        title = " ".join(rng.choice(["x", "y", "z"]) + w for w in rng.sample("parks lead civil works health nurse senior".split(), rng.randint(2, 5)))
+        more = {c: "" for c in texts} | {"work_type": rng.choice(["", "full", "part"]), "location_text": rng.choice(["", "North", "South"])}
+        rows.append((rng.choice(["C", "D", None]), title, f"https://{host}/jobs/{rng.randrange(40)}", rng.choice([None, 5]), i, None, None, *[more[c] for c in texts]))
+    df = spark.createDataFrame(rows, "council_key string, job_title string, job_url string, standard_band_number int, seq long, advertised_salary_min double, advertised_salary_max double, " + ", ".join(f"{c} string" for c in texts)).repartition(3)
+    sizes, council, linked = spark.sparkContext.accumulator(0), dedupe._council, dedupe._groups
+
+    def counted(pdf):
+        sizes.add(1)
+        return council(pdf)
+
+    try:
+        dedupe._council = counted
+        got = {r["seq"] for r in dedupe.dedupe(df, "seq").select("seq").collect()}
+        groups, dedupe._groups = sizes.value, lambda keys: keys.select("seq_", F.lit(0).alias("group_"))
+        want = {r["seq"] for r in dedupe.dedupe(df, "seq").select("seq").collect()}
+    finally:
+        dedupe._council, dedupe._groups = council, linked
+    assert got == want and 0 < len(got) < 500 and groups > 3
