@@ -1,19 +1,24 @@
 """Main text of web pages, by differencing each page with the pages nearest to it by URL.
 
-A page is read into lines, one a block. Elements that are never main text (scripts, menus, forms, adverts,
-comments, by tag, class, id or role) are left out, and where the page marks an article, lines outside it.
-Pages are ordered by host and path; each is aligned with its nearest neighbours of the same host by longest
-common subsequence of lines, and lines that most of them share are deleted. Equal pages count as one. A neighbour whose other lines are the page's
-own with a few words changed is a copy of it, not a sister, and deletes nothing. Where the page itself marks its article, articles
-of one host may quote the same passage, and differencing by neighbours would take it from them: there a line goes
-only where nine tenths of a host's distinct pages, MANY at least, have it at the same place from the start or the end.
+A page is read into lines, one a block. Pages are ordered by host and path; every page, whether it marks an article or
+not, is aligned with its nearest distinct neighbours of the same host by longest common subsequence of lines, and lines
+that they share are deleted. A neighbour whose other lines are the page's own with a few words changed is a copy of
+it, not a sister, and has no vote.
+
+* On a page without a marked article a line goes that three quarters of the VOTERS nearest sisters share.
+* In a marked article, articles of one host may quote the same passage. A line goes only where SURE sisters at least vote,
+  seven eighths of all in reach share it, and stand it at the same place from the start or the end of their articles;
+  an article never loses its last line.
+
+What neighbours can't tell, as pages differ in it too, is told by markup: elements that are never main text (menus,
+footers, asides, form controls, scripts), and those that class, id or role calls adverts, notices, comments and the
+like. Such a word weighs, but an element is kept that holds the article, or over four times the text of all else that stays.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -23,14 +28,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from adlens.llm.common import cut, few, mix, slices
+from adlens.llm.common import cut, few, join2, mix, slices, word_hashes
 from adlens.llm.mixing import ranked
 
+#: Attributes end at the first > outside quotes. A quote that nothing fit for the end of a value closes is no quote.
+ATTRS = r"(?:\"[^\"<]*+\"|'[^'<]*+'|\"[^\"]*+\"(?=[\s/>])|'[^']*+'(?=[\s/>])|[^>\"'])*+"
 #: Raw text up to the end tag; the tokens of markup. A comment or raw element that is never closed takes the rest.
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(script|style|noscript|template|textarea|iframe|svg|xmp|noembed|noframes)\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</\1\s*[^>]*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)",
+    rf"|<(script|style|noscript|template|textarea|iframe|svg|xmp|noembed|noframes)\b(?:{ATTRS}>|[^>]*>).*?(?:</\1\s*[^>]*>|\Z)"
+    rf"|<(/?)([a-zA-Z][^\s/>]*)(?:({ATTRS})(?:>|\Z)|([^>]*)(?:>|\Z))",
     re.S | re.I,
 )
 ATTR = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
@@ -38,82 +45,94 @@ BLOCKS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section select summary table tbody tfoot thead title tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements that are never main text.
-OUT = frozenset("head nav footer aside form button select menu dialog object canvas audio video map fieldset label".split())
-#: Words of class, id or role that mark what is never main text.
+#: Elements that are never main text; a form may wrap a whole page.
+OUT = frozenset("head nav footer aside button select menu dialog object canvas audio video map fieldset label".split())
+#: Words of class, id or role that speak against main text, as the first or last word of a name.
 OUT_WORDS = frozenset(
     "ad ads advert adverts advertisement adbox adslot sponsor sponsored sponsors promo promotion promoted banner nav navbar navigation menu menubar sidebar sidebars side aside complementary footer contentinfo masthead breadcrumb breadcrumbs pagination pager cookie cookies consent gdpr notice notices alert popup modal overlay dialog newsletter subscribe subscription signup login search share sharing social related recommended recommendations trending widget widgets toolbar comment comments commentlist reply replies respond discussion disqus feedback form skip".split()
 )
+COMMENTS = frozenset("comment comments commentlist reply replies respond discussion disqus feedback".split())
+#: Names with such a word say how a page is laid out, not what the element is.
+LAYOUT = frozenset("has no not with without by is open opened closed enabled disabled free allow allows".split())
 #: Kept inside an article, where they hold its headline.
 HEADS = frozenset({"header"})
-COMMENTS = frozenset("comment comments commentlist reply replies respond discussion disqus feedback".split())
-WORD = re.compile(r"[a-z]+")
+PARAGRAPH_ENDS = ("p", "div", "article", "main", "section", "body", "td", "li")
+ITEM_ENDS = ("li", "ul", "ol", "menu")
+NAME = re.compile(r"[a-z]+")
 SEEDS = mix(np.arange(1, 9, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-#: How far neighbours are looked for in the order of URLs.
-REACH = 4
-#: The nearest sisters that vote.
+#: So many nearest neighbours in the order of URLs are compared, on either side or, at the ends of a host, on one.
+REACH = 8
+#: The nearest sisters that vote on pages without an article, and how many must vote on lines of one.
 VOTERS = 4
-#: Distinct pages that a host needs for its lines at fixed places to be told.
-MANY = 10
+SURE = 6
+#: Pages compared in one group, besides REACH beyond either end.
+BLOCK = 64
+NEVER, WEAK, TALK = 1, 2, 3
 
 
-def _role(tag: str, attrs: str, in_article: bool) -> str:
-    """'' for content, 'out' for what isn't main text, 'comments' for readers' comments."""
-    words: set[str] = set()
+def _kind(tag: str, attrs: str, in_article: bool) -> int:
+    """0 for content, NEVER, WEAK where only a name or a form speaks against it, TALK for readers' comments."""
+    names: list[list[str]] = []
     hidden = False
     if attrs:
         for m in ATTR.finditer(attrs):
             name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if name in ("class", "id", "role"):
-                words.update(WORD.findall(value.lower()))
+                names += [NAME.findall(x) for x in value.lower().split()]
             elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
                 hidden = True
     if tag in ("html", "body", "main"):
-        return ""
+        return 0
+    words = {x for n in names if n and LAYOUT.isdisjoint(n) for x in (n[0], n[-1])}
     if words & COMMENTS:
-        return "comments"
-    if tag in OUT or hidden or words & OUT_WORDS:
-        return "out"
-    if (tag in HEADS or words & HEADS) and not in_article:
-        return "out"
-    return ""
-
-
-def lines(page: str) -> tuple[list[str], list[bool]]:
-    """The page's lines outside of what is never main text, and whether each stands in a marked article."""
-    out: list[str] = []
-    marks: list[bool] = []
+        return TALK
+    if tag in OUT or hidden or tag in HEADS and not in_article:
+        return NEVER
+    return WEAK if tag == "form" or words & OUT_WORDS or words & HEADS and not in_article else 0
+
+
+def lines(page: str) -> tuple[list[str], bool]:
+    """The lines of the page that markup doesn't rule out, and whether they stand in a marked article."""
+    found: list[tuple[str, int, bool]] = []  # text, the innermost element that may be left out, whether in an article
+    outs: list[list] = []  # of such elements: the one around it, kind, characters of its own, whether it holds an article
     buf: list[str] = []
-    stack: list[tuple[str, str]] = []  # open elements and their roles
-    dropped = articles = 0
+    stack: list[tuple[str, int]] = []  # open elements, with what may be left out around each
+    open_: defaultdict[str, list[int]] = defaultdict(list)  # their places by tag
+    out, articles, plain = -1, 0, False
 
     def flush() -> None:
         if buf:
             if text := " ".join(html.unescape("".join(buf)).split()):
-                out.append(text)
-                marks.append(articles > 0)
+                found.append((text, out, articles > 0))
+                if out >= 0:
+                    outs[out][2] += len(text)
             buf.clear()
 
     def pop(n: int) -> None:
-        nonlocal dropped, articles
-        for tag, role in stack[n:]:
-            dropped -= role != ""
+        nonlocal out, articles
+        for tag, _ in reversed(stack[n:]):
+            open_[tag].pop()
             articles -= tag == "article" or tag == "main"
-        del stack[n:]
+        if n < len(stack):
+            out = stack[n][1]
+            del stack[n:]
+
+    def last(tags: tuple[str, ...]) -> int:
+        return max((open_[t][-1] for t in tags if open_[t]), default=-1)
 
     at = 0
     for m in TOKEN.finditer(page):
-        if m.start() > at and not dropped:
+        if m.start() > at:
             buf.append(page[at : m.start()])
         at = m.end()
         if m[3] is None:
-            if m[1] is None and m[0].startswith("<![CDATA[") and not dropped:
+            if m[1] is None and m[0].startswith("<![CDATA["):
                 buf.append(m[0][9:].removesuffix("]]>"))
             continue
-        tag = m[3].lower()
+        tag, attrs = m[3].lower(), m[4] if m[4] is not None else m[5]
         if m[2]:
-            n = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), -1)
-            if tag in BLOCKS or n >= 0 and stack[n][1]:
+            n = open_[tag][-1] if open_[tag] else -1
+            if tag in BLOCKS or n >= 0 and stack[n][1] != out:
                 flush()
             if n >= 0:
                 pop(n)
@@ -122,66 +141,124 @@ def lines(page: str) -> tuple[list[str], list[bool]]:
             flush()
         elif tag in ("br", "td", "th"):
             buf.append(" ")
-        if tag in VOID or m[4].endswith("/") and tag not in BLOCKS:
+        if tag in VOID or attrs.endswith("/") and tag not in BLOCKS:
             continue
-        if tag == "p" and (n := next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in ("p", "div", "article", "main", "section", "body", "td", "li")), -1)) >= 0 and stack[n][0] == "p":
+        if tag == "p" and (n := last(PARAGRAPH_ENDS)) >= 0 and stack[n][0] == "p":
             pop(n)  # a paragraph ends where the next one starts
-        if tag == "li" and (n := next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in ("li", "ul", "ol", "menu")), -1)) >= 0 and stack[n][0] == "li":
+        if tag == "li" and (n := last(ITEM_ENDS)) >= 0 and stack[n][0] == "li":
             pop(n)
-        role = _role(tag, m[4], articles > 0)
-        if tag in ("article", "main") and not role and dropped and not any(r == "comments" or t == "aside" for t, r in stack):
-            pop(0)  # what came before was never closed
         if tag == "body":
             pop(0)
-        if role and not dropped:
+        kind = _kind(tag, attrs, articles > 0)
+        around = out
+        if kind:
             flush()
-        stack.append((tag, role))
-        dropped += role != ""
-        articles += tag in ("article", "main")
-    if at < len(page) and not dropped:
+            outs.append([out, kind, 0, False])
+            out = len(outs) - 1
+        stack.append((tag, around))
+        open_[tag].append(len(stack) - 1)
+        if tag == "article" or tag == "main":
+            articles += 1
+            plain = plain or out < 0
+            k = out
+            while kind != TALK and k >= 0 and not outs[k][3]:
+                outs[k][3] = True
+                k = outs[k][0]
+    if at < len(page):
         buf.append(page[at:])
     flush()
-    if any(marks):
-        out, marks = [x for x, y in zip(out, marks, strict=True) if y], [True] * sum(marks)
-    return out, marks
+    return _kept(found, outs, plain)
+
 
+def _kept(found: list[tuple[str, int, bool]], outs: list[list], plain: bool) -> tuple[list[str], bool]:
+    """What stays of the lines: an element that may be left out stays where the main text is nowhere else.
 
-def shared(a: list[int], b: list[int]) -> list[int]:
-    """The places in `a` of a longest common subsequence of a and b."""
-    start = 0
-    while start < min(len(a), len(b)) and a[start] == b[start]:
+    plain tells that there is an article besides those elements, if an empty one.
+    """
+    marked = any(o < 0 and a for _, o, a in found)
+    size = sum(len(t) for t, o, _ in found if o < 0)
+    gone = []
+    for around, kind, own, holds in outs:
+        if around >= 0 and gone[around]:
+            gone.append(True)
+        elif not marked and (holds and kind != TALK or kind == WEAK and not plain and own > 4 * size):
+            gone.append(False)
+            size += own
+        else:
+            gone.append(True)
+    rest = [(t, a) for t, o, a in found if o < 0 or not gone[o]]
+    marked = any(a for _, a in rest)
+    return [t for t, a in rest if a or not marked], marked
+
+
+def shared(a: list[int], b: list[int]) -> list[tuple[int, int]]:
+    """The places in a and in b of a longest common subsequence.
+
+    What both start or end with is matched first. Of the rest, a bit a line of b tells for each line of a where the
+    subsequence grows; rows of bits are kept at every so many lines and worked out again on the way back.
+    """
+    start, least = 0, min(len(a), len(b))
+    while start < least and a[start] == b[start]:
         start += 1
     end = 0
-    while end < min(len(a), len(b)) - start and a[-1 - end] == b[-1 - end]:
+    while end < least - start and a[-1 - end] == b[-1 - end]:
         end += 1
-    places = defaultdict(list)
-    for j in range(len(b) - end - 1, start - 1, -1):
-        places[b[j]].append(j)
-    tails: list[int] = []
-    ends: list[tuple] = []  # for each length, the best chain's last place in a and the chain before
-    for i in range(start, len(a) - end):
-        for j in places.get(a[i], ()):
-            k = bisect_left(tails, j)
-            chain = (i, ends[k - 1] if k else None)
-            if k == len(tails):
-                tails.append(j)
-                ends.append(chain)
-            elif j < tails[k]:
-                tails[k] = j
-                ends[k] = chain
-    middle: list[int] = []
-    chain = ends[-1] if ends else None
-    while chain:
-        middle.append(chain[0])
-        chain = chain[1]
-    return [*range(start), *reversed(middle), *range(len(a) - end, len(a))]
-
-
-def sketch(line: str) -> int:
-    """Eight bytes, each from the least of one hash of the line's pairs of words: edited lines agree in most bytes."""
-    words = line.split()
-    pairs = np.array([xxh64_intdigest(f"{a} {b}".encode("utf-8", "surrogatepass")) for a, b in zip(words, words[1:] or [""], strict=False)], np.uint64)
-    return int.from_bytes(bytes(int(mix(pairs ^ s).min()) & 255 for s in SEEDS), "little", signed=True)
+    x, y = a[start : len(a) - end], b[start : len(b) - end]
+    middle: list[tuple[int, int]] = []
+    if x and y:
+        masks: defaultdict[int, int] = defaultdict(int)
+        wanted = set(x)
+        for j, v in enumerate(y):
+            if v in wanted:
+                masks[v] |= 1 << j
+        full = (1 << len(y)) - 1
+        every = max(16, int(len(x) ** 0.5))
+
+        def rows(at: int, to: int, v: int) -> list[int]:
+            kept = [v]
+            for i in range(at, to):
+                if m := masks.get(x[i], 0):
+                    u = v & m
+                    v = ((v + u) | (v - u)) & full
+                kept.append(v)
+            return kept
+
+        stops = [full]
+        for i in range(0, len(x), every):
+            stops.append(rows(i, min(i + every, len(x)), stops[-1])[-1])
+        j = len(y)
+        for k in range(len(stops) - 2, -1, -1):
+            first = k * every
+            block = rows(first, min(first + every, len(x)), stops[k])
+            i = len(block) - 1
+            while i and j:
+                if block[i] >> (j - 1) & 1:
+                    j -= 1
+                elif block[i - 1] >> (j - 1) & 1:
+                    i, j = i - 1, j - 1
+                    middle.append((start + first + i, start + j))
+                else:
+                    i -= 1
+    tail = [(len(a) - k, len(b) - k) for k in range(end, 0, -1)]
+    return [*((i, i) for i in range(start)), *reversed(middle), *tail]
+
+
+def sketches(text: list[str]) -> np.ndarray:
+    """Eight bytes a line, each from the least of one hash of the line's pairs of words: edited lines agree in most bytes."""
+    words, first = word_hashes(pa.array(text, pa.string()), lower=False)
+    out = np.zeros(len(text), np.uint64)
+    full = np.flatnonzero(np.diff(first) > 0)
+    if len(full):
+        after = np.zeros(len(words), np.uint64)
+        after[:-1] = words[1:]
+        after[first[1:][full] - 1] = 0
+        pairs = join2(words, after)
+        single = np.ones(len(words), bool)
+        single[first[1:][full] - 1] = np.diff(first)[full] == 1  # the last word leads no pair unless it is alone
+        for k, seed in enumerate(SEEDS):
+            h = np.where(single, mix(pairs ^ seed), np.uint64(0xFFFFFFFFFFFFFFFF))
+            out[full] |= (np.minimum.reduceat(h, first[:-1][full]) & np.uint64(255)) << np.uint64(8 * k)
+    return out.view(np.int64)
 
 
 def edited(a: list[int], b: list[int]) -> int:
@@ -200,36 +277,55 @@ def copies(a: list[int], b: list[int]) -> bool:
     return not a or 2 * edited(a, b) >= len(a)
 
 
-def deleted(own: list[int], marks: list[bool], sketches: list[int], others: list[dict]) -> list[int]:
-    """The places of the lines outside a marked article that three quarters of the nearest sisters share."""
+def deleted(own: list[int], marked: bool, sketches: list[int], others: list[tuple[list[int], list[int]]]) -> list[int]:
+    """The places of the lines that the page shares with its sisters, given neighbours' lines and sketches, the nearest first."""
     votes: Counter[int] = Counter()
     sisters = 0
-    for other in others:
-        common = shared(own, other["own"])
-        mine, theirs = set(common), set(shared(other["own"], own))
-        if sisters < VOTERS and not copies([x for i, x in enumerate(sketches) if i not in mine], [x for i, x in enumerate(other["sketches"]) if i not in theirs]):
-            votes.update(common)
-            sisters += 1
-    return [i for i, n in sorted(votes.items()) if 4 * n >= 3 * sisters and not marks[i]]
+    for theirs, marks in others:
+        if not marked and sisters == VOTERS:
+            break
+        both = shared(own, theirs)
+        mine, them = {i for i, _ in both}, {j for _, j in both}
+        if copies([x for i, x in enumerate(sketches) if i not in mine], [x for j, x in enumerate(marks) if j not in them]):
+            continue
+        sisters += 1
+        votes.update(i for i, j in both if not marked or i == j or len(own) - i == len(theirs) - j)
+    if not marked:
+        return [i for i, n in sorted(votes.items()) if 4 * n >= 3 * sisters]
+    gone = [i for i, n in sorted(votes.items()) if sisters >= SURE and 8 * n >= 7 * sisters]
+    return gone if len(gone) < len(own) else []
 
 
 def _outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in slices(batches, "html"):
-        every, marks, prints, sketches = [], [], [], []
+        every, marks, prints, text = [], [], [], []
         for page in b.column("html").to_pylist():
-            text, mark = lines(page or "")
-            own = np.array([xxh64_intdigest(x.encode("utf-8", "surrogatepass")) for x in text], np.uint64).view(np.int64)
-            prints.append(xxh64_intdigest(own.tobytes(), any(mark)))
-            every.append(own.tolist())
-            marks.append(mark)
-            sketches.append([] if any(mark) else [sketch(x) for x in text])
-        yield pa.RecordBatch.from_arrays([b.column("key"), b.column("print"), b.column("host"), b.column("path"), pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(every, pa.list_(pa.int64())), pa.array(marks, pa.list_(pa.bool_())), pa.array(sketches, pa.list_(pa.int64()))], ["key", "print", "host", "path", "page", "own", "marks", "sketches"])
-
-
-def _differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        gone = [deleted(*x) for x in zip(b.column("own").to_pylist(), b.column("marks").to_pylist(), b.column("sketches").to_pylist(), b.column("others").to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([b.column("host"), b.column("page"), pa.array(gone, pa.list_(pa.int32()))], ["host", "page", "gone"])
+            found, marked = lines(page or "")
+            own = np.array([xxh64_intdigest(x.encode("utf-8", "surrogatepass")) for x in found], np.uint64).view(np.int64)
+            prints.append(xxh64_intdigest(own.tobytes(), marked))
+            every.append(own)
+            marks.append(marked)
+            text += found
+        off = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in every])]).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(off, pa.array(x)) for x in (np.concatenate(every), sketches(text))]
+        yield pa.RecordBatch.from_arrays([b.column("key"), b.column("print"), b.column("host"), b.column("path"), pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(marks), *lists], ["key", "print", "host", "path", "page", "marked", "own", "sketches"])
+
+
+def _differ(reach: int):
+    def run(table: pa.Table) -> pa.Table:
+        rows = sorted(table.to_pylist(), key=lambda r: r["rank"])
+        group = [(r["host"], r["marked"]) for r in rows]
+        out = []
+        for i, r in enumerate(rows):
+            if r["inside"]:
+                near = [j for k in range(1, reach + 1) for j in (i - k, i + k) if 0 <= j < len(rows) and group[j] == group[i]]
+                others = [(rows[j]["own"], rows[j]["sketches"]) for j in near[:reach]]
+                if gone := deleted(r["own"], r["marked"], r["sketches"], others):
+                    out.append((r["host"], r["page"], gone))
+        host, page, gone = zip(*out, strict=True) if out else ((), (), ())
+        return pa.Table.from_arrays([pa.array(host, pa.string()), pa.array(page, pa.int64()), pa.array(gone, pa.list_(pa.int32()))], ["host", "page", "gone"])
+
+    return run
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,47 +337,28 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("key"), b.column("url"), pa.array(text, pa.string())], ["key", "url", "text"])
 
 
-def fixed(order: DataFrame, many: int = MANY) -> DataFrame:
-    """host, page and gone: the places of lines that nine tenths of a host's distinct pages, marked or not, have at the same place from the start or the end."""
-    pages = order.where("host <> '' AND size(own) > 0").groupBy("host", "page").agg(F.first("own").alias("own"), F.first(F.element_at("marks", 1)).alias("marked"))
-    pages = cut(pages)
-    n = few(cut(pages.groupBy("host", "marked").agg(F.count("*").alias("n")).where(F.col("n") >= many)))
-    each = pages.select("host", "marked", F.size("own").alias("size"), F.posexplode("own").alias("at", "line"))
-    place = each.select("host", "marked", "line", F.explode(F.array("at", F.col("at") - F.col("size"))).alias("place"))
-    stable = place.groupBy("host", "marked", "place", "line").agg(F.count("*").alias("c")).join(n, ["host", "marked"]).where("10 * c >= 9 * n")
-    stable = few(cut(stable.groupBy("host", "marked").agg(F.collect_list(F.struct("place", "line")).alias("stable"))), most=100_000)
-    here = lambda i, from_: F.array_contains("stable", F.struct(from_.alias("place"), F.get("own", i).alias("line")))
-    gone = F.filter(F.sequence(F.lit(0), F.size("own") - 1), lambda i: here(i, i) | here(i, i - F.size("own")))
-    return pages.join(stable, ["host", "marked"]).select("host", "page", gone.alias("gone")).where("size(gone) > 0")
-
-
-def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", most_broadcast: int = 100_000) -> DataFrame:
+def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", reach: int = REACH) -> DataFrame:
     """One row per row of pages: key, url and text, the main text with one line a block.
 
     A null or empty page has the empty text. Pages with a null url, or alone on their host, have no sisters and
-    lose no lines; those of a host with fewer than MANY distinct pages lose none inside a marked article. Rows that repeat give the same text each. Other columns are ignored; nothing is cut short.
+    lose no lines to differencing; those of a host with fewer than SURE + 1 distinct pages lose none inside a marked
+    article; with a reach of 0 none do. Equal pages of a host count as one. Rows that repeat give the same text each.
+    Bytes that aren't UTF-8 are read as U+FFFD. Other columns are ignored, whatever their names; nothing is cut short.
     """
     kind = dict(pages.dtypes)[key]
     rest = F.regexp_replace(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
-    host = F.lower(F.regexp_extract(rest, r"^([^/?#]*)", 1))
-    path = F.regexp_replace(F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1), r"(/|\.html?)+$", "")
-    rows = pages.select(F.col(key).alias("key"), F.xxhash64(url, page).alias("print"), F.col(url).cast("string").alias("url"), F.coalesce(page, F.lit("")).alias("html"))
-    schema = f"key {kind}, print long, host string, path string, page long, own array<long>, marks array<boolean>, sketches array<long>"
-    outline = rows.withColumns({"host": F.coalesce(host, F.lit("")), "path": F.coalesce(path, F.lit(""))}).select("key", "print", "host", "path", "html").mapInArrow(_outlines, schema)
-    every = cut(outline)
-    # pages with a mark have only lines of their article, which say nothing of what stands around others
-    pages_ = every.where("host <> '' AND NOT exists(marks, m -> m)").groupBy("host", "page").agg(F.min(F.struct("path", "key", "print")).alias("at"), *[F.first(x).alias(x) for x in ("own", "marks", "sketches")])
-    order = cut(ranked(cut(pages_), F.struct("host", "at")))
-    near = None
-    for k in (*range(-REACH, 0), *range(1, REACH + 1)):
-        one = order.select((F.col("rank") + k).alias("r"), F.col("host").alias("h"), F.struct(F.lit(abs(k)).alias("far"), F.lit(k).alias("k"), "own", "sketches").alias("other"))
-        near = one if near is None else near.unionByName(one)
-    sisters = order.join(near, (F.col("rank") == F.col("r")) & (F.col("host") == F.col("h"))).groupBy("rank").agg(*[F.first(x).alias(x) for x in ("host", "page", "own", "marks", "sketches")], F.array_sort(F.collect_list("other")).alias("others"))
-    gone = sisters.mapInArrow(_differ, "host string, page long, gone array<int>").where("size(gone) > 0").unionByName(fixed(every))
-    gone = few(cut(gone), most=most_broadcast)
-    gone = every.select("key", "print", "host", "page").join(gone, ["host", "page"])
-    gone = gone.groupBy("key", "print").agg(F.array_distinct(F.flatten(F.collect_set("gone"))).alias("gone"))
-    gone = cut(gone.select(F.col("key").alias("k"), F.col("print").alias("p"), "gone"))
-    lost = gone.agg(F.count("*").alias("n"), F.sum(F.size("gone")).alias("m")).first()
-    hint = F.broadcast if lost["n"] + (lost["m"] or 0) / 10 <= most_broadcast else (lambda x: x)
-    return rows.join(hint(gone), F.col("key").eqNullSafe(F.col("k")) & (F.col("print") == F.col("p")), "left").select("key", "url", "html", "gone").mapInArrow(_texts, f"key {kind}, url string, text string").select(F.col("key").alias(key), F.col("url").alias(url), "text")
+    host = F.coalesce(F.lower(F.regexp_extract(rest, r"^([^/?#]*)", 1)), F.lit(""))
+    path = F.coalesce(F.regexp_replace(F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1), r"(/|\.html?)+$", ""), F.lit(""))
+    body = F.coalesce(F.col(page).cast("string"), F.lit(""))
+    rows = pages.select(F.col(key).alias("key"), F.xxhash64(url, page).alias("print"), F.col(url).cast("string").alias("url"), F.when(F.is_valid_utf8(body), body).otherwise(F.make_valid_utf8(body)).alias("html"), host.alias("host"), path.alias("path"))
+    schema = f"key {kind}, print long, host string, path string, page long, marked boolean, own array<long>, sketches array<long>"
+    every = cut(rows.where("host <> ''").select("key", "print", "host", "path", "html").mapInArrow(_outlines, schema))
+    distinct = every.groupBy("host", "marked", "page").agg(F.min(F.struct("path", "key", "print")).alias("at"), F.first("own").alias("own"), F.first("sketches").alias("sketches"))
+    order = ranked(cut(distinct), F.struct("host", "marked", "at"))
+    mine = F.floor(F.col("rank") / BLOCK)
+    blocks = order.select("rank", "host", "marked", "page", "own", "sketches", F.explode(F.array_distinct(F.array(F.floor((F.col("rank") - reach) / BLOCK), mine, F.floor((F.col("rank") + reach) / BLOCK)))).alias("block"))
+    blocks = blocks.withColumn("inside", F.col("block") == F.floor(F.col("rank") / BLOCK))
+    gone = cut(blocks.groupBy("block").applyInArrow(_differ(reach), "host string, page long, gone array<int>"))
+    gone = every.select("key", "print", "host", "page").join(few(gone), ["host", "page"])
+    gone = few(cut(gone.groupBy(F.col("key").alias("k"), F.col("print").alias("p")).agg(F.first("gone").alias("gone"))))
+    return rows.join(gone, F.col("key").eqNullSafe(F.col("k")) & (F.col("print") == F.col("p")), "left").select("key", "url", "html", "gone").mapInArrow(_texts, f"key {kind}, url string, text string").select(F.col("key").alias(key), F.col("url").alias(url), "text")

@@ -344,7 +344,7 @@ def test_pages_lines_at_fixed_places_of_articles(spark):
     page = "<body><main><div>Site motto</div><h1>Title {0}</h1><div>Read our guide</div>" + "{1}" + "<div>All rights</div></main></body>"
     body = lambda i: "".join(f"<p>Own {i} {k}</p>" for k in range(i % 4 + 1)) + quote + f"<p>End {i}</p>" * (i % 3 + 1)
     rows = [(i, f"http://d.org/n/{i}", page.format(i, body(i))) for i in range(30)]
-    rows += [(100 + i, f"http://e.org/n/{i}", page.format(i, body(i))) for i in range(html_text.MANY - 1)]
+    rows += [(100 + i, f"http://e.org/n/{i}", page.format(i, body(i))) for i in range(html_text.SURE)]
     rows += [(200 + i, f"http://f.org/n/{i}", page.format(0, body(0))) for i in range(30)]  # one page, 30 times
     got = {r["page_id"]: r["text"].split("\n") for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     for k, _, html in rows:
@@ -370,14 +370,88 @@ def test_pages_with_fewer_own_lines_than_shared_ones(spark):
     assert got == want
 
 
+def test_pages_keep_their_main_text():
+    """Names that tell the layout, forms around a page, unclosed quotes and elements: the main text stays."""
+    for page, want in [
+        ('<article class="post hentry comments-open"><p>Text</p></article>', ["Text"]),
+        ('<article class="no-share"><p>Text</p></article>', ["Text"]),
+        ('<div class="content has-sidebar"><p>Text</p></div>', ["Text"]),
+        ('<div class="side-by-side"><p>Text</p></div>', ["Text"]),
+        ("<body><form><h1>Head</h1><p>Text <input><label>Name</label></p><button>Go</button></form>", ["Head", "Text"]),
+        ('<p><a href="x>link</a> more <b class="y">bold</b></p>', ["link more bold"]),
+        ("<a href='x>link", ["link"]),
+        ('<a title="a > b" href=x>link</a><p title="a<b>c">Text</p>', ["link", "Text"]),
+        ("<nav><ul><li>Menu<article><p>Text</p></article>", ["Text"]),
+        ('<div class="widget"><article><p>Text</p></article></div><div class="ad-slot">Buy</div>', ["Text"]),
+        ('<article><p>Text</p><div class="ad">Buy</div><div class="comment-list"><article>Nice</article></div></article>', ["Text"]),
+        ('<article></article><div class="ad">Buy</div>', []),
+        ('<div class="ad">Buy this</div><p>Text</p><div class="sidebar-left">More</div><div id="cookie-notice">Cookies</div>', ["Text"]),
+        ("a < b &amp;&lt;p&gt; &#x41;<![CDATA[ c ]]>", ["a < b &<p> A c"]),
+    ]:
+        assert html_text.lines(page)[0] == want, page
+    deep = "<div>" * 20_000 + "</span>" * 20_000 + "x"
+    assert html_text.lines(deep)[0] == ["x"]
+
+
+def common(a, b):
+    """Places of a longest common subsequence by the whole table, later places first."""
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+    return best
+
+
+def test_differencing_decides(spark):
+    """Pages with plain boilerplate, in and out of articles, held against their known texts and a brute-force differ."""
+    rng = random.Random(11)
+    say = lambda n=12: " ".join(rng.choice("klmnopqrst") + str(rng.randrange(10**6)) for _ in range(n))
+    quote, rows, want = say(40), [], {}
+    for host, (a, z) in {"i.org": ("<body><div>Motto</div><div>Home</div>", "<div>Contact</div></body>"), "j.org": ("<article><div>Motto</div>", "<div>Contact</div></article>")}.items():
+        for i in range(25):
+            own = [say() for _ in range(rng.randint(2, 9))] + [quote] * (i % 5 == 0)
+            rng.shuffle(own)
+            rows.append((len(rows), f"https://{host}/p/{i:02}?x={i}", a + "".join(f"<p>{x}</p>" for x in own) + z))
+            want[len(rows) - 1] = own
+    rows.append((len(rows), "https://k.org/alone", rows[0][2]))
+    want[len(rows) - 1] = ["Motto", "Home", *want[0], "Contact"]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    on, off = ({r["page_id"]: r["text"].split("\n") for r in html_text.extract(df, reach=k).collect()} for k in (html_text.REACH, 0))
+    assert on == want
+    assert sum(on[k] != off[k] for k in want) == 50
+
+    for first in (0, 25):  # every page against its neighbours, by the whole table
+        mine = [(html_text.lines(rows[i][2])) for i in range(first, first + 25)]
+        for i, (own, marked) in enumerate(mine):
+            near = sorted((j for j in range(25) if j != i), key=lambda j: (abs(i - j), j))[: html_text.REACH if marked else html_text.VOTERS]
+            votes = collections.Counter()
+            for j in near:
+                other = mine[j][0]
+                best, x, y = common(own, other), len(own), len(other)
+                while x and y:
+                    if own[x - 1] == other[y - 1]:
+                        x, y = x - 1, y - 1
+                        votes[x] += not marked or x == y or len(own) - x == len(other) - y
+                    elif best[x - 1][y] >= best[x][y - 1]:
+                        x -= 1
+                    else:
+                        y -= 1
+            gone = {k for k, n in votes.items() if (8 * n >= 7 * len(near) if marked else 4 * n >= 3 * len(near))}
+            assert on[first + i] == [x for k, x in enumerate(own) if k not in gone]
+
+
 def test_longest_common_subsequence():
     rng = random.Random(1)
-    for _ in range(200):
-        a, b = ([rng.randrange(5) for _ in range(rng.randrange(12))] for _ in range(2))
-        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-        for i, x in enumerate(a):
-            for j, y in enumerate(b):
-                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+    for _ in range(300):
+        a, b = ([rng.randrange(rng.choice((2, 5))) for _ in range(rng.randrange(40))] for _ in range(2))
         got = html_text.shared(a, b)
-        it = iter(b)
-        assert len(got) == best[-1][-1] and got == sorted(set(got)) and all(a[i] in it for i in got)
+        assert len(got) == common(a, b)[-1][-1] and all(a[i] == b[j] for i, j in got)
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(got, got[1:], strict=False))
+    assert len(html_text.shared([1, 2] * 4000, [2, 1] * 4000)) == 7999
+
+
+def test_odd_pages(spark):
+    """Bytes that aren't UTF-8, columns named like the operator's own, pages without lines, repeated rows."""
+    df = spark.createDataFrame([(1, "http://l.org/a", "<p>x</p>", "k", 1), (1, "http://l.org/a", "<p>x</p>", "k", 1), (2, "http://l.org/b", "", "k", 1)], "page_id long, url string, html string, host string, rank int")
+    df = df.withColumn("html", F.expr("CASE WHEN page_id = 1 THEN cast(concat(cast(html as binary), X'80FF', cast('y' as binary)) as string) ELSE html END"))
+    assert sorted(tuple(r) for r in html_text.extract(df).collect()) == [(1, "http://l.org/a", "x\n\ufffd\ufffdy"), (1, "http://l.org/a", "x\n\ufffd\ufffdy"), (2, "http://l.org/b", "")]
