@@ -27,10 +27,16 @@ def folded() -> np.ndarray:
 
 
 def code_points(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The rows' code points one after another, and each row's start with the end last."""
+    """The rows' code points one after another, and each row's start with the end last; bytes that aren't UTF-8 are U+FFFD."""
     data, off = text_bytes(column)
-    heads = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-    return np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32), heads[off]
+    try:
+        text = data.tobytes().decode("utf-8")
+    except UnicodeDecodeError:
+        rows = [data[i:j].tobytes().decode("utf-8", "replace") for i, j in zip(off[:-1], off[1:], strict=True)]
+        text, first = "".join(rows), np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+    else:
+        first = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[off]
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32), first
 
 
 def buckets(points: np.ndarray, off: np.ndarray, n: int, blank: int | None = None) -> np.ndarray:

@@ -6,7 +6,7 @@ import contextlib
 import ctypes
 import os
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DatetimeType, NumericType
 
 #: Text is worked on in slices of about this many bytes, whatever Spark's batch holds.
 SLICE_BYTES = 2 << 20
@@ -38,10 +39,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a folder of its own where none is set, as in tests."""
+    """The folder that driver and executors share; on one machine, where none is set, as in tests, a folder of its own."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="adlens-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder:
+            if not sc.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            folder = tempfile.mkdtemp(prefix="adlens-")
+        sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 
 
@@ -64,18 +70,48 @@ def packed(df: DataFrame, n: int, rows: int = 100_000) -> DataFrame:
     return df.coalesce(max(1, min(width(df), n // rows + 1)))
 
 
-#: Rows of a few numbers that go to every task at most; beyond, Spark joins by key.
-FEW = 1_000_000
+#: What goes to every task has so many rows and bytes at most; beyond, Spark joins by key.
+FEW, FEW_BYTES = 1_000_000, 64 << 20
 
 
 def few(df: DataFrame, n: int | None = None, most: int = FEW) -> DataFrame:
-    """df, to be sent to every task where its rows are few enough: n at most, or counted here. Give it what is cut."""
-    return F.broadcast(df) if (df.count() if n is None else n) <= most else df
+    """df, to be sent to every task where it is small enough: its rows (n at most, or counted here) and bytes are bounded. Give it what is cut."""
+    if (df.count() if n is None else n) > most:
+        return df
+    fixed = [f for f in df.schema.fields if isinstance(f.dataType, (NumericType, BooleanType, DatetimeType))]
+    size = F.lit(16 * (1 + len(fixed)))
+    if rest := [f"`{f.name}`" for f in df.schema.fields if f not in fixed]:
+        size = size + F.octet_length(F.to_json(F.struct(*rest)))
+    elif n is None or 16 * (1 + len(fixed)) * n <= FEW_BYTES:
+        return F.broadcast(df)
+    return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= FEW_BYTES else df
+
+
+def fresh(taken: Iterable[str], *names: str) -> list[str]:
+    """These names, each with so many underscores after it that it is none of those taken."""
+    used, out = {t.lower() for t in taken}, []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
+#: Rows that one row is made into at a time.
+REPEATS = 10_000
+
+
+def multiplied(df: DataFrame, times: str, nth: str) -> DataFrame:
+    """Each row of df so many times as its column `times` says, numbered from 0 in `nth`; no long array is ever built."""
+    n = F.col(times)
+    starts = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / REPEATS)), lambda i: i.cast("long") * REPEATS)
+    return df.withColumn(nth, F.explode(starts)).withColumn(nth, F.explode(F.sequence(F.col(nth), F.least(F.col(nth) + REPEATS, n.cast("long")) - 1)))
 
 
 def without(docs: DataFrame, gone: DataFrame, *keys: Column) -> DataFrame:
-    """docs without the rows whose keys are a row of gone, null being a value."""
-    names = [f"gone_{i}" for i in range(len(keys))]
+    """docs without the rows whose keys are a row of gone, null being a value. Columns of docs may have any names."""
+    names = fresh(docs.columns, *[f"gone_{i}" for i in range(len(keys))])
     gone = few(cut(gone.toDF(*names).distinct()))
     same = F.lit(True)
     for k, n in zip(keys, names, strict=True):
@@ -114,6 +150,12 @@ def _slices(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterat
             at = to
 
 
+def valid(text: Column) -> Column:
+    """The text with bytes that aren't UTF-8 as U+FFFD, as workers that read characters need it."""
+    text = text.cast("string")
+    return F.when(F.is_valid_utf8(text), text).otherwise(F.make_valid_utf8(text))
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all rows one after another, and each row's start with the end last. Null is empty."""
     a = pc.fill_null(column, "").cast(pa.large_binary())

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlens.llm.common import slices
+from adlens.llm.common import slices, valid
 
 #: Where the vocabularies of public tokenizers lie.
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
@@ -110,13 +110,14 @@ class Trie:
 
 
 def count(docs: DataFrame, keep: list[Column], text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
-    """The columns in `keep` with n_pretokens and n_tokens of the whole text; null and empty texts have none.
+    """The columns in `keep` with n_pretokens and n_tokens of the whole text; null and empty texts have none,
+    bytes that aren't UTF-8 count as U+FFFD, and rows that repeat give the same counts each.
 
     Tasks count on their own, so that no pre-token moves, however common. The vocabulary, of a fixed size, is read
     by the driver and sent to all tasks.
     """
     shared = docs.sparkSession.sparkContext.broadcast(scores(vocabulary))
-    rows = docs.select(*keep, F.col(text).alias("text_"))
+    rows = docs.select(*keep, valid(F.col(text)).alias("text_"))
     names = rows.columns[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
