@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlens.llm import chars
-from adlens.llm.common import slices, word_hashes
+from adlens.llm.common import cut, slices, word_hashes
 
 SIZES = (1, 2, 3)
 #: Labelled rows that the fit sees at most, those with the smallest hashes of their ids.
@@ -98,12 +98,17 @@ def _platt(margin: np.ndarray, good: np.ndarray) -> tuple[float, float]:
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality", sample: int = SAMPLE) -> Model:
     """Learn from at most `sample` of the label rows (key, 0 or 1), each as a row of its own; others teach nothing.
 
-    Without rows of both classes the model gives every text the share of ones (one half without rows).
+    Of documents that repeat a key, the one whose text has the smallest hash is learned from. Null text counts as empty.
+    Without rows of both classes the model gives every text the share of ones (one half without rows). Columns of
+    either table may have any other names.
     """
     order = F.xxhash64(key)
     some = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(label).cast("int").alias("label"), order.alias("order")).orderBy("order", "label").limit(sample)
-    rows = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(some), "k").select("order", "label", "text")
-    got = rows.mapInArrow(_features, "order long, label int, x binary").toPandas().sort_values(["order", "label"], kind="stable")
+    some = cut(some)
+    bodies = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(some.select("k").distinct()), "k", "left_semi")
+    one = bodies.groupBy("k").agg(F.min_by("text", F.xxhash64("text")).alias("text"))  # at most `sample` texts
+    rows = one.join(F.broadcast(some), "k").select("order", "label", "text")
+    got = rows.mapInArrow(_features, "order long, label int, x binary").toPandas().sort_values(["order", "label", "x"], kind="stable")
     x = [np.frombuffer(v, np.uint32) for v in got["x"]]
     good = got["label"].to_numpy() == 1
     y = np.where(good, 1.0, -1.0)
@@ -125,7 +130,10 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
 
 
 def score(docs: DataFrame, model: Model, keep: list[Column], text: str = "text") -> DataFrame:
-    """The columns in `keep` with score, the probability of label 1. Null counts as empty; whole texts are read."""
+    """The columns in `keep` with score, the probability of label 1.
+
+    Null counts as empty, bytes that aren't UTF-8 as U+FFFD; whole texts are read. Rows that repeat give the same score each.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(*keep, F.col(text).alias("text_"))
     names = rows.columns[:-1]
