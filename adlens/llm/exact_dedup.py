@@ -4,7 +4,9 @@ Texts are cut into blocks of a fixed number of bytes. Distinct blocks are sorted
 neighbouring numbers are paired and the distinct pairs numbered in turn, until one number is left
 for each document. Two documents have the same number on the same level exactly if all their bytes
 agree: contents are compared, never digests. A 64-bit fingerprint only decides which blocks travel:
-a block whose fingerprint occurs once has no equal, so that its document is alone and needs no number.
+a block whose fingerprint occurs once has no equal, so that its document is alone and needs no number. Documents all of
+whose blocks may have equals are found by key; up to so many keys as ``common.few`` sends to all tasks, no other body
+moves, and beyond, the join that finds them moves each body once.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlens.llm.common import cut, width, without
+from adlens.llm.common import cut, few, fresh, multiplied, width, without
 
 BLOCK = 8192
 
@@ -58,7 +60,7 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", block: int
     blocks = keys.select("key", "sha", F.size("prints").alias("nb"), F.explode("prints").alias("print"))
     repeated = cut(blocks.groupBy("print").count().where("count > 1").select("print"), width(docs))
     maybe = blocks.join(repeated, "print", "left_semi").groupBy("key", "sha", "nb").count().where("count = nb").select(F.col("key").alias("k"), F.col("sha").alias("s"))
-    content = rows.join(maybe, F.col("key").eqNullSafe(F.col("k")) & (F.col("sha") == F.col("s")), "left_semi")
+    content = rows.join(few(cut(maybe)), F.col("key").eqNullSafe(F.col("k")) & (F.col("sha") == F.col("s")), "left_semi")
     content = cut(content.select("key", "sha", "nb", "body", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("i")).select("key", "sha", "nb", "i", piece(F.col("i")).alias("block")))
 
     named = _names(content).select(F.col("key").alias("k"), F.col("sha").alias("s"), "level", "name")
@@ -67,20 +69,25 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", block: int
     sizes = cut(found.groupBy("level", "name").agg(F.max("key").alias("keep_id"), F.sum("m").alias("group_size")), width(docs))
     alone = marked.where("name is null").select("key", "sha", "m", F.col("key").alias("keep_id"), F.col("m").alias("group_size"))
     every = found.join(sizes, ["level", "name"]).select(*alone.columns).unionByName(alone)
-    return every.withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("m").cast("int")))).select(
+    return multiplied(every, "m", "nth").select(
         F.col("key").alias(key),
         "keep_id",
         "group_size",
-        (F.col("key").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)).alias("kept"),
+        (F.col("key").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 0)).alias("kept"),
         F.col("sha").alias("text_sha256"),
     )
 
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """docs with one row of each group of equal texts, the one that ``groups`` keeps."""
+    """docs with one row of each group of equal texts, the one that ``groups`` keeps.
+
+    Null text counts as empty, a null key is the smallest; of rows that repeat both key and text one stays, any of them,
+    whatever their other columns. Columns may have any names and hold nulls. Of a table without rows none stays.
+    """
     found = cut(groups(docs, text, key).select(F.col(key).alias("key"), "text_sha256", "kept"))
     rows = found.groupBy("key", "text_sha256").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
     sha = F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
-    if rows.where("kept and n > 1").isEmpty():
-        return without(docs, rows.where("not kept").select("key", "text_sha256"), F.col(key), sha)
-    return without(docs.withColumn("sha_", sha).dropDuplicates([key, "sha_"]), rows.where("not kept").select("key", "text_sha256"), F.col(key), F.col("sha_")).drop("sha_")
+    if not rows.where("kept and n > 1").isEmpty():
+        (name,) = fresh(docs.columns, "sha_")
+        docs = docs.withColumn(name, sha).dropDuplicates([key, name]).drop(name)
+    return without(docs, rows.where("not kept").select("key", "text_sha256"), F.col(key), sha)
