@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlens.llm.common import cut, few, width
+from adlens.llm.common import cut, few, fresh, multiplied, width
 
 WORDS = r"[^\x20\x09-\x0D]+"
 #: Documents rounded together, about; a chunk's words end within a small document's size of its share.
@@ -81,18 +81,18 @@ def tilts(sizes: DataFrame, sources: DataFrame, most: int = 3, tolerance: float
 
 def _copies(most: int):
     def chunk(table: pa.Table) -> pa.Table:
-        size, rate = (table.column(x).to_numpy() for x in ("size", "rate"))
+        size, rate, m = (table.column(x).to_numpy() for x in ("size", "rate", "m"))
         left, out = 0.0, np.empty(len(size), np.int64)
         for i in np.lexsort((table.column("tie").to_numpy(), -size)).tolist():
-            down = math.floor(rate[i])
-            up = min(most, down + 1)
-            out[i] = up if abs(left + (rate[i] - up) * size[i]) < abs(left + (rate[i] - down) * size[i]) else down
-            left += (rate[i] - out[i]) * size[i]
+            down = math.floor(rate[i]) * m[i]
+            up = min(most, math.floor(rate[i]) + 1) * m[i]
+            out[i] = min(max(math.ceil(rate[i] * m[i] + left / size[i] - 0.5), down), up) if size[i] else m[i]
+            left += (rate[i] * m[i] - out[i]) * size[i]
         key = table.column("key")
         if pa.types.is_struct(key.type):  # fields that Spark knows to be never null are declared nullable in the result
             key = key.cast(pa.struct([pa.field(f.name, f.type) for f in key.type]))
-        rest = ["size", "source_size", "target", "rate"]
-        return pa.Table.from_arrays([key, *(table.column(x) for x in rest), pa.array(out)], ["key", *rest, "copies"])
+        rest = ["size", "source_size", "target", "rate", "m"]
+        return pa.Table.from_arrays([key, *(table.column(x) for x in rest), pa.array(out)], ["key", *rest, "all_copies"])
 
     return chunk
 
@@ -101,27 +101,68 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str =
     """One row per row of docs: key, size, source_size, target, taken, copies, rate.
 
     Null text has no words; null is a source of its own, the last. Documents without words get one copy and
-    add nothing. Rows that repeat are documents of their own. A key may be null. Other columns are ignored.
+    add nothing. A key may be null. Rows that repeat are documents of their own; those alike in key, source and size are
+    rounded together, so that however many there are, none fills a task, and share their copies as evenly as
+    can be. Other columns are ignored. An empty table gives none.
     """
-    base = cut(docs.select(F.col(key).alias("key"), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size")))
-    per = base.groupBy("source").agg(F.sum("size").alias("words"), F.count(F.when(F.col("size") > 0, 1)).alias("n"), F.count("*").alias("rows"), F.min(F.when(F.col("size") > 0, F.col("size"))).alias("least"))
+    rates = _rates(docs, text, key, source, weights, most)
+    each = multiplied(rates, "m", "nth").withColumn("copies", F.floor(F.col("all_copies") / F.col("m")) + (F.col("nth") < F.col("all_copies") % F.col("m")).cast("long"))
+    return each.select(F.col("key").alias(key), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "rate")
+
+
+def _rates(docs: DataFrame, text: str, key: str, source: str, weights: tuple[int, ...], most: int) -> DataFrame:
+    """One row for each key, source and size: key, size, source_size, target, rate, m (rows alike) and all_copies of them."""
+    each = docs.select(F.col(key).alias("key"), F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size"))
+    base = cut(each.groupBy("key", "source", "size").agg(F.count("*").alias("m")))
+    some = F.col("size") > 0
+    per = base.groupBy("source").agg(F.sum(F.col("size") * F.col("m")).alias("words"), F.sum(F.when(some, F.col("m"))).alias("n"), F.count("*").alias("rows"), F.min(F.when(some, F.col("size"))).alias("least"))
     sources = targets(per, weights, most)
     hint = F.broadcast if sources.count() <= SMALL else (lambda x: x)
     known = sources.select(F.col("source").alias("s"), "sid", F.col("words").alias("source_size"), "rows", "target", "full")
     rows = base.join(hint(known), F.col("source").eqNullSafe(F.col("s"))).drop("s", "source")
-    sizes = cut(rows.where("size > 0 and not full").groupBy("sid", "size").agg(F.count("*").alias("k")))
+    sizes = cut(rows.where("size > 0 and not full").groupBy("sid", "size").agg(F.sum("m").alias("k")))
     tilt = tilts(sizes, sources, most)
     rate = F.when(F.col("full"), F.lit(float(most))).otherwise(F.least(F.lit(float(most)), F.exp(F.least(F.coalesce("tilt", F.lit(0.0)) * F.col("size") / F.coalesce("mean", F.lit(1.0)), F.lit(math.log(most) + 1)))))
     rated = rows.join(hint(tilt), "sid", "left").withColumn("rate", F.when(F.col("size") == 0, 1.0).otherwise(rate))
-    dealt = rated.select("key", "sid", "size", "source_size", "target", "rate", F.xxhash64("key", "size").alias("tie"), F.pmod(F.xxhash64("key", "size"), F.ceil(F.col("rows") / CHUNK)).alias("chunk"))
+    dealt = rated.select("key", "sid", "size", "source_size", "target", "rate", "m", F.xxhash64("key", "size").alias("tie"), F.pmod(F.xxhash64("key", "size"), F.ceil(F.col("rows") / CHUNK)).alias("chunk"))
     kind = dict(docs.dtypes)[key]
-    out = dealt.groupBy("sid", "chunk").applyInArrow(_copies(most), f"key {kind}, size long, source_size long, target double, rate double, copies long")
-    return out.select(F.col("key").alias(key), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "rate")
+    return dealt.groupBy("sid", "chunk").applyInArrow(_copies(most), f"key {kind}, size long, source_size long, target double, rate double, m long, all_copies long")
 
 
 def mixed(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source") -> DataFrame:
-    """The rows of docs that the mix takes, with copies, and taken, the words they come to."""
-    own = F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("print"))
-    rates = mix(docs.select(own.alias("own"), text, source), text, "own", source).where("copies > 0")
-    rates = few(cut(rates.groupBy("own").agg(F.first("copies").alias("copies"), F.first("taken").alias("taken")).select(F.col("own.key").alias("key_"), F.col("own.print").alias("print_"), "copies", "taken")))
-    return docs.join(rates, F.col(key).eqNullSafe(F.col("key_")) & (F.xxhash64(text) == F.col("print_"))).drop("key_", "print_")
+    """The rows of docs that the mix takes, with copies, and taken, the words they come to.
+
+    Where docs has columns of these names, the new ones get an underscore. Keys, texts and sources may be null. Of rows
+    that repeat key, source and text, each is taken as often as the next or once more. Without rows there are none.
+    """
+    own = F.struct(F.col(key).alias("key"), F.col(source).cast("string").alias("source"), F.xxhash64(text).alias("print"))
+    copies, taken = fresh(docs.columns, "copies", "taken")
+    inner = fresh([*docs.columns, copies, taken], "key_", "source_", "print_", "size_", "m_", "all_", "nth_", "first_", "rank", "id", "part", "nth", "before")
+    k, s, p, size, m, every, nth, first = inner[:8]
+    rates = _rates(docs.select(own.alias("own"), F.col(text).alias("text"), F.col(source).alias("source")), "text", "own", "source", (5, 2, 1), 3).where("all_copies > 0")
+    rates = cut(rates.select(F.col("key.key").alias(k), F.col("key.source").alias(s), F.col("key.print").alias(p), F.col("size").alias(size), F.col("m").alias(m), F.col("all_copies").alias(every)))
+    same = F.col(key).eqNullSafe(F.col(k)) & F.col(source).cast("string").eqNullSafe(F.col(s)) & (F.xxhash64(text) == F.col(p))
+    even = F.col(every) % F.col(m) == 0
+    found = docs.join(few(cut(rates.where(even))), same).withColumn(copies, F.floor(F.col(every) / F.col(m)))
+    odd = rates.where(~even)
+    if not odd.isEmpty():
+        # rows alike are put in order by all they hold, and numbered across tasks
+        rows = cut(docs.join(few(cut(odd)), same))
+        rows = _numbered(rows, [k, s, p], [F.xxhash64(*[f"`{c}`" for c in docs.columns])], nth, first)
+        more = F.col(nth) - F.col(first) < F.col(every) % F.col(m)
+        found = found.unionByName(rows.withColumn(copies, F.floor(F.col(every) / F.col(m)) + more.cast("long")).drop(nth, first))
+    return found.where(F.col(copies) > 0).withColumn(taken, F.col(copies) * F.col(size)).select(*[f"`{c}`" for c in docs.columns], copies, taken)
+
+
+def _numbered(rows: DataFrame, group: list[str], order: list[Column], nth: str, first: str) -> DataFrame:
+    """rows with their place in a sort by group and order, and the first place of their group. No group is one task's."""
+    packed = cut(rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"), *[F.col(c).alias(f"g{i}") for i, c in enumerate(group)], *[c.alias(f"o{i}") for i, c in enumerate(order)], F.monotonically_increasing_id().alias("tie")))
+    sort = F.struct(*[f"g{i}" for i in range(len(group))], *[f"o{i}" for i in range(len(order))], "tie")
+    placed = cut(ranked(packed, sort))
+    keys = [f"g{i}" for i in range(len(group))]
+    least = placed.groupBy(*keys).agg(F.min("rank").alias("least")).select(*[F.col(x).alias(f"l_{x}") for x in keys], "least")
+    same = F.lit(True)
+    for x in keys:
+        same = same & F.col(x).eqNullSafe(F.col(f"l_{x}"))
+    out = placed.join(few(cut(least)), same)
+    return out.select("row.*", F.col("rank").alias(nth), F.col("least").alias(first))
