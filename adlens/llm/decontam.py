@@ -22,39 +22,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlens.llm.chars import sums_by_row
-from adlens.llm.common import arrow, row_of, slices, without, word_hashes
+from adlens.llm.common import arrow, cut, row_of, slices, without, word_hashes
 
 WINDOW = 13
 #: Words are runs of 0-9, a-z and all characters beyond ASCII, after A-Z are lower-cased.
 BREAKS = np.ones(256, bool)
 BREAKS[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
-#: Test words that go to every task at once, of about 40 bytes each with their windows.
+#: Test words that go to every task at once, with their windows in arrays of some 40 bytes a word together.
 BLOCK_WORDS = 1_000_000
+NO_ID = -1
 
 
 @dataclass
 class Block:
     terms: np.ndarray  # sorted hashes
-    windows: list[tuple[int, np.ndarray]]  # the item's number and its terms' numbers
+    flat: np.ndarray  # the items' words one after another, as numbers of terms
+    starts: np.ndarray  # where each window starts in flat
+    sizes: np.ndarray
+    owners: np.ndarray  # each window's item, NO_ID for items without an id
     items: list[str]
 
 
 def blocks(items: DataFrame, text: str, key: str, window: int, most: int = BLOCK_WORDS) -> Iterator[Block]:
-    """The items as windows of terms, read block by block; items without an id or words are left out."""
-    rows = items.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).cast("string").alias("key"), F.col(text).cast("string").alias("text"))
+    """The distinct items as windows of terms, read block by block; items without words have none."""
+    rows = cut(items.where(F.col(text).isNotNull()).select(F.col(key).cast("string").alias("key"), F.col(text).cast("string").alias("text")).distinct())
     size = rows.agg(F.sum(F.length("text"))).first()[0] or 0  # a word has a character at least, and one beside it
     n = max(1, -(-size // (2 * most)))
     for k in range(n):
-        part = rows.where(F.pmod(F.xxhash64("key", "text"), F.lit(n)) == k).toPandas().sort_values(["key", "text"])
-        words, first = word_hashes(pa.array(part["text"].tolist(), pa.string()), BREAKS)
-        terms, numbers = np.unique(words, return_inverse=True)
-        windows: dict[tuple, None] = {}
-        names = sorted(set(part["key"]))
-        place = {x: i for i, x in enumerate(names)}
-        for name, i, j in zip(part["key"], first[:-1], first[1:], strict=True):
-            for at in range(i, max(i + 1, j - window + 1)) if j > i else ():
-                windows[place[name], tuple(numbers[at : min(at + window, j)])] = None
-        yield Block(terms, [(i, np.array(w)) for i, w in windows], names)
+        part = rows.where(F.pmod(F.xxhash64("key", "text"), F.lit(n)) == k).toArrow()
+        words, first = word_hashes(part.column("text").combine_chunks(), BREAKS)
+        keys = part.column("key").to_pylist()
+        terms, flat = np.unique(words, return_inverse=True)
+        names = sorted({x for x in keys if x is not None})
+        place = {x: i for i, x in enumerate(names)} | {None: NO_ID}
+        length = np.diff(first)
+        each = np.where(length > 0, np.maximum(1, length - window + 1), 0)
+        of = np.repeat(np.arange(len(keys)), each)
+        starts = first[:-1][of] + np.arange(len(of)) - np.repeat(np.cumsum(each) - each, each)
+        owners = np.array([place[x] for x in keys], np.int32)
+        yield Block(terms, flat.astype(np.int32), starts, np.minimum(length, window)[of], owners[of] if len(keys) else owners, names)
 
 
 def _occurrences(docs: DataFrame, block: Block, text: str) -> np.ndarray:
@@ -75,6 +81,12 @@ def _occurrences(docs: DataFrame, block: Block, text: str) -> np.ndarray:
     return out
 
 
+def _all(term: np.ndarray, block: Block) -> np.ndarray:
+    """Whether `term` holds for all terms of each window."""
+    short = np.concatenate([[0], np.cumsum(~term[block.flat])])
+    return short[block.starts + block.sizes] == short[block.starts]
+
+
 def numbers(words: np.ndarray, terms: np.ndarray) -> np.ndarray:
     """Each word's number among the terms, or their count."""
     if not len(terms):
@@ -112,44 +124,43 @@ def matches(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "d
     """For each block of items, a row per row of docs: row keys, n_words, hits and found.
 
     hits are the flattened starts and ends, in words, of stretches that windows cover; found are the ids of the
-    items. Null texts have no words and no hits.
+    items, null for all without an id. Null texts have no words and no hits.
     """
     kind = dict(docs.dtypes)[key]
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("print"), F.col(text).alias("text"))
     out = []
     for block in blocks(items, item_text, item_key, window, block_words):
         n = _occurrences(rows, block, "text")
-        ordered = []
-        for item, w in block.windows:
-            by_rarity = np.argsort(n[w], kind="stable")
-            if n[w].min() > 0:
-                ordered.append((item, w[by_rarity], by_rarity, len(w)))
-        shared = docs.sparkSession.sparkContext.broadcast((block.terms, ordered, np.array([x[1][0] for x in ordered], np.int64), block.items))
+        some = _all(n > 0, block)
+        held = Block(block.terms, block.flat, block.starts[some], block.sizes[some], block.owners[some], block.items)
+        shared = docs.sparkSession.sparkContext.broadcast((held, n))
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            terms, ordered, rarest, names = shared.value
+            held, n = shared.value
             for b in slices(batches):
                 words, first = word_hashes(b.column("text"), BREAKS)
-                index = Postings(numbers(words, terms), len(terms))
+                index = Postings(numbers(words, held.terms), len(held.terms))
                 row = row_of(first)
                 edge = np.zeros(len(words) + 1, np.int64)
                 found: dict[int, set[int]] = {}
-                for k in np.flatnonzero(np.diff(index.first)[rarest] > 0) if len(rarest) else ():
-                    item, ts, offsets, size = ordered[k]
-                    s = index.starts(ts, offsets, slop)
+                for k in np.flatnonzero(_all(np.diff(index.first) > 0, held)):
+                    size = int(held.sizes[k])
+                    ts = held.flat[held.starts[k] : held.starts[k] + size]
+                    offsets = np.argsort(n[ts], kind="stable")
+                    s = index.starts(ts[offsets], offsets, slop)
                     s = s[(s >= 0) & (s + size <= len(words))]
                     s = s[row[s] == row[s + size - 1]] if len(s) else s
                     np.add.at(edge, s, 1)
                     np.add.at(edge, s + size, -1)
                     for r in set(row[s].tolist()):
-                        found.setdefault(r, set()).add(item)
+                        found.setdefault(r, set()).add(int(held.owners[k]))
                 hit = np.cumsum(edge[:-1]) > 0
                 hits = [[] for _ in range(b.num_rows)]
                 for r in found:
                     h = np.diff(hit[first[r] : first[r + 1]].astype(np.int8), prepend=0, append=0)
                     hits[r] = np.flatnonzero(h).astype(np.int32).tolist()
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("key"), b.column("print"), pa.array(np.diff(first)), pa.array(hits, pa.list_(pa.int32())), pa.array([[names[i] for i in found.get(r, ())] for r in range(b.num_rows)], pa.list_(pa.string()))],
+                    [b.column("key"), b.column("print"), pa.array(np.diff(first)), pa.array(hits, pa.list_(pa.int32())), pa.array([[held.items[i] if i >= 0 else None for i in found.get(r, ())] for r in range(b.num_rows)], pa.list_(pa.string()))],
                     ["key", "print", "n_words", "hits", "found"],
                 )
 
@@ -174,8 +185,10 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", **opti
     """One row per row of docs: key, n_words, n_hit, n_items, items_sha256, contaminated.
 
     A word is hit where an occurrence of a window of an item covers it; a document is contaminated if a twentieth
-    of its words are hit, one at least. Null and empty texts have no words and aren't contaminated; items without
-    an id or words are ignored, repeated ids count once. Rows that repeat give the same result each.
+    of its words are hit, one at least. Null and empty texts have no words and aren't contaminated. Items without words
+    are ignored; those without an id hit words like others, but aren't among the items counted and listed. Repeated ids
+    count once. Rows that repeat give the same result each, columns of either table may have any other names, and without
+    items nothing is hit.
     """
     parts = matches(docs, items, key=key, **options)
     every = parts[0]
@@ -191,15 +204,18 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", **opti
         n_hit = F.pandas_udf(_merged, "long")("hits")
     else:
         n_hit = F.aggregate(F.transform("hits", lambda x, i: F.when(i % 2 == 0, -x).otherwise(x)), F.lit(0).cast("long"), lambda a, x: a + x)
-    ids = F.array_sort(F.array_distinct("found"))
+    ids = F.array_sort(F.array_compact(F.array_distinct("found")))
     return every.select(F.col("key").alias(key), "n_words", n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"), F.sha2(F.array_join(ids, ",").cast("binary"), 256).alias("items_sha256")).withColumn(
         "contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
     )
 
 
-
 def clean(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """docs without the contaminated rows."""
+    """docs without the contaminated rows, found by key and text, null being a value.
+
+    Texts that are null or without words stay. Rows that repeat both all stay or all go; other columns, of any names
+    and with nulls, stay as they are. Without items all rows stay, of a table without rows none.
+    """
     own = F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("print"))
-    found = contamination(docs.select(own.alias("own"), text), items, key="own", text=text)
+    found = contamination(docs.select(own.alias("own"), F.col(text).alias("text")), items, key="own")
     return without(docs, found.where("contaminated").select("own.key", "own.print"), F.col(key), F.xxhash64(text))

@@ -99,7 +99,7 @@ SQL: dict[str, str] = {
                 FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d) x CROSS JOIN (SELECT DISTINCT size FROM win) l
                 JOIN win ON win.size = l.size AND win.key = array_to_string(list_slice(w, p, p + l.size - 1), ' ') WHERE p + l.size - 1 <= len(w)),
         hits AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + size)) AS q FROM occ) GROUP BY 1),
-        found AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT doc_id, id FROM occ) GROUP BY 1)
+        found AS (SELECT doc_id, count(id) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT doc_id, id FROM occ) GROUP BY 1)
         SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN found USING (doc_id)""",
