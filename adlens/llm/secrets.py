@@ -27,27 +27,35 @@ BASE = 3
 #: The roles that must lie near a weak part before it is reported.
 NEEDS = {"id": ("secret",), "secret": ("id",), "endpoint": ("id", "secret")}
 SPAN = "array<struct<kind:int,start:int,end:int>>"
+#: Matches walked through together.
+CHUNK = 256
 
 
 def found(text: Column, kind: int) -> Column:
-    """The kept spans of one kind: leftmost matches that don't overlap, their places counted from the pieces between."""
+    """The kept spans of one kind: leftmost matches that don't overlap, their places counted from the pieces between.
+
+    Matches are walked through in stretches of CHUNK, so that very many in one text aren't copied once a match.
+    """
     _, pattern, group, least, _ = KINDS[kind]
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    measured = hits if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    each = F.arrays_zip(F.split(text, pattern, -1).alias("before"), hits.alias("hit"), measured.alias("measured"))
-    walk = F.aggregate(
-        F.slice(each, 1, F.size(hits)),
-        F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out")),
-        lambda s, x: F.struct(
-            (s["at"] + F.length(x["before"]) + F.length(x["hit"])).alias("at"),
-            F.when(
-                F.length(x["measured"]) >= least,
-                F.concat(s["out"], F.array(F.struct(F.lit(kind).alias("kind"), (s["at"] + F.length(x["before"])).alias("start"), (s["at"] + F.length(x["before"]) + F.length(x["hit"])).alias("end")))),
-            ).otherwise(s["out"]).alias("out"),
-        ),
-        lambda s: s["out"],
-    )
-    return F.when(text.rlike(pattern), walk).otherwise(F.array().cast(SPAN))
+    none = F.array().cast(SPAN)
+
+    def step(s: Column, x: Column) -> Column:
+        start = s["at"] + F.length(x["before"])
+        end = start + F.length(x["hit"])
+        measured = x["hit"] if group == 0 else F.regexp_extract(x["hit"], pattern, group)
+        span = F.array(F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end")))
+        return F.struct(end.alias("at"), F.when(F.length(measured) >= least, F.concat(s["out"], span)).otherwise(s["out"]).alias("out"))
+
+    def stretch(s: Column, part: Column) -> Column:
+        return F.aggregate(part, F.struct(s["at"].alias("at"), none.alias("out")), step, lambda r: F.struct(r["at"].alias("at"), F.concat(s["out"], F.array(r["out"])).alias("out")))
+
+    def walk(m: Column) -> Column:
+        each = F.arrays_zip(F.slice(m["before"], F.lit(1), F.size(m["hits"])).alias("before"), m["hits"].alias("hit"))
+        parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(m["hits"]) - 1) / CHUNK).cast("int")), lambda i: F.slice(each, i * CHUNK + 1, F.lit(CHUNK)))
+        return F.flatten(F.aggregate(parts, F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out")), stretch, lambda s: s["out"]))
+
+    matched = F.struct(F.split(text, pattern, -1).alias("before"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"))
+    return F.when(text.rlike(pattern), F.transform(F.array(matched), walk)[0]).otherwise(none)
 
 
 def listed(parts: Column) -> Column:
