@@ -123,9 +123,8 @@ def test_decontamination(spark, docs, none):
     windows = collections.defaultdict(set)
     for i, t in items:
         w = word.findall(LOW(t))
-        if w and i is not None:
-            for k in range(max(1, len(w) - 12)):
-                windows[tuple(w[k : k + 13])].add(str(i))
+        for k in range(max(1, len(w) - 12)) if w else ():
+            windows[tuple(w[k : k + 13])].add(None if i is None else str(i))
     want = collections.Counter()
     for k, t in rows:
         w, hit, found = word.findall(LOW(t)), set(), set()
@@ -134,12 +133,15 @@ def test_decontamination(spark, docs, none):
                 if tuple(w[s : s + len(x)]) == x:
                     hit.update(range(s, s + len(x)))
                     found |= ids
+        found.discard(None)
         want[k, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)] += 1
     for size in (1_000_000, 20):
         assert collections.Counter(tuple(r) for r in decontam.contamination(docs, bench, block_words=size).collect()) == want
     assert decontam.contamination(none, bench).count() == 0
     assert {r["n_hit"] for r in decontam.contamination(docs, bench.limit(0)).collect()} == {0}
-    assert decontam.clean(docs, bench).columns == docs.columns
+    stays = collections.Counter(r[0] for r in want.elements() if not r[-1])
+    assert collections.Counter(r["doc_id"] for r in decontam.clean(docs, bench).collect()) == stays
+    assert decontam.clean(docs, bench).columns == docs.columns and decontam.clean(docs, bench.limit(0)).count() == docs.count()
 
 
 def test_proximity(spark):
@@ -293,6 +295,9 @@ def test_secrets(spark, docs, none):
     assert got[2]["linked"] == "bare40:26:66" and got[3]["linked"] == "" and got[7]["linked"] == ""
     assert "account" in got[8]["linked"] and "endpoint" in got[8]["linked"] and "bare40" in got[8]["linked"] and got[9]["linked"] == ""
     assert secrets.scan(none).count() == 0 and secrets.scan(docs).count() == docs.count()
+    many = f"x token={'a' * 8} " * 1500
+    spans = secrets.scan(spark.createDataFrame([(1, many)], "doc_id long, text string")).first()["base"]
+    assert [(s["start"], s["end"]) for s in spans] == [m.span() for m in assign.finditer(many)] and len(spans) == 1500
 
 
 def test_secret_scan_is_native(docs):
