@@ -1,7 +1,7 @@
 """Interpolated modified Kneser-Ney model of word pairs or triples, counted in Spark, and log probabilities under it.
 
 Tasks count the pairs of the texts they read and send them, as arrays, to shards by a hash of the first word
-(spread over SALTS shards each, so that a frequent word fills none). A shard adds up its pairs, writes them as
+(spread over more shards each the more there are, so that a frequent word fills none). A shard adds up its pairs, writes them as
 a sorted array of hashes with their counts into the shared folder, and sends on what it has for each word: how
 often it follows and leads, with how many partners. Shards by word add those up and write the word table. For
 scoring, workers map these files into memory and look pairs and words up by binary search.
@@ -30,8 +30,8 @@ from adlens.llm.common import join2, mix, shared_dir, slices, word_hashes
 
 #: Stand for the end of a text, a token, and for its beginning, which is none.
 END, BEGIN = (mix(np.array([x], np.uint64))[0] for x in (1, 2))
-#: Shards among which the pairs of one first word are spread.
-SALTS = 8
+#: The pairs of one first word are spread over SALTS shards, or over one of so many shards where that is more.
+SALTS, OF_SHARDS = 8, 16
 #: Bytes of text for each shard.
 SHARD_BYTES = 16 << 20
 #: Tokens counted together in a task.
@@ -39,7 +39,7 @@ CHUNK = 1_000_000
 U64, U32, U8 = np.uint64, np.uint32, np.uint8
 #: What is kept of a triple's context: how often it stands, with how many words once, twice and more.
 SUMS = ("count", "ones", "twos", "more")
-WORD_COLUMNS = (("hash", "<u8"), ("count", "<u8"), ("follows", "<u8"), ("leads", "<u8"), ("ones", "<u8"), ("twos", "<u8"), ("more", "<u8"))
+WORD_COLUMNS = ("count", "follows", "leads", "ones", "twos", "more")
 
 
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -63,7 +63,8 @@ def further(lead: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 
 def shard_of(lead: np.ndarray, word: np.ndarray, shards: int) -> np.ndarray:
-    return ((mix(lead) % U64(shards) + (mix(word ^ U64(0x5851F42D4C957F2D)) % U64(SALTS)) * U64(max(1, shards // SALTS))) % U64(shards)).astype(np.int32)
+    salts = max(SALTS, shards // OF_SHARDS)
+    return ((mix(lead) % U64(shards) + (mix(word ^ U64(0x5851F42D4C957F2D)) % U64(salts)) * U64(max(1, shards // salts))) % U64(shards)).astype(np.int32)
 
 
 def _added(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -92,14 +93,16 @@ def _bytes(path: str, data: bytes) -> None:
 
 
 def _mapped(path: str, kind: str) -> np.ndarray:
-    """The array in a file: mapped into memory where the shared folder is a file system, else read from the store."""
+    """The array in a file: mapped into memory where the shared folder is a file system, else read from the store. A missing file is empty."""
     if "://" in path:
         from pyarrow import fs
 
         system, at = fs.FileSystem.from_uri(path)
+        if system.get_file_info(at).type == fs.FileType.NotFound:
+            return np.empty(0, kind)
         with system.open_input_file(at) as f:
             return np.frombuffer(f.read(), kind)
-    return np.memmap(path, kind, "r") if os.path.getsize(path) else np.empty(0, kind)
+    return np.memmap(path, kind, "r") if os.path.exists(path) and os.path.getsize(path) else np.empty(0, kind)
 
 
 def _store(path: str, n: np.ndarray) -> None:
@@ -213,8 +216,9 @@ def _words(folder: str):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         k = key[0].as_py()
         if k < 0:
-            total = np.sum([np.frombuffer(x.as_buffer(), U64)[1:] for x in table.column("hash")], axis=0)
-            return pa.Table.from_pydict({"shard": pa.array([k], pa.int32()), "sums": pa.array([[int(x) for x in total]], pa.list_(pa.int64()))})
+            each = np.stack([np.frombuffer(x.as_buffer(), U64) for x in table.column("hash")])
+            total = [int(x) for x in (*each[:, 1:].sum(axis=0), *np.sort(each[:, 0]))]  # then the shards that have files
+            return pa.Table.from_pydict({"shard": pa.array([k], pa.int32()), "sums": pa.array([total], pa.list_(pa.int64()))})
         parts: list[list[np.ndarray]] = []
         for r in table.to_pylist():
             h = np.frombuffer(r["hash"], U64)
@@ -223,8 +227,9 @@ def _words(folder: str):
                 v[place] = np.frombuffer(r[c], U32 if len(r[c]) == 4 * len(h) else U64).astype(np.int64)
             parts.append([h, *v])
         h, _, count, follows, leads, ones, twos, partners = _added(*(np.concatenate([p[i] for p in parts]) for i in range(7)))
-        for name, v in zip((x[0] for x in WORD_COLUMNS), (h, count, follows, leads, ones, twos, partners - ones - twos), strict=True):
-            _bytes(f"{folder}/words-{k}.{name}", v.astype("<u8").tobytes())
+        _bytes(f"{folder}/words-{k}.hash", h.tobytes())
+        for name, v in zip(WORD_COLUMNS, (count, follows, leads, ones, twos, partners - ones - twos), strict=True):
+            _store(f"{folder}/words-{k}-{name}", v)
         sums = [count.sum(), (count > 0).sum(), follows.sum(), *((follows == x).sum() for x in (1, 2, 3, 4)), (follows > 0).sum()]
         return pa.Table.from_pydict({"shard": pa.array([k], pa.int32()), "sums": pa.array([[int(x) for x in sums]], pa.list_(pa.int64()))})
 
@@ -258,13 +263,17 @@ class Model:
     files: dict = field(default_factory=dict)
 
     def open(self, path: str, kind: str) -> np.ndarray:
+        """A file's array. Mapped files stay open; what is read from a store is let go, so that a worker holds one shard at a time."""
         if path not in self.files:
-            self.files[path] = _mapped(f"{self.folder}/{path}", kind)
+            got = _mapped(f"{self.folder}/{path}", kind)
+            if "://" in self.folder:
+                return got
+            self.files[path] = got
         return self.files[path]
 
     def words(self, h: np.ndarray) -> dict[str, np.ndarray]:
         """What the table has for each hash, zeros for words never seen."""
-        out = {name: np.zeros(len(h), np.int64) for name, _ in WORD_COLUMNS[1:]}
+        out = {name: np.zeros(len(h), np.int64) for name in WORD_COLUMNS}
         shard = (mix(h) % U64(self.word_count)).astype(np.int32)
         for k in self.word_shards:
             i = np.flatnonzero(shard == k)
@@ -272,8 +281,8 @@ class Model:
                 keys = self.open(f"words-{k}.hash", "<u8")
                 at = np.minimum(np.searchsorted(keys, h[i]), len(keys) - 1)
                 ok = keys[at] == h[i]
-                for name, kind in WORD_COLUMNS[1:]:
-                    out[name][i[ok]] = self.open(f"words-{k}.{name}", kind)[at[ok]]
+                for name in WORD_COLUMNS:
+                    out[name][i[ok]] = self.counts(f"words-{k}-{name}", at[ok])
         return out
 
     def counts(self, path: str, at: np.ndarray) -> np.ndarray:
@@ -325,7 +334,10 @@ class Model:
 
 
 def fit(docs: DataFrame, text: str = "text", order: int = 2) -> Model:
-    """Count all rows of docs, null texts as empty; the order is 2 or 3. The files stay in the shared folder until the program ends."""
+    """Count all rows of docs, null texts as empty; the order is 2 or 3. The files stay in the shared folder until the program ends.
+
+    Rows that repeat count each. Bytes that aren't UTF-8 are parts of words like others. Without rows every word is new.
+    """
     if order not in (2, 3):
         raise ValueError(f"order {order}: 2 or 3")
     spark = docs.sparkSession
@@ -344,9 +356,8 @@ def fit(docs: DataFrame, text: str = "text", order: int = 2) -> Model:
     counted = counted.groupBy("shard").applyInArrow(_pairs(folder, word_shards), WORDS)
     # a number of rows bounded by the shards
     got = {r["shard"]: r["sums"] for r in counted.groupBy("shard").applyInArrow(_words(folder), "shard int, sums array<long>").collect()}
-    n, triples = got.pop(-1, [0] * 4), got.pop(-2, [0] * 4)
+    (*n, pair_shards), (*triples, triple_shards) = ((*x[:4], x[4:]) for x in (got.pop(-1, [0] * 4), got.pop(-2, [0] * 4)))
     total = np.sum(list(got.values()), axis=0).tolist() if got else [0] * 8
-    pair_shards, triple_shards = ([k for k in range(shards) if "://" in folder or os.path.exists(f"{folder}/{x}-{k}.hash")] for x in ("pairs", "triples"))
     tokens_, vocabulary, pairs, *ones, kinds = total
     d = discounts(ones)
     more = kinds - ones[0] - ones[1]
