@@ -76,6 +76,17 @@ def same_origin(a: Column, b: Column) -> Column:
     return F.lower(part(b, 1)).isin("http", "https") & (part(b, 2) != "") & (F.lower(part(a, 1)) == F.lower(part(b, 1))) & (F.lower(part(a, 2)) == F.lower(part(b, 2)))
 
 
+def without_dots(path: Column) -> Column:
+    """A path whose segments . and .. are taken, as a browser takes them."""
+    segments = F.split(F.substring(path, 2, 2**31 - 1), "/")
+    last = F.element_at(segments, -1)
+    none = F.array().cast("array<string>")
+    step = lambda kept, s: F.when(s == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))).when(s == ".", kept).otherwise(F.concat(kept, F.array(s)))
+    kept = F.aggregate(segments, none, step)
+    taken = F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(last.isin(".", "..") & (F.size(kept) > 0), "/").otherwise(""))
+    return F.when(path.rlike(r"^/(.*/)?\.\.?(/|$)"), taken).otherwise(path)
+
+
 def resolved(base: Column, href: Column) -> Column:
     """An address found on a page, made absolute; empty for mail, phone, script and data addresses."""
     return once(F.regexp_replace(compact(href), "#.*$", ""), lambda raw: _resolved(base, raw))
@@ -91,4 +102,6 @@ def _resolved(base: Column, raw: Column) -> Column:
         .when(raw.startswith("?"), F.concat(root, part(base, 3), raw))
         .otherwise(F.concat(F.when(folder == root, F.concat(folder, F.lit("/"))).otherwise(folder), raw))
     )
-    return F.when((raw == "") | raw.rlike("^(?i)(mailto|tel|javascript|data):"), "").otherwise(absolute)
+    query = lambda u: F.regexp_extract(u, r"^[^?]*(\?.*)?$", 1)
+    tidy = once(absolute, lambda u: F.concat(part(u, 1), F.lit("://"), part(u, 2), without_dots(part(u, 3)), query(u)))
+    return F.when((raw == "") | raw.rlike("^(?i)(mailto|tel|javascript|data):"), "").when(raw.rlike(r"(^|/)\.\.?(/|\?|$)"), tidy).otherwise(absolute)
