@@ -7,7 +7,7 @@ addresses for each council and band are enough to know the span without any one
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,18 +25,26 @@ def spans(samples: DataFrame) -> DataFrame:
 
 
 def conflicts(jobs: DataFrame, samples: DataFrame) -> DataFrame:
-    """jobs (job, council_key, band, low, high, identity, coupled) with `conflict`.
+    """jobs (job, council_key, band, low, high, identity, coupled) with `conflict`; rows that repeat are judged each.
 
     A conflict: peers of the declared band exist and their span doesn't overlap the pay, while the span of another
-    band holds half of the pay's range or its midpoint; unless text couples the band with the pay.
+    band holds half of the pay's range or its midpoint; unless text couples the band with the pay. Jobs without a
+    council, band or pay have none. A council's spans, one a band, meet its jobs as one row; nothing is gathered after.
     """
-    peers = F.broadcast(spans(samples).withColumnsRenamed({"council_key": "council_", "band": "band_"}))
-    low = F.when(F.col("low1.identity") == F.col("identity"), F.col("low2")).otherwise(F.col("low1.low"))
-    high = F.when(F.col("high1.identity") == F.col("identity"), F.col("high2")).otherwise(F.col("high1.high"))
-    pairs = jobs.join(peers, F.col("council_key") == F.col("council_"), "left").withColumns({"p_low": low, "p_high": high})
-    overlap = F.greatest(F.lit(0.0), F.least("high", "p_high") - F.greatest("low", "p_low"))
-    middle = (F.col("low") + F.col("high")) / 2
-    near = (overlap / F.greatest(F.lit(1.0), F.col("high") - F.col("low")) >= 0.5) | middle.between(F.col("p_low"), F.col("p_high"))
-    own, there = F.col("band_") == F.col("band"), F.col("p_low").isNotNull()
-    judged = pairs.groupBy(*[F.col(c) for c in jobs.columns]).agg(F.max(F.coalesce(own & there & (overlap <= 0), F.lit(False))).alias("apart"), F.max(F.coalesce(~own & there & near, F.lit(False))).alias("elsewhere"))
-    return judged.withColumn("conflict", F.col("apart") & F.col("elsewhere") & ~F.col("coupled")).drop("apart", "elsewhere")
+    span = F.struct(F.col("band").alias("band"), "low1", "low2", "high1", "high2")
+    peers = spans(samples).groupBy(F.col("council_key").alias("council_")).agg(F.collect_list(span).alias("spans_"))
+    joined = jobs.join(peers, F.col("council_key") == F.col("council_"), "left")
+    low, high, middle = F.col("low"), F.col("high"), (F.col("low") + F.col("high")) / 2
+
+    def seen(s: Column) -> Column:
+        """A span as the job sees it, without its own address."""
+        least = F.when(s["low1"]["identity"] == F.col("identity"), s["low2"]).otherwise(s["low1"]["low"])
+        most = F.when(s["high1"]["identity"] == F.col("identity"), s["high2"]).otherwise(s["high1"]["high"])
+        overlap = F.greatest(F.lit(0.0), F.least(high, most) - F.greatest(low, least))
+        near = (overlap / F.greatest(F.lit(1.0), high - low) >= 0.5) | middle.between(least, most)
+        return F.struct((s["band"] == F.col("band")).alias("own"), least.isNotNull().alias("there"), (overlap <= 0).alias("apart"), near.alias("near"))
+
+    found = joined.withColumn("seen_", F.transform("spans_", seen))
+    some = lambda f: F.coalesce(F.exists("seen_", f), F.lit(False))
+    apart, elsewhere = some(lambda s: s["own"] & s["there"] & s["apart"]), some(lambda s: ~s["own"] & s["there"] & s["near"])
+    return found.withColumn("conflict", apart & elsewhere & ~F.col("coupled")).select(*[F.col(c) for c in jobs.columns], "conflict")

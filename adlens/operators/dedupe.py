@@ -33,12 +33,14 @@ def exact_key() -> list[Column]:
 
 
 def best_of_exact(rows: DataFrame, seq: str) -> DataFrame:
-    """The best row of each exact key, the first of equally good ones, in the place of the key's first row."""
-    names = [f"k{i}_" for i in range(7)]
-    keyed = rows.withColumns(dict(zip(names, exact_key(), strict=True)) | {"score_": quality_score()})
-    same = Window.partitionBy(*names)
-    ranked = keyed.withColumns({"nth_": F.row_number().over(same.orderBy(F.desc("score_"), seq)), "seq_": F.min(seq).over(same)})
-    return ranked.where("nth_ = 1").drop(*names, "nth_")
+    """The best row of each exact key, the first of equally good ones, in the place of the key's first row.
+
+    The key is worked out once, as one digest, and a partial aggregation finds the best row: no group is sorted.
+    """
+    digest = F.sha2(F.concat_ws("\x1f", *[F.coalesce(k, F.lit("\x00")) for k in exact_key()]), 256)
+    keyed = rows.select(digest.alias("key_"), quality_score().alias("score_"), F.col(seq).alias("seq_"), F.struct(*[F.col(c) for c in rows.columns]).alias("row_"))
+    best = keyed.groupBy("key_").agg(F.min_by(F.struct("row_", "score_"), F.struct(-F.col("score_"), F.col("seq_"))).alias("best_"), F.min("seq_").alias("seq_"))
+    return best.select("best_.row_.*", "best_.score_", "seq_")
 
 
 def _alike(a: set, b: set) -> bool:

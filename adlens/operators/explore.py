@@ -90,9 +90,9 @@ def axis(low: Column, high: Column) -> Column:
 
 def distinct_listings(jobs: DataFrame, seq: str) -> DataFrame:
     """The first row, by seq, of those that are the same vacancy: one partial aggregation, no sort of a group."""
-    names = [f"k{i}_" for i in range(7)]
-    keyed = jobs.select(F.struct(*jobs.columns).alias("row_"), F.col(seq).alias("seq_"), *[k.alias(n) for n, k in zip(names, dedupe.exact_key(), strict=True)])
-    return keyed.groupBy(*names).agg(F.min_by("row_", "seq_").alias("row_")).select("row_.*")
+    digest = F.sha2(F.concat_ws("\x1f", *[F.coalesce(k, F.lit("\x00")) for k in dedupe.exact_key()]), 256)
+    keyed = jobs.select(F.struct(*jobs.columns).alias("row_"), F.col(seq).alias("seq_"), digest.alias("key_"))
+    return keyed.groupBy("key_").agg(F.min_by("row_", "seq_").alias("row_")).select("row_.*")
 
 
 def listed(jobs: DataFrame, collation: str | None = "UNICODE") -> DataFrame:

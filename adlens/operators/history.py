@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SEEN, UNAVAILABLE, NOT_SEEN = "seen_latest_run", "source_unavailable_latest_run", "not_seen_latest_run"
 
 
+#: Runs of an imported log; where it has one, there is no earlier snapshot to go on from.
+SEED = "seed-"
+
+
 def union_history(previous: DataFrame, observations: DataFrame) -> DataFrame:
     """The previous snapshot before new observations; columns that one lacks are null."""
     return previous.unionByName(observations, allowMissingColumns=True)
@@ -17,17 +21,15 @@ def union_history(previous: DataFrame, observations: DataFrame) -> DataFrame:
 
 def dedupe(observations: DataFrame, *seq: str) -> DataFrame:
     """The first row, by seq, of each job, time and run; a replayed log adds nothing."""
-    first = Window.partitionBy("job_id", "observed_at", "run_id").orderBy(*seq)
-    return observations.withColumn("nth_", F.row_number().over(first)).where("nth_ = 1").drop("nth_")
+    keys = ["job_id", "observed_at", "run_id"]
+    row = F.struct(*[F.col(c) for c in observations.columns])
+    return observations.groupBy(*keys).agg(F.min_by(row, F.struct(*seq)).alias("row_")).select("row_.*")
 
 
 def latest_run(observations: DataFrame, *seq: str) -> DataFrame:
-    """The run of the newest observation, the first loaded of equally new ones, as one row."""
-    return observations.agg(F.max_by("run_id", F.struct("observed_at", *[_descending(F.col(c)) for c in seq])).alias("latest_run"), F.max("observed_at").alias("latest_at"))
-
-
-def _descending(c: Column) -> Column:
-    return -c.cast("double")
+    """The run of the newest observation, the first loaded of equally new ones, as one row. seq may be of any type that sorts."""
+    each = observations.groupBy(F.col("observed_at").alias("latest_at")).agg(F.min_by("run_id", F.struct(*seq)).alias("latest_run"))
+    return each.agg(F.max_by("latest_run", F.struct("latest_at")).alias("latest_run"), F.max("latest_at").alias("latest_at"))
 
 
 def latest(observations: DataFrame, *seq: str) -> DataFrame:
@@ -35,23 +37,45 @@ def latest(observations: DataFrame, *seq: str) -> DataFrame:
 
     One partial aggregation: no sort, and a job with very many sightings sends one row a task.
     """
-    rest = [c for c in observations.columns if c != "job_id"]
+    rest = [c for c in observations.columns if c not in ("job_id", "first_seen_at", "last_seen_at", "sighting_count")]
     newest = F.max_by(F.struct(*rest), F.struct("observed_at", *seq))
     return observations.groupBy("job_id").agg(newest.alias("r"), F.min("observed_at").alias("first_seen_at"), F.max("observed_at").alias("last_seen_at"), F.count("*").alias("sighting_count")).select("job_id", "r.*", "first_seen_at", "last_seen_at", "sighting_count")
 
 
 def with_status(snapshot: DataFrame, run: DataFrame, failed: DataFrame) -> DataFrame:
     """observed_status: seen in the latest run, else source unavailable, else not seen. `failed` has source_id."""
-    bad = F.broadcast(failed.select(F.col("source_id").alias("failed_id")).distinct())
-    joined = snapshot.crossJoin(F.broadcast(run.select("latest_run"))).join(bad, F.col("source_id") == F.col("failed_id"), "left")
+    bad = failed.select(F.col("source_id").alias("failed_id")).distinct()  # broadcast by Spark where it is small
+    joined = snapshot.drop("observed_status").crossJoin(F.broadcast(run.select("latest_run"))).join(bad, F.col("source_id") == F.col("failed_id"), "left")
     status = F.when(F.col("run_id") == F.col("latest_run"), SEEN).when(F.col("failed_id").isNotNull(), UNAVAILABLE).otherwise(NOT_SEEN)
     return joined.withColumn("observed_status", status).drop("latest_run", "failed_id")
 
 
-def rebuild(observations: DataFrame, failed: DataFrame, *seq: str) -> DataFrame:
-    """All listings in their latest state with their status."""
-    log = dedupe(observations, *seq)
-    return with_status(latest(log, *seq), latest_run(log, *seq), failed)
+def log_of(observations: DataFrame, *seq: str, previous: DataFrame | None = None) -> DataFrame:
+    """What a snapshot is made from, with `order_`, in which rows were loaded.
+
+    An imported log (with a seed run) stands as it is. Another follows the previous snapshot, whose rows come first, and
+    of rows that repeat job, time and run the first counts.
+    """
+    order = lambda part, *c: F.struct(F.lit(part).alias("part"), F.struct(*c).alias("seq"))
+    new = observations.withColumn("order_", order(1, *seq))
+    seeded = observations.agg(F.coalesce(F.max(F.col("run_id").startswith(SEED)), F.lit(False)).alias("seeded_"))
+    if previous is not None:
+        old = previous.drop("first_seen_at", "last_seen_at", "sighting_count", "observed_status").withColumn("order_", order(0, *[F.lit(None).cast(observations.schema[c].dataType).alias(c) for c in seq]))
+        new = union_history(old, new)
+    rows = new.crossJoin(F.broadcast(seeded)).where("not seeded_ or order_.part = 1")
+    # in an imported log every row is a key of its own
+    first = F.min_by(F.struct(*[F.col(c) for c in new.columns]), "order_")
+    return rows.groupBy("job_id", "observed_at", "run_id", F.when(F.col("seeded_"), F.col("order_")).alias("own_")).agg(first.alias("row_")).select("row_.*")
+
+
+def rebuild(observations: DataFrame, failed: DataFrame, *seq: str, previous: DataFrame | None = None, run_id: str | None = None) -> DataFrame:
+    """All listings in their latest state with their status, seen in the run that is given or else in the newest; first_order tells which were loaded first."""
+    log = log_of(observations, *seq, previous=previous)
+    run = latest_run(log, "order_")
+    if run_id is not None:
+        run = run.withColumn("latest_run", F.lit(run_id))
+    first = log.groupBy("job_id").agg(F.min("order_").alias("first_order"))
+    return with_status(latest(log, "order_").drop("order_").join(first, "job_id"), run, failed)
 
 
 def with_descriptions(jobs: DataFrame, descriptions: DataFrame) -> DataFrame:
@@ -71,6 +95,12 @@ def group_counts(jobs: DataFrame, column: str, default: str = "unknown") -> Data
     return jobs.groupBy(F.coalesce(F.nullif(F.col(column).cast("string"), F.lit("")), F.lit(default)).alias("value")).agg(F.count("*").alias("n"))
 
 
+def counts_map(jobs: DataFrame, column: str, default: str, name: str) -> DataFrame:
+    """One row with a map from the values of a column, sorted, to how many jobs have them."""
+    pairs = F.array_sort(F.collect_list(F.struct("value", "n")))
+    return group_counts(jobs, column, default).agg(F.map_from_entries(pairs).alias(name))
+
+
 def summary(jobs: DataFrame, observations: DataFrame, sources: DataFrame) -> DataFrame:
     """One row of counts over a snapshot, its log and the sources."""
     counted = [
@@ -84,3 +114,20 @@ def summary(jobs: DataFrame, observations: DataFrame, sources: DataFrame) -> Dat
         sources.agg(F.count("*").alias("sources_configured")),
     ]
     return reduce(lambda a, b: a.crossJoin(b), counted)
+
+
+def run_summary(current: DataFrame, report: DataFrame, jobs: DataFrame, observations: DataFrame, sources: DataFrame) -> DataFrame:
+    """One row about a published snapshot: how many rows and councils, and how many of each status and platform, of the report and of what is current."""
+    councils = lambda df, name: df.agg(F.count("*").alias(f"{name}_jobs"), F.countDistinct(F.nullif(F.col("council_key"), F.lit(""))).alias(f"councils_with_{name}_jobs"))
+    counted = [
+        sources.agg(F.count("*").alias("sources_configured")),
+        councils(current, "current"),
+        councils(report, "report"),
+        jobs.agg(F.count("*").alias("all_jobs")),
+        observations.agg(F.count("*").alias("observations")),
+        counts_map(report, "classification_status", "unclassified", "classification_status_counts"),
+        counts_map(report, "source_platform", "unknown", "source_platform_counts"),
+        counts_map(current, "classification_status", "unclassified", "current_classification_status_counts"),
+        counts_map(current, "source_platform", "unknown", "current_source_platform_counts"),
+    ]
+    return reduce(lambda a, b: a.crossJoin(b), counted)

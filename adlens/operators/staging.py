@@ -8,8 +8,13 @@ from pyspark.sql import DataFrame
 
 
 def written(df: DataFrame) -> DataFrame:
-    """df, worked out and kept in the folder that the cluster names for checkpoints (one of its own where none is named, as in tests)."""
+    """df, worked out and kept in the folder that the cluster names for checkpoints (on one machine, where none is named, as in tests, one of its own)."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="adlens-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder:
+            if not sc.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            folder = tempfile.mkdtemp(prefix="adlens-")
+        sc.setCheckpointDir(folder)
     return df.checkpoint()

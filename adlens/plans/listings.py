@@ -43,6 +43,22 @@ def latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.latest_run(lens.observations(spark, sf_dir), *lens.SEQ)
 
 
+@query(
+    f"{OBS}, logged AS (SELECT 0 AS part, NULL::BIGINT AS l_orderkey_, * FROM obs WHERE run_id < '199501' AND l_linenumber < 3 UNION ALL SELECT 1, l_orderkey, * FROM obs WHERE run_id >= '199401'),"
+    f" firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY job_id, observed_at, run_id ORDER BY part, {SEQ}) AS k FROM logged) WHERE k = 1),"
+    f" snap AS (SELECT *, min(observed_at) OVER (PARTITION BY job_id) AS first_seen_at, count(*) OVER (PARTITION BY job_id) AS sighting_count, row_number() OVER (PARTITION BY job_id ORDER BY observed_at DESC, part DESC, {DESC}) AS nth FROM firsts),"
+    f" run AS (SELECT run_id AS latest_run FROM firsts ORDER BY observed_at DESC, part, {SEQ} LIMIT 1)"
+    f" SELECT job_id, run_id, observed_at, l_orderkey, first_seen_at, sighting_count, {STATUS} AS observed_status FROM snap CROSS JOIN run WHERE nth = 1"
+)
+def snapshot_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An earlier snapshot and a log that overlaps it, ordered by structs, as listings with their status."""
+    obs = lens.observations(spark, sf_dir).withColumn("seq", F.struct(*lens.SEQ))
+    # of rows of one job, time and run in the snapshot the first counts, as in a log
+    old = obs.where("run_id < '199501' and l_linenumber < 3").groupBy("job_id", "observed_at", "run_id").agg(F.min_by(F.struct(*[c for c in obs.columns if c not in ("job_id", "observed_at", "run_id")]), "seq").alias("r")).select("job_id", "observed_at", "run_id", "r.*")
+    jobs = history.rebuild(obs.where("run_id >= '199401'"), failed(spark, sf_dir), "seq", previous=old)
+    return jobs.select("job_id", "run_id", "observed_at", "l_orderkey", "first_seen_at", "sighting_count", "observed_status")
+
+
 @query(LATEST + RUN + f"SELECT job_id, run_id, {STATUS} AS observed_status FROM snap CROSS JOIN run")
 def status_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each listing's status: seen, source unavailable, or not seen."""
@@ -213,18 +229,27 @@ def token_and_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot(spark, sf_dir).where(explore.has_tokens(explore.search_text("title", "council_key"), "an BLUE")).select("job_id", "title")
 
 
-@query(LATEST + "SELECT job_id, council_key, title FROM snap")
+@query(LATEST + "SELECT job_id, council_key, title, CAST(rank() OVER (ORDER BY lower(council_key), lower(title)) AS BIGINT) AS place FROM snap")
 def explore_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listings in the explorer's order."""
-    return explore.listed(snapshot(spark, sf_dir)).select("job_id", "council_key", "title")
+    """Listings in the explorer's order, with their places in it; those that sort alike share the first."""
+    rows = explore.listed(snapshot(spark, sf_dir)).select("job_id", "council_key", "title")
+    placed = rows.withColumn("id", F.monotonically_increasing_id()).withColumn("part", F.shiftright("id", 33))
+    counts = placed.groupBy("part").count()
+    before = counts.alias("x").join(counts.alias("y"), F.col("y.part") < F.col("x.part"), "left").groupBy(F.col("x.part").alias("part")).agg(F.coalesce(F.sum("y.count"), F.lit(0)).alias("before"))
+    numbered = placed.join(before, "part").withColumn("nth", F.col("before") + F.col("id").bitwiseAND((1 << 33) - 1) + 1)
+    first = numbered.groupBy("council_key", "title").agg(F.min("nth").alias("place"))
+    return numbered.join(first, ["council_key", "title"]).select("job_id", "council_key", "title", "place")
 
 
-@query(LATEST + "SELECT job_id, concat('<item><title>', replace(title, '&', '&amp;'), '</title><link>https://jobs.example/', job_id, '</link><pubDate>', strftime(CAST(observed_at AS DATE), '%a, %d %b %Y 00:00:00 +0000'), '</pubDate></item>') AS item FROM snap ORDER BY council_key, title, job_id LIMIT 250")
+@query(
+    LATEST + "SELECT job_id, concat('<item><guid>', job_id, '</guid><title>', replace(title, '&', '&amp;'), ' - ', council_key, ' &amp; Co</title><link>https://jobs.example/', job_id, '</link><description><![CDATA[<p><strong>Council:</strong> ', council_key, ' & Co</p><p><strong>Status:</strong> ',"
+    " CASE classification_status WHEN '' THEN 'unclassified' ELSE classification_status END, '</p><p><strong>Band:</strong> ', band, '</p>]]></description><pubDate>', strftime(CAST(observed_at AS DATE), '%a, %d %b %Y 00:00:00 +0000'), '</pubDate></item>') AS item FROM snap ORDER BY council_key, title, job_id LIMIT 250"
+)
 def rss_top250(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 250 listings as feed items."""
     from adlens.operators import board
 
-    return board.rss_items(snapshot(spark, sf_dir).withColumn("url", F.concat(F.lit("https://jobs.example/"), F.col("job_id").cast("string"))))
+    return board.rss_items(snapshot(spark, sf_dir).withColumns({"url": F.concat(F.lit("https://jobs.example/"), F.col("job_id").cast("string")), "council_name": F.concat("council_key", F.lit(" & Co"))}))
 
 
 @query(
