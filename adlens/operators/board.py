@@ -98,9 +98,22 @@ def councils(sources: DataFrame, metro: tuple[str, ...], *seq: str) -> DataFrame
 
 
 def rss_items(jobs: DataFrame, most: int = 250) -> DataFrame:
-    """The first listings in report order as feed items."""
-    e = lambda c: text.escape(text.compact(F.col(c)))
-    date = F.date_format(F.to_timestamp("last_seen_at"), "EEE, dd MMM yyyy HH:mm:ss Z")
-    item = F.concat(F.lit("<item><title>"), e("title"), F.lit("</title><link>"), e("url"), F.lit("</link><pubDate>"), F.coalesce(date, F.lit("")), F.lit("</pubDate></item>"))
+    """The first listings in report order as feed items: id, title with the council's name, address, what is known, and when it was seen."""
+    have = lambda c: F.col(c) if c in jobs.columns else F.lit(None)
+    some = lambda *cs: F.coalesce(*[F.nullif(have(c).cast("string"), F.lit("")) for c in cs])
+    e = lambda c: text.escape(F.coalesce(c, F.lit("")))
+    said = lambda name, value: F.when(value.isNotNull(), F.concat(F.lit(f"<p><strong>{name}:</strong> "), value, F.lit("</p>")))
+    body = F.concat_ws("", said("Council", F.coalesce(some("council_name"), F.lit(""))), said("Status", F.coalesce(some("classification_status"), F.lit("unclassified"))), said("Band", some("band")), said("Salary", some("advertised_salary_text")), said("Closes", some("closing_text", "closing_date")))
+    date = F.date_format(F.to_timestamp(some("observed_at", "last_seen_at")), "EEE, dd MMM yyyy HH:mm:ss Z")
+    title = F.concat(e(F.coalesce(some("title"), F.lit("Untitled role"))), F.lit(" - "), e(F.coalesce(some("short_name", "council_name"), F.lit("Council"))))
+    item = F.concat(F.lit("<item><guid>"), e(some("job_id", "url")), F.lit("</guid><title>"), title, F.lit("</title><link>"), e(some("url")), F.lit("</link><description><![CDATA["), body, F.lit("]]></description><pubDate>"), F.coalesce(date, F.lit("")), F.lit("</pubDate></item>"))
     order = [F.coalesce("council_key", F.lit("")), F.coalesce("title", F.lit("")), "job_id"]
     return jobs.orderBy(*order).limit(most).select("job_id", item.alias("item"))
+
+
+def rss(jobs: DataFrame, title: str, link: str, about: str, most: int = 250) -> DataFrame:
+    """A whole feed as one row: the channel with the first listings in report order."""
+    ordered = rss_items(jobs, most).withColumn("place_", F.monotonically_increasing_id())
+    items = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place_", "item"))), lambda x: x["item"]), "\n")
+    head = f'<?xml version="1.0" encoding="UTF-8"?>\n<rss version="2.0">\n<channel>\n<title>{title}</title>\n<link>{link}</link>\n<description>{about}</description>\n<language>en</language>\n'
+    return ordered.agg(F.concat(F.lit(head), items, F.lit("\n</channel>\n</rss>\n")).alias("xml"))

@@ -24,3 +24,15 @@ def insert_descriptions(new: DataFrame, path: str) -> None:
 def write_profiles(profiles: DataFrame, path: str, run_id: str) -> None:
     """The state after a run in a folder of its own, so that the state before it stays readable."""
     profiles.write.mode("overwrite").parquet(f"{path}/run={run_id}")
+
+
+def append_quarantine(rows: DataFrame, path: str, day: str) -> None:
+    """Rejected rows as JSON lines in the day's part of the quarantine."""
+    append_log(rows, path, day)
+
+
+def write_published(found, path: str, version: str, feed: DataFrame) -> None:
+    """All tables of a rebuild under one version, a folder each; the feed, one small row, as text. `found` is a report.Published."""
+    for name in ("all", "current", "report", "board", "summary"):
+        getattr(found, name).withColumn("schema_version", F.lit(f"{name}.v1")).write.mode("overwrite").json(f"{path}/{version}/{name}")
+    feed.select("xml").coalesce(1).write.mode("overwrite").option("lineSep", "\n").text(f"{path}/{version}/feed")
