@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -189,3 +191,45 @@ def health_summary(health: DataFrame) -> DataFrame:
 def health_report(health: DataFrame) -> DataFrame:
     """Sources in the order of a report: degraded ones first, then by id."""
     return health.orderBy(F.col("status") != "degraded", "source_id")
+
+
+#: Fields that rows give evidence for, those a document may tell, and what strategies read.
+FIELDS, TOLD = ("title", "salary", "band", "closing_date", "description"), ("salary", "band", "closing_date", "description")
+READS = {"known_endpoint": "endpoint_json", "discovered_endpoint": "endpoint_json", "endpoint_json": "endpoint_json", "json_ld": "json_ld", "sitemap_feed": "sitemap_feed"}
+
+
+def field_evidence(strategy: Column, has_document: Column) -> Column:
+    """Where a strategy's rows have their fields from."""
+    base = F.lit("detail_html")
+    base = F.when(strategy.contains("oracle_hcm") | strategy.contains("pulse"), "endpoint_json").otherwise(base)
+    for name, source in READS.items():
+        base = F.when(strategy == name, source).otherwise(base)
+    told = F.when(has_document, "pdf_or_docx").otherwise(base)
+    pairs = [x for f in FIELDS for x in (F.lit(f), told if f in TOLD else base)]
+    return F.create_map(*pairs, F.lit("strategy"), strategy)
+
+
+@dataclass
+class Contest:
+    """What a run of all strategies of all sources comes to, each a table."""
+
+    rows: DataFrame
+    health: DataFrame
+    profiles: DataFrame
+    quarantine: DataFrame
+
+
+def contest(candidates: DataFrame, profiles: DataFrame, global_rules: DataFrame, source_rules: DataFrame, run_id: str, *seq: str) -> Contest:
+    """Choose each source's strategy, judge its rows, and say what is emitted, set aside and remembered.
+
+    Strategies are compared by a source's own rules; the rows of the chosen one are judged by all. candidates may have
+    has_document and their own field_evidence, which stays.
+    """
+    first = choose(metrics(judged(candidates, global_rules.limit(0), source_rules)), profiles).select("source_id", "strategy")
+    rows = judged(candidates, global_rules, source_rules).join(first, ["source_id", "strategy"], "left_semi")
+    health = drift(choose(metrics(rows), profiles))
+    out = emitted(rows, health).drop("reason")
+    has = F.coalesce("has_document", F.lit(False)) if "has_document" in out.columns else F.lit(False)
+    made = field_evidence(F.col("strategy"), has)
+    out = out.withColumns({"field_evidence": F.coalesce("field_evidence", made) if "field_evidence" in out.columns else made, "source_strategy": F.col("strategy")})
+    return Contest(out, health, updated_profiles(profiles, health, run_id), quarantine(rows, health, *seq))

@@ -45,6 +45,15 @@ PROFILE = {
     "last_good_count": "s_suppkey % 9",
     "last_good_score": "(s_suppkey % 9) * 50",
 }
+#: Orders as sources, which have a few candidates each.
+ORDER_CANDIDATE = CANDIDATE | {"source_id": "l_orderkey", "paid": "l_quantity > 3", "failed": "l_orderkey % 11 = 0 AND l_linenumber = 2", "has_document": "l_partkey % 4 = 0", "l_extendedprice": "l_extendedprice", "l_suppkey": "l_suppkey"}
+ORDER_PROFILE = {
+    "source_id": "o_orderkey",
+    "platform": "o_orderpriority",
+    "preferred_strategy": "CASE o_orderkey % 3 WHEN 0 THEN 'json_ld' WHEN 1 THEN 'known_endpoint' ELSE '' END",
+    "last_good_count": "o_orderkey % 9",
+    "last_good_score": "(o_orderkey % 9) * 50",
+}
 GLOBAL_RULE, SOURCE_RULE = "concat('officer ', CAST(n_nationkey AS VARCHAR(9)))", "concat('officer ', CAST(30 + s_suppkey % 10 AS VARCHAR(9)))"
 
 
@@ -57,9 +66,19 @@ _SUPPLIERS = "supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n
 OBS_SQL = _sql(SIGHTING, _JOINED, ", strftime(o_orderdate, '%Y-%m-%d') AS observed_at, strftime(o_orderdate, '%Y%m') AS run_id")
 CANDIDATES_SQL = _sql(CANDIDATE, "lineitem")
 PROFILES_SQL = _sql(PROFILE, _SUPPLIERS)
-JUDGED_SQL = f"""SELECT c.*, CASE WHEN title <> '' AND lower(title) IN (SELECT {GLOBAL_RULE} FROM nation) THEN 'global_reject_title'
+ORDER_CANDIDATES_SQL = _sql(ORDER_CANDIDATE, "lineitem")
+ORDER_PROFILES_SQL = _sql(ORDER_PROFILE, "orders")
+
+
+def judged_sql(candidates: str, by_all: bool = True) -> str:
+    """Candidates with their reason, by all rules or by the sources' own alone."""
+    every = f"WHEN title <> '' AND lower(title) IN (SELECT {GLOBAL_RULE} FROM nation) THEN 'global_reject_title'" if by_all else ""
+    return f"""SELECT c.*, CASE {every}
   WHEN title <> '' AND EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = c.source_id AND {SOURCE_RULE} = lower(c.title)) THEN 'source_reject_title'
-  WHEN NOT paid THEN 'missing_salary_or_band' WHEN NOT probable THEN 'weak_vacancy_signal' END AS reason FROM ({CANDIDATES_SQL}) c"""
+  WHEN NOT paid THEN 'missing_salary_or_band' WHEN NOT probable THEN 'weak_vacancy_signal' END AS reason FROM ({candidates}) c"""
+
+
+JUDGED_SQL = judged_sql(CANDIDATES_SQL)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,6 +106,14 @@ def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _selected(s.join(n, s.s_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey), PROFILE)
 
 
+def order_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _selected(table(spark, sf_dir, "lineitem"), ORDER_CANDIDATE)
+
+
+def order_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _selected(table(spark, sf_dir, "orders"), ORDER_PROFILE)
+
+
 def global_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").selectExpr(f"{GLOBAL_RULE} AS title")
 

@@ -9,25 +9,47 @@ from adlens.operators import strategy
 from adlens.plans import lens
 from adlens.plans.registry import query
 
+
+
+def _metrics(rows: str, name: str) -> str:
+    """CTEs with the measures of each source's strategies."""
+    return (
+        f", {name}0 AS (SELECT source_id, strategy, strategy_index, count(*) AS candidate_count, count(*) FILTER (reason IS NULL) AS accepted_count, count(*) FILTER (reason IS NOT NULL) AS rejected_count,"
+        " count(*) FILTER (reason IS NULL AND has_band) AS band_count, count(*) FILTER (reason IS NULL AND has_salary) AS salary_count, count(*) FILTER (reason IS NULL AND has_description) AS description_count,"
+        f" count(*) FILTER (reason IS NULL AND has_closing) AS closing_count, bool_or(failed) AS failed, count(DISTINCT CASE WHEN reason IS NULL THEN concat(lower(title), '|', lower(url)) END) AS d FROM {rows} GROUP BY 1, 2, 3),"
+        f" {name} AS (SELECT *, accepted_count - d AS duplicate_count, accepted_count * 45 + band_count * 18 + salary_count * 12 + description_count * 8 + closing_count * 5 - rejected_count * 45 - (accepted_count - d) * 20 - CASE WHEN failed THEN 100 ELSE 0 END AS score FROM {name}0) "
+    )
+
+
+def _chosen(measured: str, name: str) -> str:
+    """A CTE with the best strategy of each source."""
+    return (
+        f", {name}1 AS (SELECT m.*, p.platform, p.preferred_strategy, p.last_good_count, p.last_good_score, row_number() OVER (PARTITION BY m.source_id ORDER BY"
+        f" score + CASE WHEN strategy = preferred_strategy THEN 8 ELSE 0 END + CASE WHEN strategy IN ('known_endpoint', 'discovered_endpoint') AND accepted_count > 0 THEN 5 ELSE 0 END DESC, strategy_index) AS nth FROM {measured} m LEFT JOIN p USING (source_id)),"
+        f" {name} AS (SELECT * FROM {name}1 WHERE nth = 1) "
+    )
+
+
+def _drift(chosen: str) -> str:
+    """CTEs with the drift of what was chosen; the last, g, says who falls back."""
+    return (
+        ", f AS (SELECT *, list_filter([CASE WHEN failed THEN 'strategy_failed' END, CASE WHEN candidate_count >= 5 AND 2 * rejected_count > candidate_count THEN 'junk_inflation' END, CASE WHEN accepted_count > 50 THEN 'source_count_spike' END,"
+        " CASE WHEN last_good_count >= 3 AND accepted_count > greatest(50, last_good_count * 4) THEN 'historical_count_spike' END, CASE WHEN last_good_count >= 5 AND accepted_count = 0 AND candidate_count >= 5 THEN 'historical_count_drop' END,"
+        f" CASE WHEN candidate_count >= 10 AND 2 * duplicate_count > accepted_count THEN 'duplicate_inflation' END], lambda x: x IS NOT NULL) AS codes FROM {chosen}),"
+        " h AS (SELECT *, len(list_filter(codes, lambda x: x IN ('junk_inflation', 'source_count_spike', 'historical_count_spike', 'historical_count_drop') OR (x = 'strategy_failed' AND last_good_count > 0))) > 0 AS severe FROM f),"
+        " g AS (SELECT *, severe OR (failed AND last_good_count > 0) AS fallback_used, CASE WHEN severe OR (failed AND last_good_count > 0) THEN 'degraded' WHEN failed THEN 'failed' ELSE 'ok' END AS status FROM h) "
+    )
+
+
 JUDGED = f"WITH j AS ({lens.JUDGED_SQL}) "
-METRICS = (
-    JUDGED + ", m0 AS (SELECT source_id, strategy, strategy_index, count(*) AS candidate_count, count(*) FILTER (reason IS NULL) AS accepted_count, count(*) FILTER (reason IS NOT NULL) AS rejected_count,"
-    " count(*) FILTER (reason IS NULL AND has_band) AS band_count, count(*) FILTER (reason IS NULL AND has_salary) AS salary_count, count(*) FILTER (reason IS NULL AND has_description) AS description_count,"
-    " count(*) FILTER (reason IS NULL AND has_closing) AS closing_count, bool_or(failed) AS failed, count(DISTINCT CASE WHEN reason IS NULL THEN concat(lower(title), '|', lower(url)) END) AS d FROM j GROUP BY 1, 2, 3),"
-    " m AS (SELECT *, accepted_count - d AS duplicate_count, accepted_count * 45 + band_count * 18 + salary_count * 12 + description_count * 8 + closing_count * 5 - rejected_count * 45 - (accepted_count - d) * 20 - CASE WHEN failed THEN 100 ELSE 0 END AS score FROM m0) "
-)
-CHOSEN = METRICS + (
-    f", p AS ({lens.PROFILES_SQL}), b AS (SELECT m.*, p.platform, p.preferred_strategy, p.last_good_count, p.last_good_score, row_number() OVER (PARTITION BY m.source_id ORDER BY"
-    " score + CASE WHEN strategy = preferred_strategy THEN 8 ELSE 0 END + CASE WHEN strategy IN ('known_endpoint', 'discovered_endpoint') AND accepted_count > 0 THEN 5 ELSE 0 END DESC, strategy_index) AS nth FROM m LEFT JOIN p USING (source_id)),"
-    " c AS (SELECT * FROM b WHERE nth = 1) "
-)
-DRIFT = CHOSEN + (
-    ", f AS (SELECT *, list_filter([CASE WHEN failed THEN 'strategy_failed' END, CASE WHEN candidate_count >= 5 AND 2 * rejected_count > candidate_count THEN 'junk_inflation' END, CASE WHEN accepted_count > 50 THEN 'source_count_spike' END,"
-    " CASE WHEN last_good_count >= 3 AND accepted_count > greatest(50, last_good_count * 4) THEN 'historical_count_spike' END, CASE WHEN last_good_count >= 5 AND accepted_count = 0 AND candidate_count >= 5 THEN 'historical_count_drop' END,"
-    " CASE WHEN candidate_count >= 10 AND 2 * duplicate_count > accepted_count THEN 'duplicate_inflation' END], lambda x: x IS NOT NULL) AS codes FROM c),"
-    " h AS (SELECT *, len(list_filter(codes, lambda x: x IN ('junk_inflation', 'source_count_spike', 'historical_count_spike', 'historical_count_drop') OR (x = 'strategy_failed' AND last_good_count > 0))) > 0 AS severe FROM f),"
-    " g AS (SELECT *, severe OR (failed AND last_good_count > 0) AS fallback_used, CASE WHEN severe OR (failed AND last_good_count > 0) THEN 'degraded' WHEN failed THEN 'failed' ELSE 'ok' END AS status FROM h) "
-)
+METRICS = JUDGED + _metrics("j", "m")
+CHOSEN = METRICS + f", p AS ({lens.PROFILES_SQL})" + _chosen("m", "c")
+DRIFT = CHOSEN + _drift("c")
+#: Orders as sources: strategies compared by the sources' own rules, the chosen one's rows judged by all.
+CONTEST = (
+    f"WITH p AS ({lens.ORDER_PROFILES_SQL}), j0 AS ({lens.judged_sql(lens.ORDER_CANDIDATES_SQL, by_all=False)})" + _metrics("j0", "a") + _chosen("a", "b")
+    + f", j AS (SELECT x.* FROM ({lens.judged_sql(lens.ORDER_CANDIDATES_SQL)}) x SEMI JOIN b ON b.source_id = x.source_id AND b.strategy = x.strategy)" + _metrics("j", "m") + _chosen("m", "c") + _drift("c")
+)
 
 
 def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,10 +90,44 @@ def drift_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return health(spark, sf_dir).select("source_id", F.array_join(F.transform("drift_flags", lambda f: f["code"]), ",").alias("codes"), "severe", "fallback_used", "status")
 
 
-@query(DRIFT + "SELECT j.source_id, j.strategy, count(*) AS n FROM j JOIN g ON g.source_id = j.source_id AND g.strategy = j.strategy WHERE j.reason IS NULL AND NOT g.fallback_used GROUP BY 1, 2")
+def contest(spark: SparkSession, sf_dir: str) -> strategy.Contest:
+    profiles = lens.order_profiles(spark, sf_dir).withColumns({"last_good_run_id": F.lit("seed"), "failure_streak": F.lit(0), "health": F.lit("ok"), "quality_history": F.array().cast(HISTORY)})
+    return strategy.contest(lens.order_candidates(spark, sf_dir), profiles, lens.global_rules(spark, sf_dir), lens.source_rules(spark, sf_dir), "r1", "strategy_index", "l_suppkey", "l_extendedprice", "title", "url")
+
+
+HISTORY = "array<struct<run_id:string,strategy:string,accepted_count:bigint,score:bigint,codes:string>>"
+
+
+@query(CONTEST + "SELECT j.source_id, j.strategy, count(*) AS n FROM j JOIN g ON g.source_id = j.source_id AND g.strategy = j.strategy WHERE j.reason IS NULL AND NOT g.fallback_used GROUP BY 1, 2")
 def emitted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many rows each source adds to the log."""
-    return strategy.emitted(judged(spark, sf_dir), health(spark, sf_dir)).groupBy("source_id", "strategy").agg(F.count("*").alias("n"))
+    return contest(spark, sf_dir).rows.groupBy("source_id", "strategy").agg(F.count("*").alias("n"))
+
+
+@query(
+    CONTEST + "SELECT j.source_id, j.strategy, title, url, CASE WHEN j.strategy IN ('known_endpoint', 'discovered_endpoint') THEN 'endpoint_json' WHEN j.strategy = 'json_ld' THEN 'json_ld' ELSE 'detail_html' END AS of_title,"
+    " CASE WHEN has_document THEN 'pdf_or_docx' WHEN j.strategy IN ('known_endpoint', 'discovered_endpoint') THEN 'endpoint_json' WHEN j.strategy = 'json_ld' THEN 'json_ld' ELSE 'detail_html' END AS of_band, j.strategy AS of_strategy"
+    " FROM j JOIN g ON g.source_id = j.source_id AND g.strategy = j.strategy WHERE j.reason IS NULL AND NOT g.fallback_used"
+)
+def contest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that a run of all strategies adds to the log, with their evidence."""
+    of = lambda f: F.col("field_evidence")[f].alias(f"of_{f}")
+    return contest(spark, sf_dir).rows.select("source_id", "strategy", "title", "url", of("title"), of("band"), of("strategy"))
+
+
+@query(CONTEST + "SELECT source_id, strategy, accepted_count, rejected_count, CAST(score AS BIGINT) AS score, array_to_string(codes, ',') AS codes, fallback_used, status FROM g")
+def contest_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each source's chosen strategy came to in the contest."""
+    return contest(spark, sf_dir).health.select("source_id", "strategy", "accepted_count", "rejected_count", "score", F.array_join(F.transform("drift_flags", lambda f: f["code"]), ",").alias("codes"), "fallback_used", "status")
+
+
+@query(
+    CONTEST + "SELECT p.source_id, CASE WHEN g.source_id IS NOT NULL AND NOT severe AND accepted_count > 0 AND score >= p.last_good_score THEN strategy ELSE p.preferred_strategy END AS preferred_strategy,"
+    " CASE WHEN g.source_id IS NOT NULL AND NOT severe THEN accepted_count ELSE p.last_good_count END AS last_good_count, CASE WHEN severe THEN 1 ELSE 0 END AS failure_streak FROM p LEFT JOIN g USING (source_id)"
+)
+def contest_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is remembered of each source after the contest."""
+    return contest(spark, sf_dir).profiles.select("source_id", "preferred_strategy", "last_good_count", "failure_streak")
 
 
 @query(
@@ -116,8 +172,7 @@ def platform_health(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def profile_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profiles of the sources after a run."""
-    history = "array<struct<run_id:string,strategy:string,accepted_count:bigint,score:bigint,codes:string>>"
-    old = lens.profiles(spark, sf_dir).withColumns({"last_good_run_id": F.lit("seed"), "failure_streak": F.lit(0), "health": F.lit("ok"), "quality_history": F.array().cast(history)})
+    old = lens.profiles(spark, sf_dir).withColumns({"last_good_run_id": F.lit("seed"), "failure_streak": F.lit(0), "health": F.lit("ok"), "quality_history": F.array().cast(HISTORY)})
     return strategy.updated_profiles(old, health(spark, sf_dir), "r1").select("source_id", "preferred_strategy", "last_good_count", "failure_streak")
 
 

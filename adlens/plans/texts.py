@@ -104,16 +104,85 @@ def link_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.links(lens.table(spark, sf_dir, "pages")).groupBy("page_id").agg(F.count("*").alias("n"))
 
 
-@query(None)
+#: Pages with anchors of all sorts, one a part, in either dialect.
+ANCHORS = """concat('<p><a href="/jobs/', CAST(p_partkey AS VARCHAR(9)), '#top">', CASE p_partkey % 3 WHEN 0 THEN 'Parks <b>Officer</b>' WHEN 1 THEN 'Privacy Policy' ELSE 'Depot' END,
+ '</a><a href="mailto:a@b">Mail officer</a><a href="../about">About us</a><a href="/jobs/x/../', CAST(p_partkey AS VARCHAR(9)), '">Again officer</a><a href="https://www.facebook.com/jobs">Jobs page</a>')"""
+#: Pages that name addresses of data.
+HINTS = """concat('<link rel="alternate" type="application/rss+xml" href="/jobs/feed', CAST(p_partkey AS VARCHAR(9)), '.xml"><img src="/jobs/a.png"><script>fetch("/api/jobs?x=', CAST(p_partkey AS VARCHAR(9)),
+ '"); var s = "https://other.example/api/jobs", t = "/jobs/style.css";</script><script src="/api/jobs.js"></script><form action="search/positions"></form>')"""
+#: Listing pages of fifty sources, each with all of its parts' listings, and those listings' pages.
+ROLES = "CASE p_partkey % 4 WHEN 0 THEN 'Parks Officer' WHEN 1 THEN 'Civil Engineer' WHEN 2 THEN 'Nurse Manager' ELSE 'Project Coordinator' END"
+DETAIL = f"""concat('<html><body><h1>', {ROLES}, '</h1><div class="salary">$', CAST(40000 + (p_partkey * 37) % 60000 AS VARCHAR(9)), ' per annum</div><article>Band ', CAST(1 + p_partkey % 8 AS VARCHAR(9)), ' role of the shire. This permanent position is based in town.</article></body></html>')"""
+
+
+def _part_pages(spark: SparkSession, sf_dir: str, html: str) -> DataFrame:
+    return lens.table(spark, sf_dir, "part").selectExpr("p_partkey AS page_id", "'https://c.example/list/all?page=1' AS url", f"{html} AS html")
+
+
+@query("SELECT p_partkey AS page_id, CAST(CASE WHEN p_partkey % 3 = 1 THEN 3 ELSE 0 END AS INT) AS pos, CASE p_partkey % 3 WHEN 0 THEN 'Parks Officer' WHEN 1 THEN 'Again officer' ELSE 'Depot' END AS title, concat('https://c.example/jobs/', p_partkey) AS link FROM part")
 def job_link_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links that may lead to listings."""
-    return files.job_links(files.links(lens.table(spark, sf_dir, "pages")))
+    return files.job_links(files.links(_part_pages(spark, sf_dir, ANCHORS)))
 
 
-@query(None)
+@query(
+    "WITH h AS (SELECT p_partkey AS page_id, k.kind, replace(k.url, '{}', CAST(p_partkey AS VARCHAR)) AS url FROM part, (VALUES ('feed_or_link', 'https://c.example/jobs/feed{}.xml'), ('form_action', 'https://c.example/list/search/positions'), ('inline_script', 'https://c.example/api/jobs?x={}')) k(kind, url))"
+    " SELECT page_id, kind, url, substr(sha256(concat(kind, chr(31), url)), 1, 16) AS id FROM h"
+)
 def endpoint_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Addresses of data that pages name."""
-    return adapters.endpoint_hints(lens.table(spark, sf_dir, "pages"))
+    return adapters.endpoint_hints(_part_pages(spark, sf_dir, HINTS))
+
+
+def _listing_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    part = lens.table(spark, sf_dir, "part").withColumn("s", F.col("p_partkey") % 50)
+    anchor = F.expr(f"concat('<li><a href=\"/jobs/', p_partkey, '\">', {ROLES}, '</a>')")
+    listed = part.groupBy("s").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", anchor.alias("a")))), lambda x: x["a"]), "").alias("html"))
+    site = F.concat(F.lit("https://s"), F.col("s").cast("string"), F.lit(".example"))
+    listings = listed.select(F.concat(F.lit("s"), F.col("s").cast("string")).alias("source_id"), F.concat(site, F.lit("/careers")).alias("url"), "html")
+    pages = part.select(F.concat(site, F.lit("/jobs/"), F.col("p_partkey").cast("string"), F.lit("/?utm_source=x")).alias("url"), F.expr(DETAIL).alias("html"), F.when(F.col("p_partkey") % 9 == 0, 403).otherwise(200).alias("status"))
+    return listings, pages
+
+
+@query(
+    f"WITH r AS (SELECT *, row_number() OVER (PARTITION BY p_partkey % 50 ORDER BY p_partkey) AS nth FROM part) SELECT concat('s', p_partkey % 50) AS source_id, concat('https://s', p_partkey % 50, '.example/jobs/', p_partkey) AS url, {ROLES} AS title, CAST(1 + p_partkey % 8 AS INT) AS band,"
+    " (40000 + (p_partkey * 37) % 60000)::double AS advertised_salary_min, 'year' AS advertised_salary_period, 'explicit_band' AS classification_status FROM r WHERE nth <= 40 AND p_partkey % 9 <> 0"
+)
+def crawl_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing pages followed to the pages of their listings, and these read."""
+    got = adapters.crawled(*_listing_pages(spark, sf_dir))
+    return got.select("source_id", "url", "title", "band", "advertised_salary_min", "advertised_salary_period", "classification_status")
+
+
+@query(
+    "WITH s AS (SELECT * FROM (SELECT p_partkey, p_brand, unnest(range(0, p_partkey % 4 + 1)) AS i FROM part) WHERE i < 3)"
+    " SELECT p_partkey AS source_id, CAST(i AS INT) AS pos, CASE i WHEN 0 THEN 'Parks Officer' WHEN 1 THEN 'Civil Engineer' ELSE 'Nurse Manager' END AS title, CASE i WHEN 1 THEN 'https://c.example/jobs/1' ELSE 'https://c.example/api/jobs' END AS url,"
+    " CASE i WHEN 0 THEN CAST(1 + p_partkey % 8 AS INT) END AS band, CASE i WHEN 1 THEN (40000 + p_partkey % 1000)::double END AS advertised_salary_min, CASE i WHEN 2 THEN '2026-05-03' END AS closing_date FROM s"
+)
+def endpoint_json_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings in JSON of any shape, at any depth."""
+    inner = [
+        """concat('{"JobTitle": "Parks Officer", "details": {"classification": "Band ', 1 + p_partkey % 8, '", "live": true}, "Location": "Town"}')""",
+        """concat('{"name": "Civil Engineer", "Link": "/jobs/1", "pay": ["$', 40000 + p_partkey % 1000, ' per annum"]}')""",
+        """'{"Title": "Nurse Manager", "closingDate": "Applications close 3 May 2026", "description": "Care"}'""",
+        """'{"title": "Nothing besides a title"}'""",
+    ]
+    items = "array_join(slice(array(" + ", ".join(inner) + "), 1, cast(p_partkey % 4 + 1 as int)), ', ')"
+    payloads = lens.table(spark, sf_dir, "part").selectExpr("p_partkey AS source_id", "'https://c.example/api/jobs' AS url", f"""concat('{{"meta": {{"name": 3}}, "result": [[], {{"rows": [', {items}, ']}}]}}') AS body""")
+    return adapters.endpoint_candidates(payloads).select("source_id", "pos", "title", "url", "band", "advertised_salary_min", "closing_date")
+
+
+@query("SELECT p_partkey AS job_id FROM part WHERE p_partkey % 400 <= 200 AND p_partkey % 3 <> 0 OR p_partkey % 7 = 0")
+def band_pay_coupling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Advertisements whose text puts pay within reach of the band's name."""
+    from adlens.operators import report
+
+    k = F.col("p_partkey")
+    far = F.expr("repeat('.', cast(p_partkey % 400 as int))")
+    after = F.concat(F.lit("A role at band "), F.when(k % 3 == 0, 5).otherwise(4).cast("string"), far, F.lit(" $91,000 per annum"))
+    before = F.when(k % 7 == 0, "Pay is $91,000 per annum. See Band 4b.").otherwise("Band 4, band 14 and husband 4, whose pay is not told")
+    rows = lens.table(spark, sf_dir, "part").select(k.alias("job_id"), F.lit(4).alias("band"), F.array(after, before).alias("texts"))
+    return report.coupled(rows)
 
 
 @query(None)

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlens.functions import band, dates, salary, text, titles, urls
 from adlens.functions.details import description, parts, plain, search_text, window
 from adlens.functions.text import compact, once
+from adlens.operators import gates
+from adlens.sources import files
 
 #: Words by which addresses of data are told, and what is never one.
 DATA_WORDS = r"(?i)(api|jobs?|careers?|vacanc|position|recruit|requisition|graphql|feed|rss|sitemap)"
@@ -114,7 +116,7 @@ def feeds(hints: DataFrame) -> DataFrame:
 
 def observations(candidates: DataFrame, sources: DataFrame, run_id: str, observed_at: str) -> DataFrame:
     """Candidates with their sources as rows of the log. sources: source_id, platform, council_name, short_name, source_url."""
-    j = candidates.join(F.broadcast(sources) if sources.count() <= 1_000_000 else sources, "source_id")
+    j = candidates.join(sources, "source_id")  # broadcast by Spark where it is small
     name = F.coalesce(F.nullif(compact(F.col("short_name")), F.lit("")), compact(F.col("council_name")))
     url = urls.canonical(F.coalesce(F.nullif(F.col("url"), F.lit("")), F.col("source_url")))
     paid = salary.normalised(F.when(F.length("advertised_salary_text") <= 360, text.excerpt(F.col("advertised_salary_text"), 300)), F.col("advertised_salary_min"), F.col("advertised_salary_max"), F.col("advertised_salary_period"))
@@ -129,7 +131,41 @@ def observations(candidates: DataFrame, sources: DataFrame, run_id: str, observe
     )
 
 
-def any_platform(payloads: DataFrame) -> DataFrame:
-    """Candidates of all boards, each by its platform's adapter (payloads with `platform`)."""
+def endpoint_candidates(payloads: DataFrame) -> DataFrame:
+    """Candidates out of JSON payloads (source_id, url, body) of any shape."""
+    items = files.endpoint_items(payloads)
+    link = once(F.struct(F.col("base").alias("b"), F.col("link").alias("l")), lambda x: F.when(x["l"] == "", x["b"]).otherwise(urls.resolved(x["b"], x["l"])))
+    rows = items.select("source_id", "pos", titles.best(F.col("title"), F.lit(""), body=F.col("body")).alias("title"), link.alias("url"), "location_text", "work_type", "closing_text", F.when(F.col("description") == "", "missing").otherwise("fetched").alias("description_status"), text.excerpt(F.when(F.col("description") == "", F.col("body")).otherwise(F.col("description")), 300).alias("description_excerpt"), "body")
+    return with_fields(rows, [F.col("title"), F.col("body")], [F.col("body")], [F.col("closing_text"), F.col("body")]).drop("body")
+
+
+#: Fixed value: links of one listing page that are followed.
+MOST_LINKS = 40
+
+
+def crawled(listings: DataFrame, pages: DataFrame, most: int = MOST_LINKS) -> DataFrame:
+    """Candidates out of the pages that listing pages (source_id, url, html) lead to, among pages (url, html, and status where it is known).
+
+    Each listing page's first `most` links that may lead to listings are followed; of pages with one address one is
+    read; pages whose site refused to answer, and details that can't be listings, are left out.
+    """
+    found = files.job_links(files.links(listings.withColumn("page_id", F.struct("source_id", "url"))))
+    nth = F.row_number().over(Window.partitionBy("page_id").orderBy("pos"))
+    followed = found.withColumn("nth", nth).where(F.col("nth") <= most).select(F.col("page_id.source_id").alias("source_id"), F.col("link").alias("url"), urls.canonical(F.col("link")).alias("at")).dropDuplicates(["source_id", "at"])
+    answered = pages.where(~F.coalesce(files.is_blocked(F.col("status"), F.col("html")), F.lit(False))) if "status" in pages.columns else pages
+    at = answered.groupBy(urls.canonical(F.col("url")).alias("at")).agg(F.min("html").alias("html"))
+    rows = details(followed.join(at, "at").select("source_id", "url", "html"))
+    return rows.where(gates.is_probable())
+
+
+def any_platform(payloads: DataFrame, pages: DataFrame | None = None) -> DataFrame:
+    """Candidates of all boards, each by its platform's adapter (payloads with `platform`).
+
+    Boards of other platforms, or of none, are listing pages, which are followed among `pages`.
+    """
+    known = ("pulse", "oracle_hcm")
     parts = [pulse(payloads.where("platform = 'pulse'")), oracle_hcm(payloads.where("platform = 'oracle_hcm'"))]
+    if pages is not None:
+        other = payloads.where(~F.coalesce("platform", F.lit("")).isin(*known))
+        parts.append(crawled(other.select("source_id", "url", F.col("body").alias("html")), pages))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import io
+import json
 import zipfile
+from collections.abc import Iterator
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -53,7 +55,7 @@ def seed_sources(seed: DataFrame, sources: DataFrame, *seq: str) -> DataFrame:
     """Seed rows with the last source of the same name; rows without one get a source of their own."""
     named = text.key(F.coalesce(F.nullif("short_name", F.lit("")), F.col("council_name")))
     last = sources.groupBy(named.alias("name_")).agg(F.max_by("source_id", F.struct(*seq)).alias("found_"))
-    j = seed.withColumn("name_", named).join(F.broadcast(last), "name_", "left")
+    j = seed.withColumn("name_", named).join(last, "name_", "left")  # broadcast by Spark where it is small
     own = F.concat(F.lit("seed-"), text.stable_hash(F.col("name_"), length=16))
     return j.withColumn("source_id", F.coalesce("found_", own)).drop("name_", "found_")
 
@@ -89,13 +91,76 @@ def json_ld(pages: DataFrame) -> DataFrame:
     return inner.where(get("$['@type']") == "JobPosting").select("page_id", get("$.title").alias("title"), get("$.url").alias("url"), get("$.employmentType").alias("employment_type"), get("$.validThrough").alias("closing"), get("$.description").alias("description"))
 
 
-def endpoint_items(payloads: DataFrame, most: int = 120) -> DataFrame:
-    """Job-like objects at the first levels of JSON payloads (source_id, body): source_id, title, url, description."""
-    v = payloads.select("source_id", F.try_parse_json("body").alias("v")).where("v is not null")
-    lists = [F.try_variant_get("v", p, "array<variant>") for p in ("$", "$.jobs", "$.items", "$.results", "$.data", "$.data.jobs", "$.requisitionList")]
-    each = v.select("source_id", F.posexplode(F.slice(F.coalesce(*lists, F.array().cast("array<variant>")), 1, most)).alias("pos", "v"))
-    first = lambda *names: F.coalesce(*[F.try_variant_get("v", f"$.{n}", "string") for n in names])
-    return each.select("source_id", "pos", first("title", "Title", "jobTitle", "name").alias("title"), first("url", "Url", "link", "applyUrl").alias("url"), first("description", "Description", "summary").alias("description")).where("title is not null")
+#: Keys, in lower case, of objects that may be listings, and how many of a payload count.
+TITLE_KEYS = frozenset({"title", "jobtitle", "name", "positiontitle", "job title"})
+LINK_KEYS = frozenset({"url", "uri", "link", "joburl", "externalurl"})
+CONTEXT_KEYS = frozenset({"description", "closingdate", "validthrough", "salary", "compensation", "location", "employmenttype"})
+MOST_ITEMS = 120
+#: Where the fields of such an object stand, the first name that it has.
+ALIASES = {
+    "title": ("title", "jobtitle", "name", "positiontitle"),
+    "link": ("url", "link", "joburl", "externalurl"),
+    "closing_text": ("closingdate", "closing", "validthrough"),
+    "location_text": ("location", "primarylocation"),
+    "work_type": ("worktype", "employmenttype", "jobschedule"),
+    "description": ("description",),
+}
+
+
+def _scalars(value: object) -> list[str]:
+    """All numbers, words and truth values below a value, in order."""
+    out, stack = [], [value]
+    while stack:
+        v = stack.pop()
+        if isinstance(v, dict):
+            stack += reversed(list(v.values()))
+        elif isinstance(v, list):
+            stack += reversed(v)
+        elif isinstance(v, (str, int, float)):
+            out.append(str(v))
+    return out
+
+
+def _objects(value: object, most: int) -> list[dict]:
+    """Objects that may be listings, wherever they stand, those around others first; `most` at most."""
+    out, stack = [], [value]
+    while stack and len(out) < most:
+        v = stack.pop()
+        if isinstance(v, dict):
+            keys = {" ".join(k.split()).lower() for k in v}
+            if keys & TITLE_KEYS and keys & (LINK_KEYS | CONTEXT_KEYS):
+                out.append(v)
+            stack += reversed(list(v.values()))
+        elif isinstance(v, list):
+            stack += reversed(v)
+    return out
+
+
+def _field(item: dict, names: tuple[str, ...]) -> str:
+    by_name = {k.lower(): v for k, v in item.items()}
+    return next((" ".join(str(by_name[n]).split()) for n in names if isinstance(by_name.get(n), (str, int, float))), "")
+
+
+def endpoint_items(payloads: DataFrame, most: int = MOST_ITEMS) -> DataFrame:
+    """Objects that may be listings at any depth of JSON payloads (source_id, url, body), `most` a payload: source_id, base, pos, the fields of ALIASES, and body, all its words.
+
+    Payloads that aren't JSON have none. Nesting of any depth that the JSON reader takes is walked without recursion.
+    """
+    names = list(ALIASES)
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for source, base, body in zip(pdf["source_id"], pdf["url"], pdf["body"], strict=True):
+                try:
+                    value = json.loads(body)
+                except (TypeError, ValueError, RecursionError):
+                    continue
+                out += [(source, base, pos, *[_field(item, ALIASES[n]) for n in names], " ".join(" ".join(_scalars(item)).split())) for pos, item in enumerate(_objects(value, most))]
+            yield pd.DataFrame(out, columns=["source_id", "base", "pos", *names, "body"])
+
+    kind = dict(payloads.dtypes)["source_id"]
+    return payloads.select("source_id", "url", "body").mapInPandas(walk, f"source_id {kind}, base string, pos int, " + ", ".join(f"{n} string" for n in names) + ", body string")
 
 
 def embedded_document(url: Column) -> Column:
