@@ -5,11 +5,13 @@
   out of prefixes.
 * Two similar sets share a shingle within their prefixes, their first ``n - ceil(0.8 n) + 1``. Documents with equal
   prefixes and sizes are one group in the index. Groups that share no shingle with another are done.
-* Where groups share a shingle, members are compared with leaders: in each bucket those that stand first (least
-  missing before the shingle), one in the first round and GROWTH times as many in each round after. Pairs must pass
-  the length and position filters and lie in different components; their sets are then read and intersected whole. Links join
-  components, and buckets left with one component are done. So all pairs of a bucket count as compared, but a large
-  group of near copies takes one comparison a member, not one a pair; no round or bucket is capped.
+* Where groups share a shingle, they meet leaders: in each bucket the members that stand first (least missing before the
+  shingle), one in the first round and GROWTH times as many in each round after. Leaders are paired with whole groups;
+  pairs that pass the length and position filters are then expanded to the groups' members in other components, whose
+  sets are read and intersected whole. Links join components, and buckets left with one component are done. So all pairs of
+  a bucket count as compared, but a large group of near copies takes one comparison a member, not one a pair; no round
+  or bucket is capped. What a bucket is judged by are minima and maxima, added up in every task; it is never one task's.
+* A set is told by two 64-bit signatures and its size; sets that agree in the first alone get another name.
 """
 
 from __future__ import annotations
@@ -22,8 +24,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlens.llm.common import cut, few, join2, mix, packed, slices, width, without, word_hashes
+from adlens.llm.common import cut, few, fresh, join2, mix, packed, slices, width, without, word_hashes
 from adlens.llm.components import components
+from adlens.llm.mixing import ranked
 
 SHINGLE = 5
 #: Similar means num * union <= den * intersection.
@@ -98,15 +101,17 @@ def _prefixes(shared):
         for b in slices(batches):
             found = sets(b.column("text"))
             s, t = _signed(found)
-            prefixes, groups = [], np.zeros(len(found), np.int64)
+            prefixes, groups, others = [], np.zeros(len(found), np.int64), np.zeros(len(found), np.int64)
             for i, x in enumerate(found):
                 order = np.sort((levels[x & mask].astype(np.uint64) << np.uint64(56)) | (x >> np.uint64(8)))
                 p = order[: len(x) - (len(x) * NUM + DEN - 1) // DEN + 1] if len(x) else order
-                groups[i] = (mix(p * np.uint64(3)).sum(dtype=np.uint64) ^ np.uint64(len(x))).view(np.int64) if len(x) else 0
+                if len(x):
+                    groups[i] = mix(p * np.uint64(3)).sum(dtype=np.uint64).view(np.int64)
+                    others[i] = np.bitwise_xor.reduce(mix(~p)).view(np.int64)
                 prefixes.append(p.view(np.int64))
             off = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(prefixes)))
-            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array([len(x) for x in found], pa.int32()), pa.array(s), pa.array(t), pa.array(groups), lists], ["key", "n", "c", "d", "g", "prefix"])
+            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array([len(x) for x in found], pa.int32()), pa.array(s), pa.array(t), pa.array(groups), pa.array(others), lists], ["key", "n", "c", "d", "g", "h", "prefix"])
 
     return run
 
@@ -115,7 +120,17 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in slices(batches):
         found = sets(b.column("text"))
         off = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
-        yield pa.RecordBatch.from_arrays([pa.array(_signed(found)[0]), pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(found).view(np.int64)))], ["c", "items"])
+        yield pa.RecordBatch.from_arrays([*map(pa.array, _signed(found)), pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(found).view(np.int64)))], ["r", "d", "items"])
+
+
+def _told_apart(signed: DataFrame) -> DataFrame:
+    """signed with its first signature as r, and c, a name that no two different sets share."""
+    signed = signed.withColumnRenamed("c", "r").withColumn("c", F.col("r"))
+    while True:
+        same = cut(signed.groupBy("c").agg(F.min("d").alias("d1"), F.max("d").alias("d2"), F.min("n").alias("n1"), F.max("n").alias("n2")).where("d1 < d2 or n1 < n2").select(F.col("c").alias("same")))
+        if same.isEmpty():
+            return signed
+        signed = cut(signed.join(few(same), F.col("c") == F.col("same"), "left").withColumn("c", F.when(F.col("same").isNotNull(), F.xxhash64("c", "d", "n")).otherwise(F.col("c"))).drop("same"))
 
 
 def _needed(n: Column, m: Column) -> Column:
@@ -124,30 +139,70 @@ def _needed(n: Column, m: Column) -> Column:
 
 
 def _whole_sets(rows: DataFrame, nodes: DataFrame, n: int, signed: DataFrame) -> DataFrame:
-    """The shingles of each node's set, n at most, read anew from one document that has it: c, items."""
-    keys = signed.select("key", "c").join(few(nodes, n), "c", "left_semi").groupBy("c").agg(F.min("key").alias("k"))
+    """The shingles of each node's set, n at most, read anew from one document that has it: c, items, one row a node."""
+    keys = cut(signed.select("key", "r", "d", "c").join(few(nodes, n), "c", "left_semi").groupBy("c").agg(F.min("key").alias("k"), F.first("r").alias("r"), F.first("d").alias("d")))
     some = rows.join(few(cut(keys.select("k").distinct()), n), F.col("key").eqNullSafe(F.col("k")), "left_semi")
-    return cut(some.mapInArrow(_items, "c long, items array<long>"))
+    found = some.mapInArrow(_items, "r long, d long, items array<long>").join(few(keys.select("c", "r", "d"), n), ["r", "d"])
+    return cut(found.dropDuplicates(["c"]).select("c", "items"))
+
+
+def _members(full: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The groups (gid, n, m, prefix), and the m members of each (gid, nth, c), numbered in every group from 0."""
+    sets_ = cut(full.groupBy("n", "g", "h", "c").agg(F.first("prefix").alias("prefix")))
+    groups = cut(sets_.groupBy("n", "g", "h").agg(F.min("c").alias("gid"), F.count("*").alias("m"), F.first("prefix").alias("prefix")))
+    of = sets_.select("n", "g", "h", "c").join(few(groups.where("m > 1").select("n", "g", "h", "gid")), ["n", "g", "h"]).select("gid", "c")
+    placed = cut(ranked(of, F.struct("gid", "c")))
+    least = cut(placed.groupBy(F.col("gid").alias("least_of")).agg(F.min("rank").alias("least")))
+    many = placed.join(few(least), F.col("gid") == F.col("least_of")).select("gid", (F.col("rank") - F.col("least")).alias("nth"), "c")
+    one = groups.where("m = 1").select("gid", F.lit(0).cast("long").alias("nth"), F.col("gid").alias("c"))
+    return groups.select("gid", "n", "m", "prefix"), cut(many.unionByName(one))
+
 
+def _posted(groups: DataFrame) -> DataFrame:
+    """The index: token, gid, n, pos and m, where groups share a token, and the first token of each group of several."""
+    entries = groups.select("gid", "n", "m", F.posexplode("prefix").alias("pos", "token"))
+    shared = cut(entries.groupBy("token").agg(F.count("*").alias("df")).where("df > 1").select(F.col("token").alias("t")))
+    kept = entries.join(few(shared), F.col("token") == F.col("t"), "left").where("t is not null or m > 1 and pos = 0").drop("t")
+    posts = cut(kept.withColumn("done", F.lit(0).cast("long")))
+    return packed(posts, posts.count())
 
-def _linked(posts: DataFrame, of: DataFrame, leaders: int) -> tuple[DataFrame, DataFrame]:
-    """Open buckets' rows with their ranks and components, and the pairs of members and leaders to be compared."""
-    bucket = Window.partitionBy("token")
+
+def _paired(posts: DataFrame, members: DataFrame, leaders: int) -> tuple[DataFrame, DataFrame]:
+    """Open buckets' rows after this round, and the pairs of leaders and members of other components to be compared.
+
+    members have their root. `done` tells how many of a group's members have led in the bucket.
+    """
+    ends = members.groupBy("gid").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    rows = posts.join(ends, "gid")
+    open_ = cut(rows.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("h"), F.min("n").alias("least")).where("l < h").select(F.col("token").alias("t"), "least"))
     reach = (F.col("n") - F.col("pos")) * (NUM + DEN) - F.col("n") * NUM  # NUM times the largest size of a similar partner
-    with_root = posts.join(of, "c", "left").withColumn("root", F.coalesce("root", "c"))
-    rows = with_root.withColumns({"least": F.min("n").over(bucket), "one": F.min("root").over(bucket) == F.max("root").over(bucket)})
-    rows = rows.where(~F.col("one") & (reach >= F.col("least") * NUM)).withColumn("rank", F.row_number().over(bucket.orderBy("pos", "n", "c")))
-    a, b = rows.where(F.col("rank") <= leaders).alias("a"), rows.alias("b")
-    left = lambda x: F.col(f"{x}.n") - F.col(f"{x}.pos")
+    rows = cut(posts.join(few(open_), F.col("token") == F.col("t")).where(reach >= F.col("least") * NUM).select(*posts.columns))
+
+    order = Window.partitionBy("token").orderBy("pos", "n", "gid")
+    first = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= leaders)  # so many rows of a bucket at most
+    left = F.col("m") - F.col("done")
+    before = F.sum(left).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    take = F.least(left, leaders - F.coalesce(before, F.lit(0)))
+    first = cut(first.withColumn("take", take).where("take > 0").drop("rank"))
+
+    who = members.select(F.col("gid").alias("lead_gid"), "nth", F.col("c").alias("x"), F.col("root").alias("u"))
+    lead = first.join(who, (F.col("gid") == F.col("lead_gid")) & (F.col("nth") >= F.col("done")) & (F.col("nth") < F.col("done") + F.col("take")))
+    lead = lead.select(F.col("token").alias("t"), "lead_gid", "nth", "x", "u", F.col("n").alias("ln"), F.col("pos").alias("lpos"))
     ok = (
-        (F.col("a.token") == F.col("b.token"))
-        & (F.col("a.rank") < F.col("b.rank"))
-        & (F.col("a.root") != F.col("b.root"))
-        & (F.least(left("a"), left("b")) >= _needed(F.col("a.n"), F.col("b.n")))
-        & (F.least("a.n", "b.n") >= _needed(F.col("a.n"), F.col("b.n")))
+        (F.col("token") == F.col("t"))
+        & (F.struct("pos", "n", "gid") >= F.struct("lpos", "ln", "lead_gid"))
+        & (F.least(F.col("n") - F.col("pos"), F.col("ln") - F.col("lpos")) >= _needed(F.col("n"), F.col("ln")))
+        & (F.least("n", "ln") >= _needed(F.col("n"), F.col("ln")))
     )
-    pairs = a.join(b, ok).select(F.least("a.c", "b.c").alias("x"), F.greatest("a.c", "b.c").alias("y"), F.least("a.root", "b.root").alias("u"), F.greatest("a.root", "b.root").alias("v")).distinct()
-    return rows.where(F.col("rank") > leaders).select("token", "c", "n", "pos"), pairs
+    start = F.when(F.col("gid") == F.col("lead_gid"), F.col("nth") + 1).otherwise(F.col("done"))
+    groups = rows.join(lead, ok).where(F.col("m") > start).groupBy("x", "u", "gid").agg(F.min(start).alias("start"))
+    other = members.select(F.col("gid").alias("other_gid"), F.col("nth").alias("other"), F.col("c").alias("y"), F.col("root").alias("v"))
+    pairs = groups.join(other, (F.col("gid") == F.col("other_gid")) & (F.col("other") >= F.col("start"))).where("u <> v")
+    pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+    led = first.select(F.col("token").alias("t"), F.col("gid").alias("led_gid"), "take")
+    rest = rows.join(led, (F.col("token") == F.col("t")) & (F.col("gid") == F.col("led_gid")), "left").withColumn("done", F.col("done") + F.coalesce("take", F.lit(0)))
+    return rest.where("done < m").select(*posts.columns), pairs
 
 
 def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -155,29 +210,22 @@ def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
 
     Null and empty texts, and those without words, have no shingles and are linked with nothing: their component
     is their key. A component's id is its smallest key, null keys aside. Rows that repeat are each given, in one
-    component. Other columns of docs are ignored.
+    component. Bytes that aren't UTF-8 are parts of words like others. Other columns of docs are ignored, whatever their
+    names; without rows there are none.
     """
     parts = width(docs)
     kind = dict(docs.dtypes)[key]
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     levels = rows.sparkSession.sparkContext.broadcast(_levels(rows))
-    signed = cut(rows.mapInArrow(_prefixes(levels), f"key {kind}, n int, c long, d long, g long, prefix array<long>"))
-    full = signed.where("n > 0")
-
-    groups = full.groupBy("n", "g").agg(F.min("c").alias("c"), (F.min("c") < F.max("c")).cast("int").alias("many"), F.first("prefix").alias("prefix"))
-    entries = groups.select("n", "c", "many", F.posexplode("prefix").alias("pos", "token"))
-    narrow = entries.select("token", "c", F.expr("shiftleft(cast(n as long), 32) | (pos * 2 + many)").alias("at"))
-    shared = narrow.withColumn("df", F.count("*").over(Window.partitionBy("token"))).where("df > 1 or (at & 1) = 1")
-    posts = cut(shared.select("token", "c", F.expr("cast(shiftright(at, 32) as int)").alias("n"), F.expr("cast(shiftright(at & 4294967295, 1) as int)").alias("pos"), F.expr("(at & 1) = 1").alias("many")))
-    members = full.select("n", "g", "c").distinct()
-    members = members.join(members.groupBy("n", "g").agg(F.min("c").alias("first"), F.max("c").alias("last")).where("first < last"), ["n", "g"]).select(F.col("n").alias("m"), "first", F.col("c").alias("member"))
-    posts = packed(posts, posts.count())
-    posts = posts.where("not many").drop("many").unionByName(posts.where("many").join(few(cut(members)), (F.col("c") == F.col("first")) & (F.col("n") == F.col("m"))).select("token", F.col("member").alias("c"), "n", "pos"))
+    signed = _told_apart(cut(rows.mapInArrow(_prefixes(levels), f"key {kind}, n int, c long, d long, g long, h long, prefix array<long>")))
+    groups, members = _members(signed.where("n > 0"))
+    posts = _posted(groups)
 
     of, placed_n, leaders = rows.sparkSession.createDataFrame([], "c long, root long"), 0, 1
     whole = rows.sparkSession.createDataFrame([], "c long, items array<long>")
     while True:
-        rest, pairs = _linked(posts, few(of, placed_n), leaders)
+        rooted = cut(members.join(few(of, placed_n), "c", "left").select("gid", "nth", "c", F.coalesce("root", "c").alias("root")))
+        rest, pairs = _paired(posts, rooted, leaders)
         pairs = cut(pairs)
         n = pairs.count()
         pairs = packed(pairs, n)
@@ -209,7 +257,14 @@ def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
 
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """docs with one row of each component: the one with the smallest key, and of equal keys one text."""
+    """docs with one row of each component: the one with the smallest key, and of equal keys one text.
+
+    Of rows that repeat key and text one stays, any of them, whatever their other columns. Texts without words stay.
+    Columns may have any names and hold nulls; without rows there are none.
+    """
     own = F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("print"))
-    found = near_copies(docs.select(own.alias("own"), text), text, "own")
+    found = cut(near_copies(docs.select(own.alias("own"), F.col(text).alias("text")), "text", "own"))
+    if not found.where("component_id = own").groupBy("own").count().where("count > 1").isEmpty():
+        (name,) = fresh(docs.columns, "print_")
+        docs = docs.withColumn(name, F.xxhash64(text)).dropDuplicates([key, name]).drop(name)
     return without(docs, found.where("component_id <> own").select("own.key", "own.print"), F.col(key), F.xxhash64(text))
