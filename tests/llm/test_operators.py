@@ -460,3 +460,149 @@ def test_odd_pages(spark):
     df = spark.createDataFrame([(1, "http://l.org/a", "<p>x</p>", "k", 1), (1, "http://l.org/a", "<p>x</p>", "k", 1), (2, "http://l.org/b", "", "k", 1)], "page_id long, url string, html string, host string, rank int")
     df = df.withColumn("html", F.expr("CASE WHEN page_id = 1 THEN cast(concat(cast(html as binary), X'80FF', cast('y' as binary)) as string) ELSE html END"))
     assert sorted(tuple(r) for r in html_text.extract(df).collect()) == [(1, "http://l.org/a", "x\n\ufffd\ufffdy"), (1, "http://l.org/a", "x\n\ufffd\ufffdy"), (2, "http://l.org/b", "")]
+
+
+def test_stages_with_clashing_names_nulls_and_repeats(spark):
+    """Columns named like the operators' own pass through every stage's operator, nulls and repeated rows have defined results."""
+    rows = [(1, "one two three four five six", "en", "a"), (1, "one two three four five six", "en", "a"), (1, "one two three four five six", "en", "a"), (2, "One two three four five six", "en", "a"), (3, None, "en", None), (None, "x y z", None, "a"), (None, "x y z", None, "b"), (4, "", "en", "b")]
+    extra = {"copies": "c", "taken": "t", "gone_0": "g", "gone_1": "h", "sha_": "s", "key_": "k", "print_": "p", "key": "q", "own": "o", "nth": "n", "rank": "r", "text_": "u", "m_": "m"}
+    df = spark.createDataFrame([(*r, *extra.values()) for r in rows], "doc_id long, text string, lang string, source string, " + ", ".join(f"{n} string" for n in extra))
+    bench = spark.createDataFrame([(9, "one two three four five six", "k")], "item_id long, text string, key string")
+    ids = lambda x: sorted((r["doc_id"] or 0 for r in x.collect()))
+    same = lambda x: x.columns == df.columns and x.select(*extra).distinct().collect() == [tuple(extra.values())]
+    for out, want in [(exact_dedup.keep_one(df), [0, 1, 2, 4]), (jaccard_join.keep_one(df), [0, 1, 3, 4]), (decontam.clean(df, bench), [0, 0, 3, 4])]:
+        assert ids(out) == want
+        assert same(out)
+    known = langid.known(df)
+    assert same(known) and 3 not in ids(known) and 4 not in ids(known)
+    mixed = mixing.mixed(df)
+    assert mixed.columns == [*df.columns, "copies_", "taken_"]
+    rates = {(r["doc_id"], r["size"]): 0 for r in mixing.mix(df).collect()}
+    for r in mixing.mix(df).collect():
+        rates[r["doc_id"], r["size"]] += r["copies"]
+    got = collections.Counter()
+    for r in mixed.collect():
+        got[r["doc_id"], len((r["text"] or "").split())] += r["copies_"]
+        assert r["taken_"] == r["copies_"] * len((r["text"] or "").split())
+    assert got == collections.Counter({k: v for k, v in rates.items() if v})
+
+
+def test_mix_of_repeated_rows(spark):
+    """Very many rows alike: each is a document, they are rounded together and no copy is lost."""
+    df = spark.createDataFrame([(None, "a b c", "s")] * 5000 + [(i, "d " * (i % 40), "t") for i in range(3000)], "doc_id long, text string, source string").repartition(4)
+    got = mixing.mix(df).toPandas()
+    assert len(got) == 8000 and got["copies"].between(0, 3).all()
+    for _, g in got.groupby("source_size"):
+        assert abs(g["taken"].sum() - g["target"].iloc[0]) <= 40
+    taken = mixing.mixed(df).groupBy("source").agg(F.sum("taken").alias("n")).collect()
+    assert sorted(r["n"] for r in taken) == sorted(got.groupby("source_size")["taken"].sum().tolist())
+
+
+def test_mix_by_brute_force(spark):
+    """Tilts by bisection in plain floats; copies are one of the two whole numbers at a rate, and add up to the target."""
+    rng = random.Random(9)
+    rows = [(i, " ".join(["w"] * rng.randint(1, 400)), f"s{i % 4}" if i % 9 else "big") for i in range(1200)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).toPandas()
+    for (size, target), g in got.groupby(["source_size", "target"]):
+        if target >= 3 * size:
+            assert (g["copies"] == 3).all()
+            continue
+        mean = size / len(g)
+        words = lambda t: sum(n * min(3.0, math.exp(min(t * n / mean, 2))) for n in g["size"])
+        low, high = -50.0, 50.0
+        for _ in range(200):
+            mid = (low + high) / 2
+            low, high = (mid, high) if words(mid) < target else (low, mid)
+        rate = np.array([min(3.0, math.exp(min(low * n / mean, 2))) for n in g["size"]])
+        assert np.abs(rate - g["rate"].to_numpy()).max() < 1e-5
+        assert (np.abs(g["copies"].to_numpy() - rate) <= 1 + 1e-9).all()
+        assert abs(g["taken"].sum() - target) <= max(g["size"].max(), 0.01 * target)
+
+
+def fold(text):
+    """Letters folded up to U+05FF, all else a blank, as language ID reads a text."""
+    out = []
+    for c in text:
+        low = c.lower()
+        out.append((low if ord(c) < 0x600 and len(low) == 1 else c) if c.isalpha() else " ")
+    return "".join(out)
+
+
+def test_language_by_brute_force(spark, docs, monkeypatch):
+    """Counts and posteriors from plain dictionaries, with all languages at once and two at a time."""
+    from adlens.llm import chars
+
+    rng = random.Random(4)
+    rows = [(i, " ".join("".join(rng.choice("abcdeéü"[k : k + 4]) for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(0, 9))) + rng.choice(["", " 12", "\t"]), f"l{k}") for i in range(60) for k in [i % 4]]
+    df = spark.createDataFrame([*rows, (99, None, "l1"), (98, "abc", None)], "doc_id long, text string, lang string")
+
+    def grams(text):
+        p = np.array([ord(c) for c in fold(text)], np.uint32)
+        for n in langid.SIZES:
+            for i in range(len(p) - n + 1):
+                if not all(p[i : i + n] == 0x20):
+                    yield int(chars.buckets(p[i : i + n], np.array([0, n]), n)[0])
+
+    counts, number = collections.defaultdict(collections.Counter), collections.Counter()
+    for _, t, k in rows:
+        if any(c.isalpha() for c in t):
+            number[k] += 1
+            counts[k].update(grams(t))
+    model = langid.fit(df)
+    assert model.languages == sorted(number)
+    for most in (langid.LANGUAGES, 2, 1):
+        got = {r["doc_id"]: r for r in langid.predict(df, model, [F.col("doc_id")], most=most).collect()}
+        assert len(got) == 62
+        for i, t, _ in [*rows, (98, "abc", None)]:
+            if not any(c.isalpha() for c in t):
+                assert (got[i]["lang_pred"], got[i]["score"]) == ("und", 0)
+                continue
+            logs = {k: math.log(number[k] / sum(number.values())) + sum(math.log((counts[k][g] + 1) / (sum(counts[k].values()) + chars.NONE)) for g in grams(t)) for k in number}
+            best = max(sorted(logs), key=logs.get)
+            share = 1 / sum(math.exp(v - logs[best]) for v in logs.values())
+            assert got[i]["lang_pred"] == best or abs(logs[best] - logs[got[i]["lang_pred"]]) < 1e-3
+            assert got[i]["score"] == pytest.approx(share, abs=1e-3)
+        assert got[99]["lang_pred"] == "und"
+
+
+def test_bad_bytes(spark):
+    """Bytes that aren't UTF-8 shift nothing: neighbours' results stay as they are."""
+    df = spark.createDataFrame([(i, t, "en" if i % 2 else "fr") for i, t in enumerate(["plain words here", "BAD", "des mots simples", "other plain words"])], "doc_id long, text string, lang string")
+    bad = df.withColumn("text", F.expr("CASE WHEN text = 'BAD' THEN cast(concat(X'FFC3', cast('a é b' as binary), X'E282') as string) ELSE text END")).coalesce(1)
+    good = df.where("text <> 'BAD'")
+    model = langid.fit(good)
+    for f in (lambda d: langid.predict(d, model, [F.col("doc_id")]), lambda d: token_count.count(d, [F.col("doc_id")]), lambda d: quality.score(d, quality.Model(np.arange(quality.WIDTH, dtype=np.float32) % 7, 0.0, 0.01, 0.0), [F.col("doc_id")])):
+        rest = sorted(tuple(r) for r in f(bad).collect() if r["doc_id"] != 1)
+        assert rest == sorted(tuple(r) for r in f(good).collect()) and f(bad).count() == 4
+
+
+def test_quality_by_brute_force(spark):
+    """Log-count ratios from plain counts, the dual's solution against a fine projected descent, and scores."""
+    x = [np.array(sorted(random.Random(i).sample(range(12), 4))) for i in range(40)]
+    y = np.array([1.0 if 0 in v or 1 in v else -1.0 for v in x])
+    ratio, cost = np.linspace(-1, 1, 12) + 0.05, np.full(40, 0.1)
+    w = quality.dual_descent(x, y, ratio, cost, epochs=400)
+    z = np.zeros((40, 13))
+    for i, v in enumerate(x):
+        z[i, v], z[i, 12] = ratio[v], 1
+    q, a = (z * y[:, None]) @ (z * y[:, None]).T, np.zeros(40)
+    for _ in range(100_000):
+        a = np.clip(a - (q @ a - 1) / np.linalg.norm(q, 2), 0, cost)
+    assert np.abs(w - (a * y) @ z).max() < 1e-3
+
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice(["good", "fine", "text"] if i % 2 else ["junk", "spam", "zz"]) for _ in range(20))) for i in range(40)]
+    df, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, i % 2, "x") for i in range(40)], "doc_id long, quality int, text string")
+    model = quality.fit(df.union(df).union(df), labels)  # repeated documents don't count again
+    assert (model.weights == quality.fit(df, labels).weights).all()
+    once = {r["doc_id"]: r["score"] for r in quality.score(df, model, [F.col("doc_id")]).collect()}
+    from adlens.llm import chars
+    for i, t in rows[:6]:
+        p = np.array([ord(c) for c in t], np.uint32)
+        seen = {int(b) for n in quality.SIZES for b in chars.buckets(p, np.array([0, len(p)]), n) if b != chars.NONE}
+        words = t.split()
+        if any(words[k] == words[k + 1] == words[k + 2] for k in range(len(words) - 2)):
+            seen.add(quality.AGAIN)
+        margin = sum(float(model.weights[b]) for b in seen) + model.bias
+        assert once[i] == pytest.approx(1 / (1 + math.exp(-(model.slope * margin + model.offset))), abs=1e-4)
+    assert min(once[i] for i in range(1, 40, 2)) > max(once[i] for i in range(0, 40, 2))
