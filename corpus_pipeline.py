@@ -16,31 +16,36 @@ from adlens.llm.common import findable, shared_dir, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts whose language can be told, as ``langid.known`` keeps them: null and empty texts, and those without a letter, go. docs may be empty, repeat rows, and hold nulls."""
     findable(spark)
     return langid.known(docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of equal texts, the one with the largest id, as ``exact_dedup.keep_one`` has it."""
     return exact_dedup.keep_one(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The row with the smallest id of each group of near copies, as ``jaccard_join.keep_one`` has it; texts without words are linked with nothing and stay."""
     findable(spark)
     return jaccard_join.keep_one(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts that aren't contaminated by the table benchmark, as ``decontam.clean`` keeps them."""
     findable(spark)
     return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mix takes, with copies and taken, as ``mixing.mixed`` has them."""
     findable(spark)
     return mixing.mixed(docs)
 
 
 STAGES = [("language ID", language), ("exact dedup", exact), ("near dedup", near), ("decontamination", decontaminate), ("mixing", mix)]
-#: Components, learned languages and rounded copies are beyond SQL; tests hold every stage against brute force.
+#: Components, learned languages and rounded copies are beyond SQL; tests/llm/test_pipeline.py holds every stage against brute force.
 ORACLE_SQL = None
 
 
