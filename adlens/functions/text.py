@@ -70,10 +70,26 @@ def composed(text: Column) -> Column:
     return F.translate(several, before, after)
 
 
+#: Frequent characters that become several.
+SEVERAL = {"\u2026": "...", "\ufb00": "ff", "\ufb01": "fi", "\ufb02": "fl", "\u2122": "TM", "\u00bd": "1\u20442"}
+
+
+def folded(text: Column) -> Column:
+    """The characters that have one other as their compatible form, and the frequent ones that have several, become it."""
+    before, after, _, _ = _compatible()
+    out = F.translate(text, before, after)
+    for c, several in SEVERAL.items():
+        out = F.replace(out, F.lit(c), F.lit(several))
+    return out
+
+
 def compact(c: Column) -> Column:
-    """Compatible forms are composed (NFKC), placeholder runs and white space become one space, trimmed; all in the JVM."""
+    """Placeholder runs and white space become one space, trimmed, and compatible forms are folded; all in the JVM.
+
+    Texts from outside go through ``composed`` once, where they come in, for forms that folding leaves.
+    """
     text = F.coalesce(c.cast("string"), F.lit(""))
-    text = F.when(text.rlike(RARE), once(text, composed)).otherwise(text)
+    text = F.when(text.rlike(RARE), folded(text)).otherwise(text)
     text = F.regexp_replace(text, "\\?{3,}|\\uFFFD+", " ")
     return F.trim(F.regexp_replace(text, r"(?U)[\s ]+", " "))
 

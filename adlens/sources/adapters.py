@@ -116,7 +116,8 @@ def feeds(hints: DataFrame) -> DataFrame:
 
 def observations(candidates: DataFrame, sources: DataFrame, run_id: str, observed_at: str) -> DataFrame:
     """Candidates with their sources as rows of the log. sources: source_id, platform, council_name, short_name, source_url."""
-    j = candidates.join(sources, "source_id")  # broadcast by Spark where it is small
+    told = {c: text.composed(F.col(c)) for c in ("title", "description_excerpt", "location_text", "work_type", "advertised_salary_text")}
+    j = candidates.withColumns(told).join(sources, "source_id")  # broadcast by Spark where it is small
     name = F.coalesce(F.nullif(compact(F.col("short_name")), F.lit("")), compact(F.col("council_name")))
     url = urls.canonical(F.coalesce(F.nullif(F.col("url"), F.lit("")), F.col("source_url")))
     paid = salary.normalised(F.when(F.length("advertised_salary_text") <= 360, text.excerpt(F.col("advertised_salary_text"), 300)), F.col("advertised_salary_min"), F.col("advertised_salary_max"), F.col("advertised_salary_period"))
