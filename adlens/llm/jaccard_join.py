@@ -162,7 +162,7 @@ def _posted(groups: DataFrame) -> DataFrame:
     """The index: token, gid, n, pos and m, where groups share a token, and the first token of each group of several."""
     entries = groups.select("gid", "n", "m", F.posexplode("prefix").alias("pos", "token"))
     shared = cut(entries.groupBy("token").agg(F.count("*").alias("df")).where("df > 1").select(F.col("token").alias("t")))
-    kept = entries.join(few(shared), F.col("token") == F.col("t"), "left").where("t is not null or m > 1 and pos = 0").drop("t")
+    kept = entries.join(shared, F.col("token") == F.col("t"), "left").where("t is not null or m > 1 and pos = 0").drop("t")
     posts = cut(kept.withColumn("done", F.lit(0).cast("long")))
     return packed(posts, posts.count())
 
@@ -176,7 +176,7 @@ def _paired(posts: DataFrame, members: DataFrame, leaders: int) -> tuple[DataFra
     rows = posts.join(ends, "gid")
     open_ = cut(rows.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("h"), F.min("n").alias("least")).where("l < h").select(F.col("token").alias("t"), "least"))
     reach = (F.col("n") - F.col("pos")) * (NUM + DEN) - F.col("n") * NUM  # NUM times the largest size of a similar partner
-    rows = cut(posts.join(few(open_), F.col("token") == F.col("t")).where(reach >= F.col("least") * NUM).select(*posts.columns))
+    rows = cut(posts.join(open_, F.col("token") == F.col("t")).where(reach >= F.col("least") * NUM).select(*posts.columns))
 
     order = Window.partitionBy("token").orderBy("pos", "n", "gid")
     first = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= leaders)  # so many rows of a bucket at most
