@@ -178,7 +178,7 @@ def band_pay_coupling(spark: SparkSession, sf_dir: str) -> DataFrame:
     from adlens.operators import report
 
     k = F.col("p_partkey")
-    far = F.expr("repeat('.', cast(p_partkey % 400 as int))")
+    far = F.expr("repeat('.', cast(p_partkey % 400 + if(p_partkey % 400 > 200, 40, 0) as int))")  # no window ends within the pay
     after = F.concat(F.lit("A role at band "), F.when(k % 3 == 0, 5).otherwise(4).cast("string"), far, F.lit(" $91,000 per annum"))
     before = F.when(k % 7 == 0, "Pay is $91,000 per annum. See Band 4b.").otherwise("Band 4, band 14 and husband 4, whose pay is not told")
     rows = lens.table(spark, sf_dir, "part").select(k.alias("job_id"), F.lit(4).alias("band"), F.array(after, before).alias("texts"))
