@@ -146,15 +146,15 @@ def mixed(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str
     found = docs.join(few(cut(rates.where(even))), same).withColumn(copies, F.floor(F.col(every) / F.col(m)))
     odd = rates.where(~even)
     if not odd.isEmpty():
-        # rows alike are put in order by all they hold, and numbered across tasks
+        # rows alike are put in order by what they hold (maps have no hash and don't count), and numbered across tasks
         rows = cut(docs.join(few(cut(odd)), same))
-        rows = _numbered(rows, [k, s, p], [F.xxhash64(*[f"`{c}`" for c in docs.columns])], nth, first)
+        rows = numbered(rows, [k, s, p], [F.xxhash64(*[f"`{f.name}`" for f in docs.schema.fields if "map<" not in f.dataType.simpleString()])], nth, first)
         more = F.col(nth) - F.col(first) < F.col(every) % F.col(m)
         found = found.unionByName(rows.withColumn(copies, F.floor(F.col(every) / F.col(m)) + more.cast("long")).drop(nth, first))
     return found.where(F.col(copies) > 0).withColumn(taken, F.col(copies) * F.col(size)).select(*[f"`{c}`" for c in docs.columns], copies, taken)
 
 
-def _numbered(rows: DataFrame, group: list[str], order: list[Column], nth: str, first: str) -> DataFrame:
+def numbered(rows: DataFrame, group: list[str], order: list[Column], nth: str, first: str) -> DataFrame:
     """rows with their place in a sort by group and order, and the first place of their group. No group is one task's."""
     packed = cut(rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"), *[F.col(c).alias(f"g{i}") for i, c in enumerate(group)], *[c.alias(f"o{i}") for i, c in enumerate(order)], F.monotonically_increasing_id().alias("tie")))
     sort = F.struct(*[f"g{i}" for i in range(len(group))], *[f"o{i}" for i in range(len(order))], "tie")

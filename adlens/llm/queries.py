@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from adlens.llm import decontam, exact_dedup, html_text, jaccard_join, langid, lm_score, mixing, quality, secrets, token_count
-from adlens.llm.common import crc_mod, table
+from adlens.llm import decontam, exact_dedup, html_text, jaccard_join, langid, lm_score, mixing, quality, repeats, secrets, sharding, token_count, vector_codes
+from adlens.llm.common import crc_mod, shared_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,7 +83,40 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_score, op2_page_text, op3_language_id, op4_exact_dedup, op5_source_mix, op6_token_count, op7_decontamination, op8_language_model, op9_near_copies, op10_secret_scan)}
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words in every document, a tenth of which get a periodic end first, and a digest of the text without repeats."""
+    docs = table(spark, sf_dir, "documents")
+    got = repeats.find(docs.select("doc_id", repeats.planted(docs).alias("text")), [F.col("doc_id")])
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    return got.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), listed.alias("listed"), "collapsed").select(
+        "doc_id",
+        "n_runs",
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.floor(F.lit(1000) * F.col("best.length") / -F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.when(F.col("n_runs") > 0, F.concat("listed", F.lit("\n"))).otherwise("").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The code of every vector under codebooks fitted on all of them, and its error."""
+    vectors = table(spark, sf_dir, "embeddings")
+    model = vector_codes.fit(vectors)
+    found = vector_codes.codes(vectors, model, [F.col("vec_id")])
+    return found.withColumn("codebooks_sha256", F.lit((model or vector_codes.Codebooks([], 0)).digest()))
+
+
+def op13_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of every document, of sixteen that are even by bytes, under a map of virtual slots stored beside the checkpoints."""
+    docs = table(spark, sf_dir, "documents")
+    placed = sharding.place(docs, f"{shared_dir(spark)}/shard-map-{uuid.uuid4().hex}")
+    return placed.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_quality_score, op2_page_text, op3_language_id, op4_exact_dedup, op5_source_mix, op6_token_count, op7_decontamination, op8_language_model, op9_near_copies, op10_secret_scan, op11_periodic_runs, op12_vector_codes, op13_shards)}
 LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 SQL: dict[str, str] = {
     "op4_exact_dedup": """
