@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlens.functions import band, money, text, urls
 from adlens.operators import gates
+from adlens.operators.greedy import chosen
 from adlens.operators.staging import written
 
-KEYS = ("council_", "title_words_", "path_", "host_", "mirror_", "score_", "work_", "place_", "closing_", "closing_text_", "pay_", "band_", "seq_", "page_")
-
 
 def quality_score() -> Column:
     """How good a row is: 40 band, 30 explicit band, 20 pay, 10 description, 5 current, 3 official site, 20 less for a mirror."""
@@ -43,102 +41,63 @@ def best_of_exact(rows: DataFrame, seq: str) -> DataFrame:
     return best.select("best_.row_.*", "best_.score_", "seq_")
 
 
-def _alike(a: set, b: set) -> bool:
-    return bool(a and b) and 5 * len(a & b) >= 4 * min(len(a), len(b))
-
-
-def _same(a: dict, b: dict) -> bool:
-    if not _alike(a["title_words_"], b["title_words_"]):
-        return False
-    if a["path_"] == b["path_"]:
-        return True
-    detail = any(a[k] and a[k] == b[k] for k in ("work_", "place_", "closing_", "closing_text_", "pay_"))
-    if a["host_"] and a["host_"] == b["host_"] and detail:
-        return True
-    if not (a["mirror_"] or b["mirror_"]):
-        return False
-    mirror, other = (a, b) if a["mirror_"] else (b, a)
-    hard = lambda r, *more: any(r[k] for k in ("band_", "pay_", "closing_", "closing_text_", "work_", *more))
-    return detail or not hard(mirror) and hard(other, "place_")
-
-
-def _greedy(rows: list[dict], same) -> list[dict]:
-    """Each row joins the first kept row that is the same, whose place it takes if it is better, or else is kept."""
-    kept: list[dict] = []
-    for row in rows:
-        for i, other in enumerate(kept):
-            if same(row, other):
-                if row["score_"] > other["score_"]:
-                    kept[i] = row
-                break
-        else:
-            kept.append(row)
-    return kept
-
-
-def _council(pdf: pd.DataFrame) -> pd.DataFrame:
-    rows = pdf.sort_values("seq_", kind="stable")[list(KEYS)].to_dict("records")
-    for r in rows:
-        r["title_words_"] = set(r["title_words_"])
-    by_path: dict[str, list[dict]] = {}
-    for r in rows:
-        by_path.setdefault(r["path_"], []).append(r)
-    # pages in the order of their first rows in the council, which may be in another group
-    first = [r for group in sorted(by_path.values(), key=lambda g: g[0]["page_"]) for r in _greedy(group, lambda a, b: _alike(a["title_words_"], b["title_words_"]))]
-    return pd.DataFrame({"seq_": [r["seq_"] for r in _greedy(first, _same)]}, dtype="int64")
-
-
-#: All words, pairs and triples of words of a title.
-SUBSETS = """concat(transform(w, x -> array(x)), flatten(transform(w, (x, i) -> transform(slice(w, i + 2, size(w)), y -> array(x, y)))),
-    flatten(flatten(transform(w, (x, i) -> transform(slice(w, i + 2, size(w)), (y, j) -> transform(slice(w, i + j + 3, size(w)), z -> array(x, y, z)))))))"""
 DETAILS = ("work_", "place_", "closing_", "closing_text_", "pay_")
 
 
-def _links(keys: DataFrame) -> DataFrame:
-    """seq_ and key_: rows that can be the same have a key in common.
+def _cells(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Cells and their adjacency, as ``greedy.chosen`` takes them, of rows (row, words_, mirror_, soft_, hard_, aspects_).
 
-    Such titles share three words, or all words of a shorter one; and such rows share their page, or host and a
-    detail, or one of them is a mirror.
+    A cell is an aspect with a title. Within an aspect, titles are compared that share a word which is among the rarest
+    fifth, and one more, of the shorter: any that are alike do.
     """
-    each = keys.withColumn("w", F.array_sort("title_words_")).withColumn("subset_", F.explode(F.expr(SUBSETS)))
-    whole = F.col("council_").eqNullSafe(F.col("c_")) & (F.col("subset_") == F.col("s_"))
-    blocks = each.groupBy(F.col("council_").alias("c_"), F.col("subset_").alias("s_")).agg(F.count("*").alias("n_"), F.bool_or(F.size("w") == F.size("subset_")).alias("short_"), F.bool_or("mirror_").alias("any_mirror_"))
-    both = each.join(blocks.where("n_ > 1 AND (short_ OR size(s_) = 3)"), whole)
-    of = lambda name, *c: F.xxhash64("council_", "subset_", F.lit(name), *c)
-    aspects = [of("path", "path_"), *[F.when((F.col("host_") != "") & (F.col(d) != ""), of(d, "host_", d)) for d in DETAILS], F.when(F.col("any_mirror_"), of("mirror"))]
-    return both.select("seq_", F.explode(F.array_compact(F.array(*aspects))).alias("key_"))
-
-
-def _groups(keys: DataFrame) -> DataFrame:
-    """seq_ and group_, the least seq_ that chains of common keys lead to, for rows with such a key."""
-    links = written(_links(keys).distinct())
-    links = written(links.join(links.groupBy("key_").agg(F.count("*").alias("n_")).where("n_ > 1").select("key_"), "key_"))
-    now, state = links.select("seq_").distinct().withColumn("group_", F.col("seq_")), None
-    while True:
-        least = links.join(now, "seq_").groupBy("key_").agg(F.min("group_").alias("group_"))
-        now = written(links.join(least, "key_").groupBy("seq_").agg(F.min("group_").alias("group_")))
-        total = now.agg(F.sum(F.col("group_").cast("decimal(38,0)"))).first()[0]  # labels only become less
-        if total == state:
-            return now
-        state = total
+    own = ["aspect", "words_", "mirror_", "soft_", "hard_"]
+    each = written(rows.where("size(words_) > 0").select("row", F.explode("aspects_").alias("aspect"), F.array_sort("words_").alias("words_"), "mirror_", "soft_", "hard_"))
+    cells = written(each.select(*own).distinct().withColumn("cell", F.monotonically_increasing_id()))
+    named = cells.select("cell", "aspect", F.size("words_").alias("n"), F.explode("words_").alias("word"))
+    counts = named.groupBy("word").agg(F.count("*").alias("count"))
+    rare = named.join(counts, "word").groupBy("cell", "aspect", "n").agg(F.array_sort(F.collect_list(F.struct("count", "word"))).alias("by"))
+    rare = rare.select(F.col("cell").alias("x"), "aspect", F.col("n").alias("least"), F.explode(F.slice("by", F.lit(1), F.floor(F.col("n") / 5).cast("int") + 1)).alias("w")).select("x", "aspect", "least", "w.word")
+    pairs = rare.join(named, ["aspect", "word"]).where("least <= n").select("x", F.col("cell").alias("y")).distinct()
+    both = pairs.union(pairs.select("y", "x")).distinct().toDF("incoming", "holder")
+    side = lambda name: cells.select(F.col("cell").alias(name), F.struct("*").alias(f"{name[0]}_"))
+    i, h = (lambda c: F.col(f"i_.{c}")), (lambda c: F.col(f"h_.{c}"))
+    kind = F.substring(i("aspect"), 1, 1)
+    weak = F.when(i("mirror_"), i("soft_") & h("hard_")).otherwise(h("mirror_") & h("soft_") & i("hard_"))
+    same = F.when(kind == "d", i("mirror_") | h("mirror_")).when(kind == "w", weak).otherwise(F.lit(True))
+    found = both.join(side("incoming"), "incoming").join(side("holder"), "holder").where(text.alike(i("words_"), h("words_")) & same)
+    return each.join(cells, own).select("row", "cell"), written(found.select("incoming", "holder"))
+
+
+def _aspects() -> Column:
+    """What makes rows with like titles the same, each as text: a page; a host and a detail; for mirrors a detail, or that the mirror tells nothing and the other does."""
+    of = lambda kind, *c: F.concat_ws("\x1f", F.lit(kind), "council_", *c)
+    hosts = [F.when((F.col("host_") != "") & (F.col(d) != ""), of("h", F.lit(d), "host_", d)) for d in DETAILS]
+    mirrors = [F.when(F.col("mirrors_") & (F.col(d) != ""), of("d", F.lit(d), d)) for d in DETAILS]
+    return F.array_compact(F.array(of("p", "path_"), *hosts, *mirrors, F.when(F.col("softs_") & (F.col("mirror_") & F.col("soft_") | F.col("hard_")), of("w"))))
 
 
 def dedupe(rows: DataFrame, seq: str) -> DataFrame:
     """Rows without exact, same-page and mirrored duplicates. `seq` is a whole number that orders rows.
 
-    Greedy steps depend on the order of rows but never match across councils, nor rows that no chain of possible
-    duplicates links: each group of linked rows is worked on by itself, with keys only.
+    The greedy steps, first within pages and then within councils, are settled by ``greedy.chosen`` in rounds over keys
+    alone: no council, page or group of linked rows is one task's.
     """
     low = lambda c: F.lower(text.compact(F.col(c)))
-    exact = best_of_exact(rows, seq)
+    exact = written(best_of_exact(rows, seq))
     keys = exact.select(
-        F.upper(text.compact(F.col("council_key"))).alias("council_"), text.title_words(F.col("job_title")).alias("title_words_"), urls.path_key(F.col("job_url")).alias("path_"), urls.host(F.col("job_url")).alias("host_"),
-        urls.is_mirror(F.col("job_url")).alias("mirror_"), "score_", low("work_type").alias("work_"), low("location_text").alias("place_"), low("closing_at").alias("closing_"), low("closing_at_text").alias("closing_text_"),
-        pay_signature().alias("pay_"), band.parse(F.col("standard_band_number")).isNotNull().alias("band_"), F.col("seq_").cast("long").alias("seq_"),
+        F.upper(text.compact(F.col("council_key"))).alias("council_"), text.title_words(F.col("job_title")).alias("words_"), urls.path_key(F.col("job_url")).alias("path_"), urls.host(F.col("job_url")).alias("host_"),
+        urls.is_mirror(F.col("job_url")).alias("mirror_"), F.col("score_").alias("score"), low("work_type").alias("work_"), low("location_text").alias("place_"), low("closing_at").alias("closing_"), low("closing_at_text").alias("closing_text_"),
+        pay_signature().alias("pay_"), band.parse(F.col("standard_band_number")).isNotNull().alias("band_"), F.col("seq_").cast("long").alias("row"),
     )
-    keys = written(keys)
-    pages = keys.groupBy(F.col("council_").alias("c_"), F.col("path_").alias("p_")).agg(F.min("seq_").alias("page_"))
-    keys = keys.join(pages, F.col("council_").eqNullSafe(F.col("c_")) & F.col("path_").eqNullSafe(F.col("p_"))).drop("c_", "p_")
-    grouped = keys.join(_groups(keys), "seq_", "left").withColumn("group_", F.coalesce("group_", "seq_"))
-    kept = grouped.groupBy("council_", "group_").applyInPandas(_council, "seq_ long")
+    told = F.col("band_") | F.greatest(*[F.length(c) for c in DETAILS if c != "place_"]).cast("boolean")
+    keys = written(keys.withColumns({"soft_": ~told, "hard_": told | (F.col("place_") != "")}))
+    page = F.array(F.concat_ws("\x1f", F.lit("p"), "council_", "path_"))
+    first = chosen(keys.select("row", "score"), *_cells(keys.withColumn("aspects_", page)))
+    # pages come in the order of their first rows
+    pages = keys.groupBy(F.col("council_").alias("c_"), F.col("path_").alias("p_")).agg(F.min("row").alias("page"))
+    councils = keys.groupBy(F.col("council_").alias("k_")).agg(F.bool_or("mirror_").alias("mirrors_"), F.bool_or(F.col("mirror_") & F.col("soft_")).alias("softs_"))
+    rest = keys.join(first, "row").join(pages, (F.col("council_") == F.col("c_")) & (F.col("path_") == F.col("p_"))).join(councils, F.col("council_") == F.col("k_"))
+    rest = written(rest.withColumn("seq_", F.col("row")).withColumn("row", F.struct("page", "place")))
+    last = chosen(rest.select("row", "score"), *_cells(rest.withColumn("aspects_", _aspects())))
+    kept = rest.join(last.select("row"), "row", "left_semi").select("seq_")
     return exact.join(kept, "seq_", "left_semi").drop("score_", "seq_")

@@ -2,7 +2,6 @@
 
 import hashlib
 import html
-import random
 import re
 
 import duckdb
@@ -14,18 +13,22 @@ from adlens.functions.text import TITLE_STOP_WORDS
 from adlens.operators import board, conflict, dedupe, gates, history, strategy
 from adlens.plans import listings, registry, texts
 
-SF = "/root/testdata/sf0.001"
+SF, NEXT = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
-@pytest.fixture(scope="module")
-def oracle():
+def oracle_at(folder):
     c = duckdb.connect()
     for t in TABLES:
-        c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
     return c
 
 
+@pytest.fixture(scope="module")
+def oracle():
+    return oracle_at(SF)
+
+
 def plain(v):
     return round(v, 6) if isinstance(v, float) else v
 
@@ -135,19 +138,24 @@ def test_query(spark, oracle, name):
         want = BRUTE[name](spark, df)
         assert want and got == sorted(want, key=repr)
         return
-    assert got
     res = oracle.execute(registry.ORACLE[name])
     names = [d[0] for d in res.description]
     want = sorted((tuple(plain(r[names.index(c)]) for c in columns) for r in res.fetchall()), key=repr)
     assert sorted(names) == columns
     assert got == want
+    if not want:  # the right answer at this size; at the next it is some rows
+        assert oracle_at(NEXT).execute(registry.ORACLE[name]).fetchone() is not None
+        got = sorted((tuple(plain(r[c]) for c in columns) for r in registry.QUERIES[name](spark, NEXT).collect()), key=repr)
+        want = sorted((tuple(plain(r[names.index(c)]) for c in columns) for r in oracle_at(NEXT).execute(registry.ORACLE[name]).fetchall()), key=repr)
+        assert got == want
 
 
 def test_latest_is_independent_of_partitions(spark):
     rows = spark.createDataFrame([("a", "2026-01-01", "r1", 1), ("a", "2026-01-01", "r1", 2), ("b", "2026-01-02", "r2", 3), ("a", "2026-01-02", "r2", 4)], "job_id string, observed_at string, run_id string, seq int")
     one = sorted(map(tuple, history.rebuild(rows.withColumn("source_id", F.lit("s")), spark.createDataFrame([("s",)], "source_id string"), "seq").collect()))
     assert one == sorted(map(tuple, history.rebuild(rows.withColumn("source_id", F.lit("s")).repartition(7), spark.createDataFrame([("s",)], "source_id string"), "seq").collect()))
-    assert {(r[0], r[-2], r[-1]) for r in one} == {("a", 2, "seen_latest_run"), ("b", 1, "seen_latest_run")}
+    named = history.rebuild(rows.withColumn("source_id", F.lit("s")), spark.createDataFrame([("s",)], "source_id string"), "seq").select("job_id", "seq", "sighting_count", "observed_status")
+    assert {tuple(r) for r in named.collect()} == {("a", 4, 3, "seen_latest_run"), ("b", 3, 1, "seen_latest_run")}
 
 
 def test_conflict_leaves_out_own_address(spark):
@@ -175,29 +183,3 @@ def test_mirror_is_dropped(spark):
     schema = "council_key string, job_title string, job_url string, standard_band_number int, seq long, " + ", ".join(f"{c} string" for c in base)
     df = spark.createDataFrame([tuple(r[c.split()[0]] for c in schema.split(", ")) for r in rows], schema).withColumns({"advertised_salary_text": F.lit(None).cast("string"), "advertised_salary_min": F.lit(None).cast("double"), "advertised_salary_max": F.lit(None).cast("double")})
     assert [r["seq"] for r in dedupe.dedupe(df, "seq").select("seq").collect()] == [1]
-
-
-def test_fuzzy_duplicates_in_linked_groups(spark):
-    """Groups of rows that may be the same give what the greedy steps over whole councils give, and no group is a whole council."""
-    rng, texts = random.Random(11), "location_text work_type closing_at closing_at_text description_text classification_status classification_band observed_status advertised_salary_period advertised_salary_text".split()
-    rows = []
-    for i in range(500):
-        host = rng.choice(["c.vic.gov.au", "au.jora.com", "d.vic.gov.au", "e.vic.gov.au"])
-        title = " ".join(rng.choice(["x", "y", "z"]) + w for w in rng.sample("parks lead civil works health nurse senior".split(), rng.randint(2, 5)))
-        more = {c: "" for c in texts} | {"work_type": rng.choice(["", "full", "part"]), "location_text": rng.choice(["", "North", "South"])}
-        rows.append((rng.choice(["C", "D", None]), title, f"https://{host}/jobs/{rng.randrange(40)}", rng.choice([None, 5]), i, None, None, *[more[c] for c in texts]))
-    df = spark.createDataFrame(rows, "council_key string, job_title string, job_url string, standard_band_number int, seq long, advertised_salary_min double, advertised_salary_max double, " + ", ".join(f"{c} string" for c in texts)).repartition(3)
-    sizes, council, linked = spark.sparkContext.accumulator(0), dedupe._council, dedupe._groups
-
-    def counted(pdf):
-        sizes.add(1)
-        return council(pdf)
-
-    try:
-        dedupe._council = counted
-        got = {r["seq"] for r in dedupe.dedupe(df, "seq").select("seq").collect()}
-        groups, dedupe._groups = sizes.value, lambda keys: keys.select("seq_", F.lit(0).alias("group_"))
-        want = {r["seq"] for r in dedupe.dedupe(df, "seq").select("seq").collect()}
-    finally:
-        dedupe._council, dedupe._groups = council, linked
-    assert got == want and 0 < len(got) < 500 and groups > 3
