@@ -12,6 +12,8 @@ POINTS = {"accepted": 45, "band": 18, "salary": 12, "description": 8, "closing":
 PREFERRED, ENDPOINT, FAILED = 8, 5, -100
 ENDPOINTS = ("known_endpoint", "discovered_endpoint")
 SOURCE_LIMIT, QUARANTINE_LIMIT, ENDPOINT_LIMIT = 50, 200, 12
+#: Entries of a profile's history that a run reads, and that it writes at most.
+READ_HISTORY, KEPT_HISTORY = 12, 20
 
 
 def judged(candidates: DataFrame, global_rules: DataFrame, source_rules: DataFrame) -> DataFrame:
@@ -30,8 +32,12 @@ def judged(candidates: DataFrame, global_rules: DataFrame, source_rules: DataFra
     return joined.withColumn("reason", reason).drop("g_title", "s_source", "s_title")
 
 
-def metrics(rows: DataFrame) -> DataFrame:
-    """Per source and strategy (index): counts, rates and score. rows have reason, title, url, and the flags has_* and failed."""
+def metrics(rows: DataFrame, attempts: DataFrame | None = None) -> DataFrame:
+    """Per source and strategy (index): counts, rates and score. rows have reason, title, url, and the flags has_* and failed.
+
+    attempts (source_id, strategy, strategy_index, failed) are all that were tried: those without rows count as zeros, and
+    what was not tried doesn't count.
+    """
     ok = F.col("reason").isNull()
     flags = {f"{f}_count": F.count_if(ok & F.col(f"has_{f}")) for f in ("band", "salary", "description", "closing")}
     m = rows.groupBy("source_id", "strategy", "strategy_index").agg(
@@ -42,6 +48,12 @@ def metrics(rows: DataFrame) -> DataFrame:
         *[c.alias(n) for n, c in flags.items()],
         F.max("failed").alias("failed"),
     )
+    if attempts is not None:
+        keys = ["source_id", "strategy", "strategy_index"]
+        tried = attempts.groupBy(*keys).agg(F.max("failed").alias("tried_failed_"))
+        counts = [c for c in m.columns if c not in (*keys, "failed")]
+        failed = F.coalesce("failed", F.lit(False)) | F.coalesce("tried_failed_", F.lit(False))
+        m = tried.join(m, keys, "left").select(*keys, *[F.coalesce(c, F.lit(0)).alias(c) for c in counts], failed.alias("failed"))
     m = m.withColumn("duplicate_count", F.greatest(F.lit(0), F.col("accepted_count") - F.col("distinct_"))).drop("distinct_")
     score = sum((F.col(f"{n}_count") * p for n, p in POINTS.items()), F.lit(0)) + F.when(F.col("failed"), FAILED).otherwise(0)
     rate = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
@@ -75,7 +87,8 @@ def drift(chosen: DataFrame) -> DataFrame:
     flags = F.array_compact(F.array(*[F.when(when, F.struct(F.lit(code).alias("code"), how.alias("severity"))) for code, when, how in _flags()]))
     out = chosen.withColumn("drift_flags", flags).withColumn("severe", F.exists("drift_flags", lambda f: f["severity"] == "severe"))
     fallback = F.col("severe") | F.col("failed") & (F.coalesce("last_good_count", F.lit(0)) > 0)
-    return out.withColumns({"fallback_used": fallback, "status": F.when(fallback, "degraded").when(F.col("failed"), "failed").otherwise("ok")})
+    nothing = F.col("failed") & (F.col("accepted_count") == 0)
+    return out.withColumns({"fallback_used": fallback, "status": F.when(nothing, "failed").when(F.col("severe"), "degraded").otherwise("ok")})
 
 
 def emitted(rows: DataFrame, health: DataFrame) -> DataFrame:
@@ -83,15 +96,19 @@ def emitted(rows: DataFrame, health: DataFrame) -> DataFrame:
     return rows.where("reason is null").join(health.where("not fallback_used").select("source_id", "strategy"), ["source_id", "strategy"], "left_semi")
 
 
-def updated_profiles(profiles: DataFrame, health: DataFrame, run_id: str) -> DataFrame:
-    """Profiles after a run. Severe drift keeps the baseline; a strategy becomes preferred only if it is no worse than the last good one."""
+def updated_profiles(profiles: DataFrame, health: DataFrame, run_id: str, read: int = READ_HISTORY) -> DataFrame:
+    """Profiles after a run. Severe drift keeps the baseline; a strategy becomes preferred only if it is no worse than the last good one (a score of 0 or none being no bar).
+
+    A run reads the last `read` entries of a history and adds its own; 20 are kept at most.
+    """
     h = health.select("source_id", F.col("strategy"), "accepted_count", F.col("score"), "severe", F.array_join(F.transform("drift_flags", lambda f: f["code"]), ",").alias("codes"))
     j = profiles.join(h, "source_id", "full")
     ran, good = F.col("score").isNotNull(), F.col("score").isNotNull() & ~F.col("severe")
-    better = good & (F.col("accepted_count") > 0) & (F.col("score") >= F.coalesce("last_good_score", F.lit(-(10**9))))
+    better = good & (F.col("accepted_count") > 0) & ((F.coalesce("last_good_score", F.lit(0)) == 0) | (F.col("score") >= F.col("last_good_score")))
     entry = F.struct(F.lit(run_id).alias("run_id"), "strategy", "accepted_count", "score", "codes")
     history = F.coalesce("quality_history", F.array().cast("array<struct<run_id:string,strategy:string,accepted_count:bigint,score:bigint,codes:string>>"))
-    kept = F.slice(history, F.greatest(F.size(history) - 11, F.lit(1)), 12)
+    past = min(read, KEPT_HISTORY - 1)
+    kept = F.slice(history, F.greatest(F.size(history) - past + 1, F.lit(1)), past)
     return j.select(
         "source_id",
         F.when(better, F.col("strategy")).otherwise(F.col("preferred_strategy")).alias("preferred_strategy"),
@@ -136,10 +153,11 @@ def merged_hints(selected: DataFrame, others: DataFrame, *seq: str) -> DataFrame
 def merged_endpoints(known: DataFrame, seen: DataFrame, at: Column) -> DataFrame:
     """Known endpoints after a run: first seen is kept, accepted stays accepted, the first twelve by status and address.
 
-    known: source_id, url, status, first_seen_at, last_seen_at, last_score; seen: source_id, url, confirmed, score.
+    known: source_id, url, status, first_seen_at, last_seen_at, last_score; seen: source_id, url, confirmed, score. Of seen
+    addresses that differ in case alone the least is taken.
     """
     k = known.withColumn("low_", F.lower("url"))
-    s = seen.groupBy("source_id", F.lower("url").alias("low_")).agg(F.first("url").alias("s_url"), F.max("confirmed").alias("confirmed"), F.max("score").alias("s_score"))
+    s = seen.groupBy("source_id", F.lower("url").alias("low_")).agg(F.min("url").alias("s_url"), F.max("confirmed").alias("confirmed"), F.max("score").alias("s_score"))
     j = k.join(s, ["source_id", "low_"], "full")
     new = F.col("s_url").isNotNull()
     sure = F.coalesce("confirmed", F.lit(False))
@@ -219,17 +237,56 @@ class Contest:
     quarantine: DataFrame
 
 
-def contest(candidates: DataFrame, profiles: DataFrame, global_rules: DataFrame, source_rules: DataFrame, run_id: str, *seq: str) -> Contest:
+def contest(candidates: DataFrame, profiles: DataFrame, global_rules: DataFrame, source_rules: DataFrame, run_id: str, *seq: str, attempts: DataFrame | None = None) -> Contest:
     """Choose each source's strategy, judge its rows, and say what is emitted, set aside and remembered.
 
     Strategies are compared by a source's own rules; the rows of the chosen one are judged by all. candidates may have
-    has_document and their own field_evidence, which stays.
+    has_document and their own field_evidence, which stays. With attempts (source_id, strategy, strategy_index, failed),
+    all that was tried, a source none of whose strategies has a row is measured as zero and remembered as such.
     """
-    first = choose(metrics(judged(candidates, global_rules.limit(0), source_rules)), profiles).select("source_id", "strategy")
-    rows = judged(candidates, global_rules, source_rules).join(first, ["source_id", "strategy"], "left_semi")
-    health = drift(choose(metrics(rows), profiles))
+    keys = ["source_id", "strategy", "strategy_index"]
+    first = choose(metrics(judged(candidates, global_rules.limit(0), source_rules), attempts), profiles).select(*keys)
+    rows = judged(candidates, global_rules, source_rules).join(first, keys, "left_semi")
+    health = drift(choose(metrics(rows, None if attempts is None else attempts.join(first, keys, "left_semi")), profiles))
     out = emitted(rows, health).drop("reason")
     has = F.coalesce("has_document", F.lit(False)) if "has_document" in out.columns else F.lit(False)
     made = field_evidence(F.col("strategy"), has)
     out = out.withColumns({"field_evidence": F.coalesce("field_evidence", made) if "field_evidence" in out.columns else made, "source_strategy": F.col("strategy")})
     return Contest(out, health, updated_profiles(profiles, health, run_id), quarantine(rows, health, *seq))
+
+
+#: Platforms whose discovered addresses are always read, how many known and discovered ones are, and the order of strategies.
+ENDPOINT_PLATFORMS = ("oracle_hcm", "pulse", "pageup", "applynow", "successfactors", "elmo_talent", "t1cloud", "bigredsky", "recruitmenthub")
+MOST_KNOWN, MOST_DISCOVERED = 2, 3
+KNOWN, PLATFORM, DISCOVERED, JSON_LD, FEED = 0, 10, 20, 30, 40
+
+
+def attempts(sources: DataFrame, known: DataFrame, hints: DataFrame, discovered: DataFrame, feeds: DataFrame, failed: DataFrame) -> DataFrame:
+    """What is tried for each source in a run: source_id, strategy, strategy_index (the order), url (of an address of data), failed.
+
+    sources: source_id, platform, preferred_strategy; known: source_id, url, status, place; hints: source_id, nth, url; discovered and
+    feeds: source_id of sources whose listing page has postings, and whose feeds have candidates; failed: source_id, strategy.
+
+    Known addresses come first where one was preferred before: the accepted ones, or else all, two at most. The platform's own
+    strategy is always tried. Discovered addresses follow, three at most, on platforms that are known for them and where one was
+    accepted before; then what the listing page holds, if it has postings or hints; then feeds, if they have candidates.
+    Every source thus has a row, whether or not anything has candidates.
+    """
+    each = sources.select("source_id", F.coalesce(F.nullif("platform", F.lit("")), F.lit("generic_html")).alias("platform"), F.coalesce("preferred_strategy", F.lit("")).alias("preferred"))
+    accepted = known.groupBy("source_id").agg(F.max(F.col("status") == "accepted").alias("any_accepted"))
+    each = each.join(accepted, "source_id", "left").withColumn("any_accepted", F.coalesce("any_accepted", F.lit(False)))
+    used = known.join(each.where(F.col("preferred").rlike("^(known|discovered)_endpoint")).select("source_id", "any_accepted"), "source_id").where(~F.col("any_accepted") | (F.col("status") == "accepted"))
+    nth = F.row_number().over(Window.partitionBy("source_id").orderBy("place", "url"))
+    of = lambda df, name, index, url=None: df.select("source_id", F.lit(name).alias("strategy") if isinstance(name, str) else name.alias("strategy"), index.cast("long").alias("strategy_index"), (F.lit(None).cast("string") if url is None else F.col(url)).alias("url"))
+    tried = [
+        of(used.withColumn("nth", nth).where(F.col("nth") <= MOST_KNOWN), "known_endpoint", F.col("nth") - 1 + KNOWN, "url"),
+        of(each, F.concat(F.lit("platform:"), F.col("platform")), F.lit(PLATFORM)),
+        of(hints.where(F.col("nth") <= MOST_DISCOVERED).join(each.where(F.col("platform").isin(*ENDPOINT_PLATFORMS) | F.col("any_accepted")).select("source_id"), "source_id", "left_semi"), "discovered_endpoint", F.col("nth") - 1 + DISCOVERED, "url"),
+        of(each.join(hints.select("source_id").union(discovered.select("source_id")).distinct(), "source_id", "left_semi"), "json_ld", F.lit(JSON_LD)),
+        of(each.join(feeds.select("source_id").distinct(), "source_id", "left_semi"), "sitemap_feed", F.lit(FEED)),
+    ]
+    every = tried[0]
+    for t in tried[1:]:
+        every = every.unionByName(t)
+    bad = failed.select("source_id", "strategy", F.lit(True).alias("failed")).distinct()
+    return every.join(bad, ["source_id", "strategy"], "left").withColumn("failed", F.coalesce("failed", F.lit(False)))

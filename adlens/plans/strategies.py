@@ -37,7 +37,7 @@ def _drift(chosen: str) -> str:
         " CASE WHEN last_good_count >= 3 AND accepted_count > greatest(50, last_good_count * 4) THEN 'historical_count_spike' END, CASE WHEN last_good_count >= 5 AND accepted_count = 0 AND candidate_count >= 5 THEN 'historical_count_drop' END,"
         f" CASE WHEN candidate_count >= 10 AND 2 * duplicate_count > accepted_count THEN 'duplicate_inflation' END], lambda x: x IS NOT NULL) AS codes FROM {chosen}),"
         " h AS (SELECT *, len(list_filter(codes, lambda x: x IN ('junk_inflation', 'source_count_spike', 'historical_count_spike', 'historical_count_drop') OR (x = 'strategy_failed' AND last_good_count > 0))) > 0 AS severe FROM f),"
-        " g AS (SELECT *, severe OR (failed AND last_good_count > 0) AS fallback_used, CASE WHEN severe OR (failed AND last_good_count > 0) THEN 'degraded' WHEN failed THEN 'failed' ELSE 'ok' END AS status FROM h) "
+        " g AS (SELECT *, severe OR (failed AND last_good_count > 0) AS fallback_used, CASE WHEN failed AND accepted_count = 0 THEN 'failed' WHEN severe THEN 'degraded' ELSE 'ok' END AS status FROM h) "
     )
 
 
@@ -122,7 +122,7 @@ def contest_health(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    CONTEST + "SELECT p.source_id, CASE WHEN g.source_id IS NOT NULL AND NOT severe AND accepted_count > 0 AND score >= p.last_good_score THEN strategy ELSE p.preferred_strategy END AS preferred_strategy,"
+    CONTEST + "SELECT p.source_id, CASE WHEN g.source_id IS NOT NULL AND NOT severe AND accepted_count > 0 AND (p.last_good_score = 0 OR score >= p.last_good_score) THEN strategy ELSE p.preferred_strategy END AS preferred_strategy,"
     " CASE WHEN g.source_id IS NOT NULL AND NOT severe THEN accepted_count ELSE p.last_good_count END AS last_good_count, CASE WHEN severe THEN 1 ELSE 0 END AS failure_streak FROM p LEFT JOIN g USING (source_id)"
 )
 def contest_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,6 +130,48 @@ def contest_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contest(spark, sf_dir).profiles.select("source_id", "preferred_strategy", "last_good_count", "failure_streak")
 
 
+#: All orders as sources, also those without lines: each has tried a platform's strategy, every seventh in vain, besides those it has candidates of.
+_ZERO = (
+    CONTEST.split(", a0 AS ")[0] + _metrics("j0", "s") + ", t AS (SELECT source_id, strategy, strategy_index, max(failed) AS f FROM (SELECT DISTINCT source_id, strategy, strategy_index, false AS failed FROM j0 UNION ALL SELECT o_orderkey, 'platform:generic_html', 10, o_orderkey % 7 = 0 FROM orders) GROUP BY 1, 2, 3)"
+)
+
+
+def _zeros(measured: str, tried: str, name: str) -> str:
+    """A CTE with the measures of all that was tried."""
+    counts = "candidate_count accepted_count rejected_count band_count salary_count description_count closing_count duplicate_count".split()
+    zero = ", ".join(f"coalesce({c}, 0) AS {c}" for c in counts)
+    return f", {name} AS (SELECT t.source_id, t.strategy, t.strategy_index, {zero}, coalesce(failed, false) OR f AS failed, CASE WHEN score IS NULL THEN 0 ELSE score END - CASE WHEN f AND NOT coalesce(failed, false) THEN 100 ELSE 0 END AS score FROM {tried} t LEFT JOIN {measured} x USING (source_id, strategy, strategy_index)) "
+
+
+ALL_SOURCES = (
+    _ZERO + _zeros("s", "t", "a") + _chosen("a", "b") + f", j AS (SELECT x.* FROM ({lens.judged_sql(lens.ORDER_CANDIDATES_SQL)}) x SEMI JOIN b ON b.source_id = x.source_id AND b.strategy = x.strategy)" + _metrics("j", "m0")
+    + ", t2 AS (SELECT t.* FROM t SEMI JOIN b ON b.source_id = t.source_id AND b.strategy = t.strategy)" + _zeros("m0", "t2", "m") + _chosen("m", "c") + _drift("c")
+)
+
+
+def all_sources(spark: SparkSession, sf_dir: str) -> strategy.Contest:
+    orders, rows = lens.table(spark, sf_dir, "orders"), lens.order_candidates(spark, sf_dir)
+    tried = rows.select("source_id", "strategy", "strategy_index", F.lit(False).alias("failed")).distinct()
+    own = orders.select(F.col("o_orderkey").alias("source_id"), F.lit("platform:generic_html").alias("strategy"), F.lit(10).cast("long").alias("strategy_index"), (F.col("o_orderkey") % 7 == 0).alias("failed"))
+    profiles = lens.order_profiles(spark, sf_dir).withColumns({"last_good_run_id": F.lit("seed"), "failure_streak": F.lit(2), "health": F.lit("degraded"), "quality_history": F.array().cast(HISTORY)})
+    return strategy.contest(rows, profiles, lens.global_rules(spark, sf_dir), lens.source_rules(spark, sf_dir), "r1", "strategy_index", "l_suppkey", "l_extendedprice", "title", "url", attempts=tried.unionByName(own))
+
+
+@query(ALL_SOURCES + "SELECT source_id, strategy, candidate_count, accepted_count, CAST(score AS BIGINT) AS score, array_to_string(codes, ',') AS codes, fallback_used, status FROM g")
+def contest_of_all_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Health of every source that was tried, measured as zero where nothing has a candidate."""
+    return all_sources(spark, sf_dir).health.select("source_id", "strategy", "candidate_count", "accepted_count", "score", F.array_join(F.transform("drift_flags", lambda f: f["code"]), ",").alias("codes"), "fallback_used", "status")
+
+
+@query(
+    ALL_SOURCES + "SELECT p.source_id, CASE WHEN NOT severe AND accepted_count > 0 AND (p.last_good_score = 0 OR score >= p.last_good_score) THEN strategy ELSE p.preferred_strategy END AS preferred_strategy,"
+    " CASE WHEN NOT severe THEN accepted_count ELSE p.last_good_count END AS last_good_count, CASE WHEN severe THEN 3 ELSE 0 END AS failure_streak, CASE WHEN severe THEN 'degraded' ELSE 'ok' END AS health FROM p JOIN g USING (source_id)"
+)
+def contest_resets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is remembered of every source: one that found nothing starts from zero again, unless that is severe."""
+    return all_sources(spark, sf_dir).profiles.select("source_id", "preferred_strategy", "last_good_count", "failure_streak", "health")
+
+
 @query(
     DRIFT + ", r AS (SELECT j.*, row_number() OVER (PARTITION BY j.source_id ORDER BY j.l_orderkey, j.l_extendedprice, j.title, j.url) AS k FROM j JOIN g ON g.source_id = j.source_id AND g.strategy = j.strategy WHERE j.reason IS NOT NULL)"
     " SELECT source_id, strategy, reason, title, url FROM r WHERE k <= 200 UNION ALL SELECT source_id, strategy, 'severe_drift', '', '' FROM g WHERE severe AND rejected_count = 0"
@@ -167,7 +209,7 @@ def platform_health(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    DRIFT + "SELECT p.source_id, CASE WHEN g.source_id IS NOT NULL AND NOT severe AND accepted_count > 0 AND score >= p.last_good_score THEN strategy ELSE p.preferred_strategy END AS preferred_strategy,"
+    DRIFT + "SELECT p.source_id, CASE WHEN g.source_id IS NOT NULL AND NOT severe AND accepted_count > 0 AND (p.last_good_score = 0 OR score >= p.last_good_score) THEN strategy ELSE p.preferred_strategy END AS preferred_strategy,"
     " CASE WHEN g.source_id IS NOT NULL AND NOT severe THEN accepted_count ELSE p.last_good_count END AS last_good_count, CASE WHEN severe THEN 1 ELSE 0 END AS failure_streak FROM p LEFT JOIN g USING (source_id)"
 )
 def profile_update(spark: SparkSession, sf_dir: str) -> DataFrame:

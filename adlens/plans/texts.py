@@ -9,7 +9,7 @@ from adlens.functions import band, dates, details, money, salary, text, titles,
 from adlens.operators import board, explore, gates
 from adlens.plans import lens, listings
 from adlens.plans.registry import query
-from adlens.sources import adapters, files
+from adlens.sources import adapters, discovery, files
 
 #: An advertisement's text with known band, pay and date, in either dialect.
 AD = "concat('Band ', CAST(p_size % 10 AS VARCHAR(9)), ' salary $', CAST(40000 + (p_partkey * 37) % 60000 AS VARCHAR(9)), ' - $', CAST(40000 + (p_partkey * 37) % 60000 + p_size * 100 AS VARCHAR(9)), ' per annum. Applications close ', CAST(1 + p_partkey % 35 AS VARCHAR(9)), ' June 2026')"
@@ -126,12 +126,13 @@ def job_link_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "WITH h AS (SELECT p_partkey AS page_id, k.kind, replace(k.url, '{}', CAST(p_partkey AS VARCHAR)) AS url FROM part, (VALUES ('feed_or_link', 'https://c.example/jobs/feed{}.xml'), ('form_action', 'https://c.example/list/search/positions'), ('inline_script', 'https://c.example/api/jobs?x={}')) k(kind, url))"
-    " SELECT page_id, kind, url, substr(sha256(concat(kind, chr(31), url)), 1, 16) AS id FROM h"
+    "WITH h AS (SELECT p_partkey AS page_id, k.kind, replace(k.url, '{}', CAST(p_partkey AS VARCHAR)) AS url, replace(k.said, '{}', CAST(p_partkey AS VARCHAR)) AS said FROM part, (VALUES ('feed_or_link', 'https://c.example/jobs/feed{}.xml', 'alternate application/rss+xml'),"
+    " ('form_action', 'https://c.example/list/search/positions', ''), ('inline_script', 'https://c.example/api/jobs?x={}', '\"/api/jobs?x={}\"')) k(kind, url, said))"
+    " SELECT page_id, kind, url, substr(sha256(concat(kind, chr(31), url, chr(31), said)), 1, 16) AS id FROM h"
 )
 def endpoint_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Addresses of data that pages name."""
-    return adapters.endpoint_hints(_part_pages(spark, sf_dir, HINTS))
+    return discovery.hints(_part_pages(spark, sf_dir, HINTS)).select("page_id", "kind", "url", "id")
 
 
 def _listing_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

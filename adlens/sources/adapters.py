@@ -13,14 +13,6 @@ from adlens.functions.text import compact, once
 from adlens.operators import gates
 from adlens.sources import files
 
-#: Words by which addresses of data are told, and what is never one.
-DATA_WORDS = r"(?i)(api|jobs?|careers?|vacanc|position|recruit|requisition|graphql|feed|rss|sitemap)"
-LINK_WORDS = r"(?i)(api|json|xml|rss|feed|sitemap|graphql|ajax|service|odata|endpoint)"
-FEED_WORDS = r"(?i)(rss|feed|sitemap|xml)"
-NOISE = r"(?i)\.(css|gif|ico|jpe?g|png|svg|webp|woff2?)$"
-#: Hints and feeds of one page that are followed.
-MOST_HINTS, MOST_FEEDS = 12, 5
-
 
 def with_fields(items: DataFrame, texts: list[Column], pay: list[Column] | None = None, closing: list[Column] | None = None) -> DataFrame:
     """items with band, pay and closing date out of the texts, each in its own order where one is given, and the status that they allow."""
@@ -78,40 +70,27 @@ def merged_with_detail(listing: DataFrame, detail: DataFrame, key: str = "url")
 
 
 def details(pages: DataFrame) -> DataFrame:
-    """Candidates out of detail pages (source_id, url, html): the band from title, description, what is set apart, and around the title; pay from what is set apart first."""
+    """Candidates out of detail pages (source_id, url, html): the band from title, document, description, what is set apart, and around the title; pay from what is set apart first.
+
+    With document_text and document_urls, what the documents that a page links to say counts too, and has_document tells of it.
+    """
     heading = plain(F.regexp_extract("html", r"(?is)<h[12]\b[^>]*>(.*?)</h[12]>", 1))
     read = F.struct(heading.alias("heading"), search_text(F.col("html")).alias("body"), parts(F.col("html")).alias("p"))
-    rows = pages.select("source_id", "url", F.explode(F.array(read)).alias("r")).select("source_id", "url", "r.heading", "r.body", "r.p.structured", F.explode(F.array(description(F.col("r.p.description")))).alias("d"))
+    more = ["document_urls"] if "document_urls" in pages.columns else []
+    document = F.coalesce("document_text", F.lit("")) if more else F.lit("")
+    rows = pages.select("source_id", "url", *more, document.alias("document"), F.explode(F.array(read)).alias("r"))
+    rows = rows.select("source_id", "url", *more, "document", "r.heading", "r.body", "r.p.structured", F.explode(F.array(description(F.col("r.p.description")))).alias("d"))
     some = lambda c: F.nullif(c, F.lit(""))
-    told = F.coalesce(F.col("d.text"), some(F.col("structured")), F.col("body"))
+    own = F.coalesce(F.col("d.text"), some(F.col("document")))
+    told = F.coalesce(own, some(F.col("structured")), F.col("body"))
+    status = F.when((F.col("document") != "") & F.col("d.status").isin("missing", "sparse"), "document").otherwise(F.col("d.status"))
     none = F.lit("")
     rows = rows.select(
-        "source_id", "url", "heading", "body", "structured", F.col("d.text").alias("own"), F.col("d.status").alias("description_status"), F.col("d.hash").alias("description_hash"), titles.best(F.col("heading"), F.col("url"), body=told).alias("title"),
-        none.alias("location_text"), none.alias("work_type"), none.alias("closing_text"), text.excerpt(told, 300).alias("description_excerpt"),
+        "source_id", "url", *more, "heading", "body", "structured", "document", F.col("d.text").alias("own"), status.alias("description_status"), F.col("d.hash").alias("description_hash"), titles.best(F.col("heading"), F.col("url"), body=told).alias("title"),
+        none.alias("location_text"), none.alias("work_type"), none.alias("closing_text"), text.excerpt(told, 300).alias("description_excerpt"), *([(F.col("document") != "").alias("has_document")] if more else []),
     )
-    body, set_apart, own = F.col("body"), F.col("structured"), F.col("own")
-    return with_fields(rows, [F.col("heading"), own, set_apart, window(F.col("heading"), body)], [set_apart, own, body], [set_apart, body, own]).drop("heading", "body", "structured", "own")
-
-
-def endpoint_hints(pages: DataFrame) -> DataFrame:
-    """Addresses of data on a page's own site (page_id, url, html): links and forms first, then inline scripts; twelve at most."""
-    tag = r"""(?is)<(?:link|a|form)\b[^>]*>"""
-    tags = pages.select("page_id", "url", F.posexplode(F.regexp_extract_all("html", F.lit(tag), F.lit(0))).alias("pos", "t"))
-    raw = F.regexp_extract("t", r"""(?is)\b(?:href|action)\s*=\s*["']([^"']*)["']""", 1)
-    linked = tags.where(F.col("t").rlike("(?i)^<form") | F.col("t").rlike(LINK_WORDS)).select("page_id", "url", F.lit(0).alias("part"), "pos", F.when(F.col("t").rlike("(?i)^<form"), "form_action").otherwise("feed_or_link").alias("kind"), raw.alias("raw"), F.col("t").alias("evidence"))
-    scripts = pages.select("page_id", "url", F.array_join(F.regexp_extract_all("html", F.lit(r"(?is)<script(?![^>]*\bsrc\b)[^>]*>(.*?)</script>"), F.lit(1)), "\n").alias("s"))
-    literal = r"""(?i)['"]((?:https?://|/|\.\.?/)[^'"]{1,360}?(?:api|jobs?|careers?|vacanc|position|recruit|requisition|graphql|feed|rss|sitemap)[^'"]{0,360}?)['"]"""
-    inline = scripts.select("page_id", "url", F.lit(1).alias("part"), F.posexplode(F.regexp_extract_all("s", F.lit(literal), F.lit(1))).alias("pos", "raw")).select("page_id", "url", "part", "pos", F.lit("inline_script").alias("kind"), "raw", F.col("raw").alias("evidence"))
-    both = linked.unionByName(inline).withColumn("link", once(F.struct(F.col("url").alias("b"), F.col("raw").alias("r")), lambda x: urls.resolved(x["b"], x["r"])))
-    ok = both.where((F.col("link") != "") & urls.same_origin(F.col("url"), F.col("link")) & ~urls.part(F.col("link"), 3).rlike(NOISE) & F.concat_ws(" ", "link", "evidence").rlike(DATA_WORDS))
-    each = ok.groupBy("page_id", F.lower("link").alias("low")).agg(F.min(F.struct("part", "pos", "kind", "link")).alias("h")).groupBy("page_id").agg(F.slice(F.array_sort(F.collect_list("h")), 1, MOST_HINTS).alias("hs"))
-    return each.select("page_id", F.explode("hs").alias("h")).select("page_id", "h.kind", F.col("h.link").alias("url"), text.stable_hash(F.col("h.kind"), F.col("h.link"), length=16).alias("id"))
-
-
-def feeds(hints: DataFrame) -> DataFrame:
-    """The first five feeds and site maps among a page's hints."""
-    some = hints.where(F.col("url").rlike(FEED_WORDS)).groupBy("page_id").agg(F.slice(F.array_sort(F.collect_set("url")), 1, MOST_FEEDS).alias("u"))
-    return some.select("page_id", F.explode("u").alias("url"))
+    body, set_apart, own, document = F.col("body"), F.col("structured"), F.col("own"), F.col("document")
+    return with_fields(rows, [F.col("heading"), document, own, set_apart, window(F.col("heading"), body)], [set_apart, own, document, body], [set_apart, body, own, document]).drop("heading", "body", "structured", "own", "document")
 
 
 def observations(candidates: DataFrame, sources: DataFrame, run_id: str, observed_at: str) -> DataFrame:

@@ -12,8 +12,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 from adlens.functions import text, titles, urls
+from adlens.sources import markup
 
 SOURCE = T.StructType([T.StructField(n, T.StringType()) for n in ("source_id", "council_key", "short_name", "council_name", "platform", "url", "entry_url", "site_number")] + [T.StructField("enabled", T.BooleanType()), T.StructField("max_jobs", T.IntegerType())])
 OBSERVATION = T.StructType(
@@ -21,7 +23,12 @@ OBSERVATION = T.StructType(
     + [T.StructField("advertised_salary_min", T.DoubleType()), T.StructField("advertised_salary_max", T.DoubleType()), T.StructField("band", T.IntegerType()), T.StructField("field_evidence", T.MapType(T.StringType(), T.StringType())), T.StructField("corrupt", T.StringType())]
 )
 WORD_XML = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
-JOB_LINK = r"(?i)\b(job|jobs|career|careers|vacanc(y|ies)|position|positions|role|employment|officer|coordinator|manager)\b"
+#: What links to listings have in their title, path or query; sites that hold none; and what a refusal holds, in lower case.
+JOB_LINK = r"(?i)\b(job|jobs|career|careers|vacanc|position|recruit|opening|role)s?\b"
+OTHER_SITES = r"(?i)(^|\.)(facebook|instagram|linkedin|tiktok|youtube|x|twitter)\.com$|^(help|secure)\.employmenthero\.com$|^employmenthero\.page\.link$"
+REFUSALS = ("awswafcookiedomainlist", "window.gokuprops")
+#: Suffixes of log files in the order in which they are loaded.
+LOADED = ("jsonl", "gz", "bz2")
 
 
 def registry(spark: SparkSession, path: str) -> DataFrame:
@@ -33,16 +40,26 @@ def registry(spark: SparkSession, path: str) -> DataFrame:
 
 
 def observations(spark: SparkSession, *paths: str) -> DataFrame:
-    """The log's rows with `seq`, the order in which they were loaded (file, then place in it). Broken lines and lines without a job are left out."""
+    """The log's rows with `seq`, the order in which they were loaded: plain files, then gz, then bz2, each by whole path, then place in the file. Broken lines and lines without a job are left out."""
     rows = spark.read.schema(OBSERVATION).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "corrupt").json(list(paths))
-    seq = F.struct(F.col("_metadata.file_name"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("row")).alias("seq")
+    ends = F.regexp_extract("_metadata.file_path", r"\.(gz|bz2)$", 1)
+    group = F.when(ends == "gz", LOADED.index("gz")).when(ends == "bz2", LOADED.index("bz2")).otherwise(LOADED.index("jsonl"))
+    seq = F.struct(group.alias("suffix"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("seq")
     return rows.select("*", seq).where("corrupt is null and job_id is not null").drop("corrupt")
 
 
-def previous_jobs(spark: SparkSession, path: str) -> DataFrame:
-    """The jobs of a published snapshot ({"jobs": [...]})."""
-    rows = spark.read.schema(T.StructType([T.StructField("jobs", T.ArrayType(OBSERVATION))])).option("multiLine", True).json(path)
-    return rows.select(F.inline("jobs")).drop("corrupt").where("coalesce(job_id, '') <> ''")
+def previous_jobs(spark: SparkSession, *paths: str) -> DataFrame:
+    """The jobs of the first of these published snapshots ({"jobs": [...]}) that is there and can be read, as all-jobs before current-jobs; none if there is none."""
+    schema = T.StructType([T.StructField("jobs", T.ArrayType(OBSERVATION)), T.StructField("broken", T.StringType())])
+    none = spark.createDataFrame([], T.StructType([f for f in OBSERVATION if f.name != "corrupt"]))
+    for path in paths:
+        try:
+            rows = spark.read.schema(schema).option("multiLine", True).option("columnNameOfCorruptRecord", "broken").json(path)
+        except AnalysisException:  # no such path
+            continue
+        if not rows.where("broken is null and jobs is not null").isEmpty():
+            return rows.select(F.inline("jobs")).drop("corrupt").where("coalesce(job_id, '') <> ''")
+    return none
 
 
 def descriptions(spark: SparkSession, path: str) -> DataFrame:
@@ -61,36 +78,26 @@ def seed_sources(seed: DataFrame, sources: DataFrame, *seq: str) -> DataFrame:
 
 
 def is_blocked(status: Column, body: Column) -> Column:
-    """Whether a site refused to answer."""
-    return status.isin(401, 403, 429) | (status == 202) & F.lower(body).rlike("challenge|captcha|awswaf")
+    """Whether a site refused to answer: by its status, or by a challenge in the place of an accepted page."""
+    low = F.lower(F.coalesce(body, F.lit("")))
+    return F.coalesce(status.isin(401, 403, 429), F.lit(False)) | F.coalesce(status == 202, F.lit(False)) & (low.contains(REFUSALS[0]) | low.contains(REFUSALS[1]))
 
 
 def links(pages: DataFrame) -> DataFrame:
-    """Every anchor of a page (page_id, url, html) in order: page_id, pos, title, link."""
-    anchors = F.expr(r"""regexp_extract_all(html, '(?is)<a\\b[^>]*?\\bhref\\s*=\\s*["\']([^"\']*)["\'][^>]*>(.*?)</a>', 0)""")
-    a = pages.select("page_id", "url", F.posexplode(anchors).alias("pos", "a"))
-    href = F.regexp_extract("a", r"""(?is)\bhref\s*=\s*["']([^"']*)["']""", 1)
-    title = text.compact(F.regexp_replace(F.regexp_extract("a", r"(?is)^<a\b[^>]*>(.*?)</a>$", 1), "<[^>]*>", " "))
-    return a.select("page_id", "pos", title.alias("title"), text.once(F.struct(F.col("url").alias("base"), href.alias("href")), lambda b: urls.resolved(b["base"], b["href"])).alias("link"))
+    """Every anchor of a page (page_id, url, html) in order: page_id, pos, title, link, with references decoded. Anchors without an address are passed over."""
+    a = pages.select("page_id", "url", F.posexplode(F.filter(markup.elements(F.col("html")), lambda e: (e["tag"] == "a") & e["url"].isNotNull())).alias("pos", "e"))
+    return a.select("page_id", "pos", text.compact(F.col("e.text")).alias("title"), text.once(F.struct(F.col("url").alias("base"), F.col("e.url").alias("href")), lambda b: urls.resolved(b["base"], b["href"])).alias("link"))
 
 
 def job_links(found: DataFrame) -> DataFrame:
-    """Links that may lead to listings, each address once a page, at its first place."""
-    t = F.col("title")
-    ok = (F.col("link") != "") & (F.length("title") >= 4) & ~t.rlike(titles.BAD_LINK_TITLES) & ~t.rlike(titles.BAD_LINK_FRAGMENTS) & ~urls.holds_no_listing(F.col("link")) & F.concat_ws(" ", "title", "link").rlike(JOB_LINK)
+    """Links that may lead to listings by their title, path or query, each address once a page, at its first place."""
+    t, link = F.col("title"), F.col("link")
+    site = F.regexp_replace(F.lower(urls.part(link, 2)), r"^www\.", "")
+    said = F.concat_ws(" ", t, urls.part(link, 3), urls.part(link, 4))
+    ok = (link != "") & (F.length(t) >= 4) & ~t.rlike(titles.BAD_LINK_TITLES) & ~t.rlike(titles.BAD_LINK_FRAGMENTS) & ~site.rlike(OTHER_SITES) & said.rlike(JOB_LINK)
     return found.where(ok).groupBy("page_id", "link").agg(F.min(F.struct("pos", "title")).alias("f")).select("page_id", "f.pos", "f.title", "link")
 
 
-def json_ld(pages: DataFrame) -> DataFrame:
-    """Job postings in a page's structured data: page_id, title, url, employment_type, closing, description."""
-    blocks = F.expr(r"""regexp_extract_all(html, '(?is)<script[^>]*application/ld\\+json[^>]*>(.*?)</script>', 1)""")
-    item = F.col("v")
-    items = pages.select("page_id", F.explode(blocks).alias("body")).select("page_id", F.try_parse_json("body").alias("v")).where("v is not null")
-    inner = items.select("page_id", F.explode(F.coalesce(F.try_variant_get(item, "$", "array<variant>"), F.try_variant_get(item, "$['@graph']", "array<variant>"), F.array(item))).alias("v"))
-    get = lambda path: F.try_variant_get("v", path, "string")
-    return inner.where(get("$['@type']") == "JobPosting").select("page_id", get("$.title").alias("title"), get("$.url").alias("url"), get("$.employmentType").alias("employment_type"), get("$.validThrough").alias("closing"), get("$.description").alias("description"))
-
-
 #: Keys, in lower case, of objects that may be listings, and how many of a payload count.
 TITLE_KEYS = frozenset({"title", "jobtitle", "name", "positiontitle", "job title"})
 LINK_KEYS = frozenset({"url", "uri", "link", "joburl", "externalurl"})
@@ -187,3 +194,21 @@ def docx_text(content: pd.Series) -> pd.Series:
 def documents(spark: SparkSession, path: str) -> DataFrame:
     """Word-processor files under a path: path, text."""
     return spark.read.format("binaryFile").load(path).select("path", docx_text("content").alias("text"))
+
+
+def document_name(url: Column) -> Column:
+    """The name, without its ending, under which a fetched document is kept; its first two digits are its folder, shard=…"""
+    return F.sha2(url.cast("binary"), 256)
+
+
+def document_texts(asked: DataFrame, root: str) -> DataFrame:
+    """url and text of the documents at the addresses asked (url), as far as they are kept under root and can be read.
+
+    Folders hold files by the first two digits of their names, of which there are 256 at most: only those that are asked for are listed and read.
+    """
+    spark = asked.sparkSession
+    named = asked.select("url").distinct().withColumn("name", document_name(F.col("url")))
+    shards = [r[0] for r in named.select(F.substring("name", 1, 2)).distinct().collect()]
+    kept = spark.read.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary, shard string").load(root).where(F.col("shard").isin(shards))
+    stem = F.regexp_extract("path", r"([0-9a-f]{64})[^/]*$", 1)
+    return kept.select(stem.alias("name"), "content").join(named, "name").select("url", docx_text("content").alias("text")).where("text is not null")

@@ -1,6 +1,8 @@
 """Adapters, links, hints, logs and streams on small files."""
 
 import bz2
+import gzip
+import hashlib
 import io
 import json
 import zipfile
@@ -8,7 +10,7 @@ import zipfile
 from pyspark.sql import functions as F
 
 from adlens.operators import explore
-from adlens.sources import adapters, files
+from adlens.sources import adapters, discovery, files, markup
 from adlens.streaming import log
 
 
@@ -29,11 +31,11 @@ def test_links_and_hints(spark):
     html = "<a href='/jobs/1'>Parks Officer</a><a href='mailto:x'>Mail officer</a><a href='https://facebook.com/job'>Job page</a><link rel='alternate' type='application/rss+xml' href='/jobs/feed.xml'><script>fetch(\"/api/jobs?x=1\")</script>"
     pages = spark.createDataFrame([(1, "https://c.example/list", html), (2, None, None)], "page_id long, url string, html string")
     assert [r["link"] for r in files.job_links(files.links(pages)).collect()] == ["https://c.example/jobs/1"]
-    hints = adapters.endpoint_hints(pages)
+    hints = discovery.hints(pages)
     assert {r["url"] for r in hints.collect()} == {"https://c.example/jobs/feed.xml", "https://c.example/api/jobs?x=1"}
-    assert [r["url"] for r in adapters.feeds(hints).collect()] == ["https://c.example/jobs/feed.xml"]
+    assert [r["url"] for r in discovery.feed_urls(pages).collect()] == ["https://c.example/jobs/feed.xml"]
     ld = "<script type='application/ld+json'>{\"@type\": \"JobPosting\", \"title\": \"Nurse\", \"url\": \"u\"}</script>"
-    assert [r["title"] for r in files.json_ld(pages.withColumn("html", F.lit(ld)).limit(1)).collect()] == ["Nurse"]
+    assert [(r["title"], r["link"]) for r in discovery.postings(pages.withColumn("html", F.lit(ld)).limit(1)).collect()] == [("Nurse", "u")]
     doc = spark.createDataFrame([("https://v.example/viewer.html?file=%2Fa%20b.pdf",)], "u string").select(files.embedded_document(F.col("u")).alias("d")).first()["d"]
     assert doc == "https://v.example/a b.pdf"
 
@@ -87,3 +89,60 @@ def test_streamed_snapshot_equals_batch(spark, tmp_path):
 
 def test_explorer(spark):
     assert [tuple(r) for r in explore.lower_quantiles(spark.createDataFrame([(i,) for i in (5, 1, 3, 2, 4)], "x int"), "x", {"m": 0.5, "q": 0.9}).collect()] == [(3, 4)]
+
+
+def test_odd_markup(spark):
+    html = "<a href=/x?a=1&amp;b=2 title='t'>R&amp;D <b>role</b><a href='/y'>open to the end <script>var a = '</a>';</script>"
+    got = spark.createDataFrame([(html,), (None,), ("",), ("<a><A HREF>",)], "html string").select(markup.elements(F.col("html")).alias("e")).collect()
+    assert [[(x["tag"], x["url"], " ".join(x["text"].split())) for x in r["e"]] for r in got] == [[("a", "/x?a=1&b=2", "R&D role"), ("a", "/y", "open to the end"), ("script", None, "var a = '</a>';")], [], [], [("a", None, ""), ("a", "", "")]]
+    feed = "<feed xmlns='http://www.w3.org/2005/Atom'><entry><title>A &amp; B</title><link href='/a'/></entry><url><loc> /b </loc></url></feed>"
+    got = spark.createDataFrame([(feed,), ("no xml",), (None,)], "xml string").select(markup.entries(F.col("xml")).alias("e")).collect()
+    assert [[tuple(x) for x in r["e"]] for r in got] == [[("A & B", "/a"), ("", "/b")], [], []]
+
+
+def test_log_order_is_by_suffix_and_whole_path(spark, tmp_path):
+    for name, data in (("d=1/z.jsonl", b"1"), ("d=2/a.jsonl", b"2"), ("d=0/a.jsonl.bz2", b"4"), ("d=0/b.jsonl.gz", b"3")):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        line = b'{"job_id": "' + data + b'"}\n'
+        (tmp_path / name).write_bytes(bz2.compress(line) if name.endswith("bz2") else gzip.compress(line) if name.endswith("gz") else line)
+    assert [r["job_id"] for r in files.observations(spark, str(tmp_path)).orderBy("seq").collect()] == ["1", "2", "3", "4"]
+
+
+def test_previous_snapshot_falls_back(spark, tmp_path):
+    every, current = tmp_path / "all-jobs.json", tmp_path / "current-jobs.json"
+    assert files.previous_jobs(spark, str(every), str(current)).count() == 0
+    current.write_text(json.dumps({"jobs": [{"job_id": "c"}, {"job_id": ""}]}))
+    assert [r["job_id"] for r in files.previous_jobs(spark, str(every), str(current)).collect()] == ["c"]
+    every.write_text("{broken")
+    assert [r["job_id"] for r in files.previous_jobs(spark, str(every), str(current)).collect()] == ["c"]
+    every.write_text(json.dumps({"jobs": [{"job_id": "a"}]}))
+    assert [r["job_id"] for r in files.previous_jobs(spark, str(every), str(current)).collect()] == ["a"]
+
+
+def word_file(*paragraphs):
+    b = io.BytesIO()
+    with zipfile.ZipFile(b, "w") as z:
+        z.writestr("word/document.xml", '<w:document xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main">' + "".join(f"<w:p><w:t>{p}</w:t></w:p>" for p in paragraphs) + "</w:document>")
+    return b.getvalue()
+
+
+def test_documents_of_a_crawl(spark, tmp_path):
+    """Documents fill the details of pages; only folders that are asked for are read."""
+    kept = {"https://c.example/files/a.docx": word_file("Position Description", "Band 6 role"), "https://c.example/files/b.docx": word_file("Salary $80,000 - $90,000 per annum"), "https://c.example/files/c.docx": word_file("Band 1"), "https://c.example/x.pdf": b"%PDF", "https://c.example/other.docx": word_file("not asked for")}
+    for url, data in kept.items():
+        name = hashlib.sha256(url.encode()).hexdigest()
+        folder = tmp_path / f"shard={name[:2]}"
+        folder.mkdir(exist_ok=True)
+        (folder / f"{name}.docx").write_bytes(data)
+    html = "<h1>Parks Officer</h1><p>Short.</p><a href='/files/a.docx'>PD</a><iframe src='/viewer?file=%2Ffiles%2Fb.docx'></iframe><a href='/files/c.docx'>third is not read</a>"
+    pages = spark.createDataFrame([("s", "https://c.example/1", html), ("s", "https://c.example/2", "<h1>Nurse</h1><a href='/x.pdf'>PD</a>"), ("t", "https://c.example/3", None)], "source_id string, url string, html string")
+    got = {r["url"][-1]: r for r in discovery.detail_candidates(pages, str(tmp_path)).collect()}
+    one = got["1"]
+    assert (one["band"], one["advertised_salary_min"], one["description_status"], one["has_document"]) == (6, 80000.0, "document", True)
+    assert one["document_urls"] == ["https://c.example/files/a.docx", "https://c.example/files/b.docx"] and one["description_excerpt"].startswith("Position Description Band 6 role Salary")
+    assert (got["2"]["band"], got["2"]["has_document"], got["2"]["document_urls"]) == (None, False, None) and got["3"]["title"] == ""
+    asked = spark.createDataFrame([("https://c.example/files/a.docx",)], "url string")
+    plan = files.document_texts(asked, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    name = hashlib.sha256(b"https://c.example/files/a.docx").hexdigest()
+    assert "PartitionFilters" in plan and f"= {name[:2]}" in plan
+    assert files.document_texts(asked.limit(0), str(tmp_path)).count() == 0
