@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import json
-import unicodedata
 from collections.abc import Callable
-from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,77 +18,26 @@ def once(c: Column, f: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(c), f), F.lit(0))
 
 
-@cache
-def _compatible() -> tuple[str, str, str, str]:
-    """What compatibility composition (NFKC) changes, by the character database.
-
-    Characters that become one other, and those they become; a JSON map of characters that become several, and of pairs
-    of a character and a mark that become one; and a pattern of these.
-    """
-    one: dict[str, str] = {}
-    more: dict[str, str] = {}
-    for c in map(chr, range(0x80, 0x110000)):
-        if 0xD800 <= ord(c) <= 0xDFFF or c.isspace():
-            continue
-        became = unicodedata.normalize("NFKC", c)
-        if became != c:
-            (one if len(became) == 1 else more)[c] = became
-        elif len(parts := unicodedata.decomposition(c).split()) == 2 and unicodedata.normalize("NFC", c) == c:
-            more["".join(chr(int(x, 16)) for x in parts)] = c
-    runs: list[list[int]] = []
-    for p in sorted(ord(c) for c in more if len(c) == 1):
-        if runs and runs[-1][1] == p - 1:
-            runs[-1][1] = p
-        else:
-            runs.append([p, p])
-    pattern = "[" + "".join(f"\\x{{{x:x}}}-\\x{{{y:x}}}" for x, y in runs) + "]|\\p{M}"
-    return "".join(one), "".join(one.values()), json.dumps(more, ensure_ascii=False), pattern
-
-
 #: The characters up to U+02AF that compatibility composition changes, and all beyond: texts without any are left alone.
 RARE = r"[\x{a8}\x{aa}\x{af}\x{b2}-\x{b5}\x{b8}-\x{ba}\x{bc}-\x{be}\x{132}\x{133}\x{13f}\x{140}\x{149}\x{17f}\x{1c4}-\x{1cc}\x{1f1}-\x{1f3}]|[^\x{0}-\x{2af}]"
 
 
 def composed(text: Column) -> Column:
-    """Characters with a compatible form become it, and a character with a mark, or with two, becomes one where there is such a one.
+    """The text in compatibility composition (NFKC): compatible forms folded, marks in canonical order, all composed that can be.
 
-    Further marks stay as they are, marks are not put in another order or joined to marks, and Hangul letters are not put together.
+    The JVM's own normaliser (ICU, with which Spark collates) does it, called by name; no Python worker sees the text. Spark
+    takes such a call for one that may differ each time, so that it can't stand in the condition of a join or inside an aggregate:
+    make it a column first.
     """
-    before, after, table, pattern = _compatible()
-    map_ = F.from_json(F.lit(table), "map<string,string>")
-    mapped = lambda x: F.coalesce(F.try_element_at(map_, x), x)
-
-    def one(c: Column) -> Column:
-        pair = once(mapped(F.substring(c, 1, 1)), lambda x: once(mapped(F.concat(x, F.substring(c, 2, 1))), lambda y: F.when(F.length(y) == 1, mapped(F.concat(y, F.substring(c, 3, 1)))).otherwise(F.concat(y, F.substring(c, 3, 1)))))
-        return F.concat(pair, F.substring(c, 4, 2**31 - 1))
-
-    clusters = F.regexp_extract_all(text, F.lit(r"(?s)\P{M}\p{M}*|\p{M}"), F.lit(0))
-    several = F.when(text.rlike(pattern), F.array_join(F.transform(clusters, lambda c: F.when(c.rlike(pattern), one(c)).otherwise(c)), "")).otherwise(text)
-    return F.translate(several, before, after)
-
-
-#: Frequent characters that become several.
-SEVERAL = {"\u2026": "...", "\ufb00": "ff", "\ufb01": "fi", "\ufb02": "fl", "\u2122": "TM", "\u00bd": "1\u20442"}
-
-
-def folded(text: Column) -> Column:
-    """The characters that have one other as their compatible form, and the frequent ones that have several, become it."""
-    before, after, _, _ = _compatible()
-    out = F.translate(text, before, after)
-    for c, several in SEVERAL.items():
-        out = F.replace(out, F.lit(c), F.lit(several))
-    return out
+    return F.java_method(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), text, F.lit(True))
 
 
 def compact(c: Column) -> Column:
-    """Placeholder runs and white space become one space, trimmed, and compatible forms are folded; all in the JVM.
-
-    Texts from outside go through ``composed`` once, where they come in, for forms that folding leaves.
-    """
+    """The text composed, placeholder runs and white space become one space, trimmed. Texts without a character that composition can change skip it."""
     text = F.coalesce(c.cast("string"), F.lit(""))
-    text = F.when(text.rlike(RARE), folded(text)).otherwise(text)
+    text = F.when(text.rlike(RARE), composed(text)).otherwise(text)
     text = F.regexp_replace(text, "\\?{3,}|\\uFFFD+", " ")
-    return F.trim(F.regexp_replace(text, r"(?U)[\s ]+", " "))
+    return F.trim(F.regexp_replace(text, r"(?U)[\s\x1c-\x1f]+", " "))
 
 
 def excerpt(c: Column, limit: int) -> Column:

@@ -1,6 +1,9 @@
 """Scalar rules on pinned examples."""
 
 import datetime
+import random
+import re
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -123,14 +126,14 @@ def test_page_parts(value):
 
 
 def test_compatible_forms(spark):
-    """Against the character database: every character alone, and composed from a character with one or two marks."""
-    import random
-    import unicodedata
-
-    every = [chr(i) for i in range(0x80, 0x30000) if not 0xD800 <= i <= 0xDFFF and not chr(i).isspace()]
-    rng = random.Random(2)
-    apart = [x for c in rng.sample(every, 20_000) if len(x := unicodedata.normalize("NFD", c)) in (2, 3) and unicodedata.normalize("NFC", x) == c and unicodedata.category(x[0])[0] != "M"]
-    hangul = lambda x: any(0x1100 <= ord(c) <= 0x11FF for c in x)
-    rows = [(x,) for x in every] + [(f"a{x}b",) for x in apart if not hangul(x)] + [("plain ascii",), ("déjà vu",)]
-    got = spark.createDataFrame(rows, "x string").select("x", text.composed(F.col("x")).alias("y")).collect()
-    assert [(r["x"], r["y"]) for r in got if r["y"] != unicodedata.normalize("NFKC", r["x"])] == []
+    """Against the character database: every character that it knows, and random strings of letters, marks, jamo and compatible forms."""
+    rng = random.Random(8)
+    known = [c for c in map(chr, range(1, 0x110000)) if not 0xD800 <= ord(c) <= 0xDFFF and unicodedata.category(c) != "Cn"]
+    marks = [c for c in known if unicodedata.combining(c)]
+    forms = [c for c in known if unicodedata.normalize("NFKC", c) != c]
+    pools = ["aeiounAEO", marks, forms, [chr(x) for x in range(0x1100, 0x11FF)], "Band IV ???"]
+    some = ["".join(rng.choice(rng.choice(pools)) for _ in range(rng.randint(1, 8))) for _ in range(100_000)]
+    rows = [(x,) for x in ["oﬃcer", "Band Ⅳ", "Cafe\u0301", "¼", "a\u0323\u0307", "a\u0307\u0323", "\u1100\u1161\u11a8", *known, *some]]
+    want = lambda x: re.sub(r"\s+", " ", re.sub("[?]{3,}|\ufffd+", " ", unicodedata.normalize("NFKC", x).replace("\xa0", " "))).strip()
+    got = spark.createDataFrame(rows, "x string").select("x", text.compact(F.col("x")).alias("y")).collect()
+    assert [(r["x"], r["y"]) for r in got if r["y"] != want(r["x"])] == [] and len(got) == len(rows)
