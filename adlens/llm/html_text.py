@@ -7,12 +7,16 @@ it, not a sister, and has no vote.
 
 * On a page without a marked article a line goes that three quarters of the VOTERS nearest sisters share.
 * In a marked article, articles of one host may quote the same passage. A line goes only where SURE sisters at least vote,
-  seven eighths of all in reach share it, and stand it at the same place from the start or the end of their articles;
-  an article never loses its last line.
+  seven eighths of all in reach share it, and stand it at the same place from the start or the end of their articles, or
+  both among the first or last EDGE lines; a heading never goes for being shared, and an article never loses its last line.
 
 What neighbours can't tell, as pages differ in it too, is told by markup: elements that are never main text (menus,
 footers, asides, form controls, scripts), and those that class, id or role calls adverts, notices, comments and the
-like. Such a word weighs, but an element is kept that holds the article, or over four times the text of all else that stays.
+like. A name speaks against an element only if it says nothing else: every part of it is such a word or a word of layout
+(``ad-slot``, but not ``share-price``). In an article, headings have no such names, ids of paragraphs and sections, which
+are often made from headings, don't count, and what a name alone speaks against is kept where it has most of the text. In
+``main`` around articles that hold most of its text, only headings before the first count. Such a word weighs, but an element is
+kept that holds the article, or over four times the text of all else that stays.
 """
 
 from __future__ import annotations
@@ -47,11 +51,15 @@ BLOCKS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that are never main text; a form may wrap a whole page.
 OUT = frozenset("head nav footer aside button select menu dialog object canvas audio video map fieldset label".split())
-#: Words of class, id or role that speak against main text, as the first or last word of a name.
+#: Words of class, id or role that speak against main text, where a name holds nothing but them and words of layout.
 OUT_WORDS = frozenset(
-    "ad ads advert adverts advertisement adbox adslot sponsor sponsored sponsors promo promotion promoted banner nav navbar navigation menu menubar sidebar sidebars side aside complementary footer contentinfo masthead breadcrumb breadcrumbs pagination pager cookie cookies consent gdpr notice notices alert popup modal overlay dialog newsletter subscribe subscription signup login search share sharing social related recommended recommendations trending widget widgets toolbar comment comments commentlist reply replies respond discussion disqus feedback form skip".split()
+    "ad ads advert adverts advertisement adbox adslot sponsor sponsored sponsors promo promotion promoted banner nav navbar navigation menu menubar sidebar sidebars side aside complementary footer contentinfo masthead breadcrumb breadcrumbs pagination pager cookie cookies consent gdpr notice notices alert popup modal overlay dialog newsletter subscribe subscription signup login search share sharing social related recommended recommendations trending widget widgets toolbar comment comments commentlist reply replies respond discussion disqus feedback form skip adsbygoogle".split()
 )
-COMMENTS = frozenset("comment comments commentlist reply replies respond discussion disqus feedback".split())
+COMMENTS = frozenset("comment comments commentlist reply replies disqus".split())
+#: Words that say where or how an element stands, not what it is; so do single letters.
+PLACES = frozenset("area articles bar block body bottom box btn button buttons card center column container content desktop div email fixed global group header holder horizontal icon icons inline inner item items js left link links list local main middle mobile module news next outer page panel policy post posts prev previous primary right row secondary section site slot small sticky stories text title top unit user users vertical wide wrap wrapper zone article story thread form google dfp".split())
+#: In an article, elements that no name speaks against, and those against which ids don't speak.
+HEADINGS, BY_CLASS = frozenset("h1 h2 h3 h4 h5 h6".split()), frozenset("p section li dd dt td th tr table figure blockquote pre".split())
 #: Names with such a word say how a page is laid out, not what the element is.
 LAYOUT = frozenset("has no not with without by is open opened closed enabled disabled free allow allows".split())
 #: Kept inside an article, where they hold its headline.
@@ -65,9 +73,12 @@ REACH = 8
 #: The nearest sisters that vote on pages without an article, and how many must vote on lines of one.
 VOTERS = 4
 SURE = 6
+#: So many lines at either end of an article count as one place, as what stands there may change places.
+EDGE = 2
 #: Pages compared in one group, besides REACH beyond either end.
 BLOCK = 64
 NEVER, WEAK, TALK = 1, 2, 3
+OUTER, INNER = 1, 2
 
 
 def _kind(tag: str, attrs: str, in_article: bool) -> int:
@@ -77,23 +88,26 @@ def _kind(tag: str, attrs: str, in_article: bool) -> int:
     if attrs:
         for m in ATTR.finditer(attrs):
             name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-            if name in ("class", "id", "role"):
+            if name in ("class", "role") or name == "id" and not (in_article and tag in BY_CLASS):
                 names += [NAME.findall(x) for x in value.lower().split()]
             elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
                 hidden = True
     if tag in ("html", "body", "main"):
         return 0
-    words = {x for n in names if n and LAYOUT.isdisjoint(n) for x in (n[0], n[-1])}
-    if words & COMMENTS:
-        return TALK
     if tag in OUT or hidden or tag in HEADS and not in_article:
         return NEVER
-    return WEAK if tag == "form" or words & OUT_WORDS or words & HEADS and not in_article else 0
+    if in_article and tag in HEADINGS:
+        return 0
+    against = OUT_WORDS if in_article else OUT_WORDS | HEADS
+    words = {w for n in names if n and LAYOUT.isdisjoint(n) and all(w in against or w in PLACES or len(w) < 2 for w in n) for w in n}
+    if words & COMMENTS:
+        return TALK
+    return WEAK if tag == "form" or words & against else 0
 
 
-def lines(page: str) -> tuple[list[str], bool]:
-    """The lines of the page that markup doesn't rule out, and whether they stand in a marked article."""
-    found: list[tuple[str, int, bool]] = []  # text, the innermost element that may be left out, whether in an article
+def lines(page: str) -> tuple[list[str], bool, list[int]]:
+    """The lines of the page that markup doesn't rule out, whether they stand in a marked article, and the places of headings."""
+    found: list[tuple[str, int, int, bool]] = []  # text, the innermost element that may be left out, how far in an article (INNER: in one by its tag), whether a heading
     outs: list[list] = []  # of such elements: the one around it, kind, characters of its own, whether it holds an article
     buf: list[str] = []
     stack: list[tuple[str, int]] = []  # open elements, with what may be left out around each
@@ -103,7 +117,8 @@ def lines(page: str) -> tuple[list[str], bool]:
     def flush() -> None:
         if buf:
             if text := " ".join(html.unescape("".join(buf)).split()):
-                found.append((text, out, articles > 0))
+                level = INNER if open_["article"] else OUTER if articles > 0 else 0
+                found.append((text, out, level, any(open_[h] for h in HEADINGS)))
                 if out >= 0:
                     outs[out][2] += len(text)
             buf.clear()
@@ -170,25 +185,32 @@ def lines(page: str) -> tuple[list[str], bool]:
     return _kept(found, outs, plain)
 
 
-def _kept(found: list[tuple[str, int, bool]], outs: list[list], plain: bool) -> tuple[list[str], bool]:
+def _kept(found: list[tuple[str, int, int, bool]], outs: list[list], plain: bool) -> tuple[list[str], bool, list[int]]:
     """What stays of the lines: an element that may be left out stays where the main text is nowhere else.
 
     plain tells that there is an article besides those elements, if an empty one.
     """
-    marked = any(o < 0 and a for _, o, a in found)
-    size = sum(len(t) for t, o, _ in found if o < 0)
+    marked = any(o < 0 and a for _, o, a, _ in found)
+    size = sum(len(t) for t, o, _, _ in found if o < 0)
     gone = []
     for around, kind, own, holds in outs:
         if around >= 0 and gone[around]:
             gone.append(True)
-        elif not marked and (holds and kind != TALK or kind == WEAK and not plain and own > 4 * size):
+        elif kind == WEAK and own > 4 * size and (marked or not plain) or not marked and holds and kind != TALK:
             gone.append(False)
             size += own
         else:
             gone.append(True)
-    rest = [(t, a) for t, o, a in found if o < 0 or not gone[o]]
-    marked = any(a for _, a in rest)
-    return [t for t, a in rest if a or not marked], marked
+    rest = [(t, a, h) for t, o, a, h in found if o < 0 or not gone[o]]
+    if any(a for _, a, _ in rest):
+        rest = [x for x in rest if x[1]]
+        marked = True
+        inner = [i for i, x in enumerate(rest) if x[1] == INNER]
+        if inner and 2 * sum(len(rest[i][0]) for i in inner) >= sum(len(x[0]) for x in rest):
+            rest = [x for i, x in enumerate(rest) if x[1] == INNER or x[2] and i < inner[0]]
+    else:
+        marked = False
+    return [t for t, _, _ in rest], marked, [i for i, x in enumerate(rest) if x[2]]
 
 
 def shared(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -262,13 +284,15 @@ def sketches(text: list[str]) -> np.ndarray:
 
 
 def edited(a: list[int], b: list[int]) -> int:
-    """How many of the sketches a agree with one of b in six of eight bytes."""
+    """How many of the sketches a agree with one of b in six of eight bytes: such two agree in one of four pairs of bytes."""
     at = defaultdict(list)
-    for j, x in enumerate(b):
-        for k, byte in enumerate(x.to_bytes(8, "little", signed=True)):
-            at[k, byte].append(j)
-    agree = (Counter(j for k, byte in enumerate(x.to_bytes(8, "little", signed=True)) for j in at.get((k, byte), ())) for x in a)
-    return sum(max(n.values(), default=0) >= 6 for n in agree)
+    cut_ = lambda x: x.to_bytes(8, "little", signed=True)
+    for x in set(b):
+        y = cut_(x)
+        for k in range(0, 8, 2):
+            at[k, y[k : k + 2]].append(y)
+    alike = {x: any(sum(map(int.__eq__, y, z)) >= 6 for y in (cut_(x),) for k in range(0, 8, 2) for z in at.get((k, y[k : k + 2]), ())) for x in set(a)}
+    return sum(alike[x] for x in a)
 
 
 def copies(a: list[int], b: list[int]) -> bool:
@@ -277,8 +301,8 @@ def copies(a: list[int], b: list[int]) -> bool:
     return not a or 2 * edited(a, b) >= len(a)
 
 
-def deleted(own: list[int], marked: bool, sketches: list[int], others: list[tuple[list[int], list[int]]]) -> list[int]:
-    """The places of the lines that the page shares with its sisters, given neighbours' lines and sketches, the nearest first."""
+def deleted(own: list[int], marked: bool, sketches: list[int], others: list[tuple[list[int], list[int]]], heads: list[int]) -> list[int]:
+    """The places of the lines that the page shares with its sisters, given neighbours' lines and sketches, the nearest first, and where the page has headings."""
     votes: Counter[int] = Counter()
     sisters = 0
     for theirs, marks in others:
@@ -289,18 +313,19 @@ def deleted(own: list[int], marked: bool, sketches: list[int], others: list[tupl
         if copies([x for i, x in enumerate(sketches) if i not in mine], [x for j, x in enumerate(marks) if j not in them]):
             continue
         sisters += 1
-        votes.update(i for i, j in both if not marked or i == j or len(own) - i == len(theirs) - j)
+        votes.update(i for i, j in both if not marked or i == j or max(i, j) < EDGE or (at := len(own) - i) == (other := len(theirs) - j) or max(at, other) <= EDGE)
     if not marked:
         return [i for i, n in sorted(votes.items()) if 4 * n >= 3 * sisters]
-    gone = [i for i, n in sorted(votes.items()) if sisters >= SURE and 8 * n >= 7 * sisters]
+    gone = [i for i, n in sorted(votes.items()) if sisters >= SURE and 8 * n >= 7 * sisters and i not in heads]
     return gone if len(gone) < len(own) else []
 
 
 def _outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in slices(batches, "html"):
-        every, marks, prints, text = [], [], [], []
+        every, marks, prints, text, heads = [], [], [], [], []
         for page in b.column("html").to_pylist():
-            found, marked = lines(page or "")
+            found, marked, at = lines(page or "")
+            heads.append(at)
             own = np.array([xxh64_intdigest(x.encode("utf-8", "surrogatepass")) for x in found], np.uint64).view(np.int64)
             prints.append(xxh64_intdigest(own.tobytes(), marked))
             every.append(own)
@@ -308,7 +333,7 @@ def _outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text += found
         off = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in every])]).astype(np.int32))
         lists = [pa.ListArray.from_arrays(off, pa.array(x)) for x in (np.concatenate(every), sketches(text))]
-        yield pa.RecordBatch.from_arrays([b.column("key"), b.column("print"), b.column("host"), b.column("path"), pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(marks), *lists], ["key", "print", "host", "path", "page", "marked", "own", "sketches"])
+        yield pa.RecordBatch.from_arrays([b.column("key"), b.column("print"), b.column("host"), b.column("path"), pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(marks), *lists, pa.array(heads, pa.list_(pa.int32()))], ["key", "print", "host", "path", "page", "marked", "own", "sketches", "heads"])
 
 
 def _differ(reach: int):
@@ -320,7 +345,7 @@ def _differ(reach: int):
             if r["inside"]:
                 near = [j for k in range(1, reach + 1) for j in (i - k, i + k) if 0 <= j < len(rows) and group[j] == group[i]]
                 others = [(rows[j]["own"], rows[j]["sketches"]) for j in near[:reach]]
-                if gone := deleted(r["own"], r["marked"], r["sketches"], others):
+                if gone := deleted(r["own"], r["marked"], r["sketches"], others, r["heads"]):
                     out.append((r["host"], r["page"], gone))
         host, page, gone = zip(*out, strict=True) if out else ((), (), ())
         return pa.Table.from_arrays([pa.array(host, pa.string()), pa.array(page, pa.int64()), pa.array(gone, pa.list_(pa.int32()))], ["host", "page", "gone"])
@@ -351,12 +376,12 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str
     path = F.coalesce(F.regexp_replace(F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1), r"(/|\.html?)+$", ""), F.lit(""))
     body = F.coalesce(F.col(page).cast("string"), F.lit(""))
     rows = pages.select(F.col(key).alias("key"), F.xxhash64(url, page).alias("print"), F.col(url).cast("string").alias("url"), F.when(F.is_valid_utf8(body), body).otherwise(F.make_valid_utf8(body)).alias("html"), host.alias("host"), path.alias("path"))
-    schema = f"key {kind}, print long, host string, path string, page long, marked boolean, own array<long>, sketches array<long>"
+    schema = f"key {kind}, print long, host string, path string, page long, marked boolean, own array<long>, sketches array<long>, heads array<int>"
     every = cut(rows.where("host <> ''").select("key", "print", "host", "path", "html").mapInArrow(_outlines, schema))
-    distinct = every.groupBy("host", "marked", "page").agg(F.min(F.struct("path", "key", "print")).alias("at"), F.first("own").alias("own"), F.first("sketches").alias("sketches"))
+    distinct = every.groupBy("host", "marked", "page").agg(F.min(F.struct("path", "key", "print")).alias("at"), F.first("own").alias("own"), F.first("sketches").alias("sketches"), F.first("heads").alias("heads"))
     order = ranked(cut(distinct), F.struct("host", "marked", "at"))
     mine = F.floor(F.col("rank") / BLOCK)
-    blocks = order.select("rank", "host", "marked", "page", "own", "sketches", F.explode(F.array_distinct(F.array(F.floor((F.col("rank") - reach) / BLOCK), mine, F.floor((F.col("rank") + reach) / BLOCK)))).alias("block"))
+    blocks = order.select("rank", "host", "marked", "page", "own", "sketches", "heads", F.explode(F.array_distinct(F.array(F.floor((F.col("rank") - reach) / BLOCK), mine, F.floor((F.col("rank") + reach) / BLOCK)))).alias("block"))
     blocks = blocks.withColumn("inside", F.col("block") == F.floor(F.col("rank") / BLOCK))
     gone = cut(blocks.groupBy("block").applyInArrow(_differ(reach), "host string, page long, gone array<int>"))
     gone = every.select("key", "print", "host", "page").join(few(gone), ["host", "page"])

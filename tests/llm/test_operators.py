@@ -427,7 +427,7 @@ def test_differencing_decides(spark):
 
     for first in (0, 25):  # every page against its neighbours, by the whole table
         mine = [(html_text.lines(rows[i][2])) for i in range(first, first + 25)]
-        for i, (own, marked) in enumerate(mine):
+        for i, (own, marked, _) in enumerate(mine):
             near = sorted((j for j in range(25) if j != i), key=lambda j: (abs(i - j), j))[: html_text.REACH if marked else html_text.VOTERS]
             votes = collections.Counter()
             for j in near:
@@ -436,7 +436,7 @@ def test_differencing_decides(spark):
                 while x and y:
                     if own[x - 1] == other[y - 1]:
                         x, y = x - 1, y - 1
-                        votes[x] += not marked or x == y or len(own) - x == len(other) - y
+                        votes[x] += not marked or x == y or max(x, y) < html_text.EDGE or len(own) - x == len(other) - y or max(len(own) - x, len(other) - y) <= html_text.EDGE
                     elif best[x - 1][y] >= best[x][y - 1]:
                         x -= 1
                     else:
