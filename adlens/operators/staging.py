@@ -4,17 +4,23 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def written(df: DataFrame) -> DataFrame:
-    """df, worked out and kept in the folder that the cluster names for checkpoints (on one machine, where none is named, as in tests, one of its own)."""
-    sc = df.sparkSession.sparkContext
+def folder(spark: SparkSession) -> str:
+    """The folder that the cluster names for checkpoints; on one machine, where none is named, as in tests, one of its own."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = sc.getConf().get("spark.checkpoint.dir")
-        if not folder:
+        named = sc.getConf().get("spark.checkpoint.dir")
+        if not named:
             if not sc.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-            folder = tempfile.mkdtemp(prefix="adlens-")
-        sc.setCheckpointDir(folder)
+            named = tempfile.mkdtemp(prefix="adlens-")
+        sc.setCheckpointDir(named)
+    return sc.getCheckpointDir()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df, worked out and kept in the folder for checkpoints."""
+    folder(df.sparkSession)
     return df.checkpoint()

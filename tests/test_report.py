@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from adlens import sinks
+from adlens.sinks import versions
 from adlens.operators import board, history, report
 from adlens.sources import files
 
@@ -58,10 +59,10 @@ def test_published(spark, tmp_path, made):
     assert report.validated(got.board).count() == 9
 
     feed = board.rss(got.report, "Jobs", "https://x.example", "All jobs")
-    sinks.write_published(got, str(tmp_path / "out"), "v1", feed)
-    read = lambda name: spark.read.json(f"{tmp_path}/out/v1/{name}")
-    assert read("report").where("schema_version = 'report.v1'").count() == 9 and read("board").count() == 9 and read("summary").first()["report_jobs"] == 9
-    xml = "\n".join(r["value"] for r in spark.read.text(f"{tmp_path}/out/v1/feed").collect())
+    assert sinks.write_published(got, str(tmp_path / "out"), "v1", feed) and not sinks.write_published(got, str(tmp_path / "out"), "v1", feed)
+    read = lambda name, schema: versions.current(spark, str(tmp_path / "out"), name, schema, f"{name}.v1")
+    assert read("report", "job_id string").count() == 9 and read("board", "job_uid string").count() == 9 and read("summary", "report_jobs long").first()["report_jobs"] == 9
+    xml = "\n".join(r["xml"] for r in read("feed", "xml string").collect())
     assert xml.count("<item>") == 9 and "<guid>x</guid><title>Library Officer - YARRA &amp; Co</title>" in xml and xml.rstrip().endswith("</rss>")
     assert xml.index("<guid>a1</guid>") < xml.index("<guid>p1</guid>")
 
@@ -69,7 +70,7 @@ def test_published(spark, tmp_path, made):
 def test_imported_log_stands_alone(spark, made):
     observations, failed, previous, _ = made
     seeded = observations.withColumn("run_id", F.when(F.col("run_id") == "r1", "seed-1").otherwise(F.col("run_id")))
-    twice = seeded.unionByName(seeded.withColumn("seq", F.struct(F.lit("later").alias("file_name"), F.col("seq.file_block_start"), F.col("seq.row"))))
+    twice = seeded.unionByName(seeded.withColumn("seq", F.struct(F.col("seq.suffix"), F.lit("zz later").alias("path"), F.col("seq.block"), F.col("seq.row"))))
     jobs = {r["job_id"]: r["sighting_count"] for r in history.rebuild(twice, failed, "seq", previous=previous).collect()}
     assert "old" not in jobs and jobs["p1"] == 4 and jobs["x"] == 2
     assert {r["observed_status"] for r in history.rebuild(observations, failed, "seq", run_id="r1").where("job_id = 'q1'").collect()} == {history.SEEN}
@@ -90,8 +91,7 @@ def test_sinks(spark, tmp_path):
         sinks.append_log(rows, str(tmp_path / "log"), "2026-05-01")
         sinks.append_quarantine(rows, str(tmp_path / "quarantine"), "2026-05-01")
     assert spark.read.json(str(tmp_path / "log")).count() == spark.read.json(str(tmp_path / "quarantine")).count() == 2
-    sinks.insert_descriptions(rows, str(tmp_path / "d"))
+    sinks.insert_descriptions(rows, str(tmp_path / "d"), "n")
     assert spark.read.json(str(tmp_path / "d")).first()["shard"] == "aa"
-    sinks.write_profiles(rows, str(tmp_path / "p"), "r1")
     sinks.write_snapshot(rows, str(tmp_path / "s"), "v1")
-    assert spark.read.parquet(str(tmp_path / "p")).count() == spark.read.json(str(tmp_path / "s/v1")).count() == 1
+    assert spark.read.json(str(tmp_path / "s/v1")).count() == 1

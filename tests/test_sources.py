@@ -78,12 +78,11 @@ def test_streamed_snapshot_equals_batch(spark, tmp_path):
     days = [[("a", "r1", "d1", "t", 1), ("b", "r1", "d1", "t", 2)], [("a", "r2", "d2", "u", 3)], [("b", "r0", "d0", "late", 4)]]
     for i, rows in enumerate(days):
         spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "log" / f"day={i}"))
-    state = {}
-    keep = log.keep_snapshot(lambda: state.get("df"), lambda df, n: state.update(df=spark.createDataFrame(df.collect(), df.schema)), "seq")
+    keep = log.keep_snapshot(str(tmp_path / "s"), "seq")
     stream = log.read_log(spark, str(tmp_path / "log"), spark.createDataFrame([], schema).schema)
     stream = stream.select(*schema.replace(" string", "").replace(" long", "").split(", "))
     stream.writeStream.foreachBatch(keep).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
-    got = {r["job_id"]: (r["title"], r["first_seen_at"], r["last_seen_at"], r["sighting_count"]) for r in state["df"].collect()}
+    got = {r["job_id"]: (r["title"], r["first_seen_at"], r["last_seen_at"], r["sighting_count"]) for r in log.snapshot(spark, str(tmp_path / "s")).collect()}
     assert got == {"a": ("u", "d1", "d2", 2), "b": ("t", "d0", "d1", 2)}
 
 
