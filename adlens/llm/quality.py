@@ -96,14 +96,14 @@ def _platt(margin: np.ndarray, good: np.ndarray) -> tuple[float, float]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality", sample: int = SAMPLE) -> Model:
-    """Learn from at most `sample` of the label rows (key, 0 or 1), each as a row of its own; others teach nothing.
+    """Learn from at most `sample` of the different label rows (key, 0 or 1); others teach nothing, nor do rows that repeat both.
 
     Of documents that repeat a key, the one whose text has the smallest hash is learned from. Null text counts as empty.
     Without rows of both classes the model gives every text the share of ones (one half without rows). Columns of
     either table may have any other names.
     """
     order = F.xxhash64(key)
-    some = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(label).cast("int").alias("label"), order.alias("order")).orderBy("order", "label").limit(sample)
+    some = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(label).cast("int").alias("label"), order.alias("order")).distinct().orderBy("order", "label").limit(sample)
     some = cut(some)
     bodies = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(some.select("k").distinct()), "k", "left_semi")
     one = bodies.groupBy("k").agg(F.min_by("text", F.xxhash64("text")).alias("text"))  # at most `sample` texts

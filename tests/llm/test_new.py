@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from adlens.llm import queries, repeats, sharding, vector_codes
+from adlens.llm import quality, queries, repeats, sharding, vector_codes
 from adlens.llm.common import BLANKS, row_of, shared_dir, spans, text_bytes
 
 SF = "/root/testdata/sf0.001"
@@ -251,3 +251,12 @@ def test_half_written_maps_are_passed_over(spark):
         sharding.store(spark, path, version, np.arange(8) % 2, np.ones(8, int), np.ones(8, int))
     spark.createDataFrame([(2, 7, 0, 1, 1)], "version int, vslot int, shard int, bytes long, rows long").write.partitionBy("version").mode("append").parquet(path)
     assert {r["version"] for r in sharding.stored(spark, path).collect()} == {1}
+
+
+def test_repeated_labels_teach_once(spark):
+    """Ten thousand repeats of one label row leave the classes of the others in the sample."""
+    docs = spark.createDataFrame([(i, ("good prose of many words " if i % 2 else "zzz qqq xxx junk ") * (3 + i % 4)) for i in range(40)], "doc_id long, text string")
+    labels = [(i, i % 2) for i in range(40)]
+    said = lambda rows: [r["score"] for r in quality.score(docs, quality.fit(docs, spark.createDataFrame(rows, "doc_id long, quality int")), [F.col("doc_id")]).orderBy("doc_id").collect()]
+    once = said(labels)
+    assert said(labels + [(3, 1)] * 10_000) == once and min(once[1::2]) > max(once[::2])
