@@ -32,12 +32,16 @@ def composed(text: Column) -> Column:
     return F.java_method(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), text, F.lit(True))
 
 
+#: What makes a text other than it will be: any but printable ASCII, a placeholder run, a space doubled or at an end.
+UNTIDY = r"[^ -~]|\?\?\?|  |^ | $"
+
+
 def compact(c: Column) -> Column:
-    """The text composed, placeholder runs and white space become one space, trimmed. Texts without a character that composition can change skip it."""
+    """The text composed, placeholder runs and white space become one space, trimmed. A look over the text tells whether there is anything to do, another whether to compose it."""
     text = F.coalesce(c.cast("string"), F.lit(""))
-    text = F.when(text.rlike(RARE), composed(text)).otherwise(text)
-    text = F.regexp_replace(text, "\\?{3,}|\\uFFFD+", " ")
-    return F.trim(F.regexp_replace(text, r"(?U)[\s\x1c-\x1f]+", " "))
+    whole = F.when(text.rlike(RARE), composed(text)).otherwise(text)
+    tidy = F.trim(F.regexp_replace(F.regexp_replace(whole, "\\?{3,}|\\uFFFD+", " "), r"(?U)[\s\x1c-\x1f]+", " "))
+    return F.when(text.rlike(UNTIDY), tidy).otherwise(text)
 
 
 def excerpt(c: Column, limit: int) -> Column:

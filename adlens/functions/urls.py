@@ -50,15 +50,14 @@ def _tail(h: Column, tails: tuple[str, ...]) -> Column:
 
 
 def is_mirror(c: Column) -> Column:
-    return host(c).isin(*MIRRORS) | _tail(host(c), MIRROR_TAILS)
+    return once(host(c), lambda h: h.isin(*MIRRORS) | _tail(h, MIRROR_TAILS))
 
 
-def is_scored_mirror(c: Column) -> Column:
-    return _tail(host(c), SCORED_MIRROR_TAILS)
+def scored_mirror_host(h: Column) -> Column:
+    return _tail(h, SCORED_MIRROR_TAILS)
 
 
-def is_official(c: Column) -> Column:
-    h = host(c)
+def official_host(h: Column) -> Column:
     return h.endswith(".vic.gov.au") | h.contains("pageuppeople.com") | h.contains("pulsesoftware.com")
 
 

@@ -13,9 +13,9 @@ from adlens.operators.staging import written
 
 def quality_score() -> Column:
     """How good a row is: 40 band, 30 explicit band, 20 pay, 10 description, 5 current, 3 official site, 20 less for a mirror."""
-    url = F.col("job_url")
-    points = ((band.parse(F.col("standard_band_number")).isNotNull(), 40), (text.compact(F.col("classification_status")) == "explicit_band", 30), (gates.has_salary(), 20), (gates.filled(F.col("description_text")), 10), (F.col("observed_status") == "seen_latest_run", 5), (urls.is_official(url), 3), (urls.is_scored_mirror(url), -20))
-    return sum((F.when(c, F.lit(p)).otherwise(0) for c, p in points), F.lit(0))
+    points = ((band.parse(F.col("standard_band_number")).isNotNull(), 40), (text.compact(F.col("classification_status")) == "explicit_band", 30), (gates.has_salary(), 20), (gates.filled(F.col("description_text")), 10), (F.col("observed_status") == "seen_latest_run", 5))
+    sites = text.once(urls.host(F.col("job_url")), lambda h: F.when(urls.official_host(h), 3).otherwise(0) + F.when(urls.scored_mirror_host(h), -20).otherwise(0))
+    return sum((F.when(c, F.lit(p)).otherwise(0) for c, p in points), sites)
 
 
 def pay_signature() -> Column:
@@ -30,13 +30,14 @@ def exact_key() -> list[Column]:
     return [F.upper(text.compact(F.col("council_key"))), text.title_key(F.col("job_title")), urls.path_key(F.col("job_url")), low("location_text"), low("work_type"), closing, pay_signature()]
 
 
-def best_of_exact(rows: DataFrame, seq: str) -> DataFrame:
-    """The best row of each exact key, the first of equally good ones, in the place of the key's first row.
+def best_of_exact(rows: DataFrame, seq: str, keep: list[str] | None = None) -> DataFrame:
+    """The best row of each exact key, the first of equally good ones, in the place of the key's first row (seq_), with `keep` of its columns or all, and score_.
 
-    The key is worked out once, as one digest, and a partial aggregation finds the best row: no group is sorted.
+    The key is worked out once, as one digest. A partial aggregation leaves each task one row a key, so that a key may have any share
+    of the rows; as what it keeps is a struct, tasks sort by key to aggregate, and `keep` says how much they carry along.
     """
     digest = F.sha2(F.concat_ws("\x1f", *[F.coalesce(k, F.lit("\x00")) for k in exact_key()]), 256)
-    keyed = rows.select(digest.alias("key_"), quality_score().alias("score_"), F.col(seq).alias("seq_"), F.struct(*[F.col(c) for c in rows.columns]).alias("row_"))
+    keyed = rows.select(digest.alias("key_"), quality_score().alias("score_"), F.col(seq).alias("seq_"), F.struct(*[F.col(c) for c in keep or rows.columns]).alias("row_"))
     best = keyed.groupBy("key_").agg(F.min_by(F.struct("row_", "score_"), F.struct(-F.col("score_"), F.col("seq_"))).alias("best_"), F.min("seq_").alias("seq_"))
     return best.select("best_.row_.*", "best_.score_", "seq_")
 

@@ -35,7 +35,8 @@ def latest_run(observations: DataFrame, *seq: str) -> DataFrame:
 def latest(observations: DataFrame, *seq: str) -> DataFrame:
     """The newest row of each job, the last loaded of equally new ones, with first_seen_at, last_seen_at, sighting_count.
 
-    One partial aggregation: no sort, and a job with very many sightings sends one row a task.
+    One partial aggregation, so that a job with very many sightings sends one row a task; it keeps a struct, for which tasks
+    sort by job. Columns that aren't wanted should go before: Spark can't prune what a struct holds.
     """
     rest = [c for c in observations.columns if c not in ("job_id", "first_seen_at", "last_seen_at", "sighting_count")]
     newest = F.max_by(F.struct(*rest), F.struct("observed_at", *seq))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from adlens.functions import dates, money, text
 from adlens.operators import conflict, dedupe, explore, history
+from adlens.operators.staging import written
 from adlens.plans import lens
 from adlens.plans.registry import query
 
@@ -17,8 +18,11 @@ RUN = f", run AS (SELECT run_id AS latest_run FROM obs ORDER BY observed_at DESC
 STATUS = "CASE WHEN run_id = latest_run THEN 'seen_latest_run' WHEN source_id % 7 = 0 THEN 'source_unavailable_latest_run' ELSE 'not_seen_latest_run' END"
 
 
-def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history.latest(lens.observations(spark, sf_dir), *lens.SEQ)
+def snapshot(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The latest sightings; with columns, carrying those alone besides keys and order."""
+    obs = lens.observations(spark, sf_dir)
+    some = [c for c in obs.columns if c in columns or c in ("job_id", "observed_at", *lens.SEQ)]
+    return history.latest(obs.select(*some) if columns else obs, *lens.SEQ)
 
 
 def failed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,7 +32,7 @@ def failed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(LATEST + "SELECT job_id, source_id, council_key, run_id, observed_at, band, salary_lo, salary_hi, l_orderkey, first_seen_at, last_seen_at, sighting_count FROM snap")
 def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest row of each listing with first and last sighting and their count."""
-    return snapshot(spark, sf_dir).select("job_id", "source_id", "council_key", "run_id", "observed_at", "band", "salary_lo", "salary_hi", "l_orderkey", "first_seen_at", "last_seen_at", "sighting_count")
+    return snapshot(spark, sf_dir, "source_id", "council_key", "run_id", "band", "salary_lo", "salary_hi").select("job_id", "source_id", "council_key", "run_id", "observed_at", "band", "salary_lo", "salary_hi", "l_orderkey", "first_seen_at", "last_seen_at", "sighting_count")
 
 
 @query(f"{OBS} SELECT job_id, observed_at, run_id, source_id, l_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY job_id, observed_at, run_id ORDER BY {SEQ}) AS nth FROM obs) WHERE nth = 1")
@@ -80,7 +84,7 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(LATEST + "SELECT CASE WHEN classification_status = '' THEN 'unclassified' ELSE classification_status END AS value, count(*) AS n FROM snap GROUP BY 1")
 def status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listings by classification status, empty ones as unclassified."""
-    return history.group_counts(snapshot(spark, sf_dir), "classification_status", "unclassified")
+    return history.group_counts(snapshot(spark, sf_dir, "classification_status"), "classification_status", "unclassified")
 
 
 @query(f"{OBS} SELECT substr(observed_at, 1, 7) AS month, count(*) AS n FROM obs GROUP BY 1")
@@ -92,7 +96,7 @@ def month_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(LATEST + "SELECT council_key, count(*) AS n FROM snap WHERE band = 3 AND salary_lo > 50000 GROUP BY 1")
 def council_facets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listings of one band by council."""
-    return explore.by_council(snapshot(spark, sf_dir).where("salary_lo > 50000"), explore.State(band=3))
+    return explore.by_council(snapshot(spark, sf_dir, "council_key", "band", "salary_lo").where("salary_lo > 50000"), explore.State(band=3))
 
 
 @query(
@@ -101,14 +105,14 @@ def council_facets(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def band_salary_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bands 1 to 8 with counts and yearly minimum pay."""
-    jobs = snapshot(spark, sf_dir).select("band", F.col("salary_lo").cast("double").alias("salary_min"), F.col("salary_hi").cast("double").alias("salary_max"), "period")
+    jobs = snapshot(spark, sf_dir, "band", "salary_lo", "salary_hi", "period").select("band", F.col("salary_lo").cast("double").alias("salary_min"), F.col("salary_hi").cast("double").alias("salary_max"), "period")
     return explore.band_chart(jobs)
 
 
 @query(LATEST + ", l AS (SELECT council_key, list_sort(list(salary_hi)) AS v FROM snap GROUP BY 1) SELECT council_key, v[1 + CAST(floor((len(v) - 1) * 0.5::double) AS BIGINT)] AS median, v[1 + CAST(floor((len(v) - 1) * 0.9::double) AS BIGINT)] AS q90 FROM l")
 def quantile_lower(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lower quantiles of pay for each council."""
-    return explore.lower_quantiles(snapshot(spark, sf_dir), "salary_hi", {"median": 0.5, "q90": 0.9}, "council_key")
+    return explore.lower_quantiles(snapshot(spark, sf_dir, "council_key", "salary_hi"), "salary_hi", {"median": 0.5, "q90": 0.9}, "council_key")
 
 
 _SAMPLES = "samples AS (SELECT council_key, band, CAST(salary_lo AS DOUBLE) AS low, CAST(salary_hi AS DOUBLE) AS high, CAST(job_id AS VARCHAR) AS identity FROM snap WHERE band BETWEEN 1 AND 8)"
@@ -156,7 +160,7 @@ def description_insert_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
 def description_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listings with the length of their description, where there is one."""
     texts = lens.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("hash"), "text")
-    jobs = snapshot(spark, sf_dir).select("job_id", F.col("job_id").cast("string").alias("description_hash"))
+    jobs = snapshot(spark, sf_dir, "title").select("job_id", F.col("job_id").cast("string").alias("description_hash"))
     return history.with_descriptions(jobs, texts).select("job_id", F.length("description_text").cast("long").alias("n_chars"))
 
 
@@ -191,7 +195,7 @@ def _vacancies(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def exact_vacancy_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best of the rows that are the same vacancy."""
-    return dedupe.best_of_exact(_vacancies(spark, sf_dir), "seq").select("job_id", F.col("seq.l_orderkey").alias("l_orderkey"))
+    return dedupe.best_of_exact(_vacancies(spark, sf_dir), "seq", ["job_id", "seq"]).select("job_id", F.col("seq.l_orderkey").alias("l_orderkey"))
 
 
 @query(
@@ -212,27 +216,28 @@ def mirror_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(LATEST + "SELECT job_id, concat('$', format('{:,}', salary_lo), '-$', format('{:,}', salary_hi), CASE WHEN period = '' THEN '' ELSE concat('/', period) END) AS label FROM snap WHERE salary_hi > salary_lo")
 def money_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pay as text."""
-    jobs = snapshot(spark, sf_dir).where("salary_hi > salary_lo")
+    jobs = snapshot(spark, sf_dir, "salary_lo", "salary_hi", "period").where("salary_hi > salary_lo")
     return jobs.select("job_id", money.range_label(F.col("salary_lo").cast("double"), F.col("salary_hi").cast("double"), F.col("period")).alias("label"))
 
 
 @query(LATEST + "SELECT job_id, observed_at FROM snap WHERE CAST(observed_at AS DATE) >= date_trunc('month', DATE '1998-06-15') - INTERVAL 2 MONTH")
 def date_range_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listings from the quarter that ends with a month on."""
-    jobs = snapshot(spark, sf_dir).withColumn("job_date", F.to_date("observed_at"))
+    jobs = snapshot(spark, sf_dir, "council_key").withColumn("job_date", F.to_date("observed_at"))
     return explore.searched(jobs, explore.State(range="quarter", reference="1998-06-15")).select("job_id", "observed_at")
 
 
 @query(LATEST + "SELECT job_id, title FROM snap WHERE contains(lower(concat_ws(' ', title, council_key)), 'blue') AND contains(lower(concat_ws(' ', title, council_key)), 'an')")
 def token_and_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listings that hold all words of a query."""
-    return snapshot(spark, sf_dir).where(explore.has_tokens(explore.search_text("title", "council_key"), "an BLUE")).select("job_id", "title")
+    return snapshot(spark, sf_dir, "title", "council_key").where(explore.has_tokens(explore.search_text("title", "council_key"), "an BLUE")).select("job_id", "title")
 
 
 @query(LATEST + "SELECT job_id, council_key, title, CAST(rank() OVER (ORDER BY lower(council_key), lower(title)) AS BIGINT) AS place FROM snap")
 def explore_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listings in the explorer's order, with their places in it; those that sort alike share the first."""
-    rows = explore.listed(snapshot(spark, sf_dir)).select("job_id", "council_key", "title")
+    # written before it is numbered, so that all that reads the numbers sees the same ranges
+    rows = written(explore.listed(snapshot(spark, sf_dir, "title", "council_key")).select("job_id", "council_key", "title"))
     placed = rows.withColumn("id", F.monotonically_increasing_id()).withColumn("part", F.shiftright("id", 33))
     counts = placed.groupBy("part").count()
     before = counts.alias("x").join(counts.alias("y"), F.col("y.part") < F.col("x.part"), "left").groupBy(F.col("x.part").alias("part")).agg(F.coalesce(F.sum("y.count"), F.lit(0)).alias("before"))

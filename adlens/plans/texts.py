@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlens.functions import band, dates, details, money, salary, text, titles, urls
-from adlens.operators import board, explore, gates
+from adlens.operators import board, explore, gates, report
+from adlens.operators.staging import written
 from adlens.plans import lens, listings
 from adlens.plans.registry import query
 from adlens.sources import adapters, discovery, files
@@ -246,6 +247,46 @@ def board_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return board.build(_jobs(spark, sf_dir)).drop("field_evidence")
 
 
+def _contradicted(samples: str, name: str) -> str:
+    """A CTE with the job_ids of samples (job_id, council_key, band, low, high) whose pay lies with the peers of another band, and not with those of their own."""
+    shared = "greatest(0.0::double, least(high, p_high) - greatest(low, p_low))"
+    return (
+        f", {name}0 AS (SELECT j.job_id, j.band, j.low, j.high, s.band AS b, min(s.low) AS p_low, max(s.high) AS p_high FROM {samples} j JOIN {samples} s ON s.council_key = j.council_key AND s.job_id <> j.job_id GROUP BY ALL),"
+        f" {name} AS (SELECT job_id FROM {name}0 GROUP BY 1 HAVING coalesce(bool_or(b = band AND {shared} <= 0), false) AND coalesce(bool_or(b <> band AND ({shared} / greatest(1.0::double, high - low) >= 0.5 OR (low + high) / 2 BETWEEN p_low AND p_high)), false))"
+    )
+
+
+#: Listings whose titles tell them apart; a third say in their texts what their band pays.
+_REPORT = (
+    listings.LATEST + ", s1 AS (SELECT job_id, council_key, CAST(band AS INT) AS band, CAST(salary_lo AS DOUBLE) AS low, CAST(salary_hi AS DOUBLE) AS high FROM snap WHERE band BETWEEN 1 AND 8)" + _contradicted("s1", "k1")
+    + ", r AS (SELECT snap.job_id, CASE WHEN clash THEN NULL WHEN band BETWEEN 1 AND 8 THEN CAST(band AS INT) END AS band, CASE WHEN clash THEN 'salary_band_conflict' WHEN band BETWEEN 1 AND 8 THEN 'explicit_band' WHEN classification_status = '' THEN 'unclassified' ELSE classification_status END AS classification_status"
+    " FROM (SELECT *, job_id IN (SELECT job_id FROM k1) AND job_id % 3 <> 0 AS clash FROM snap) snap WHERE band <> 9)"
+)
+
+
+def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    jobs = _jobs(spark, sf_dir).drop("conflict")
+    told = F.when(F.col("job_id") % 3 == 0, F.concat(F.lit("A band "), F.col("band").cast("string"), F.lit(" role at "), F.col("advertised_salary_text")))
+    return report.normalised(jobs.withColumns({"title": F.concat("title", F.lit(" "), F.col("job_id").cast("string")), "description_excerpt": told}))
+
+
+@query(_REPORT + " SELECT job_id, band, classification_status FROM r")
+def report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a snapshot: listings that may be published, those that their peers contradict without a band."""
+    return _report(spark, sf_dir).select("job_id", "band", "classification_status")
+
+
+@query(
+    _REPORT + ", s2 AS (SELECT s1.* FROM s1 JOIN r USING (job_id) WHERE r.band IS NOT NULL)" + _contradicted("s2", "k2")
+    + ", f AS (SELECT *, classification_status = 'salary_band_conflict' OR (job_id IN (SELECT job_id FROM k2) AND job_id % 3 <> 0) AS clash FROM r)"
+    " SELECT job_id AS job_uid, CASE WHEN NOT clash THEN band END AS standard_band_number, CASE WHEN clash THEN 'salary_band_conflict' ELSE classification_status END AS classification_status FROM f"
+)
+def board_of_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The board of the report: judged again among what is left, conflicts staying."""
+    rows = written(_report(spark, sf_dir))
+    return board.build(report.with_conflict(rows)).select("job_uid", "standard_band_number", "classification_status")
+
+
 @query(listings.LATEST + ", b AS (SELECT * FROM snap WHERE band <> 9) SELECT count(*) AS report_jobs, count(*) AS salary_signal_jobs, 0::BIGINT AS description_jobs, count(DISTINCT council_key) AS covered_councils, (SELECT count(*) FROM supplier) AS configured_sources, CAST(round_even(100.0 * count(DISTINCT council_key) / (SELECT count(*) FROM supplier), 0) AS BIGINT) AS coverage_rate FROM b")
 def board_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is published, and how many councils it covers."""
