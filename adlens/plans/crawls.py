@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from adlens.operators import strategy
 from adlens.plans import lens
 from adlens.plans.registry import query
-from adlens.sources import discovery, files
+from adlens.sources import adapters, discovery, files, seeds
 
 #: Pages of parts, in either dialect: links with references and without quotes on a host whose name says careers.
 REFERENCES = """concat('<a href=/jobs/', CAST(p_partkey AS VARCHAR(9)), '?a=1&amp;b=2>R&amp;D Offic&#101;r ', CAST(p_size AS VARCHAR(9)), '</a><A HREF="/about?x=&quot;">Our lovely team</A><a href="/openings">All roles &lt;new&gt;</a><a name="jobs">Job anchor</a>')"""
@@ -151,3 +151,34 @@ def structured_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which addresses may be of JSON."""
     path = F.expr("CASE p_partkey % 6 WHEN 0 THEN '/data/list?api=1' WHEN 1 THEN '/api/jobs.js' WHEN 2 THEN '/v1/vacancies' WHEN 3 THEN '/news' WHEN 4 THEN '/icons/job.svg?v=2' ELSE '/x/graphql' END")
     return lens.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("page_id"), discovery.looks_structured(F.concat(F.lit("https://careers.x.example"), path)).alias("structured"))
+
+
+@query(
+    "SELECT p_partkey, concat('Parks Officer ', p_partkey) AS title, CASE WHEN p_partkey % 4 = 1 THEN CAST(1 + p_partkey % 8 AS INT) END AS band, CASE WHEN p_partkey % 3 = 0 THEN (40000 + p_partkey % 1000)::double WHEN p_partkey % 5 = 0 THEN 51000::double END AS advertised_salary_min,"
+    " CASE WHEN p_partkey % 4 = 1 THEN 'explicit_band' WHEN p_partkey % 3 = 0 THEN 'salary_only' WHEN p_partkey % 4 = 2 THEN 'description_only' ELSE 'unclassified' END AS classification_status, CASE WHEN p_partkey % 2 = 0 THEN '2026-06-14' END AS closing_date,"
+    " CASE WHEN p_partkey % 4 IN (1, 2) THEN 'excerpt' ELSE 'missing' END AS description_status FROM part WHERE p_partkey % 7 <> 0"
+)
+def seed_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of an imported snapshot as candidates, those with a title and an address."""
+    rows = lens.table(spark, sf_dir, "part").selectExpr(
+        "p_partkey", "CAST(p_partkey AS STRING) AS source_id", "CASE WHEN p_partkey % 2 = 0 THEN concat('Parks Officer ', p_partkey) ELSE '' END AS job_title", "concat('Parks  Officer ', p_partkey) AS title", "CASE WHEN p_partkey % 7 <> 0 THEN 'https://c.example/1' END AS job_url",
+        "CASE WHEN p_partkey % 3 = 0 THEN concat('$', 40000 + p_partkey % 1000, ' per annum') END AS advertised_salary_text", "CASE WHEN p_partkey % 3 <> 0 AND p_partkey % 5 = 0 THEN 51000D END AS advertised_salary_min",
+        "CASE p_partkey % 4 WHEN 1 THEN concat('A band ', 1 + p_partkey % 8, ' role') WHEN 2 THEN 'Some words' END AS description_text", "CASE WHEN p_partkey % 2 = 0 THEN 'Applications close 14 June 2026' END AS closing_at_text",
+    )
+    return seeds.candidates(rows).select(F.col("source_id").cast("long").alias("p_partkey"), "title", "band", "advertised_salary_min", "classification_status", "closing_date", "description_status")
+
+
+@query(
+    "WITH l AS (SELECT p_partkey, p_partkey % 3 AS s, row_number() OVER (PARTITION BY p_partkey % 3 ORDER BY p_partkey) AS nth FROM part)"
+    " SELECT concat('s', s) AS source_id, concat('https://s', s, '.example/jobs/', p_partkey) AS url, CASE WHEN nth <= 40 THEN concat('Civil Engineer ', p_partkey) ELSE 'Officer role' END AS title, CASE WHEN nth <= 40 THEN CAST(1 + p_partkey % 8 AS INT) END AS band,"
+    " CASE WHEN nth <= 40 THEN 'explicit_band' ELSE 'parse_warning' END AS classification_status FROM l WHERE nth <= 60"
+)
+def pulse_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boards that give a page in the place of data: details of the first links, warnings for the next."""
+    part = lens.table(spark, sf_dir, "part").withColumn("s", F.col("p_partkey") % 3)
+    site = F.concat(F.lit("https://s"), F.col("s").cast("string"), F.lit(".example"))
+    link = F.concat(F.lit('<a href="/jobs/'), F.col("p_partkey").cast("string"), F.lit('">Officer role</a>'))
+    listed = part.groupBy("s").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", link.alias("a")))), lambda x: x["a"]), "").alias("body"))
+    payloads = listed.select(F.concat(F.lit("s"), F.col("s").cast("string")).alias("source_id"), F.concat(site, F.lit("/Pulse/jobs")).alias("url"), F.lit("pulse").alias("platform"), "body")
+    pages = part.select(F.concat(site, F.lit("/jobs/"), F.col("p_partkey").cast("string")).alias("url"), F.expr(FEED_DETAIL).alias("html"))
+    return adapters.any_platform(payloads, pages).select("source_id", "url", "title", "band", "classification_status")

@@ -118,8 +118,22 @@ def endpoint_candidates(payloads: DataFrame) -> DataFrame:
     return with_fields(rows, [F.col("title"), F.col("body")], [F.col("body")], [F.col("closing_text"), F.col("body")]).drop("body")
 
 
-#: Fixed value: links of one listing page that are followed.
-MOST_LINKS = 40
+#: Links of one listing page that are followed, and links and details of a page of a board whose data can't be had.
+MOST_LINKS, MOST_STUBS, MOST_DETAILS = 40, 60, 40
+
+
+def _followed(listings: DataFrame, most: int) -> DataFrame:
+    """The first `most` links of each listing page (source_id, url, html) that may lead to listings: source_id, nth, title, url, at; each address once a source."""
+    found = files.job_links(files.links(listings.withColumn("page_id", F.struct("source_id", "url"))))
+    nth = F.row_number().over(Window.partitionBy("page_id").orderBy("pos"))
+    some = found.withColumn("nth", nth).where(F.col("nth") <= most).select(F.col("page_id.source_id").alias("source_id"), "nth", "title", F.col("link").alias("url"), urls.canonical(F.col("link")).alias("at"))
+    return some.groupBy("source_id", "at").agg(F.min(F.struct("nth", "title", "url")).alias("f")).select("source_id", "f.*", "at")
+
+
+def answered(pages: DataFrame) -> DataFrame:
+    """Pages by canonical address (at), one an address, without those whose site refused to answer."""
+    good = pages.where(~F.coalesce(files.is_blocked(F.col("status"), F.col("html")), F.lit(False))) if "status" in pages.columns else pages
+    return good.groupBy(urls.canonical(F.col("url")).alias("at")).agg(F.min("html").alias("html"))
 
 
 def crawled(listings: DataFrame, pages: DataFrame, most: int = MOST_LINKS) -> DataFrame:
@@ -128,23 +142,28 @@ def crawled(listings: DataFrame, pages: DataFrame, most: int = MOST_LINKS) -> Da
     Each listing page's first `most` links that may lead to listings are followed; of pages with one address one is
     read; pages whose site refused to answer, and details that can't be listings, are left out.
     """
-    found = files.job_links(files.links(listings.withColumn("page_id", F.struct("source_id", "url"))))
-    nth = F.row_number().over(Window.partitionBy("page_id").orderBy("pos"))
-    followed = found.withColumn("nth", nth).where(F.col("nth") <= most).select(F.col("page_id.source_id").alias("source_id"), F.col("link").alias("url"), urls.canonical(F.col("link")).alias("at")).dropDuplicates(["source_id", "at"])
-    answered = pages.where(~F.coalesce(files.is_blocked(F.col("status"), F.col("html")), F.lit(False))) if "status" in pages.columns else pages
-    at = answered.groupBy(urls.canonical(F.col("url")).alias("at")).agg(F.min("html").alias("html"))
-    rows = details(followed.join(at, "at").select("source_id", "url", "html"))
+    rows = details(_followed(listings, most).join(answered(pages), "at").select("source_id", "url", "html"))
     return rows.where(gates.is_probable())
 
 
+def pulse_pages(listings: DataFrame, pages: DataFrame) -> DataFrame:
+    """Candidates of boards that give a page in the place of data: the details of its first 40 links, and the next 20 as they are, with a warning."""
+    followed = _followed(listings, MOST_STUBS)
+    read = details(followed.where(F.col("nth") <= MOST_DETAILS).join(answered(pages), "at").select("source_id", "url", "html"))
+    stubs = followed.where(F.col("nth") > MOST_DETAILS).select("source_id", "url", "title", F.lit("parse_warning").alias("classification_status"), F.lit("detail_skipped").alias("description_status"))
+    return read.unionByName(stubs, allowMissingColumns=True)
+
+
 def any_platform(payloads: DataFrame, pages: DataFrame | None = None) -> DataFrame:
     """Candidates of all boards, each by its platform's adapter (payloads with `platform`).
 
-    Boards of other platforms, or of none, are listing pages, which are followed among `pages`.
+    Boards of other platforms, or of none, are listing pages, which are followed among `pages`, as are boards of pulse that answer with a page.
     """
     known = ("pulse", "oracle_hcm")
+    data = F.ltrim("body").startswith("{")
     parts = [pulse(payloads.where("platform = 'pulse'")), oracle_hcm(payloads.where("platform = 'oracle_hcm'"))]
     if pages is not None:
-        other = payloads.where(~F.coalesce("platform", F.lit("")).isin(*known))
-        parts.append(crawled(other.select("source_id", "url", F.col("body").alias("html")), pages))
+        listed = lambda rows: rows.select("source_id", "url", F.col("body").alias("html"))
+        parts.append(crawled(listed(payloads.where(~F.coalesce("platform", F.lit("")).isin(*known))), pages))
+        parts.append(pulse_pages(listed(payloads.where((F.col("platform") == "pulse") & ~F.coalesce(data, F.lit(False)))), pages))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

@@ -87,19 +87,13 @@ def feed_urls(pages: DataFrame) -> DataFrame:
     return first.withColumn("nth", F.row_number().over(Window.partitionBy("page_id").orderBy("f.pos"))).where(F.col("nth") <= MOST_FEEDS).select("page_id", "nth", "f.url")
 
 
-def at_address(pages: DataFrame, content: str = "html") -> DataFrame:
-    """Pages by canonical address (at), those whose site refused to answer left out; of several the least content."""
-    answered = pages.where(~F.coalesce(files.is_blocked(F.col("status"), F.col(content)), F.lit(False))) if "status" in pages.columns else pages
-    return answered.groupBy(urls.canonical(F.col("url")).alias("at")).agg(F.min(content).alias(content))
-
-
 def feed_candidates(listings: DataFrame, pages: DataFrame, entries: bool = False) -> DataFrame:
     """Candidates of the first two feeds of each source's listing page (source_id, url, html): the details that feeds link to, as `pages` (url, html) has them.
 
     Feeds are read as pages with anchors; with `entries`, items of feeds and addresses of site maps count as links too, after the anchors.
     A feed's first 40 links, and 25 of their details, are followed. Each source's detail counts once, at its first place.
     """
-    site = at_address(pages)
+    site = adapters.answered(pages)
     feeds = feed_urls(listings.withColumn("page_id", F.col("source_id"))).where(F.col("nth") <= READ_FEEDS).withColumnRenamed("nth", "feed").withColumn("at", urls.canonical(F.col("url")))
     read = feeds.join(site, "at").select(F.struct(F.col("page_id").alias("source_id"), "feed").alias("page_id"), "url", "html")
     found = files.links(read)
