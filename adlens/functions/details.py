@@ -17,8 +17,8 @@ DESCRIPTION_TAGS = ("main", "article")
 PAY_CLASSES = ("salary", "salery", "remuneration", "package")
 SECTION = r"(?i)\b(about the role|key responsibilities|selection criteria|what you will do|about you|how to apply|position description)\b"
 #: Left out of descriptions; and never text.
-CHROME, CODE = frozenset("script style nav footer header form".split()), frozenset("script style template".split())
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+CHROME, CODE = frozenset(("script", "style", "nav", "footer", "header", "form")), frozenset(("script", "style", "template"))
+VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"))
 #: Shortest description; sections of one; parts set apart for pay of one kind.
 LEAST, MOST_SECTIONS, MOST_PAY = 40, 8, 4
 

@@ -8,9 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Words that don't count when titles are compared.
-TITLE_STOP_WORDS = (
-    "and the of at in for with jan january feb february mar march apr april may jun june jul july aug august sep sept september oct october nov november dec december"
-).split()
+TITLE_STOP_WORDS = ("and", "the", "of", "at", "in", "for", "with", "jan", "january", "feb", "february", "mar", "march", "apr", "april", "may", "jun", "june", "jul", "july", "aug", "august", "sep", "sept", "september", "oct", "october", "nov", "november", "dec", "december")
 
 
 def once(c: Column, f: Callable[[Column], Column]) -> Column:

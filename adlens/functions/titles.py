@@ -49,9 +49,7 @@ BAD_LINK_TITLES = (
     r"tiktok|youtube|email|hr login|help centre|main navigation|gtranslate|javascript is not available\.?|javascript is turned off.*)$"
 )
 BAD_LINK_FRAGMENTS = r"(?i)(select this as your preferred language|employment hero|payday super|support for your business|start or grow your business|tenders and contracts|looking to invest|business workshops|business,? jobs and investment)"
-SLUG_TAILS = (
-    "job jobs career careers vic victoria australia jan january feb february mar march apr april may jun june jul july aug august sep sept september oct october nov november dec december"
-).split()
+SLUG_TAILS = ("job", "jobs", "career", "careers", "vic", "victoria", "australia", "jan", "january", "feb", "february", "mar", "march", "apr", "april", "may", "jun", "june", "jul", "july", "aug", "august", "sep", "sept", "september", "oct", "october", "nov", "november", "dec", "december")
 SMALL = ("and", "at", "for", "in", "of", "on", "the", "to", "with")
 #: How documents head a title, and what ends one at the start of a text.
 TITLE_WORDS = r"([A-Z][A-Z0-9 &/'(),.-]{3,90}"

@@ -82,6 +82,24 @@ def colour_scale(n: Column, domain: Column) -> Column:
     return money.clamp(n / F.greatest(F.lit(1), domain), 0.08, 1.0)
 
 
+def job_date(*values: Column) -> Column:
+    """The date of the first of these texts that isn't empty, as first and last sighting, observation and reference month; a month is its first day, and what is no date is null."""
+    first = F.coalesce(*[F.nullif(v, F.lit("")) for v in values])
+    return text.once(first, lambda v: F.when(v.rlike(r"^\d{4}-\d{2}$"), F.try_to_date(F.concat(v, F.lit("-01")))).otherwise(F.try_to_date(F.substring(v, 1, 10))))
+
+
+def on_map(jobs: DataFrame, state: State, features: DataFrame, metro: tuple[str, ...]) -> DataFrame:
+    """Every feature of a map (council_key, name, x, y) with its jobs after all filters but the council's: n, scale (its share of the ninth decile of councils' counts, 2 at
+    least, from 0.08 to 1), metro and metro_total, the jobs of all councils of the city. Councils that aren't on the map count towards decile and total.
+    """
+    counts = by_council(jobs, state)
+    decile = lower_quantiles(counts, "n", {"q90": 0.9}).agg(F.greatest(F.coalesce(F.max("q90"), F.lit(0)), F.lit(2)).alias("domain"))
+    total = counts.agg(F.coalesce(F.sum(F.when(F.col("council_key").isin(*metro), F.col("n"))), F.lit(0)).alias("metro_total"))
+    placed = features.join(counts, "council_key", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    drawn = placed.crossJoin(F.broadcast(decile)).crossJoin(F.broadcast(total))  # one row each
+    return drawn.select(*features.columns, "n", colour_scale(F.col("n"), F.col("domain")).alias("scale"), F.col("council_key").isin(*metro).alias("metro"), "metro_total")
+
+
 def axis(low: Column, high: Column) -> Column:
     """Ends of an axis in tens of thousands, twenty thousand apart at least."""
     a, b = F.floor(low / 10000) * 10000, F.ceil(high / 10000) * 10000
@@ -89,7 +107,7 @@ def axis(low: Column, high: Column) -> Column:
 
 
 def distinct_listings(jobs: DataFrame, seq: str) -> DataFrame:
-    """The first row, by seq, of those that are the same vacancy: one partial aggregation, no sort of a group."""
+    """The first row, by seq, of those that are the same vacancy: one partial aggregation, so that each task sends one row of them."""
     digest = F.sha2(F.concat_ws("\x1f", *[F.coalesce(k, F.lit("\x00")) for k in dedupe.exact_key()]), 256)
     keyed = jobs.select(F.struct(*jobs.columns).alias("row_"), F.col(seq).alias("seq_"), digest.alias("key_"))
     return keyed.groupBy("key_").agg(F.min_by("row_", "seq_").alias("row_")).select("row_.*")

@@ -130,6 +130,22 @@ def quarantine(rows: DataFrame, health: DataFrame, *seq: str) -> DataFrame:
     return some.unionByName(whole)
 
 
+def audited(set_aside: DataFrame, health: DataFrame, sources: DataFrame, run_id: str, observed_at: str) -> DataFrame:
+    """What ``quarantine`` sets aside as rows of the audit, with the run, the source and nested evidence: the strategy's status, the codes of drift, and how many candidates there were.
+
+    sources: source_id, council_key, council_name, platform, url. A row for a whole source has no title and the source's address.
+    """
+    told = health.select("source_id", F.when(F.col("failed"), "failed").otherwise("ok").alias("strategy_status"), F.transform("drift_flags", lambda f: f["code"]).alias("drift_flags"), "candidate_count")
+    own = sources.select("source_id", "council_key", "council_name", "platform", F.col("url").alias("source_url"))
+    rows = set_aside.join(told, "source_id").join(own, "source_id", "left")
+    whole = F.col("reason") == "severe_drift"
+    evidence = F.struct("strategy_status", "drift_flags", F.when(whole, F.col("candidate_count")).alias("candidate_count"))
+    return rows.select(
+        F.lit(observed_at).alias("observed_at"), F.lit(run_id).alias("run_id"), "source_id", "council_key", "council_name", "platform", "strategy", "reason",
+        F.when(~whole, F.col("title")).alias("title"), F.when(whole, F.col("source_url")).otherwise(F.col("url")).alias("url"), evidence.alias("evidence"),
+    )
+
+
 def mined_global_rules(rejected: DataFrame, rules: DataFrame) -> DataFrame:
     """Titles that three sources or two platforms reject as weak, and aren't rules yet: title, sources, platforms."""
     weak = rejected.where(F.col("reason").isin("weak_vacancy_signal", "quality_rejected") & (F.col("title") != ""))

@@ -99,6 +99,29 @@ def council_facets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explore.by_council(snapshot(spark, sf_dir, "council_key", "band", "salary_lo").where("salary_lo > 50000"), explore.State(band=3))
 
 
+@query(
+    LATEST + ", c AS (SELECT council_key, count(*) AS n FROM snap WHERE salary_lo > 45000 GROUP BY 1), q AS (SELECT greatest(2, coalesce(v[1 + CAST(floor((len(v) - 1) * 0.9::double) AS BIGINT)], 0)) AS domain FROM (SELECT list_sort(list(n)) AS v FROM c))"
+    " SELECT n_name AS council_key, CAST(n_nationkey * 7 AS INT) AS x, coalesce(n, 0) AS n, least(greatest(coalesce(n, 0)::double / domain, 0.08::double), 1.0::double) AS scale, n_name IN ('FRANCE', 'CHINA', 'KENYA') AS metro,"
+    " CAST(coalesce((SELECT sum(n) FROM c WHERE council_key IN ('FRANCE', 'CHINA', 'KENYA')), 0) AS BIGINT) AS metro_total FROM nation LEFT JOIN c ON council_key = n_name CROSS JOIN q WHERE n_nationkey % 6 <> 0"
+)
+def council_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings on a map of councils, with the scale of their colour and the total of a city's."""
+    features = lens.table(spark, sf_dir, "nation").where("n_nationkey % 6 <> 0").select(F.col("n_name").alias("council_key"), (F.col("n_nationkey") * 7).cast("int").alias("x"))
+    jobs = snapshot(spark, sf_dir, "council_key", "salary_lo").where("salary_lo > 45000")
+    return explore.on_map(jobs, explore.State(), features, ("FRANCE", "CHINA", "KENYA"))
+
+
+@query(
+    "SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-01') WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 2 THEN strftime(o_orderdate, '%Y-%m-%d') END AS d FROM orders"
+)
+def job_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates of listings out of what they have: a month, a time after an empty text, a day, or no date."""
+    day, month = F.date_format("o_orderdate", "yyyy-MM-dd"), F.date_format("o_orderdate", "yyyy-MM")
+    first = F.expr("CASE WHEN o_orderkey % 4 = 1 THEN '' WHEN o_orderkey % 4 = 3 THEN 'soon' END")
+    last = F.when(F.col("o_orderkey") % 4 == 1, F.concat(day, F.lit("T10:00:00Z"))).when(F.col("o_orderkey") % 4 == 2, day)
+    return lens.table(spark, sf_dir, "orders").select("o_orderkey", F.date_format(explore.job_date(first, last, month), "yyyy-MM-dd").alias("d"))
+
+
 @query(
     LATEST + ", a AS (SELECT band, CASE WHEN (period IN ('', 'year') OR salary_hi >= 30000) AND salary_hi >= 30000 THEN CASE WHEN salary_lo < 30000 THEN salary_hi ELSE salary_lo END END AS low FROM snap)"
     " SELECT CAST(b.band AS INT) AS band, count(a.band) AS n, avg(low)::double AS average, min(low)::double AS least, max(low)::double AS greatest FROM range(1, 9) b(band) LEFT JOIN a ON a.band = b.band GROUP BY 1"

@@ -181,6 +181,21 @@ def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return strategy.quarantine(judged(spark, sf_dir), health(spark, sf_dir), "l_orderkey", "l_extendedprice", "title", "url")
 
 
+@query(
+    DRIFT + ", r AS (SELECT j.*, row_number() OVER (PARTITION BY j.source_id ORDER BY j.l_orderkey, j.l_extendedprice, j.title, j.url) AS k FROM j JOIN g ON g.source_id = j.source_id AND g.strategy = j.strategy WHERE j.reason IS NOT NULL),"
+    " q AS (SELECT source_id, reason, title, url FROM r WHERE k <= 200 UNION ALL SELECT source_id, 'severe_drift', NULL, concat('https://s.example/', source_id) FROM g WHERE severe AND rejected_count = 0)"
+    " SELECT q.source_id, reason, title, url, n_name AS council_name, CASE WHEN failed THEN 'failed' ELSE 'ok' END AS strategy_status, array_to_string(codes, ',') AS codes, CASE WHEN reason = 'severe_drift' THEN candidate_count END AS candidates"
+    " FROM q JOIN g USING (source_id) JOIN supplier ON s_suppkey = q.source_id JOIN nation ON n_nationkey = s_nationkey"
+)
+def quarantine_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is set aside, with its source and nested evidence."""
+    s, n = lens.table(spark, sf_dir, "supplier"), lens.table(spark, sf_dir, "nation")
+    sources = s.join(n, s.s_nationkey == n.n_nationkey).select(F.col("s_suppkey").alias("source_id"), F.upper("n_name").alias("council_key"), F.col("n_name").alias("council_name"), F.lit("p").alias("platform"), F.concat(F.lit("https://s.example/"), F.col("s_suppkey").cast("string")).alias("url"))
+    found = health(spark, sf_dir)
+    rows = strategy.audited(strategy.quarantine(judged(spark, sf_dir), found, "l_orderkey", "l_extendedprice", "title", "url"), found, sources, "r1", "2026-01-01T00:00:00Z")
+    return rows.select("source_id", "reason", "title", "url", "council_name", "evidence.strategy_status", F.array_join("evidence.drift_flags", ",").alias("codes"), F.col("evidence.candidate_count").alias("candidates"))
+
+
 @query(
     JUDGED + f", p AS ({lens.PROFILES_SQL}), w AS (SELECT lower(title) AS title, count(DISTINCT source_id) AS sources, count(DISTINCT platform) AS platforms FROM j JOIN p USING (source_id) WHERE reason = 'weak_vacancy_signal' AND title <> '' GROUP BY 1)"
     f" SELECT * FROM w WHERE (sources >= 3 OR platforms >= 2) AND title NOT IN (SELECT {lens.GLOBAL_RULE} FROM nation)"
