@@ -85,7 +85,8 @@ def month_counts(board: DataFrame) -> DataFrame:
 def board_summary(board: DataFrame, sources: DataFrame) -> DataFrame:
     """One row: listings, those with pay and descriptions, councils, and the share of sources that they cover."""
     n = sources.agg(F.count("*").alias("configured_sources"))
-    b = board.agg(F.count("*").alias("report_jobs"), F.count_if(gates.has_salary()).alias("salary_signal_jobs"), F.count_if(gates.filled(F.col("description_text"))).alias("description_jobs"), F.countDistinct(F.nullif(F.col("council_key"), F.lit(""))).alias("covered_councils"))
+    told = board.select("council_key", gates.has_salary().alias("paid_"), gates.filled(F.col("description_text")).alias("described_"))
+    b = told.agg(F.count("*").alias("report_jobs"), F.count_if("paid_").alias("salary_signal_jobs"), F.count_if("described_").alias("description_jobs"), F.countDistinct(F.nullif(F.col("council_key"), F.lit(""))).alias("covered_councils"))
     return b.crossJoin(n).withColumn("coverage_rate", F.coalesce(F.bround(F.try_divide(F.col("covered_councils") * 100.0, F.col("configured_sources"))), F.lit(0.0)).cast("long"))
 
 

@@ -31,7 +31,7 @@ def one_by_one(rows, same):
 @pytest.mark.parametrize("seed", range(4))
 def test_rounds_settle_what_order_settles(spark, seed):
     rng = random.Random(seed)
-    n, k = ((20, 5), (80, 30), (120, 200), (60, 4))[seed]
+    n, k = ((20, 5), (40, 20), (60, 100), (30, 4))[seed]
     rows = [(i, rng.randint(0, 5)) for i in rng.sample(range(1000), n)]
     cells = sorted({(r, rng.randrange(k)) for r, _ in rows for _ in range(rng.randint(0, 3))})
     adjacent = sorted({(i, i) for i in range(k) if rng.random() < 0.8} | {(rng.randrange(k), rng.randrange(k)) for _ in range(k // 3)})
@@ -119,16 +119,16 @@ def one_by_one_in(rows, same):
     return [(r["seq"], holder[r["seq"]]) for r in rows if r["seq"] in holder]
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(2))
 def test_dedupe_is_what_order_gives(spark, seed):
     rng = random.Random(20 + seed)
     rows = []
-    for i in range((60, 200, 400)[seed]):
+    for i in range((40, 110)[seed]):
         host = rng.choice(["c.vic.gov.au", "au.jora.com", "d.vic.gov.au", "www.seek.com.au", "councildirect.com.au"])
         title = " ".join(rng.sample("parks lead civil works health nurse senior June of".split(), rng.randint(0 if i % 50 == 0 else 1, 6)))
         more = {c: "" for c in TEXTS} | {"work_type": rng.choice(["", "", "full", "part"]), "location_text": rng.choice(["", "", "North", "South"]), "closing_at": rng.choice(["", "", "2026-01-01"]), "description_text": rng.choice(["", "text"])}
         pay = rng.choice([None, None, 50000.0, 60000.0])
-        rows.append((rng.choice(["C", "D", None]), title, f"https://{host}/jobs/{rng.randrange(30)}", rng.choice([None, None, 5]), 3 * i, pay, pay, *[more[c] for c in TEXTS]))
+        rows.append((rng.choice(["C", "D", None]), title, f"https://{host}/jobs/{rng.randrange(12)}", rng.choice([None, None, 5]), 3 * i, pay, pay, *[more[c] for c in TEXTS]))
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
     names = [c.split()[0] for c in SCHEMA.split(", ")]
     want = in_order([dict(zip(names, r, strict=True)) for r in rows])
