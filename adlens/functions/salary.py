@@ -21,6 +21,7 @@ MARKERS = (
     " Description | Role Type | Job | Apply | Information pack | Position description | Categories: | About the team| About the role| Closing | Location:| Tool of trade | Join us | Join our | You will "
 )
 AROUND = 90
+PARTS = "array<struct<before:string,hit:string,first:string,first_k:string,second:string,second_k:string,single:string,single_k:string,after:string>>"
 
 
 def _amount(digits: Column, k: Column) -> Column:
@@ -68,10 +69,29 @@ def candidates(text: Column) -> Column:
     return once(compact(text), _candidates)
 
 
+def _parts(clean: Column) -> Column:
+    """Each amount with the words before and after it. The text is gone through once for each of amounts, gaps and what follows; what stands before is carried on from gap to gap."""
+    whole = f"(?i)(?:{CORE})"
+    names = ("first", "first_k", "second", "second_k", "single", "single_k")
+    found = F.arrays_zip(
+        F.split(clean, whole, -1).alias("gap"),
+        F.regexp_extract_all(clean, F.lit(whole), F.lit(0)).alias("hit"),
+        F.regexp_extract_all(clean, F.lit(f"{whole}(?=(.{{0,{AROUND}}}))"), F.lit(len(names) + 1)).alias("after"),
+    )
+
+    def carried(s: Column, x: Column) -> Column:
+        before = F.substring(F.concat(s["tail"], x["gap"]), -AROUND, AROUND)
+        groups = [F.regexp_extract(x["hit"], whole, i + 1).alias(n) for i, n in enumerate(names)]
+        one = F.struct(before.alias("before"), x["hit"].alias("hit"), *groups, x["after"].alias("after"))
+        return F.struct(F.concat(before, x["hit"]).alias("tail"), F.concat(s["out"], F.array(one)).alias("out"))
+
+    # behind the last amount there is a gap without one
+    start = F.struct(F.lit("").alias("tail"), F.array().cast(PARTS).alias("out"))
+    return F.aggregate(F.filter(found, lambda x: x["hit"].isNotNull()), start, carried, lambda s: s["out"])
+
+
 def _candidates(clean: Column) -> Column:
-    pattern = rf"(?i)(?=(?:AUD|AU\$)?\s*\$?\s*\d)(?<=(^.{{0,{AROUND - 1}}}|.{{{AROUND}}}))({CORE})(?=(.{{0,{AROUND}}}))"
-    names = ("before", "hit", "first", "first_k", "second", "second_k", "single", "single_k", "after")
-    groups = F.arrays_zip(*[F.regexp_extract_all(clean, F.lit(pattern), F.lit(i + 1)).alias(n) for i, n in enumerate(names)])
+    groups = F.when(clean.rlike(r"\d"), _parts(clean)).otherwise(F.array().cast(PARTS))
 
     def scored(x: Column, i: Column, b: Column, period: Column) -> Column:
         high, window = F.greatest(b["first"], b["second"]), b["window"]

@@ -24,3 +24,8 @@ def written(df: DataFrame) -> DataFrame:
     """df, worked out and kept in the folder for checkpoints."""
     folder(df.sparkSession)
     return df.checkpoint()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt to as many tasks as a shuffle has: a small file is read by one task, however much work a row of it is."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

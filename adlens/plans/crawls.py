@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlens.operators import strategy
+from adlens.operators.staging import spread
 from adlens.plans import lens
 from adlens.plans.registry import query
 from adlens.sources import adapters, discovery, files, seeds
@@ -21,7 +22,7 @@ SCRIPTED = """concat('<script src="/s/', CAST(p_partkey % 5 AS VARCHAR(9)), '.js
 
 
 def _pages(spark: SparkSession, sf_dir: str, html: str, url: str = "'https://careers.x.example/list/all'") -> DataFrame:
-    return lens.table(spark, sf_dir, "part").selectExpr("p_partkey AS page_id", f"{url} AS url", f"{html} AS html")
+    return spread(lens.table(spark, sf_dir, "part")).selectExpr("p_partkey AS page_id", f"{url} AS url", f"{html} AS html")
 
 
 @query(

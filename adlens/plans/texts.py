@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from adlens.functions import band, dates, details, money, salary, text, titles, urls
 from adlens.operators import board, explore, gates, report
-from adlens.operators.staging import written
+from adlens.operators.staging import spread, written
 from adlens.plans import lens, listings
 from adlens.plans.registry import query
 from adlens.sources import adapters, discovery, files
@@ -17,7 +17,7 @@ AD = "concat('Band ', CAST(p_size % 10 AS VARCHAR(9)), ' salary $', CAST(40000 +
 
 
 def _ads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lens.table(spark, sf_dir, "part").selectExpr("p_partkey", f"{AD} AS ad", "p_name")
+    return spread(lens.table(spark, sf_dir, "part")).selectExpr("p_partkey", f"{AD} AS ad", "p_name")
 
 
 @query("SELECT p_partkey, CASE WHEN p_size % 10 BETWEEN 1 AND 8 THEN CAST(p_size % 10 AS INT) END AS band FROM part")
@@ -117,7 +117,7 @@ DETAIL = f"""concat('<html><body><h1>', {ROLES}, '</h1><div class="salary">$', C
 
 
 def _part_pages(spark: SparkSession, sf_dir: str, html: str) -> DataFrame:
-    return lens.table(spark, sf_dir, "part").selectExpr("p_partkey AS page_id", "'https://c.example/list/all?page=1' AS url", f"{html} AS html")
+    return spread(lens.table(spark, sf_dir, "part")).selectExpr("p_partkey AS page_id", "'https://c.example/list/all?page=1' AS url", f"{html} AS html")
 
 
 @query("SELECT p_partkey AS page_id, CAST(CASE WHEN p_partkey % 3 = 1 THEN 3 ELSE 0 END AS INT) AS pos, CASE p_partkey % 3 WHEN 0 THEN 'Parks Officer' WHEN 1 THEN 'Again officer' ELSE 'Depot' END AS title, concat('https://c.example/jobs/', p_partkey) AS link FROM part")
@@ -137,7 +137,7 @@ def endpoint_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _listing_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    part = lens.table(spark, sf_dir, "part").withColumn("s", F.col("p_partkey") % 50)
+    part = spread(lens.table(spark, sf_dir, "part")).withColumn("s", F.col("p_partkey") % 50)
     anchor = F.expr(f"concat('<li><a href=\"/jobs/', p_partkey, '\">', {ROLES}, '</a>')")
     listed = part.groupBy("s").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", anchor.alias("a")))), lambda x: x["a"]), "").alias("html"))
     site = F.concat(F.lit("https://s"), F.col("s").cast("string"), F.lit(".example"))
@@ -170,7 +170,7 @@ def endpoint_json_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         """'{"title": "Nothing besides a title"}'""",
     ]
     items = "array_join(slice(array(" + ", ".join(inner) + "), 1, cast(p_partkey % 4 + 1 as int)), ', ')"
-    payloads = lens.table(spark, sf_dir, "part").selectExpr("p_partkey AS source_id", "'https://c.example/api/jobs' AS url", f"""concat('{{"meta": {{"name": 3}}, "result": [[], {{"rows": [', {items}, ']}}]}}') AS body""")
+    payloads = spread(lens.table(spark, sf_dir, "part")).selectExpr("p_partkey AS source_id", "'https://c.example/api/jobs' AS url", f"""concat('{{"meta": {{"name": 3}}, "result": [[], {{"rows": [', {items}, ']}}]}}') AS body""")
     return adapters.endpoint_candidates(payloads).select("source_id", "pos", "title", "url", "band", "advertised_salary_min", "closing_date")
 
 
@@ -183,14 +183,14 @@ def band_pay_coupling(spark: SparkSession, sf_dir: str) -> DataFrame:
     far = F.expr("repeat('.', cast(p_partkey % 400 + if(p_partkey % 400 > 200, 40, 0) as int))")  # no window ends within the pay
     after = F.concat(F.lit("A role at band "), F.when(k % 3 == 0, 5).otherwise(4).cast("string"), far, F.lit(" $91,000 per annum"))
     before = F.when(k % 7 == 0, "Pay is $91,000 per annum. See Band 4b.").otherwise("Band 4, band 14 and husband 4, whose pay is not told")
-    rows = lens.table(spark, sf_dir, "part").select(k.alias("job_id"), F.lit(4).alias("band"), F.array(after, before).alias("texts"))
+    rows = spread(lens.table(spark, sf_dir, "part")).select(k.alias("job_id"), F.lit(4).alias("band"), F.array(after, before).alias("texts"))
     return report.coupled(rows)
 
 
 @query(None)
 def page_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages read as detail pages of their hosts, as rows of the log."""
-    pages = lens.table(spark, sf_dir, "pages").select(urls.host(F.col("url")).alias("source_id"), "url", "html")
+    pages = spread(lens.table(spark, sf_dir, "pages")).select(urls.host(F.col("url")).alias("source_id"), "url", "html")
     sources = pages.select("source_id", F.lit("generic").alias("platform"), F.col("source_id").alias("council_name"), F.col("source_id").alias("short_name"), F.lit("").alias("source_url")).distinct()
     return adapters.observations(adapters.details(pages), sources, "r1", "2026-01-01T00:00:00Z")
 

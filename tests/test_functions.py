@@ -137,3 +137,18 @@ def test_compatible_forms(spark):
     want = lambda x: re.sub(r"\s+", " ", re.sub("[?]{3,}|\ufffd+", " ", unicodedata.normalize("NFKC", x).replace("\xa0", " "))).strip()
     got = spark.createDataFrame(rows, "x string").select("x", text.compact(F.col("x")).alias("y")).collect()
     assert [(r["x"], r["y"]) for r in got if r["y"] != want(r["x"])] == [] and len(got) == len(rows)
+
+
+def test_salary_by_signs_of_two_units(value):
+    """Signs outside the basic plane before an amount hide it no longer."""
+    s = value(salary.extract, "\U0001f600 " * 40 + "Salary $91,000 - $102,000 per annum")
+    assert (s["minimum"], s["maximum"], s["period"], s["evidence_text"]) == (91000, 102000, "year", "$91,000 - $102,000")
+
+
+def test_pay_is_read_by_all_tasks(spark, tmp_path):
+    """A table in one file is dealt to all tasks before its texts are read."""
+    from adlens.plans import texts
+
+    spark.range(50).selectExpr("id AS p_partkey", "'a b' AS p_name", "CAST(id % 10 AS INT) AS p_size").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    for q in (texts.salary_extract, texts.salary_normalise):
+        assert q(spark, str(tmp_path)).rdd.getNumPartitions() == 4
