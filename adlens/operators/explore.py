@@ -106,11 +106,13 @@ def axis(low: Column, high: Column) -> Column:
     return F.struct(a.alias("low"), F.greatest(b, a + 20000).alias("high"))
 
 
-def distinct_listings(jobs: DataFrame, seq: str) -> DataFrame:
-    """The first row, by seq, of those that are the same vacancy: one partial aggregation, so that each task sends one row of them."""
+def distinct_listings(jobs: DataFrame, seq: str, keep: list[str] | None = None) -> DataFrame:
+    """The first row, by seq, of those that are the same vacancy, with `keep` of its columns or all: one partial aggregation, so that each task sends one row of them."""
     digest = F.sha2(F.concat_ws("\x1f", *[F.coalesce(k, F.lit("\x00")) for k in dedupe.exact_key()]), 256)
-    keyed = jobs.select(F.struct(*jobs.columns).alias("row_"), F.col(seq).alias("seq_"), digest.alias("key_"))
-    return keyed.groupBy("key_").agg(F.min_by("row_", "seq_").alias("row_")).select("row_.*")
+    rest = [c for c in keep or jobs.columns if c != seq]
+    keyed = jobs.select(F.struct(*rest).alias("row_"), F.col(seq).alias("seq_"), F.unhex(digest).alias("key_"))
+    first = keyed.groupBy("key_").agg(F.min_by("row_", "seq_").alias("row_"), F.min("seq_").alias(seq))
+    return first.select(*[F.col(seq if c == seq else f"row_.{c}") for c in keep or jobs.columns])
 
 
 def listed(jobs: DataFrame, collation: str | None = "UNICODE") -> DataFrame:

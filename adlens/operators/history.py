@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SEEN, UNAVAILABLE, NOT_SEEN = "seen_latest_run", "source_unavailable_latest_run", "not_seen_latest_run"
@@ -19,11 +19,24 @@ def union_history(previous: DataFrame, observations: DataFrame) -> DataFrame:
     return previous.unionByName(observations, allowMissingColumns=True)
 
 
+def _extreme(rows: DataFrame, greatest: bool, by: list[str], columns: list[str]) -> Column:
+    """The columns of the row with the greatest, or least, values of `by`, as a struct that holds each once, in which those of `by` come first.
+
+    Structs with maps don't sort: these are chosen by a struct beside them.
+    """
+    row = F.struct(*by, *[c for c in columns if c not in by])
+    kinds = rows.select(row.alias("r")).schema["r"].dataType.simpleString()
+    if "map<" in kinds or "variant" in kinds:
+        return (F.max_by if greatest else F.min_by)(row, F.struct(*by))
+    return (F.max if greatest else F.min)(row)
+
+
 def dedupe(observations: DataFrame, *seq: str) -> DataFrame:
     """The first row, by seq, of each job, time and run; a replayed log adds nothing."""
     keys = ["job_id", "observed_at", "run_id"]
-    row = F.struct(*[F.col(c) for c in observations.columns])
-    return observations.groupBy(*keys).agg(F.min_by(row, F.struct(*seq)).alias("row_")).select("row_.*")
+    rest = [c for c in observations.columns if c not in keys]
+    first = observations.groupBy(*keys).agg(_extreme(observations, False, list(seq), rest).alias("row_"))
+    return first.select(*[F.col(c if c in keys else f"row_.{c}") for c in observations.columns])
 
 
 def latest_run(observations: DataFrame, *seq: str) -> DataFrame:
@@ -32,15 +45,17 @@ def latest_run(observations: DataFrame, *seq: str) -> DataFrame:
     return each.agg(F.max_by("latest_run", F.struct("latest_at")).alias("latest_run"), F.max("latest_at").alias("latest_at"))
 
 
-def latest(observations: DataFrame, *seq: str) -> DataFrame:
-    """The newest row of each job, the last loaded of equally new ones, with first_seen_at, last_seen_at, sighting_count.
+def latest(observations: DataFrame, *seq: str, **more: Column) -> DataFrame:
+    """The newest row of each job, the last loaded of equally new ones, with first_seen_at, last_seen_at, sighting_count, and more aggregates by name.
 
     One partial aggregation, so that a job with very many sightings sends one row a task; it keeps a struct, for which tasks
     sort by job. Columns that aren't wanted should go before: Spark can't prune what a struct holds.
     """
     rest = [c for c in observations.columns if c not in ("job_id", "first_seen_at", "last_seen_at", "sighting_count")]
-    newest = F.max_by(F.struct(*rest), F.struct("observed_at", *seq))
-    return observations.groupBy("job_id").agg(newest.alias("r"), F.min("observed_at").alias("first_seen_at"), F.max("observed_at").alias("last_seen_at"), F.count("*").alias("sighting_count")).select("job_id", "r.*", "first_seen_at", "last_seen_at", "sighting_count")
+    newest = _extreme(observations, True, ["observed_at", *seq], rest)
+    found = observations.groupBy("job_id").agg(newest.alias("r"), F.min("observed_at").alias("first_seen_at"), F.count("*").alias("sighting_count"), *[c.alias(n) for n, c in more.items()])
+    # the newest row's time is the last
+    return found.select("job_id", *[F.col(f"r.{c}") for c in rest], "first_seen_at", F.col("r.observed_at").alias("last_seen_at"), "sighting_count", *more)
 
 
 def with_status(snapshot: DataFrame, run: DataFrame, failed: DataFrame) -> DataFrame:
@@ -65,8 +80,10 @@ def log_of(observations: DataFrame, *seq: str, previous: DataFrame | None = None
         new = union_history(old, new)
     rows = new.crossJoin(F.broadcast(seeded)).where("not seeded_ or order_.part = 1")
     # in an imported log every row is a key of its own
-    first = F.min_by(F.struct(*[F.col(c) for c in new.columns]), "order_")
-    return rows.groupBy("job_id", "observed_at", "run_id", F.when(F.col("seeded_"), F.col("order_")).alias("own_")).agg(first.alias("row_")).select("row_.*")
+    keys = ["job_id", "observed_at", "run_id"]
+    first = _extreme(rows, False, ["order_"], [c for c in new.columns if c not in keys])
+    found = rows.groupBy(*keys, F.when(F.col("seeded_"), F.col("order_")).alias("own_")).agg(first.alias("row_"))
+    return found.select(*[F.col(c if c in keys else f"row_.{c}") for c in new.columns])
 
 
 def rebuild(observations: DataFrame, failed: DataFrame, *seq: str, previous: DataFrame | None = None, run_id: str | None = None) -> DataFrame:
@@ -75,8 +92,7 @@ def rebuild(observations: DataFrame, failed: DataFrame, *seq: str, previous: Dat
     run = latest_run(log, "order_")
     if run_id is not None:
         run = run.withColumn("latest_run", F.lit(run_id))
-    first = log.groupBy("job_id").agg(F.min("order_").alias("first_order"))
-    return with_status(latest(log, "order_").drop("order_").join(first, "job_id"), run, failed)
+    return with_status(latest(log, "order_", first_order=F.min("order_")).drop("order_"), run, failed)
 
 
 def with_descriptions(jobs: DataFrame, descriptions: DataFrame) -> DataFrame:
@@ -102,16 +118,18 @@ def counts_map(jobs: DataFrame, column: str, default: str, name: str) -> DataFra
     return group_counts(jobs, column, default).agg(F.map_from_entries(pairs).alias(name))
 
 
-def summary(jobs: DataFrame, observations: DataFrame, sources: DataFrame) -> DataFrame:
-    """One row of counts over a snapshot, its log and the sources."""
+def summary(jobs: DataFrame, observations: DataFrame | None, sources: DataFrame) -> DataFrame:
+    """One row of counts over a snapshot, its log and the sources. Without the log, its rows are those that the snapshot's jobs have counted."""
+    counted_log = [] if observations is not None else [F.coalesce(F.sum("sighting_count"), F.lit(0)).alias("observations")]
     counted = [
         jobs.agg(
             F.count("*").alias("all_jobs"),
             F.count_if(F.col("observed_status") == SEEN).alias("current_jobs"),
             F.countDistinct(F.nullif(F.col("council_key"), F.lit(""))).alias("councils"),
             F.countDistinct(F.when(F.col("observed_status") == SEEN, F.nullif(F.col("council_key"), F.lit("")))).alias("councils_current"),
+            *counted_log,
         ),
-        observations.agg(F.count("*").alias("observations")),
+        *([] if observations is None else [observations.agg(F.count("*").alias("observations"))]),
         sources.agg(F.count("*").alias("sources_configured")),
     ]
     return reduce(lambda a, b: a.crossJoin(b), counted)

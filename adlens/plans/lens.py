@@ -93,7 +93,9 @@ def _selected(df: DataFrame, columns: dict[str, str], *more: str) -> DataFrame:
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = lambda n: table(spark, sf_dir, n)
     line, orders, customer, nation, part = (t(n) for n in ("lineitem", "orders", "customer", "nation", "part"))
-    joined = line.join(orders, line.l_orderkey == orders.o_orderkey).join(customer, orders.o_custkey == customer.c_custkey).join(nation, customer.c_nationkey == nation.n_nationkey).join(part, line.l_partkey == part.p_partkey)
+    # orders find their customers before lines find their orders: lines, of which there are most, move by order and by part alone
+    placed = orders.join(customer, orders.o_custkey == customer.c_custkey).select("o_orderkey", "o_orderstatus", "o_orderdate", "c_nationkey")
+    joined = line.join(placed, line.l_orderkey == placed.o_orderkey).join(part, line.l_partkey == part.p_partkey).join(nation, placed.c_nationkey == nation.n_nationkey)
     return _selected(joined, SIGHTING, "date_format(o_orderdate, 'yyyy-MM-dd') AS observed_at", "date_format(o_orderdate, 'yyyyMM') AS run_id")
 
 

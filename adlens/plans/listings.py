@@ -56,9 +56,9 @@ def latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def snapshot_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An earlier snapshot and a log that overlaps it, ordered by structs, as listings with their status."""
-    obs = lens.observations(spark, sf_dir).withColumn("seq", F.struct(*lens.SEQ))
+    obs = lens.observations(spark, sf_dir).select("job_id", "observed_at", "run_id", "source_id", *lens.SEQ).withColumn("seq", F.struct(*lens.SEQ))
     # of rows of one job, time and run in the snapshot the first counts, as in a log
-    old = obs.where("run_id < '199501' and l_linenumber < 3").groupBy("job_id", "observed_at", "run_id").agg(F.min_by(F.struct(*[c for c in obs.columns if c not in ("job_id", "observed_at", "run_id")]), "seq").alias("r")).select("job_id", "observed_at", "run_id", "r.*")
+    old = history.dedupe(obs.where("run_id < '199501' and l_linenumber < 3"), "seq")
     jobs = history.rebuild(obs.where("run_id >= '199401'"), failed(spark, sf_dir), "seq", previous=old)
     return jobs.select("job_id", "run_id", "observed_at", "l_orderkey", "first_seen_at", "sighting_count", "observed_status")
 
@@ -67,7 +67,7 @@ def snapshot_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
 def status_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each listing's status: seen, source unavailable, or not seen."""
     obs = lens.observations(spark, sf_dir)
-    return history.with_status(history.latest(obs, *lens.SEQ), history.latest_run(obs, *lens.SEQ), failed(spark, sf_dir)).select("job_id", "run_id", "observed_status")
+    return history.with_status(snapshot(spark, sf_dir, "run_id", "source_id"), history.latest_run(obs, *lens.SEQ), failed(spark, sf_dir)).select("job_id", "run_id", "observed_status")
 
 
 @query(
@@ -77,8 +77,8 @@ def status_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts over snapshot, log and sources, as one row."""
     obs = lens.observations(spark, sf_dir)
-    jobs = history.with_status(history.latest(obs, *lens.SEQ), history.latest_run(obs, *lens.SEQ), failed(spark, sf_dir))
-    return history.summary(jobs, obs, lens.table(spark, sf_dir, "supplier"))
+    jobs = history.with_status(snapshot(spark, sf_dir, "run_id", "source_id", "council_key"), history.latest_run(obs, *lens.SEQ), failed(spark, sf_dir))
+    return history.summary(jobs, None, lens.table(spark, sf_dir, "supplier"))
 
 
 @query(LATEST + "SELECT CASE WHEN classification_status = '' THEN 'unclassified' ELSE classification_status END AS value, count(*) AS n FROM snap GROUP BY 1")
@@ -150,7 +150,7 @@ _SAMPLES = "samples AS (SELECT council_key, band, CAST(salary_lo AS DOUBLE) AS l
 )
 def peer_band_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listings whose pay lies with the peers of another band."""
-    jobs = snapshot(spark, sf_dir).where("band between 1 and 8").select("job_id", "council_key", "band", F.col("salary_lo").cast("double").alias("low"), F.col("salary_hi").cast("double").alias("high"), F.col("job_id").cast("string").alias("identity"), F.lit(False).alias("coupled"))
+    jobs = snapshot(spark, sf_dir, "council_key", "band", "salary_lo", "salary_hi").where("band between 1 and 8").select("job_id", "council_key", "band", F.col("salary_lo").cast("double").alias("low"), F.col("salary_hi").cast("double").alias("high"), F.col("job_id").cast("string").alias("identity"), F.lit(False).alias("coupled"))
     return conflict.conflicts(jobs, jobs).select("job_id", "conflict")
 
 
@@ -226,7 +226,7 @@ def exact_vacancy_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def explore_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first of the rows that are the same vacancy, as the explorer shows them."""
-    return explore.distinct_listings(_vacancies(spark, sf_dir), "seq").select("job_id", F.col("seq.l_orderkey").alias("l_orderkey"))
+    return explore.distinct_listings(_vacancies(spark, sf_dir), "seq", ["job_id", "seq"]).select("job_id", F.col("seq.l_orderkey").alias("l_orderkey"))
 
 
 @query(None)
@@ -277,7 +277,7 @@ def rss_top250(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 250 listings as feed items."""
     from adlens.operators import board
 
-    return board.rss_items(snapshot(spark, sf_dir).withColumns({"url": F.concat(F.lit("https://jobs.example/"), F.col("job_id").cast("string")), "council_name": F.concat("council_key", F.lit(" & Co"))}))
+    return board.rss_items(snapshot(spark, sf_dir, "council_key", "title", "band", "classification_status").withColumns({"url": F.concat(F.lit("https://jobs.example/"), F.col("job_id").cast("string")), "council_name": F.concat("council_key", F.lit(" & Co"))}))
 
 
 @query(

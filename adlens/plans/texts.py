@@ -224,7 +224,7 @@ def evidence_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listings in their latest state, as the board takes them."""
     none = F.lit(None).cast("string")
-    s = listings.snapshot(spark, sf_dir)
+    s = listings.snapshot(spark, sf_dir, "title", "council_key", "source_id", "run_id", "classification_status", "band", "salary_lo", "salary_hi")
     return s.select(
         "job_id", F.concat(F.lit("Officer "), F.col("title")).alias("title"), F.concat(F.lit("https://jobs.example/"), F.col("job_id").cast("string")).alias("url"), "council_key", F.lit("generic").alias("source_platform"), F.col("source_id").cast("string").alias("source_id"), none.alias("source_strategy"),
         F.when(F.col("run_id") >= "199801", "seen_latest_run").otherwise("not_seen_latest_run").alias("observed_status"), "classification_status", F.when(F.col("band").between(1, 8), F.col("band")).alias("band"),
@@ -267,7 +267,8 @@ _REPORT = (
 def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs = _jobs(spark, sf_dir).drop("conflict")
     told = F.when(F.col("job_id") % 3 == 0, F.concat(F.lit("A band "), F.col("band").cast("string"), F.lit(" role at "), F.col("advertised_salary_text")))
-    return report.normalised(jobs.withColumns({"title": F.concat("title", F.lit(" "), F.col("job_id").cast("string")), "description_excerpt": told}))
+    # written once: conflicts, rows and the report each read it
+    return report.normalised(written(jobs.withColumns({"title": F.concat("title", F.lit(" "), F.col("job_id").cast("string")), "description_excerpt": told})))
 
 
 @query(_REPORT + " SELECT job_id, band, classification_status FROM r")
@@ -304,7 +305,7 @@ def board_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def salary_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where listings stand on the chart of pay."""
     r = money.annual_range(F.col("salary_lo").cast("double"), F.col("salary_hi").cast("double"), F.col("period"))
-    return listings.snapshot(spark, sf_dir).select("job_id", r.alias("r")).where("r is not null").select("job_id", money.clamp(F.lit(100) * (F.col("r.low") - 40000) / 60000.0, 1.5, 98.5).alias("x"))
+    return listings.snapshot(spark, sf_dir, "salary_lo", "salary_hi", "period").select("job_id", r.alias("r")).where("r is not null").select("job_id", money.clamp(F.lit(100) * (F.col("r.low") - 40000) / 60000.0, 1.5, 98.5).alias("x"))
 
 
 @query("SELECT event_type, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM events GROUP BY 1, 2")
@@ -360,7 +361,7 @@ def probable_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def salary_axis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ends of the axis of pay for each council."""
-    ends = listings.snapshot(spark, sf_dir).groupBy("council_key").agg(F.min("salary_lo").alias("a"), F.max("salary_hi").alias("b"))
+    ends = listings.snapshot(spark, sf_dir, "council_key", "salary_lo", "salary_hi").groupBy("council_key").agg(F.min("salary_lo").alias("a"), F.max("salary_hi").alias("b"))
     return ends.select("council_key", explore.axis(F.col("a"), F.col("b")).alias("x"), money.compact_label(F.col("a")).alias("label")).select("council_key", F.col("x.low").cast("long").alias("low"), F.col("x.high").cast("long").alias("high"), "label")
 
 
