@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from adlens.functions.text import compact
+from adlens.functions.text import compact, once
 
 #: Hints, and the two ways in which a date is written.
 HINT = r"\b(?:closing|closes|applications close|apply by|deadline|closing date)\b.{0,120}"
@@ -34,9 +34,8 @@ def closing_date(*texts: Column) -> Column:
     """The first date after a hint or, failing that, in the whole text; texts in order."""
     tries = []
     for text in texts:
-        clean = compact(text)
-        candidates = F.concat(F.regexp_extract_all(clean, F.lit("(?i)" + HINT), F.lit(0)), F.array(clean))
-        tries.append(F.get(F.filter(F.transform(candidates, parsed), lambda d: d.isNotNull()), F.lit(0)))
+        candidates = lambda clean: F.concat(F.regexp_extract_all(clean, F.lit("(?i)" + HINT), F.lit(0)), F.array(clean))
+        tries.append(F.get(F.filter(F.transform(once(compact(text), candidates), parsed), lambda d: d.isNotNull()), F.lit(0)))
     return F.coalesce(*tries)
 
 

@@ -30,7 +30,7 @@ def _amount(digits: Column, k: Column) -> Column:
 
 def _is_reference(evidence: Column, low: Column, high: Column) -> Column:
     plain = F.regexp_replace(compact(evidence), "[–—]", "-")
-    return ~plain.contains("$") & plain.rlike(REFERENCE) & (low <= 999) & high.between(2000, 2099)
+    return (low <= 999) & high.between(2000, 2099) & once(plain, lambda p: ~p.contains("$") & p.rlike(REFERENCE))
 
 
 def _nearest_period(before: Column, evidence: Column, after: Column) -> Column:
@@ -52,15 +52,14 @@ def inferred_period(low: Column, high: Column, context: Column) -> Column:
 
 def _shown(before: Column, evidence: Column, after: Column) -> Column:
     """The words around an amount that belong to it."""
-    prefix = F.regexp_replace(before, "^.*[.;]", "")
-    prefix = F.when(prefix.contains("$") | (F.length(prefix) > 35) | prefix.rlike(r"(?i)\bband\s*[1-8]\b"), "").otherwise(prefix)
+    prefix = once(F.regexp_replace(before, "^.*[.;]", ""), lambda p: F.when(p.contains("$") | (F.length(p) > 35) | p.rlike(r"(?i)\bband\s*[1-8]\b"), "").otherwise(p))
     suffix = F.regexp_replace(after, r"(?i)\b(p)\.(\s*a)\.(?=\s|$|\+)", "$1\u0001$2\u0001")
     suffix = F.regexp_replace(suffix, r"(?i)\b(p)\.(\s*a)(?=\s|$|\+)", "$1\u0001$2")
     suffix = F.regexp_replace(suffix, r"(?i)\b(p\s*a)\.(?=\s|$|\+)", "$1\u0001")
     suffix = F.replace(F.regexp_replace(suffix, r"(?:(?<!\d)\.(?!\d)|;).*$", ""), F.lit("\u0001"), F.lit("."))
-    suffix = F.when(evidence.rlike(r"\d{1,3},\d{3}$"), F.regexp_replace(suffix, r"^\d+\b", "")).otherwise(suffix)
+    suffix = once(suffix, lambda s: F.when(evidence.rlike(r"\d{1,3},\d{3}$"), F.regexp_replace(s, r"^\d+\b", "")).otherwise(s))
     suffix = F.regexp_replace(suffix, f"(?:{MARKERS}).*$", "")
-    suffix = F.when(suffix.rlike(r"(?i)\b(p\.?\s*a\.?|per annum|annum|year)\b") & suffix.rlike(r"\(\s*\$?\d"), F.regexp_replace(suffix, r" \(.*$", "")).otherwise(suffix)
+    suffix = once(suffix, lambda s: F.when(s.rlike(r"(?i)\b(p\.?\s*a\.?|per annum|annum|year)\b") & s.rlike(r"\(\s*\$?\d"), F.regexp_replace(s, r" \(.*$", "")).otherwise(s))
     return F.substring(compact(F.concat(prefix, evidence, suffix)), 1, 300)
 
 

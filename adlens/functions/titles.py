@@ -124,17 +124,19 @@ def from_url(c: Column, council: Column | None = None) -> Column:
 
 def from_text(c: Column) -> Column:
     """The title that a page or document starts with, or empty: after its heading, or before the first mark of pay or terms."""
-    heading = lambda t, p: clean(cased(F.filter(F.split(F.lower(F.regexp_extract(t, "(?i)" + p, 1)), " "), lambda w: w != "")))
+    spelt = lambda h: clean(cased(F.filter(F.split(F.lower(h), " "), lambda w: w != "")))
+    heading = lambda t, p: once(F.regexp_extract(t, "(?i)" + p, 1), lambda h: F.when(h != "", role(spelt(h))))
     short = lambda t: F.regexp_replace(F.regexp_replace(F.regexp_replace(t, LEAD_END, ""), r" (?:\||-) .*$", ""), r"(?i)^New to you\s+", "")
-    lead = lambda t: clean(F.regexp_extract(t, LEAD, 1))
+    lead = lambda t: once(F.regexp_extract(t, LEAD, 1), lambda h: F.when(h != "", role(clean(h))))
     role = lambda x: once(x, lambda y: F.when(is_role(y), y))
-    return once(compact(c), lambda t: F.coalesce(*[role(heading(t, p)) for p in HEADINGS], once(F.trim(short(t)), lambda s: F.coalesce(role(lead(s)), role(s))), F.lit("")))
+    return once(compact(c), lambda t: F.coalesce(*[heading(t, p) for p in HEADINGS], once(F.trim(short(t)), lambda s: F.coalesce(lead(s), role(s))), F.lit("")))
 
 
 def best(primary: Column, url: Column, fallback: Column | None = None, council: Column | None = None, body: Column | None = None) -> Column:
-    """The title of a listing: its own if that names a role, else what the address, the body or the fallback says."""
+    """The title of a listing: its own if that names a role, else what the address, the body or the fallback says; each is looked at only if those before it name none."""
+    role = lambda c: once(c, lambda t: F.when(is_role(t), t))
+    told = [role(from_text(body))] if body is not None else []
     other = clean(fallback, council) if fallback is not None else F.lit("")
-    told = from_text(body) if body is not None else F.lit("")
-    parts = F.struct(clean(primary, council).alias("own"), from_url(url, council).alias("spelt"), told.alias("told"), other.alias("other"))
-    tried = once(parts, lambda b: F.coalesce(*[F.when(is_role(b[x]), b[x]) for x in ("own", "spelt", "told", "other")], F.nullif(b["own"], F.lit("")), b["other"]))
+    last = lambda own: once(other, lambda o: F.coalesce(F.when(is_role(o), o), F.when(own != "", own), o))
+    tried = once(clean(primary, council), lambda own: F.coalesce(F.when(is_role(own), own), role(from_url(url, council)), *told, last(own)))
     return excerpt(tried, 140)

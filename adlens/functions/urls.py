@@ -20,15 +20,17 @@ def part(url: Column, i: int) -> Column:
 
 def canonical(c: Column) -> Column:
     """Lower-case host, no final slash, no fragment, no tracking parameters."""
-    url = compact(c)
+    return once(compact(c), _canonical)
+
+
+def _canonical(url: Column) -> Column:
     query = F.array_join(F.filter(F.split(part(url, 4), "&"), lambda p: (p != "") & ~F.lower(p).rlike("^(utm_|fbclid=|gclid=)")), "&")
-    path = F.regexp_replace(part(url, 3), "/+$", "")
-    scheme = part(url, 1)
+    said = lambda c, f: once(c, lambda t: F.when(t == "", "").otherwise(f(t)))
     return F.concat(
-        F.when(scheme == "", "").otherwise(F.concat(F.lower(scheme), F.lit(":"))),
-        F.when(part(url, 2) == "", "").otherwise(F.concat(F.lit("//"), F.lower(part(url, 2)))),
-        F.when(path == "", "/").otherwise(path),
-        F.when(query == "", "").otherwise(F.concat(F.lit("?"), query)),
+        said(part(url, 1), lambda t: F.concat(F.lower(t), F.lit(":"))),
+        said(part(url, 2), lambda t: F.concat(F.lit("//"), F.lower(t))),
+        once(F.regexp_replace(part(url, 3), "/+$", ""), lambda t: F.when(t == "", "/").otherwise(t)),
+        said(query, lambda t: F.concat(F.lit("?"), t)),
     )
 
 

@@ -79,7 +79,7 @@ def build(jobs: DataFrame) -> DataFrame:
 
 
 def month_counts(board: DataFrame) -> DataFrame:
-    return board.groupBy(dates.month_key(F.col("canonical_reference_month")).alias("month")).agg(F.count("*").alias("n")).orderBy("month")
+    return board.select(dates.month_key(F.col("canonical_reference_month")).alias("month")).groupBy("month").agg(F.count("*").alias("n")).orderBy("month")
 
 
 def board_summary(board: DataFrame, sources: DataFrame) -> DataFrame:

@@ -119,4 +119,4 @@ def listed(jobs: DataFrame, collation: str | None = "UNICODE") -> DataFrame:
     """Junk titles last, then by council and title."""
     junk = F.lower(text.compact(F.col("title"))).isin("breadcrumb", "skip to content").cast("int")
     by = (lambda c: F.collate(F.coalesce(F.col(c), F.lit("")), collation)) if collation else (lambda c: F.coalesce(F.col(c), F.lit("")))
-    return jobs.orderBy(junk, by("council_key"), by("title"))
+    return jobs.withColumn("junk_", junk).orderBy("junk_", by("council_key"), by("title")).drop("junk_")

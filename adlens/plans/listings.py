@@ -90,7 +90,7 @@ def status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"{OBS} SELECT substr(observed_at, 1, 7) AS month, count(*) AS n FROM obs GROUP BY 1")
 def month_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sightings by month."""
-    return lens.observations(spark, sf_dir).groupBy(dates.month_key(F.col("observed_at")).alias("month")).agg(F.count("*").alias("n"))
+    return lens.observations(spark, sf_dir).select(dates.month_key(F.col("observed_at")).alias("month")).groupBy("month").agg(F.count("*").alias("n"))
 
 
 @query(LATEST + "SELECT council_key, count(*) AS n FROM snap WHERE band = 3 AND salary_lo > 50000 GROUP BY 1")

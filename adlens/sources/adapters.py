@@ -133,7 +133,7 @@ def _followed(listings: DataFrame, most: int) -> DataFrame:
 def answered(pages: DataFrame) -> DataFrame:
     """Pages by canonical address (at), one an address, without those whose site refused to answer."""
     good = pages.where(~F.coalesce(files.is_blocked(F.col("status"), F.col("html")), F.lit(False))) if "status" in pages.columns else pages
-    return good.groupBy(urls.canonical(F.col("url")).alias("at")).agg(F.min("html").alias("html"))
+    return good.select(urls.canonical(F.col("url")).alias("at"), "html").groupBy("at").agg(F.min("html").alias("html"))
 
 
 def crawled(listings: DataFrame, pages: DataFrame, most: int = MOST_LINKS) -> DataFrame:

@@ -103,7 +103,8 @@ def feed_candidates(listings: DataFrame, pages: DataFrame, entries: bool = False
         # an address without a title, as in site maps, speaks for itself
         found = found.unionByName(listed.withColumn("title", F.when(F.col("title") == "", F.col("link")).otherwise(F.col("title"))))
     jobs = files.job_links(found).withColumn("k", F.row_number().over(Window.partitionBy("page_id").orderBy("pos"))).where(F.col("k") <= min(MOST_LINKS, MOST_DETAILS))
-    first = jobs.groupBy(F.col("page_id.source_id").alias("source_id"), urls.canonical(F.col("link")).alias("at")).agg(F.min(F.struct("page_id.feed", "k", "link")).alias("f"))
+    placed = jobs.select("page_id.source_id", "page_id.feed", "k", "link", urls.canonical(F.col("link")).alias("at"))
+    first = placed.groupBy("source_id", "at").agg(F.min(F.struct("feed", "k", "link")).alias("f"))
     return adapters.details(first.join(site, "at").select("source_id", F.col("f.link").alias("url"), "html"))
 
 

@@ -71,7 +71,7 @@ def descriptions(spark: SparkSession, path: str) -> DataFrame:
 def seed_sources(seed: DataFrame, sources: DataFrame, *seq: str) -> DataFrame:
     """Seed rows with the last source of the same name; rows without one get a source of their own."""
     named = text.key(F.coalesce(F.nullif("short_name", F.lit("")), F.col("council_name")))
-    last = sources.groupBy(named.alias("name_")).agg(F.max_by("source_id", F.struct(*seq)).alias("found_"))
+    last = sources.withColumn("name_", named).groupBy("name_").agg(F.max_by("source_id", F.struct(*seq)).alias("found_"))
     j = seed.withColumn("name_", named).join(last, "name_", "left")  # broadcast by Spark where it is small
     own = F.concat(F.lit("seed-"), text.stable_hash(F.col("name_"), length=16))
     return j.withColumn("source_id", F.coalesce("found_", own)).drop("name_", "found_")

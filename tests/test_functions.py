@@ -152,3 +152,13 @@ def test_pay_is_read_by_all_tasks(spark, tmp_path):
     spark.range(50).selectExpr("id AS p_partkey", "'a b' AS p_name", "CAST(id % 10 AS INT) AS p_size").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
     for q in (texts.salary_extract, texts.salary_normalise):
         assert q(spark, str(tmp_path)).rdd.getNumPartitions() == 4
+
+
+def test_texts_are_worked_out_once(spark):
+    x = F.col("x")
+    # each look at a text stands for itself: nested ones add up and don't multiply
+    assert str(text.compact(text.compact(text.compact(x)))).count("Normalizer") == 3
+    assert str(titles.clean(titles.clean(x))).count("Normalizer") == 2 * str(titles.clean(x)).count("Normalizer")
+    assert str(urls.canonical(text.excerpt(x, 300))).count("Normalizer") == 2
+    assert len(str(titles.best(x, x, body=x))) < 60_000
+    assert len(str(salary.extract(x))) < 30_000
