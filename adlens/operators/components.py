@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlens.operators.staging import written
+from adlens.operators.staging import stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -15,17 +15,17 @@ def components(edges: DataFrame) -> DataFrame:
     ones and itself. Rounds grow with the logarithm of the longest path, edges never become more, and a node with very many
     neighbours sends one minimum a task.
     """
-    nodes = written(edges.select(F.col("u").alias("node")).union(edges.select("v")).distinct())
-    now = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    nodes = stored(edges.select(F.col("u").alias("node")).union(edges.select("v")).distinct())
+    now = stored(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     state = None
     while True:
         both = now.union(now.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m_")).select("u", F.least("u", "m_").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = written(large)
+        large = stored(large)
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = written(small.union(low).distinct())
+        now = stored(small.union(low).distinct())
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if seen == state:
             break

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from adlens.functions import band, money, text, urls
 from adlens.operators import gates
 from adlens.operators.greedy import chosen
-from adlens.operators.staging import written
+from adlens.operators.staging import stored, written
 
 
 def quality_score() -> Column:
@@ -52,8 +52,8 @@ def _cells(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     fifth, and one more, of the shorter: any that are alike do.
     """
     own = ["aspect", "words_", "mirror_", "soft_", "hard_"]
-    each = written(rows.where("size(words_) > 0").select("row", F.explode("aspects_").alias("aspect"), F.array_sort("words_").alias("words_"), "mirror_", "soft_", "hard_"))
-    cells = written(each.select(*own).distinct().withColumn("cell", F.monotonically_increasing_id()))
+    each = stored(rows.where("size(words_) > 0").select("row", F.explode("aspects_").alias("aspect"), F.array_sort("words_").alias("words_"), "mirror_", "soft_", "hard_"))
+    cells = stored(each.select(*own).distinct().withColumn("cell", F.monotonically_increasing_id()))
     named = cells.select("cell", "aspect", F.size("words_").alias("n"), F.explode("words_").alias("word"))
     counts = named.groupBy("word").agg(F.count("*").alias("count"))
     rare = named.join(counts, "word").groupBy("cell", "aspect", "n").agg(F.array_sort(F.collect_list(F.struct("count", "word"))).alias("by"))
@@ -66,7 +66,7 @@ def _cells(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     weak = F.when(i("mirror_"), i("soft_") & h("hard_")).otherwise(h("mirror_") & h("soft_") & i("hard_"))
     same = F.when(kind == "d", i("mirror_") | h("mirror_")).when(kind == "w", weak).otherwise(F.lit(True))
     found = both.join(side("incoming"), "incoming").join(side("holder"), "holder").where(text.alike(i("words_"), h("words_")) & same)
-    return each.join(cells, own).select("row", "cell"), written(found.select("incoming", "holder"))
+    return each.join(cells, own).select("row", "cell"), stored(found.select("incoming", "holder"))
 
 
 def _aspects() -> Column:
@@ -91,14 +91,14 @@ def dedupe(rows: DataFrame, seq: str) -> DataFrame:
         pay_signature().alias("pay_"), band.parse(F.col("standard_band_number")).isNotNull().alias("band_"), F.col("seq_").cast("long").alias("row"),
     )
     told = F.col("band_") | F.greatest(*[F.length(c) for c in DETAILS if c != "place_"]).cast("boolean")
-    keys = written(keys.withColumns({"soft_": ~told, "hard_": told | (F.col("place_") != "")}))
+    keys = stored(keys.withColumns({"soft_": ~told, "hard_": told | (F.col("place_") != "")}))
     page = F.array(F.concat_ws("\x1f", F.lit("p"), "council_", "path_"))
     first = chosen(keys.select("row", "score"), *_cells(keys.withColumn("aspects_", page)))
     # pages come in the order of their first rows
     pages = keys.groupBy(F.col("council_").alias("c_"), F.col("path_").alias("p_")).agg(F.min("row").alias("page"))
     councils = keys.groupBy(F.col("council_").alias("k_")).agg(F.bool_or("mirror_").alias("mirrors_"), F.bool_or(F.col("mirror_") & F.col("soft_")).alias("softs_"))
     rest = keys.join(first, "row").join(pages, (F.col("council_") == F.col("c_")) & (F.col("path_") == F.col("p_"))).join(councils, F.col("council_") == F.col("k_"))
-    rest = written(rest.withColumn("seq_", F.col("row")).withColumn("row", F.struct("page", "place")))
+    rest = stored(rest.withColumn("seq_", F.col("row")).withColumn("row", F.struct("page", "place")))
     last = chosen(rest.select("row", "score"), *_cells(rest.withColumn("aspects_", _aspects())))
     kept = rest.join(last.select("row"), "row", "left_semi").select("seq_")
     return exact.join(kept, "seq_", "left_semi").drop("score_", "seq_")

@@ -18,15 +18,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlens.operators.components import components
-from adlens.operators.staging import written
+from adlens.operators.staging import stored
 
 
 def linked(cells: DataFrame, adjacent: DataFrame) -> DataFrame:
     """row and group (the least cell that chains of adjacent cells lead to) of the rows that may be the same as another."""
     counts = cells.groupBy("cell").agg(F.count("*").alias("n"))
     pairs = adjacent.join(counts, adjacent.incoming == counts.cell).where("incoming <> holder or n > 1").select("incoming", "holder")
-    active = written(pairs.select(F.col("incoming").alias("cell")).union(pairs.select("holder")).distinct())
-    own = written(cells.join(active, "cell", "left_semi"))
+    active = stored(pairs.select(F.col("incoming").alias("cell")).union(pairs.select("holder")).distinct())
+    own = stored(cells.join(active, "cell", "left_semi"))
     firsts = own.groupBy("row").agg(F.min("cell").alias("u"))
     edges = own.join(firsts, "row").select("u", F.col("cell").alias("v")).union(pairs)
     found = components(edges.distinct())
@@ -39,15 +39,15 @@ def chosen(rows: DataFrame, cells: DataFrame, adjacent: DataFrame) -> DataFrame:
     rows: row, of any type that sorts, in the order in which they come, and score; cells: row, cell (a number); adjacent: incoming and
     holder, cells of rows that are the same when one comes in and the other holds a place. Rows of no adjacent cell keep their own place.
     """
-    groups = written(linked(cells, adjacent))
+    groups = stored(linked(cells, adjacent))
     alone = rows.join(groups, "row", "left_anti").select(F.col("row").alias("place"), "row")
-    left = written(rows.join(groups, "row"))
-    cells = written(cells.join(groups.select("row"), "row", "left_semi"))
-    either = written(adjacent.union(adjacent.select("holder", "incoming")).distinct())
-    holders = written(left.select(F.col("row").alias("place"), F.col("row").alias("holder"), "score").limit(0))
+    left = stored(rows.join(groups, "row"))
+    cells = stored(cells.join(groups.select("row"), "row", "left_semi"))
+    either = stored(adjacent.union(adjacent.select("holder", "incoming")).distinct())
+    holders = stored(left.select(F.col("row").alias("place"), F.col("row").alias("holder"), "score").limit(0))
     while not left.isEmpty():
-        at = written(holders.join(cells, F.col("holder") == F.col("row")).select("cell", "place", "holder", "score"))
-        mine = written(left.join(cells, "row").select("row", "cell", "score"))
+        at = stored(holders.join(cells, F.col("holder") == F.col("row")).select("cell", "place", "holder", "score"))
+        mine = stored(left.join(cells, "row").select("row", "cell", "score"))
         # the first place whose holder is the same as the row
         first = at.groupBy("cell").agg(F.min(F.struct("place", "holder", "score")).alias("first"))
         seen = adjacent.join(first, F.col("holder") == F.col("cell")).groupBy("incoming").agg(F.min("first").alias("first"))
@@ -61,15 +61,15 @@ def chosen(rows: DataFrame, cells: DataFrame, adjacent: DataFrame) -> DataFrame:
         comes = adjacent.join(comes, F.col("incoming") == F.col("cell")).select(F.col("holder").alias("cell"), "row", F.col("score").alias("other"))
         threat = at.join(comes, "cell").groupBy("holder").agg(F.min("row").alias("waits"), F.min(F.when(F.col("other") > F.col("score"), F.col("row"))).alias("threat"))
         now = left.join(sees, "row").join(threat, F.col("first.holder") == F.col("holder"), "left").drop("holder")
-        now = written(now.withColumn("changes", F.col("first").isNull() | (F.col("score") > F.col("first.score"))))
+        now = stored(now.withColumn("changes", F.col("first").isNull() | (F.col("score") > F.col("first.score"))))
         change = now.where("changes").groupBy("group").agg(F.min("row").alias("change"))
         not_before = lambda c: F.coalesce(c >= F.col("row"), F.lit(True))
         free = not_before(F.col("before")) & not_before(F.when(F.col("changes"), F.col("waits")).otherwise(F.col("threat")))
         settled = F.col("change").isNull() | (F.col("row") <= F.col("change")) | free
-        now = written(now.join(change, "group", "left").withColumn("settled", settled))
+        now = stored(now.join(change, "group", "left").withColumn("settled", settled))
         changed = now.where("settled and changes")
         takes = changed.where("first is not null").select(F.col("first.place").alias("place"), F.col("row").alias("new"), F.col("score").alias("new_score"))
         kept = holders.join(takes, "place", "left").select("place", F.coalesce("new", "holder").alias("holder"), F.coalesce("new_score", "score").alias("score"))
-        holders = written(kept.union(changed.where("first is null").select("row", "row", "score")))
-        left = written(now.where("not settled").select("row", "score", "group"))
+        holders = stored(kept.union(changed.where("first is null").select("row", "row", "score")))
+        left = stored(now.where("not settled").select("row", "score", "group"))
     return holders.select("place", F.col("holder").alias("row")).union(alone)

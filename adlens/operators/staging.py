@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +27,17 @@ def written(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """df, kept as files beside the checkpoints and read again, for frames that a loop makes of one another.
+
+    A checkpoint cuts lineage but hands on what was known of the frame (constraints, partitioning, order). Rounds over checkpoints took
+    longer and longer over the same rows, over files they don't. Files hand on nothing but their size.
+    """
+    path = f"{folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rows dealt to as many tasks as a shuffle has: a small file is read by one task, however much work a row of it is."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

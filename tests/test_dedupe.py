@@ -149,3 +149,14 @@ def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([], SCHEMA)
     plan = dedupe.dedupe(df, "seq")._jdf.queryExecution().toString()
     assert "Pandas" not in plan and "Python" not in plan and dedupe.dedupe(df, "seq").count() == 0
+
+
+def test_rounds_hand_on_no_conclusions(spark):
+    # each row is better than the one before and like it alone: one more change of the same place a row
+    rows = spark.range(7).selectExpr("id AS row", "id AS score")
+    cells = spark.range(7).selectExpr("id AS row", "id AS cell")
+    adjacent = spark.range(7).selectExpr("id AS incoming", "explode(array(id - 1, id, id + 1)) AS holder").where("holder BETWEEN 0 AND 6")
+    out = greedy.chosen(rows, cells, adjacent)
+    assert [tuple(r) for r in out.collect()] == [(0, 6)]
+    # what a checkpoint hands on lies in the plan's LogicalRDD; files have none
+    assert "LogicalRDD" not in out._jdf.queryExecution().optimizedPlan().toString()
