@@ -1,19 +1,23 @@
 """Interpolated modified Kneser-Ney model of word pairs or triples, counted in Spark, and log probabilities under it.
 
-Tasks count the pairs of the texts they read and send them, as arrays, to shards by a hash of the first word
-(spread over more shards each the more there are, so that a frequent word fills none). A shard adds up its pairs, writes them as
-a sorted array of hashes with their counts into the shared folder, and sends on what it has for each word: how
-often it follows and leads, with how many partners. Shards by word add those up and write the word table. For
-scoring, workers map these files into memory and look pairs and words up by binary search.
-
-With the order 3, triples are counted first, in shards by a hash of the two words before: these hold all triples of
-a context, so that its sums lie beside them and are sent nowhere. A shard sends on in how many contexts each pair
-stands, as its count (pairs at the beginning of a text keep their own), and how often, for the words' counts.
+A first pass counts words. Shards by a hash of the word write the word table and number their words by falling count, so
+that frequent words have small numbers. A second pass counts triples of these numbers: tasks sort what they have, and send it
+to shards by the word between, as differences that are compressed (some 3 bytes a triple); words that are frequent are spread
+over more shards by the third word, the more the more frequent, so that none fills a shard. A shard has all triples of
+a pair (its two last words), and so in how many contexts that stands, which is its count (pairs at the beginning of a text
+keep their own). It writes one file: its words between, for each the words after, and for each of those the words before with counts.
+
+What a context sums up to lies beside them, unless its last word is spread: then shards send on their parts, and shards by
+context add them up. Shards send on what they have for each word, too: how often it follows and leads, with how many partners.
+Words that come after are found by binary search in files that workers map into memory.
+
+With the order 2 there is nothing before a pair, and its count is how often it occurs.
 """
 
 from __future__ import annotations
 
 import atexit
+import json
 import os
 import shutil
 import uuid
@@ -30,16 +34,17 @@ from adlens.llm.common import join2, mix, shared_dir, slices, word_hashes
 
 #: Stand for the end of a text, a token, and for its beginning, which is none.
 END, BEGIN = (mix(np.array([x], np.uint64))[0] for x in (1, 2))
-#: The pairs of one first word are spread over SALTS shards, or over one of so many shards where that is more.
-SALTS, OF_SHARDS = 8, 16
-#: Bytes of text for each shard.
-SHARD_BYTES = 16 << 20
-#: Tokens counted together in a task.
-CHUNK = 1_000_000
+#: A word is spread over one more shard for each so many times that it occurs.
+PART = 1 << 18
+#: Bytes of text for each shard of triples; shards of words are of four times as many.
+SHARD_BYTES = 32 << 20
+#: Tokens, and different words, counted together in a task.
+CHUNK, WORDS_CHUNK = 3_000_000, 1_000_000
 U64, U32, U8 = np.uint64, np.uint32, np.uint8
-#: What is kept of a triple's context: how often it stands, with how many words once, twice and more.
+#: The number of a word that isn't in the table.
+NEVER = 0xFFFFFFFF
+#: What is kept of a context: how often it stands, with how many words once, twice and more.
 SUMS = ("count", "ones", "twos", "more")
-WORD_COLUMNS = ("count", "follows", "leads", "ones", "twos", "more")
 
 
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -50,29 +55,76 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     is_end = np.zeros(len(out), bool)
     is_end[off[1:] - 1] = True
     out[~is_end], out[is_end] = words, END
-    before = np.concatenate([[BEGIN], out[:-1]]).astype(U64)[: len(out)]
-    before[off[:-1]] = BEGIN
-    return out, before, off
+    return out, before(out, off), off
 
 
-def further(lead: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """What stands two before each token and before it, as one hash."""
-    back = np.concatenate([[BEGIN], lead[:-1]]).astype(U64)[: len(lead)]
-    back[off[:-1]] = BEGIN
-    return join2(back, lead)
+def before(x: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """What stands before each of x in its row."""
+    out = np.concatenate([[BEGIN], x[:-1]]).astype(U64)[: len(x)]
+    out[off[:-1]] = BEGIN
+    return out
 
 
-def shard_of(lead: np.ndarray, word: np.ndarray, shards: int) -> np.ndarray:
-    salts = max(SALTS, shards // OF_SHARDS)
-    return ((mix(lead) % U64(shards) + (mix(word ^ U64(0x5851F42D4C957F2D)) % U64(salts)) * U64(max(1, shards // salts))) % U64(shards)).astype(np.int32)
+def paired(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return a.astype(U64) << U64(32) | b.astype(U64)
 
 
-def _added(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Sorted distinct keys, where each first stood, and the sums of the values by key."""
-    order = np.argsort(keys, kind="stable")
-    k = keys[order]
-    heads = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.empty(0, np.int64)
-    return (k[heads], order[heads], *(np.add.reduceat(v[order], heads) if len(heads) else v[:0] for v in values))
+def shard_of(lead: np.ndarray, word: np.ndarray, seen: np.ndarray, shards: int, part: int) -> np.ndarray:
+    """Of pairs of words' numbers; seen: how often the first of them occurs."""
+    spread = np.minimum(shards, 1 + seen // part).astype(U64)
+    return ((mix(lead.astype(U64)) + mix(word.astype(U64) ^ U64(0x5851F42D4C957F2D)) % spread) % U64(shards)).astype(np.int32)
+
+
+def _heads(*keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin."""
+    new = np.zeros(len(keys[0]), bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(new)
+
+
+def _runs(heads: np.ndarray, n: int) -> np.ndarray:
+    return np.diff(np.append(heads, n))
+
+
+def _summed(v: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(v, heads) if len(heads) else v[:0]
+
+
+def _sums(n: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """SUMS of each run of counts, a row each."""
+    ones, twos = (_summed((n == x).astype(np.int64), heads) for x in (1, 2))
+    return np.stack([_summed(n, heads), ones, twos, _runs(heads, len(n)) - ones - twos])
+
+
+CODEC = pa.Codec("zstd", 1)
+
+
+def packed(x: np.ndarray, kind: type = U32) -> bytes:
+    """Compressed, all lowest bytes first."""
+    x = np.ascontiguousarray(x.astype(kind))
+    return bytes([x.itemsize]) + len(x).to_bytes(8, "little") + CODEC.compress(x.view(U8).reshape(-1, x.itemsize).T.tobytes(), asbytes=True)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    size, n = data[0], int.from_bytes(data[1:9], "little")
+    raw = np.frombuffer(CODEC.decompress(data[9:], size * n, asbytes=True), U8)
+    return np.ascontiguousarray(raw.reshape(size, n).T).view(f"<u{size}").ravel().astype(np.int64)
+
+
+def _steps(x: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Differences within the runs of an array that rises in each."""
+    x = x.astype(np.int64)
+    out = np.diff(x, prepend=0)
+    out[heads] = x[heads]
+    return out
+
+
+def _risen(steps: np.ndarray, runs: np.ndarray) -> np.ndarray:
+    up = np.cumsum(steps)
+    heads = np.cumsum(runs) - runs
+    return up - np.repeat((up - steps)[heads], runs)
 
 
 def _bytes(path: str, data: bytes) -> None:
@@ -92,53 +144,205 @@ def _bytes(path: str, data: bytes) -> None:
     os.replace(part, path)
 
 
-def _mapped(path: str, kind: str) -> np.ndarray:
-    """The array in a file: mapped into memory where the shared folder is a file system, else read from the store. A missing file is empty."""
+def _write(path: str, arrays: dict[str, np.ndarray]) -> None:
+    """One file of arrays, each at a multiple of 8 bytes, after a list of them."""
+    at, listed, parts = 0, {}, []
+    for name, x in arrays.items():
+        listed[name] = (x.dtype.str, at, x.shape)
+        parts.append(x.tobytes() + b"\0" * (-x.nbytes % 8))
+        at += len(parts[-1])
+    top = json.dumps(listed).encode()
+    top += b" " * (-len(top) % 8)
+    _bytes(path, b"".join([len(top).to_bytes(8, "little"), top, *parts]))
+
+
+def _arrays(path: str) -> dict[str, np.ndarray]:
+    """The arrays of a file: mapped into memory where the shared folder is a file system, else read from the store."""
     if "://" in path:
         from pyarrow import fs
 
         system, at = fs.FileSystem.from_uri(path)
-        if system.get_file_info(at).type == fs.FileType.NotFound:
-            return np.empty(0, kind)
         with system.open_input_file(at) as f:
-            return np.frombuffer(f.read(), kind)
-    return np.memmap(path, kind, "r") if os.path.exists(path) and os.path.getsize(path) else np.empty(0, kind)
+            data = np.frombuffer(f.read(), U8)
+    else:
+        data = np.asarray(np.memmap(path, U8, "r"))
+    top = 8 + int.from_bytes(data[:8].tobytes(), "little")
+    listed = json.loads(data[8:top].tobytes())
+    return {name: np.ndarray(shape, kind, data, top + at) for name, (kind, at, shape) in listed.items()}
 
 
-def _store(path: str, n: np.ndarray) -> None:
+def _small(name: str, n: np.ndarray) -> dict[str, np.ndarray]:
     """Counts as bytes, those of 255 or more in a table beside."""
-    _bytes(f"{path}.n", np.minimum(n, 255).astype(U8).tobytes())
-    _bytes(f"{path}.large", np.stack([np.flatnonzero(n >= 255), n[n >= 255]]).astype("<u8").T.tobytes())
+    large = np.flatnonzero(n >= 255)
+    return {name: np.minimum(n, 255).astype(U8), f"{name}+": np.stack([large, n[large]]).astype("<u8")}
+
+
+def counts(arrays: dict[str, np.ndarray], name: str, at: np.ndarray) -> np.ndarray:
+    n, large = arrays[name][at].astype(np.int64), arrays[f"{name}+"]
+    i = np.flatnonzero(n == 255)
+    n[i] = large[1, np.searchsorted(large[0], at[i].astype(U64))]
+    return n
+
+
+def _offsets(starts: np.ndarray) -> dict[str, np.ndarray]:
+    """Rising numbers by their lowest 16 bits, and where the others grow."""
+    return {"low": (starts & 0xFFFF).astype("<u2"), "high": np.searchsorted(starts >> 16, np.arange(1, (int(starts[-1]) >> 16) + 1)).astype("<u8")}
+
+
+def offsets(arrays: dict[str, np.ndarray], at: np.ndarray) -> np.ndarray:
+    return arrays["low"][at].astype(np.int64) + (np.searchsorted(arrays["high"], at.astype(U64), "right") << 16)
+
+
+#: Contexts' sums are a byte where they are among so many frequent ones of a shard.
+CODES = 255
+
+
+def _contexts(lead: np.ndarray, word: np.ndarray, sums: np.ndarray, ids: np.ndarray) -> dict[str, np.ndarray]:
+    """Contexts sorted by their last word and the one before it, under the last words `ids`."""
+    edges = np.searchsorted(lead, np.append(ids, NEVER))
+    # as one number where all sums are small, which is what is frequent
+    one = np.where((sums < 1 << 15).all(axis=0), ((sums[0] << 15 | sums[1]) << 15 | sums[2]) << 15 | sums[3], -1)
+    kinds, first, back, n = np.unique(one, return_index=True, return_inverse=True, return_counts=True)
+    top = np.argsort(np.where(kinds < 0, 0, -n), kind="stable")[:CODES]
+    top = top[kinds[top] >= 0]
+    code = np.full(len(kinds), CODES, U8)
+    code[top] = np.arange(len(top))
+    code = code[back]
+    rest = np.flatnonzero(code == CODES)
+    return {"contexts": edges.astype("<u4"), "before": word.astype("<u4"), "code": code, "codes": sums[:, first[top]].T.astype("<u8"), "rest": np.stack([rest, *sums[:, rest]]).astype("<u8")}
+
+
+def context_sums(arrays: dict[str, np.ndarray], at: np.ndarray) -> np.ndarray:
+    """SUMS of the contexts at these places, a row each."""
+    code, rest = arrays["code"][at], arrays["rest"]
+    out = np.zeros((4, len(at)), np.int64)
+    known = code < CODES
+    out[:, known] = arrays["codes"][code[known]].T
+    out[:, ~known] = rest[1:, np.searchsorted(rest[0], at[~known].astype(U64))]
+    return out
+
+
+def found(sorted_: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each of x stands in a sorted array, and whether it does."""
+    if not len(sorted_):
+        return np.zeros(len(x), np.int64), np.zeros(len(x), bool)
+    at = np.minimum(np.searchsorted(sorted_, x), len(sorted_) - 1)
+    return at, sorted_[at] == x
+
+
+def within(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each of x stands among values[lo:hi], which rise, and whether it does."""
+    at, end = lo.astype(np.int64), hi.astype(np.int64)
+    i = np.flatnonzero(at < end)
+    while len(i):
+        mid = (at[i] + end[i]) >> 1
+        less = values[mid] < x[i]
+        at[i[less]], end[i[~less]] = mid[less] + 1, mid[~less]
+        i = i[at[i] < end[i]]
+    ok = at < hi
+    ok[ok] = values[at[ok]] == x[ok]
+    return at, ok
+
 
+WORDS = "shard int, hash binary, n binary"
 
-def _sent(shard: np.ndarray, word: np.ndarray, lead: np.ndarray, n: np.ndarray, first: np.ndarray | None = None, raw: np.ndarray | None = None) -> Iterator[dict]:
-    """A row of PAIRS for each shard, leads one a run."""
-    order = np.lexsort((lead, shard))
-    word, lead, n, shard = word[order], lead[order], n[order], shard[order]
-    for k, i, j in zip(*np.unique(shard, return_index=True), [*np.flatnonzero(np.diff(shard)) + 1, len(shard)], strict=True):
-        heads = np.flatnonzero(np.concatenate([[True], np.diff(lead[i:j]) != 0]))
-        runs = np.diff(np.append(heads, j - i)).astype(U32)
-        more = {"first": None if first is None else first[order[i:j][heads]].tobytes(), "raw": None if raw is None else raw[order[i:j]].astype(U32).tobytes()}
-        yield {"shard": int(k), "lead": lead[i:j][heads].tobytes(), "runs": runs.tobytes(), "word": word[i:j].tobytes(), "n": n[i:j].astype(U32).tobytes()} | more
 
+def _count_words(word_shards: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def added() -> tuple[np.ndarray, np.ndarray]:
+            h, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.argsort(h, kind="stable")
+            heads = _heads(h[order])
+            held.clear()
+            return h[order][heads], _summed(n[order], heads)
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            h, n = added()
+            shard = mix(h) % U64(word_shards)
+            rows = [{"shard": int(k), "hash": h[shard == k].tobytes(), "n": packed(n[shard == k])} for k in np.unique(shard)]
+            yield pa.RecordBatch.from_pylist(rows, pa.schema([("shard", pa.int32()), ("hash", pa.binary()), ("n", pa.binary())]))
+
+        size = 0
+        for b in slices(batches):
+            h, n = np.unique(tokens(b.column("text"))[0], return_counts=True)
+            held += [(h, n), (np.array([BEGIN], U64), np.zeros(1, np.int64))]
+            size += len(h)
+            if size > 2 * WORDS_CHUNK:
+                held.append(added())
+                size = len(held[0][0])
+                if size > WORDS_CHUNK:
+                    yield from flush()
+                    size = 0
+        if held:
+            yield from flush()
+
+    return run
+
+
+def _words(folder: str, word_shards: int):
+    """Write a shard of the word table; what is returned: its words, tokens and texts, and the number of the beginning if it is here."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        k = key[0].as_py()
+        h = np.concatenate([np.frombuffer(x.as_buffer(), U64) for x in table.column("hash")])
+        n = np.concatenate([unpacked(x.as_py()) for x in table.column("n")])
+        order = np.argsort(h, kind="stable")
+        heads = _heads(h[order])
+        h, n = h[order][heads], _summed(n[order], heads)
+        falling = np.argsort(-n, kind="stable")
+        rank = np.empty(len(h), "<u4")
+        rank[falling] = np.arange(len(h))
+        if len(h) * word_shards >= NEVER:
+            raise ValueError("more different words than 32 bits can number")
+        _write(f"{folder}/words-{k}", {"hash": h, "rank": rank, **_small("count", n[falling])})
+        at, ok = found(h, np.array([BEGIN, END], U64))
+        sums = [len(h), n.sum(), (n > 0).sum(), n[at[1]] if ok[1] else 0, rank[at[0]] * word_shards + k if ok[0] else -1]
+        return pa.Table.from_pydict({"shard": pa.array([k], pa.int32()), "sums": pa.array([[int(x) for x in sums]], pa.list_(pa.int64()))})
+
+    return run
 
-def _count(shards: int, order: int):
+
+#: lead: words between, with how many words after each (pairs) and whether they are spread; word: those after, with how many before each (runs); back: those before, and counts.
+TRIPLES = pa.schema([("shard", pa.int32()), *[(x, pa.binary()) for x in ("lead", "pairs", "spread", "word", "runs", "back", "n")]])
+TRIPLES_DDL = "shard int, lead binary, pairs binary, spread binary, word binary, runs binary, back binary, n binary"
+
+
+def _count(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            word, lead, *far = (np.concatenate(x) for x in zip(*held, strict=True))
+            back, lead, word, shard, spread = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
-            of = far[0] if far else lead
-            _, at, n = _added(join2(of, word), np.ones(len(word), np.int64))
-            word, of = word[at], of[at]
-            shard = (mix(of) % U64(shards)).astype(np.int32) if far else shard_of(of, word, shards)
-            for row in _sent(shard, word, of, n, lead[at] if far else None):
-                yield pa.RecordBatch.from_pylist([row], SENT)
+            order = np.argsort(back, kind="stable")
+            order = order[np.argsort(paired(lead, word)[order], kind="stable")]
+            order = order[np.argsort(shard[order], kind="stable")]
+            back, lead, word, shard, spread = (x[order] for x in (back, lead, word, shard, spread))
+            at = _heads(lead, word, back)
+            n = _runs(at, len(back))
+            back, lead, word, shard, spread = (x[at] for x in (back, lead, word, shard, spread))
+            edges = _heads(shard)
+            for i, j in zip(edges, np.append(edges, len(shard))[1:], strict=True):
+                pair = _heads(lead[i:j], word[i:j])
+                v, w = lead[i:j][pair], word[i:j][pair]
+                of = _heads(v)
+                got = _steps(v[of], [0]), _runs(of, len(pair)), spread[i:j][pair][of], _steps(w, of), _runs(pair, j - i), _steps(back[i:j], pair), n[i:j]
+                yield pa.RecordBatch.from_arrays([pa.array([shard[i]], pa.int32()), *(pa.array([packed(x)], pa.binary()) for x in got)], schema=TRIPLES)
 
         for b in slices(batches):
             word, lead, off = tokens(b.column("text"))
-            held.append((word, lead, further(lead, off)) if order == 3 else (word, lead))
+            every, where = np.unique(np.append(word, BEGIN), return_inverse=True)
+            table = model.words(every, ("count",))
+            ids, seen = table["id"].astype(U32), model.seen(table)
+            c, begin = where[:-1], where[-1]
+            v = np.concatenate([[begin], c[:-1]])[: len(c)]
+            v[off[:-1]] = begin
+            u = np.concatenate([[begin], v[:-1]])[: len(c)]
+            u[off[:-1]] = begin
+            back = ids[u] if model.order == 3 else np.zeros(len(c), U32)
+            held.append((back, ids[v], ids[c], shard_of(ids[v], ids[c], seen[v], model.shards, model.part).astype(np.uint16 if model.shards < 1 << 16 else U32), seen[v] >= model.part))
             if sum(len(x[0]) for x in held) >= CHUNK:
                 yield from flush()
         if held:
@@ -147,90 +351,101 @@ def _count(shards: int, order: int):
     return run
 
 
-#: first is the word between in triples, raw how often pairs of triples occur.
-PAIRS = "shard int, lead binary, first binary, runs binary, word binary, n binary, raw binary"
-SENT = pa.schema([("shard", pa.int32()), *[(x, pa.binary()) for x in ("lead", "first", "runs", "word", "n", "raw")]])
-WORDS = "shard int, kind int, hash binary, a binary, b binary, c binary, d binary"
+#: Parts of sums: of words that follow (kind 0) or lead (1), by number in x; of contexts (2), their last words in x, with how many before each (runs), those in y; of a shard's counts (3).
+PARTS = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), *[(x, pa.binary()) for x in ("x", "runs", "y", "a", "b", "c", "d")]])
+PARTS_DDL = "shard int, kind int, x binary, runs binary, y binary, a binary, b binary, c binary, d binary"
 
 
-def _all(table: pa.Table, column: str, kind: type) -> np.ndarray:
-    return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in table.column(column)])
+def _dealt(shard: np.ndarray, shift: int, kind: int, x: np.ndarray, sums: np.ndarray, y: np.ndarray | None = None) -> Iterator[dict]:
+    """A row of PARTS for each shard, x and then y rising."""
+    order = np.argsort(shard, kind="stable")
+    shard, x, sums, y = shard[order], x[order], sums[:, order], None if y is None else y[order]
+    edges = _heads(shard)
+    for i, j in zip(edges, np.append(edges, len(shard))[1:], strict=True):
+        of = _heads(x[i:j])
+        more = {} if y is None else {"runs": packed(_runs(of, j - i)), "y": packed(_steps(y[i:j], of))}
+        yield {"shard": int(shard[i]) + shift, "kind": kind, "x": packed(_steps(x[i:j][of], [0])), **{name: packed(v[i:j], U64) for name, v in zip("abcd", sums, strict=False)}} | more
 
 
-def _of_counts(k: int, n: np.ndarray) -> bytes:
-    """A shard and how many of its counts are 1, 2, 3 and 4."""
-    return np.array([k, *(int((n == x).sum()) for x in (1, 2, 3, 4))], U64).tobytes()
+def _of_counts(n: np.ndarray) -> list[int]:
+    """How many counts are 1, 2, 3 and 4."""
+    return [int((n == x).sum()) for x in (1, 2, 3, 4)]
 
 
-def _triples(folder: str, shards: int):
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        k = key[0].as_py()
-        runs = _all(table, "runs", U32)
-        lead, first, word = np.repeat(_all(table, "lead", U64), runs), np.repeat(_all(table, "first", U64), runs), _all(table, "word", U64)
-        h, at, n = _added(join2(lead, word), _all(table, "n", U32).astype(np.int64))
-        lead, first, word = lead[at], first[at], word[at]
-        _bytes(f"{folder}/triples-{k}.hash", h.tobytes())
-        _store(f"{folder}/triples-{k}", n)
-        keys, _, total, ones, twos, kinds = _added(lead, n, (n == 1).astype(np.int64), (n == 2).astype(np.int64), np.ones_like(n))
-        _bytes(f"{folder}/contexts-{k}.hash", keys.tobytes())
-        for name, v in zip(SUMS, (total, ones, twos, kinds - ones - twos), strict=True):
-            _store(f"{folder}/contexts-{k}-{name}", v)
-        _, at, ahead, raw = _added(join2(first, word), np.ones_like(n), n)
-        first, word = first[at], word[at]
-        out = list(_sent(shard_of(first, word, shards), word, first, np.where(first == BEGIN, raw, ahead), None, raw))
-        return pa.Table.from_pylist([*out, {"shard": -1, "n": _of_counts(k, n)}], SENT)
+def _triples(model: Model):
+    folder, shards, order3, w_shards = model.folder, model.shards, model.order == 3, len(model.word_sizes)
 
-    return run
-
-
-def _pairs(folder: str, word_shards: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         k = key[0].as_py()
-        schema = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), *[(x, pa.binary()) for x in ("hash", "a", "b", "c", "d")]])
-        if k < 0:  # the counts of triples' counts, a row a shard
-            return pa.Table.from_pylist([{"shard": -2, "kind": 3, "hash": x.as_py()} for x in table.column("n")], schema)
-        lead = np.repeat(_all(table, "lead", U64), _all(table, "runs", U32))
-        word = _all(table, "word", U64)
-        n = _all(table, "n", U32).astype(np.int64)
-        h, at, n, raw = _added(join2(lead, word), n, n if table.column("raw").null_count else _all(table, "raw", U32).astype(np.int64))
-        lead, word = lead[at], word[at]
-        _bytes(f"{folder}/pairs-{k}.hash", h.tobytes())
-        _store(f"{folder}/pairs-{k}", n)
+        parts, heavy = [], []
+        for r in range(table.num_rows):
+            lead, pairs, spread, word, runs, back, n = (unpacked(table.column(x)[r].as_py()) for x in TRIPLES.names[1:])
+            lead = np.cumsum(lead)
+            heavy.append(lead[spread > 0])
+            pair = paired(np.repeat(lead, pairs), _risen(word, pairs))
+            parts.append((np.repeat(pair, runs), _risen(back, runs).astype(U32), n))
+        pair, back, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        del parts
+        order = np.argsort(back, kind="stable")
+        order = order[np.argsort(pair[order], kind="stable")]
+        pair, back, n = pair[order], back[order], n[order]
+        heads = _heads(pair, back)
+        pair, back, n = pair[heads], back[heads], _summed(n, heads)
+        heads = _heads(pair)
+        lead, word = (pair[heads] >> U64(32)).astype(np.int64), (pair[heads] & U64(NEVER)).astype(np.int64)
+        of = np.where(lead == model.begin, n[heads], _runs(heads, len(n))) if order3 else n
+        by = _heads(lead)
+        ids = lead[by]
+        arrays = {"lead": ids.astype("<u4"), "pairs": np.append(by, len(lead)).astype("<u4"), "word": word.astype("<u4"), **_small("n", n)}
         out = []
-        for kind, (keys, *cols) in enumerate([_added(word, raw, np.ones_like(n)), _added(lead, n, (n == 1).astype(np.int64), (n == 2).astype(np.int64), np.ones_like(n))]):
-            cols = cols[1:]
-            shard = (mix(keys) % U64(word_shards)).astype(np.int32)
-            order = np.argsort(shard, kind="stable")
-            edges = np.searchsorted(shard[order], np.arange(word_shards + 1))
-            for s in range(word_shards):
-                i = order[edges[s] : edges[s + 1]]
-                if len(i):
-                    out.append((s, kind, keys[i].tobytes(), *[c[i].astype(U32 if c.max() < 1 << 32 else U64).tobytes() for c in cols], *[None] * (4 - len(cols))))
-        out.append((-1, 2, _of_counts(k, n), None, None, None, None))
-        return pa.Table.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+        if order3:
+            arrays |= {"back": back.astype("<u4"), **_offsets(np.append(heads, len(n)))}
+            context = paired((pair >> U64(32)), back)
+            order = np.argsort(context, kind="stable")
+            context, n_ = context[order], n[order]
+            at = _heads(context)
+            sums, last, first = _sums(n_, at), (context[at] >> U64(32)).astype(np.int64), (context[at] & U64(NEVER)).astype(np.int64)
+            spread = np.isin(last, np.unique(np.concatenate(heavy)))
+            arrays |= _contexts(last[~spread], first[~spread], sums[:, ~spread], ids)
+            shard = (mix(context[at][spread]) % U64(shards)).astype(np.int32)
+            out += _dealt(shard, w_shards, 2, last[spread], sums[:, spread], first[spread])
+        _write(f"{folder}/grams-{k}", arrays)
+        out += _dealt((ids % w_shards).astype(np.int32), 0, 1, ids // w_shards, _sums(of, by))
+        follow, times = np.unique(word, return_counts=True)
+        out += _dealt((follow % w_shards).astype(np.int32), 0, 0, follow // w_shards, times[None])
+        out.append({"shard": -1, "kind": 3, "x": packed(np.array([k, *_of_counts(n), *_of_counts(of)]), U64)})
+        return pa.Table.from_pylist(out, PARTS)
 
     return run
 
 
-def _words(folder: str):
+def _added_up(model: Model):
+    folder, sizes = model.folder, model.word_sizes
+
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        k = key[0].as_py()
-        if k < 0:
-            each = np.stack([np.frombuffer(x.as_buffer(), U64) for x in table.column("hash")])
-            total = [int(x) for x in (*each[:, 1:].sum(axis=0), *np.sort(each[:, 0]))]  # then the shards that have files
-            return pa.Table.from_pydict({"shard": pa.array([k], pa.int32()), "sums": pa.array([total], pa.list_(pa.int64()))})
-        parts: list[list[np.ndarray]] = []
-        for r in table.to_pylist():
-            h = np.frombuffer(r["hash"], U64)
-            v = [np.zeros(len(h), np.int64) for _ in range(6)]
-            for place, c in zip(((0, 1), (2, 3, 4, 5))[r["kind"]], "abcd", strict=False):
-                v[place] = np.frombuffer(r[c], U32 if len(r[c]) == 4 * len(h) else U64).astype(np.int64)
-            parts.append([h, *v])
-        h, _, count, follows, leads, ones, twos, partners = _added(*(np.concatenate([p[i] for p in parts]) for i in range(7)))
-        _bytes(f"{folder}/words-{k}.hash", h.tobytes())
-        for name, v in zip(WORD_COLUMNS, (count, follows, leads, ones, twos, partners - ones - twos), strict=True):
-            _store(f"{folder}/words-{k}-{name}", v)
-        sums = [count.sum(), (count > 0).sum(), follows.sum(), *((follows == x).sum() for x in (1, 2, 3, 4)), (follows > 0).sum()]
+        k, rows = key[0].as_py(), table.to_pylist()
+        if k < 0:  # the counts of counts, and the shards that have files
+            each = np.stack([unpacked(r["x"]) for r in rows])
+            sums = [*each[:, 1:].sum(axis=0), *np.sort(each[:, 0])]
+        elif k < len(sizes):
+            got = np.zeros((5, sizes[k]), np.int64)
+            for r in rows:
+                at = np.cumsum(unpacked(r["x"]))
+                for place, name in zip(((0,), (1, 2, 3, 4))[r["kind"]], "abcd", strict=False):
+                    got[place, at] += unpacked(r[name])
+            _write(f"{folder}/sums-{k}", {x: y for name, v in zip(("follows", *SUMS), got, strict=True) for x, y in _small(name, v).items()})
+            sums = [got[0].sum(), (got[0] > 0).sum(), *_of_counts(got[0])]
+        else:
+            runs = [unpacked(r["runs"]) for r in rows]
+            context = np.concatenate([paired(np.repeat(np.cumsum(unpacked(r["x"])), n), _risen(unpacked(r["y"]), n)) for r, n in zip(rows, runs, strict=True)])
+            order = np.argsort(context, kind="stable")
+            context = context[order]
+            heads = _heads(context)
+            got = np.stack([_summed(np.concatenate([unpacked(r[x]) for r in rows])[order], heads) for x in "abcd"])
+            lead, word = (context[heads] >> U64(32)).astype(np.int64), (context[heads] & U64(NEVER)).astype(np.int64)
+            ids = np.unique(lead)
+            _write(f"{folder}/spread-{k - len(sizes)}", {"lead": ids.astype("<u4"), **_contexts(lead, word, got, ids)})
+            sums = []
         return pa.Table.from_pydict({"shard": pa.array([k], pa.int32()), "sums": pa.array([[int(x) for x in sums]], pa.list_(pa.int64()))})
 
     return run
@@ -247,93 +462,119 @@ def discounts(n: list[int]) -> np.ndarray:
 @dataclass
 class Model:
     folder: str
-    pair_shards: list[int]
+    order: int
     shards: int
-    word_shards: list[int]
-    word_count: int
-    pair_discount: np.ndarray
-    word_discount: np.ndarray
+    part: int
+    word_sizes: list[int]  # of each shard of words
     tokens: int = 0
     vocabulary: int = 0
+    texts: int = 0
+    begin: int = NEVER  # the number of the beginning
+    gram_shards: list[int] = field(default_factory=list)
+    spread_shards: list[int] = field(default_factory=list)
+    triple_discount: np.ndarray | None = None
+    pair_discount: np.ndarray | None = None
+    word_discount: np.ndarray | None = None
     pairs: int = 0
     spare: float = 1.0  # what the discounts leave to words never seen, as a share
-    order: int = 2
-    triple_shards: list[int] = field(default_factory=list)
-    triple_discount: np.ndarray | None = None
     files: dict = field(default_factory=dict)
 
-    def open(self, path: str, kind: str) -> np.ndarray:
-        """A file's array. Mapped files stay open; what is read from a store is let go, so that a worker holds one shard at a time."""
+    def open(self, path: str) -> dict[str, np.ndarray]:
+        """A file's arrays. Mapped files stay open; what is read from a store is let go, so that a worker holds one shard at a time."""
         if path not in self.files:
-            got = _mapped(f"{self.folder}/{path}", kind)
+            got = _arrays(f"{self.folder}/{path}")
             if "://" in self.folder:
                 return got
             self.files[path] = got
         return self.files[path]
 
-    def words(self, h: np.ndarray) -> dict[str, np.ndarray]:
-        """What the table has for each hash, zeros for words never seen."""
-        out = {name: np.zeros(len(h), np.int64) for name in WORD_COLUMNS}
-        shard = (mix(h) % U64(self.word_count)).astype(np.int32)
-        for k in self.word_shards:
+    def words(self, h: np.ndarray, names: tuple[str, ...]) -> dict[str, np.ndarray]:
+        """The number of each hash's word and what the table has for it; NEVER and zeros for words never seen."""
+        out = {"id": np.full(len(h), NEVER, np.int64)} | {name: np.zeros(len(h), np.int64) for name in names}
+        shard = (mix(h) % U64(len(self.word_sizes))).astype(np.int32)
+        for k in (k for k, n in enumerate(self.word_sizes) if n):
             i = np.flatnonzero(shard == k)
-            if len(i):
-                keys = self.open(f"words-{k}.hash", "<u8")
-                at = np.minimum(np.searchsorted(keys, h[i]), len(keys) - 1)
-                ok = keys[at] == h[i]
-                for name in WORD_COLUMNS:
-                    out[name][i[ok]] = self.counts(f"words-{k}-{name}", at[ok])
+            if not len(i):
+                continue
+            table = self.open(f"words-{k}")
+            at, ok = found(table["hash"], h[i])
+            i, rank = i[ok], table["rank"][at[ok]].astype(np.int64)
+            out["id"][i] = rank * len(self.word_sizes) + k
+            sums = self.open(f"sums-{k}") if set(names) - {"count"} else {}
+            for name in names:
+                out[name][i] = counts(table, "count", rank) if name == "count" else counts(sums, name.removeprefix("lead_"), rank)
         return out
 
-    def counts(self, path: str, at: np.ndarray) -> np.ndarray:
-        n = self.open(f"{path}.n", "u1")[at].astype(np.int64)
-        large = self.open(f"{path}.large", "<u8").reshape(-1, 2)
-        if len(large):
-            j = np.minimum(np.searchsorted(large[:, 0], at), len(large) - 1)
-            n = np.where(n == 255, large[j, 1].astype(np.int64), n)
-        return n
-
-    def looked_up(self, kind: str, shards: list[int], shard: np.ndarray, h: np.ndarray, names: tuple[str, ...] = ("",)) -> list[np.ndarray]:
-        """The counts of each name that files of a kind have for each hash, zeros for hashes never seen."""
-        out = [np.zeros(len(h), np.int64) for _ in names]
+    def seen(self, table: dict[str, np.ndarray]) -> np.ndarray:
+        """How often each word stands before others; the beginning, which is no token, in each text."""
+        return np.where(table["id"] == self.begin, self.texts, table["count"])
+
+    def of_shards(self, name: str, shards: list[int], shard: np.ndarray, lead: np.ndarray, below: str) -> Iterator[tuple[dict, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each shard its arrays, which rows have a word there that stands in `lead`, and from where to where `below` goes for it."""
         order = np.argsort(shard, kind="stable")
         edges = np.searchsorted(shard[order], np.arange(self.shards + 1))
         for k in shards:
             i = order[edges[k] : edges[k + 1]]
             if len(i):
-                keys = self.open(f"{kind}-{k}.hash", "<u8")
-                at = np.minimum(np.searchsorted(keys, h[i]), len(keys) - 1)
-                ok = keys[at] == h[i]
-                for v, name in zip(out, names, strict=True):
-                    v[i[ok]] = self.counts(f"{kind}-{k}{name}", at[ok])
+                table = self.open(f"{name}-{k}")
+                at, ok = found(table["lead"], lead[i].astype(U32))
+                if ok.any():
+                    yield table, i[ok], table[below][at[ok]], table[below][at[ok] + 1]
+
+    def grams(self, back: np.ndarray, lead: np.ndarray, word: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The counts of pairs and triples of words' numbers, zeros for those never seen."""
+        two, three = np.zeros(len(word), np.int64), np.zeros(len(word), np.int64)
+        for table, i, lo, hi in self.of_shards("grams", self.gram_shards, shard_of(lead, word, seen, self.shards, self.part), lead, "pairs"):
+            at, ok = within(table["word"], lo, hi, word[i])
+            i, at = i[ok], at[ok]
+            if self.order == 2:
+                two[i] = counts(table, "n", at)
+                continue
+            lo, hi = offsets(table, at), offsets(table, at + 1)
+            two[i] = np.where(lead[i] == self.begin, counts(table, "n", lo), hi - lo)
+            at, ok = within(table["back"], lo, hi, back[i])
+            three[i[ok]] = counts(table, "n", at[ok])
+        return two, three
+
+    def contexts(self, back: np.ndarray, lead: np.ndarray, seen: np.ndarray) -> np.ndarray:
+        """SUMS of each context, zeros for those never seen."""
+        out = np.zeros((4, len(back)), np.int64)
+        spread = seen >= self.part
+        whole = (mix(lead.astype(U64)) % U64(self.shards)).astype(np.int32)
+        for name, shards, which, shard in (("grams", self.gram_shards, ~spread, whole), ("spread", self.spread_shards, spread, (mix(paired(lead, back)) % U64(self.shards)).astype(np.int32))):
+            own = np.flatnonzero(which)
+            for table, i, lo, hi in self.of_shards(name, shards, shard[own], lead[own], "contexts"):
+                at, ok = within(table["before"], lo, hi, back[own[i]])
+                out[:, own[i[ok]]] = context_sums(table, at[ok])
         return out
 
-    def score(self, word: np.ndarray, lead: np.ndarray, far: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each token after its lead, in the order 3 after the hash of both before it: log10 probability, log10 base probability, and whether it was seen."""
-        g, at, back = np.unique(join2(lead if far is None else far, word), return_index=True, return_inverse=True)
-        w, v = word[at], lead[at]
-        every, where = np.unique(np.concatenate([w, v]), return_inverse=True)
-        table = self.words(every)
-        of_w, of_v = where[: len(w)], where[len(w) :]
-        follows, count = table["follows"][of_w], table["count"][of_w]
+    def score(self, word: np.ndarray, lead: np.ndarray, back: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each token after the two before it, of which the order 2 heeds one: log10 probability, log10 base probability, and whether it was seen."""
+        _, at, again = np.unique(join2(join2(back, lead) if self.order == 3 else lead, word), return_index=True, return_inverse=True)
+        every, where = np.unique(np.concatenate([word[at], lead[at], back[at]]), return_inverse=True)
+        table = self.words(every, ("count", "follows", *SUMS_OF_LEAD))
+        seen = self.seen(table)
+        c, v, u = np.split(where, 3)
+        ids = table["id"]
+        follows, count = table["follows"][c], table["count"][c]
         p = np.maximum(follows - self.word_discount[np.minimum(follows, 3)], 0) / max(1, self.pairs) + self.spare / (self.vocabulary + 1)
-        leads = table["leads"][of_v]
-        n = self.looked_up("pairs", self.pair_shards, shard_of(v, w, self.shards), join2(v, w))[0]
-        d = self.pair_discount
-        left = d[1] * table["ones"][of_v] + d[2] * table["twos"][of_v] + d[3] * table["more"][of_v]
-        p = np.where(leads > 0, (np.maximum(n - d[np.minimum(n, 3)], 0) + left * p) / np.maximum(leads, 1), p)
-        if far is not None:
-            c = far[at]
-            shard = (mix(c) % U64(self.shards)).astype(np.int32)
-            n = self.looked_up("triples", self.triple_shards, shard, g)[0]
-            leads, ones, twos, more = self.looked_up("contexts", self.triple_shards, shard, c, tuple(f"-{x}" for x in SUMS))
-            d = self.triple_discount
-            p = np.where(leads > 0, (np.maximum(n - d[np.minimum(n, 3)], 0) + (d[1] * ones + d[2] * twos + d[3] * more) * p) / np.maximum(leads, 1), p)
+        two, three = self.grams(ids[u], ids[v], ids[c], seen[v])
+
+        def mixed(n: np.ndarray, sums: list[np.ndarray], d: np.ndarray) -> np.ndarray:
+            total, ones, twos, more = sums
+            return np.where(total > 0, (np.maximum(n - d[np.minimum(n, 3)], 0) + (d[1] * ones + d[2] * twos + d[3] * more) * p) / np.maximum(total, 1), p)
+
+        p = mixed(two, [table[x][v] for x in SUMS_OF_LEAD], self.pair_discount)
+        if self.order == 3:
+            p = mixed(three, self.contexts(ids[u], ids[v], seen[v]), self.triple_discount)
         base = np.log10((count + 1) / (self.tokens + self.vocabulary + 1))
-        return np.log10(p)[back], base[back], (count > 0)[back]
+        return np.log10(p)[again], base[again], (count > 0)[again]
+
+
+SUMS_OF_LEAD = tuple(f"lead_{x}" for x in SUMS)
 
 
-def fit(docs: DataFrame, text: str = "text", order: int = 2) -> Model:
+def fit(docs: DataFrame, text: str = "text", order: int = 2, part: int = PART) -> Model:
     """Count all rows of docs, null texts as empty; the order is 2 or 3. The files stay in the shared folder until the program ends.
 
     Rows that repeat count each. Bytes that aren't UTF-8 are parts of words like others. Without rows every word is new.
@@ -350,19 +591,27 @@ def fit(docs: DataFrame, text: str = "text", order: int = 2) -> Model:
     rows = docs.select(F.col(text).alias("text"))
     size = rows.agg(F.sum(F.length(F.col("text").cast("binary")))).first()[0] or 0
     shards, word_shards = max(4, -(-size // SHARD_BYTES)), max(4, -(-size // (4 * SHARD_BYTES)))
-    counted = rows.mapInArrow(_count(shards, order), PAIRS)
-    if order == 3:
-        counted = counted.groupBy("shard").applyInArrow(_triples(folder, shards), PAIRS)
-    counted = counted.groupBy("shard").applyInArrow(_pairs(folder, word_shards), WORDS)
-    # a number of rows bounded by the shards
-    got = {r["shard"]: r["sums"] for r in counted.groupBy("shard").applyInArrow(_words(folder), "shard int, sums array<long>").collect()}
-    (*n, pair_shards), (*triples, triple_shards) = ((*x[:4], x[4:]) for x in (got.pop(-1, [0] * 4), got.pop(-2, [0] * 4)))
-    total = np.sum(list(got.values()), axis=0).tolist() if got else [0] * 8
-    tokens_, vocabulary, pairs, *ones, kinds = total
-    d = discounts(ones)
-    more = kinds - ones[0] - ones[1]
-    spare = (d[1] * ones[0] + d[2] * ones[1] + d[3] * more) / pairs if pairs else 1.0
-    return Model(folder, pair_shards, shards, sorted(got), word_shards, discounts(n), d, tokens_, vocabulary, pairs, spare, order, triple_shards, discounts(triples))
+    # both jobs give a number of rows bounded by the shards
+    counted = rows.mapInArrow(_count_words(word_shards), WORDS).groupBy("shard").applyInArrow(_words(folder, word_shards), RESULT)
+    sizes, begin, total = [0] * word_shards, NEVER, np.zeros(3, np.int64)
+    for r in counted.collect():
+        sizes[r["shard"]], *sums, first = r["sums"]
+        total += sums
+        begin = first if first >= 0 else begin
+    model = Model(folder, order, shards, part, sizes, *total.tolist(), begin)
+    counted = rows.mapInArrow(_count(model), TRIPLES_DDL).groupBy("shard").applyInArrow(_triples(model), PARTS_DDL)
+    got = {r["shard"]: r["sums"] for r in counted.groupBy("shard").applyInArrow(_added_up(model), RESULT).collect()}
+    n = got.pop(-1, [0] * 8)
+    model.gram_shards = n[8:]
+    model.spread_shards = sorted(k - word_shards for k in got if k >= word_shards)
+    model.pairs, kinds, *ones = np.sum([[0] * 6, *(v for k, v in got.items() if k < word_shards)], axis=0).tolist()
+    model.triple_discount, model.pair_discount, d = discounts(n[:4]), discounts(n[4:8]), discounts(ones)
+    model.word_discount = d
+    model.spare = (d[1] * ones[0] + d[2] * ones[1] + d[3] * (kinds - ones[0] - ones[1])) / model.pairs if model.pairs else 1.0
+    return model
+
+
+RESULT = "shard int, sums array<long>"
 
 
 def score(docs: DataFrame, model: Model, keep: list[Column], text: str = "text") -> DataFrame:
@@ -378,7 +627,7 @@ def score(docs: DataFrame, model: Model, keep: list[Column], text: str = "text")
         m = shared.value
         for b in slices(batches, "text_"):
             word, lead, off = tokens(b.column("text_"))
-            p, base, known = m.score(word, lead, further(lead, off) if m.order == 3 else None)
+            p, base, known = m.score(word, lead, before(lead, off))
             p, n = sums_by_row(p, off), np.diff(off)
             out = [n, sums_by_row(known.astype(np.int64), off).astype(np.int64), np.full(len(n), m.tokens), sums_by_row(base, off), p, 10.0 ** np.minimum(-p / n, 300)]
             yield pa.RecordBatch.from_arrays([*(b.column(x) for x in names), *(pa.array(x) for x in out)], [*names, "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"])

@@ -3,8 +3,10 @@
 import collections
 import hashlib
 import math
+import os
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -276,6 +278,48 @@ def test_language_model_of_triples(docs, none):
     assert {r["score"] for r in lm_score.score(docs.where("doc_id = 200"), lm_score.fit(none, order=3), [F.col("doc_id")]).collect()} == {0.0}
 
 
+@pytest.mark.parametrize("order", [2, 3])
+def test_language_model_of_frequent_words(docs, order):
+    """Words that are spread over shards, and contexts whose sums are added up of these shards' parts, give the same scores."""
+    some = docs.where("doc_id % 4 > 0")
+    got = lambda model: sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], r["score"]) for r in lm_score.score(docs, model, [F.col("doc_id")]).collect())
+    whole, spread = lm_score.fit(some, order=order), lm_score.fit(some, order=order, part=2)
+    assert got(whole) == got(spread) and not whole.spread_shards and bool(spread.spread_shards) == (order == 3)
+
+
+def test_language_model_files():
+    """Counts and offsets beyond a byte and 16 bits, sums beyond the frequent ones, and differences come back."""
+    rng = np.random.default_rng(1)
+    n = np.concatenate([rng.integers(1, 600, 500), [2**40, 255, 254]])
+    assert (lm_score.counts(lm_score._small("n", n), "n", np.arange(len(n))[::-1]) == n[::-1]).all()
+    starts = np.cumsum(np.concatenate([[0], rng.integers(1, 9, 300), [5, 200_000, 1], rng.integers(1, 3000, 300)]))
+    assert (lm_score.offsets(lm_score._offsets(starts), np.arange(len(starts))) == starts).all()
+    sums = np.stack([rng.integers(1, 1 << 40, 900), *rng.integers(0, 40, (3, 900))])
+    sums[:, ::2] = [[2], [2], [0], [0]]
+    at = rng.permutation(900)
+    assert (lm_score.context_sums(lm_score._contexts(np.zeros(900, np.int64), np.arange(900), sums, np.array([0])), at) == sums[:, at]).all()
+    runs = rng.integers(1, 9, 200)
+    heads = np.cumsum(runs) - runs
+    x = np.concatenate([np.sort(rng.integers(0, lm_score.NEVER, k)) for k in runs])
+    assert (lm_score._risen(lm_score.unpacked(lm_score.packed(lm_score._steps(x, heads))), runs) == x).all()
+
+
+def test_language_model_takes_little_disk(spark):
+    """What is shuffled and what is written stay within eight times the file, which is small: a quarter of its words differ."""
+    folder = SF.replace("0.001", "0.01")
+    sc = spark.sparkContext
+
+    def shuffled():
+        stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
+        return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+    at = shuffled()
+    model = lm_score.fit(spark.read.parquet(f"{folder}/documents.parquet"), order=3)
+    time.sleep(1)  # for the listener
+    files = sum(os.path.getsize(os.path.join(model.folder, f)) for f in os.listdir(model.folder))
+    assert 0 < shuffled() - at + files < 8 * os.path.getsize(f"{folder}/documents.parquet")
+
+
 def test_secrets(spark, docs, none):
     key = "AKIA" + "B" * 16
     bare = "abcdEFGH/+" * 4
