@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlens.llm.chars import sums_by_row
-from adlens.llm.common import join2, mix, shared_dir, slices, word_hashes
+from adlens.llm.common import mix, shared_dir, slices, word_hashes
 
 #: Stand for the end of a text, a token, and for its beginning, which is none.
 END, BEGIN = (mix(np.array([x], np.uint64))[0] for x in (1, 2))
@@ -47,24 +47,32 @@ NEVER = 0xFFFFFFFF
 SUMS = ("count", "ones", "twos", "more")
 
 
-def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All rows' tokens with an end each, what stands before each token, and the rows' starts with the total last."""
+def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All rows' tokens with an end each, and the rows' starts with the total last."""
     words, first = word_hashes(column)
     off = first + np.arange(len(first))
     out = np.empty(len(words) + len(first) - 1, U64)
     is_end = np.zeros(len(out), bool)
     is_end[off[1:] - 1] = True
     out[~is_end], out[is_end] = words, END
-    return out, before(out, off), off
+    return out, off
 
 
-def before(x: np.ndarray, off: np.ndarray) -> np.ndarray:
+def before(x: np.ndarray, off: np.ndarray, begin: int) -> np.ndarray:
     """What stands before each of x in its row."""
-    out = np.concatenate([[BEGIN], x[:-1]]).astype(U64)[: len(x)]
-    out[off[:-1]] = BEGIN
+    out = np.concatenate([[begin], x[:-1]])[: len(x)]
+    out[off[:-1]] = begin
     return out
 
 
+def placed(words: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The different words, with the beginning; and of each token the places there of the one two before it, the one before it, and its own."""
+    every, where = np.unique(np.append(words, BEGIN), return_inverse=True)
+    c = where[:-1]
+    v = before(c, off, where[-1])
+    return every, before(v, off, where[-1]), v, c
+
+
 def paired(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a.astype(U64) << U64(32) | b.astype(U64)
 
@@ -72,7 +80,12 @@ def paired(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def shard_of(lead: np.ndarray, word: np.ndarray, seen: np.ndarray, shards: int, part: int) -> np.ndarray:
     """Of pairs of words' numbers; seen: how often the first of them occurs."""
     spread = np.minimum(shards, 1 + seen // part).astype(U64)
-    return ((mix(lead.astype(U64)) + mix(word.astype(U64) ^ U64(0x5851F42D4C957F2D)) % spread) % U64(shards)).astype(np.int32)
+    return ((mix(lead.astype(U64)) + mix(word.astype(U64) ^ U64(0x5851F42D4C957F2D)) % spread) % U64(shards)).astype(narrow(shards))
+
+
+def narrow(shards: int) -> type:
+    """The type of shards' numbers, of which narrow ones are sorted faster."""
+    return np.uint16 if shards < 1 << 16 else U32
 
 
 def _heads(*keys: np.ndarray) -> np.ndarray:
@@ -232,16 +245,20 @@ def found(sorted_: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def within(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where each of x stands among values[lo:hi], which rise, and whether it does."""
-    at, end = lo.astype(np.int64), hi.astype(np.int64)
-    i = np.flatnonzero(at < end)
-    while len(i):
-        mid = (at[i] + end[i]) >> 1
-        less = values[mid] < x[i]
-        at[i[less]], end[i[~less]] = mid[less] + 1, mid[~less]
-        i = i[at[i] < end[i]]
-    ok = at < hi
-    ok[ok] = values[at[ok]] == x[ok]
-    return at, ok
+    if not len(values):
+        return lo.astype(np.int64), np.zeros(len(x), bool)
+    at, n, x = np.minimum(lo, len(values) - 1).astype(np.int64), hi.astype(np.int64) - lo, x.astype(U32)
+    some = n > 0
+    i = np.flatnonzero(n > 1)
+    while len(i):  # the last that is not above x lies among the n from at on
+        a, m, y = at[i], n[i], x[i]
+        for _ in range(4):
+            half = m >> 1
+            a += half * (values[a + half] <= y)
+            m -= half
+        at[i], n[i] = a, m
+        i = i[m > 1]
+    return at, some & (values[at] == x)
 
 
 WORDS = "shard int, hash binary, n binary"
@@ -332,17 +349,11 @@ def _count(model: Model):
                 yield pa.RecordBatch.from_arrays([pa.array([shard[i]], pa.int32()), *(pa.array([packed(x)], pa.binary()) for x in got)], schema=TRIPLES)
 
         for b in slices(batches):
-            word, lead, off = tokens(b.column("text"))
-            every, where = np.unique(np.append(word, BEGIN), return_inverse=True)
+            every, u, v, c = placed(*tokens(b.column("text")))
             table = model.words(every, ("count",))
             ids, seen = table["id"].astype(U32), model.seen(table)
-            c, begin = where[:-1], where[-1]
-            v = np.concatenate([[begin], c[:-1]])[: len(c)]
-            v[off[:-1]] = begin
-            u = np.concatenate([[begin], v[:-1]])[: len(c)]
-            u[off[:-1]] = begin
             back = ids[u] if model.order == 3 else np.zeros(len(c), U32)
-            held.append((back, ids[v], ids[c], shard_of(ids[v], ids[c], seen[v], model.shards, model.part).astype(np.uint16 if model.shards < 1 << 16 else U32), seen[v] >= model.part))
+            held.append((back, ids[v], ids[c], shard_of(ids[v], ids[c], seen[v], model.shards, model.part), seen[v] >= model.part))
             if sum(len(x[0]) for x in held) >= CHUNK:
                 yield from flush()
         if held:
@@ -407,7 +418,7 @@ def _triples(model: Model):
             sums, last, first = _sums(n_, at), (context[at] >> U64(32)).astype(np.int64), (context[at] & U64(NEVER)).astype(np.int64)
             spread = np.isin(last, np.unique(np.concatenate(heavy)))
             arrays |= _contexts(last[~spread], first[~spread], sums[:, ~spread], ids)
-            shard = (mix(context[at][spread]) % U64(shards)).astype(np.int32)
+            shard = (mix(context[at][spread]) % U64(shards)).astype(narrow(shards))
             out += _dealt(shard, w_shards, 2, last[spread], sums[:, spread], first[spread])
         _write(f"{folder}/grams-{k}", arrays)
         out += _dealt((ids % w_shards).astype(np.int32), 0, 1, ids // w_shards, _sums(of, by))
@@ -540,22 +551,30 @@ class Model:
         """SUMS of each context, zeros for those never seen."""
         out = np.zeros((4, len(back)), np.int64)
         spread = seen >= self.part
-        whole = (mix(lead.astype(U64)) % U64(self.shards)).astype(np.int32)
-        for name, shards, which, shard in (("grams", self.gram_shards, ~spread, whole), ("spread", self.spread_shards, spread, (mix(paired(lead, back)) % U64(self.shards)).astype(np.int32))):
+        whole = (mix(lead.astype(U64)) % U64(self.shards)).astype(narrow(self.shards))
+        for name, shards, which, shard in (("grams", self.gram_shards, ~spread, whole), ("spread", self.spread_shards, spread, (mix(paired(lead, back)) % U64(self.shards)).astype(narrow(self.shards)))):
             own = np.flatnonzero(which)
             for table, i, lo, hi in self.of_shards(name, shards, shard[own], lead[own], "contexts"):
                 at, ok = within(table["before"], lo, hi, back[own[i]])
                 out[:, own[i[ok]]] = context_sums(table, at[ok])
         return out
 
-    def score(self, word: np.ndarray, lead: np.ndarray, back: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def score(self, words: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each token after the two before it, of which the order 2 heeds one: log10 probability, log10 base probability, and whether it was seen."""
-        _, at, again = np.unique(join2(join2(back, lead) if self.order == 3 else lead, word), return_index=True, return_inverse=True)
-        every, where = np.unique(np.concatenate([word[at], lead[at], back[at]]), return_inverse=True)
+        every, u, v, c = placed(words, off)
         table = self.words(every, ("count", "follows", *SUMS_OF_LEAD))
         seen = self.seen(table)
-        c, v, u = np.split(where, 3)
         ids = table["id"]
+        # what is alike is worked out once, in the order of the files; words never seen are alike
+        known, rank = np.unique(ids, return_inverse=True)
+        key = paired(rank[v], rank[c])
+        if self.order == 3:
+            key = (rank[v] << 21 | rank[c]) << 21 | rank[u] if len(known) < 1 << 21 else paired(np.unique(key, return_inverse=True)[1], rank[u])
+        order = np.argsort(key)
+        heads = _heads(key[order])
+        again = np.empty(len(key), np.int64)
+        again[order] = np.repeat(np.arange(len(heads)), _runs(heads, len(key)))
+        u, v, c = (x[order[heads]] for x in (u, v, c))
         follows, count = table["follows"][c], table["count"][c]
         p = np.maximum(follows - self.word_discount[np.minimum(follows, 3)], 0) / max(1, self.pairs) + self.spare / (self.vocabulary + 1)
         two, three = self.grams(ids[u], ids[v], ids[c], seen[v])
@@ -626,8 +645,8 @@ def score(docs: DataFrame, model: Model, keep: list[Column], text: str = "text")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in slices(batches, "text_"):
-            word, lead, off = tokens(b.column("text_"))
-            p, base, known = m.score(word, lead, before(lead, off))
+            words, off = tokens(b.column("text_"))
+            p, base, known = m.score(words, off)
             p, n = sums_by_row(p, off), np.diff(off)
             out = [n, sums_by_row(known.astype(np.int64), off).astype(np.int64), np.full(len(n), m.tokens), sums_by_row(base, off), p, 10.0 ** np.minimum(-p / n, 300)]
             yield pa.RecordBatch.from_arrays([*(b.column(x) for x in names), *(pa.array(x) for x in out)], [*names, "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"])
