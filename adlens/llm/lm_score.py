@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlens.llm.chars import sums_by_row
-from adlens.llm.common import mix, shared_dir, slices, word_hashes
+from adlens.llm.common import let_go, mix, shared_dir, slices, word_hashes
 
 #: Stand for the end of a text, a token, and for its beginning, which is none.
 END, BEGIN = (mix(np.array([x], np.uint64))[0] for x in (1, 2))
@@ -39,7 +39,7 @@ PART = 1 << 18
 #: Bytes of text for each shard of triples; shards of words are of four times as many.
 SHARD_BYTES = 32 << 20
 #: Tokens, and different words, counted together in a task.
-CHUNK, WORDS_CHUNK = 3_000_000, 1_000_000
+CHUNK, WORDS_CHUNK = 2_000_000, 1_000_000
 U64, U32, U8 = np.uint64, np.uint32, np.uint8
 #: The number of a word that isn't in the table.
 NEVER = 0xFFFFFFFF
@@ -394,14 +394,16 @@ def _triples(model: Model):
             lead = np.cumsum(lead)
             heavy.append(lead[spread > 0])
             pair = paired(np.repeat(lead, pairs), _risen(word, pairs))
-            parts.append((np.repeat(pair, runs), _risen(back, runs).astype(U32), n))
+            parts.append((np.repeat(pair, runs), _risen(back, runs).astype(U32), n.astype(U32)))
+        del pairs, word, runs, pair
         pair, back, n = (np.concatenate(x) for x in zip(*parts, strict=True))
         del parts
         order = np.argsort(back, kind="stable")
         order = order[np.argsort(pair[order], kind="stable")]
         pair, back, n = pair[order], back[order], n[order]
         heads = _heads(pair, back)
-        pair, back, n = pair[heads], back[heads], _summed(n, heads)
+        pair, back, n = pair[heads], back[heads], _summed(n.astype(np.int64), heads)
+        del order
         heads = _heads(pair)
         lead, word = (pair[heads] >> U64(32)).astype(np.int64), (pair[heads] & U64(NEVER)).astype(np.int64)
         of = np.where(lead == model.begin, n[heads], _runs(heads, len(n))) if order3 else n
@@ -420,11 +422,15 @@ def _triples(model: Model):
             arrays |= _contexts(last[~spread], first[~spread], sums[:, ~spread], ids)
             shard = (mix(context[at][spread]) % U64(shards)).astype(narrow(shards))
             out += _dealt(shard, w_shards, 2, last[spread], sums[:, spread], first[spread])
+            del context, n_, order
         _write(f"{folder}/grams-{k}", arrays)
+        del arrays, pair, back
         out += _dealt((ids % w_shards).astype(np.int32), 0, 1, ids // w_shards, _sums(of, by))
         follow, times = np.unique(word, return_counts=True)
         out += _dealt((follow % w_shards).astype(np.int32), 0, 0, follow // w_shards, times[None])
         out.append({"shard": -1, "kind": 3, "x": packed(np.array([k, *_of_counts(n), *_of_counts(of)]), U64)})
+        del n, of
+        let_go()
         return pa.Table.from_pylist(out, PARTS)
 
     return run
