@@ -61,6 +61,11 @@ def cut(df: DataFrame, parts: int | None = None) -> DataFrame:
     return (df.repartition(parts) if parts else df).checkpoint()
 
 
+def swept(spark: SparkSession) -> None:
+    """Let go of relations, shuffles and files that no frame needs any more; the driver's Java shrinks only when it collects all its garbage."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def width(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlens.llm.common import cut, few, fresh, join2, mix, packed, slices, width, without, word_hashes
+from adlens.llm.common import cut, few, fresh, join2, mix, packed, slices, swept, width, without, word_hashes
 from adlens.llm.components import components
 
 SHINGLE = 5
@@ -79,6 +79,11 @@ def _total(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"block": pdf["block"][:1], "salt": [0], "counts": [np.minimum(n, 2**31 - 1).astype(np.int32).tobytes()]})
 
 
+def _leveled(pdf: pd.DataFrame) -> pd.DataFrame:
+    n = np.frombuffer(_total(pdf)["counts"].iloc[0], np.int32)
+    return pd.DataFrame({"block": pdf["block"][:1], "levels": [np.minimum(4 * np.log2(np.maximum(n, 1)), 127).astype(np.uint8).tobytes()]})
+
+
 def _levels(rows: DataFrame) -> np.ndarray:
     """A byte for each counter: four times the binary logarithm of its count, over all rows."""
     size = rows.agg(F.sum(F.length(F.col("text").cast("binary")))).first()[0] or 0
@@ -86,9 +91,8 @@ def _levels(rows: DataFrame) -> np.ndarray:
     schema = "block int, salt int, counts binary"
     part = rows.select("text").coalesce(2 * rows.sparkSession.sparkContext.defaultParallelism).mapInArrow(_survey(bits), schema)
     out = np.zeros(1 << bits, np.uint8)
-    for r in part.groupBy("block", "salt").applyInPandas(_total, schema).groupBy("block").applyInPandas(_total, schema).collect():  # 2**MOST_BITS counters at most
-        n = np.frombuffer(r["counts"], np.int32)
-        out[r["block"] * BLOCK : r["block"] * BLOCK + len(n)] = np.minimum(4 * np.log2(np.maximum(n, 1)), 127)
+    for r in part.groupBy("block", "salt").applyInPandas(_total, schema).groupBy("block").applyInPandas(_leveled, "block int, levels binary").collect():  # 2**MOST_BITS bytes at most
+        out[r["block"] * BLOCK : r["block"] * BLOCK + len(r["levels"])] = np.frombuffer(r["levels"], np.uint8)
     return out
 
 
@@ -129,17 +133,26 @@ def _told_apart(signed: DataFrame) -> DataFrame:
         signed = cut(signed.join(few(same), F.col("c") == F.col("same"), "left").withColumn("c", F.when(F.col("same").isNotNull(), F.xxhash64("c", "d", "n")).otherwise(F.col("c"))).drop("same"))
 
 
+def _mark(key: Column) -> Column:
+    """One number for a key of any kind, to be sent to all tasks in its place. Others may have the same."""
+    return F.xxhash64(key)
+
+
 def _needed(n: Column, m: Column) -> Column:
     """The least intersection of similar sets of these sizes."""
     return F.ceil((n + m) * NUM / (NUM + DEN))
 
 
 def _whole_sets(rows: DataFrame, nodes: DataFrame, n: int, signed: DataFrame) -> DataFrame:
-    """The shingles of each node's set, n at most, read anew from one document that has it: c, items, one row a node."""
-    keys = cut(signed.select("key", "r", "d", "c").join(few(nodes, n), "c", "left_semi").groupBy("c").agg(F.min("key").alias("k"), F.first("r").alias("r"), F.first("d").alias("d")))
-    some = rows.join(few(cut(keys.select("k").distinct()), n), F.col("key").eqNullSafe(F.col("k")), "left_semi")
-    found = some.mapInArrow(_items, "r long, d long, items array<long>").join(few(keys.select("c", "r", "d"), n), ["r", "d"])
-    return cut(found.dropDuplicates(["c"]).select("c", "items"))
+    """The shingles of each node's set, n at most, read anew from one document that has it: c, items, one row a node.
+
+    Documents are found by a mark of their key, which takes the driver less than keys do; others of the same mark do no
+    harm, as sets are told by their signatures.
+    """
+    keys = cut(signed.select("key", "r", "d", "n", "c").join(few(nodes, n), "c", "left_semi").groupBy("c").agg(_mark(F.min("key")).alias("k"), F.first("r").alias("r"), F.first("d").alias("d"), F.first("n").alias("n")))
+    some = rows.join(few(cut(keys.select("k").distinct()), n), _mark(F.col("key")) == F.col("k"), "left_semi")
+    found = some.mapInArrow(_items, "r long, d long, items array<long>").withColumn("n", F.size("items")).dropDuplicates(["r", "d", "n"])
+    return cut(found.join(keys.select("c", "r", "d", "n"), ["r", "d", "n"]).select("c", "items"))  # names go where the sets lie
 
 
 def _linked(posts: DataFrame, of: DataFrame, leaders: int) -> tuple[DataFrame, DataFrame]:
@@ -174,7 +187,9 @@ def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     kind = dict(docs.dtypes)[key]
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     levels = rows.sparkSession.sparkContext.broadcast(_levels(rows))
-    signed = _told_apart(cut(rows.mapInArrow(_prefixes(levels), f"key {kind}, n int, c long, d long, g long, prefix array<long>")))
+    signed = cut(rows.mapInArrow(_prefixes(levels), f"key {kind}, n int, c long, d long, g long, prefix array<long>"))
+    levels.destroy()
+    signed = _told_apart(signed)
     full = signed.where("n > 0")
 
     groups = full.groupBy("n", "g").agg(F.min("c").alias("c"), (F.min("c") < F.max("c")).cast("int").alias("many"), F.first("prefix").alias("prefix"))
@@ -190,6 +205,7 @@ def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     of, placed_n, leaders = rows.sparkSession.createDataFrame([], "c long, root long"), 0, 1
     whole = rows.sparkSession.createDataFrame([], "c long, items array<long>")
     while True:
+        swept(rows.sparkSession)
         rest, pairs = _linked(posts, few(of, placed_n), leaders)
         pairs = cut(pairs)
         n = pairs.count()
@@ -229,7 +245,12 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
     """
     own = F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("print"))
     found = cut(near_copies(docs.select(own.alias("own"), F.col(text).alias("text")), "text", "own"))
+    swept(docs.sparkSession)
     if not found.where("component_id = own").groupBy("own").count().where("count > 1").isEmpty():
         (name,) = fresh(docs.columns, "print_")
         docs = docs.withColumn(name, F.xxhash64(text)).dropDuplicates([key, name]).drop(name)
-    return without(docs, found.where("component_id <> own").select("own.key", "own.print"), F.col(key), F.xxhash64(text))
+    goes = F.col("component_id") != F.col("own")
+    if not found.groupBy(_mark(F.col("own")).alias("mark")).agg(F.min(goes).alias("all"), F.max(goes).alias("some")).where("all <> some").isEmpty():
+        return without(docs, found.where(goes).select("own.key", "own.print"), F.col(key), F.xxhash64(text))
+    (name,) = fresh(docs.columns, "mark")  # no row that stays has the mark of one that goes
+    return docs.join(few(cut(found.where(goes).select(_mark(F.col("own")).alias(name)).distinct())), _mark(own) == F.col(name), "left_anti")

@@ -10,6 +10,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,6 +111,48 @@ def test_near_copies_of_one_template(spark):
     assert collections.Counter(tuple(r) for r in jaccard_join.near_copies(df).collect()) == near(rows)
 
 
+def test_near_copies_send_little(docs, monkeypatch):
+    """The driver gets a byte for each counter, and sends whole numbers alone to all tasks, whatever the keys are."""
+    from adlens.llm import common
+
+    rows = docs.select(F.col("doc_id").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    frame, got, sent, few = type(docs), [], set(), common.few
+
+    def collect(self, f=frame.collect):
+        out = f(self)
+        got.append(sum(len(x) for r in out for x in r if isinstance(x, (bytes, bytearray))))
+        return out
+
+    def sending(df, *bounds):
+        sent.update(kind for _, kind in df.dtypes)
+        return few(df, *bounds)
+
+    monkeypatch.setattr(frame, "collect", collect)
+    levels = jaccard_join._levels(rows)
+    assert 0 < max(got) <= len(levels)
+    monkeypatch.undo()
+    n = np.zeros(len(levels), np.int64)
+    for x in jaccard_join.sets(pa.array([r["text"] for r in rows.collect()])):
+        np.add.at(n, (x & np.uint64(len(levels) - 1)).astype(np.int64), 1)
+    assert levels.tolist() == [int(min(4 * math.log2(max(x, 1)), 127)) for x in n.tolist()]
+    monkeypatch.setattr(jaccard_join, "few", sending)
+    monkeypatch.setattr(common, "few", sending)
+    assert jaccard_join.keep_one(docs.withColumn("doc_id", F.concat(F.lit("key "), F.col("doc_id")))).count() > 0
+    assert sent and sent <= {"int", "bigint"}
+
+
+def test_near_copies_whose_marks_clash(spark, monkeypatch):
+    """Marks find rows; where they don't tell rows apart, keys and texts do."""
+    text = [" ".join(f"w{i}x{j}" for j in range(60)) for i in range(30)]
+    rows = [(3 * i + k, text[i] + (f" more{k}" if k else "")) for i in range(30) for k in range(3 if i % 2 else 1)] + [(None, text[0]), (0, text[1]), (7, None), (8, ""), (9, text[1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = lambda: sorted((tuple(r) for r in jaccard_join.keep_one(df).collect()), key=str)
+    want, groups = kept(), sorted((tuple(r) for r in jaccard_join.near_copies(df).collect()), key=str)
+    assert 0 < len(want) < len(rows)
+    monkeypatch.setattr(jaccard_join, "_mark", lambda key: F.xxhash64(key).bitwiseAND(1))
+    assert kept() == want and sorted((tuple(r) for r in jaccard_join.near_copies(df).collect()), key=str) == groups
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(7, 7), (120, 5)]
     got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
